@@ -200,4 +200,5 @@ def with_proxies(names: list[str] | tuple[str, ...], extra: list[tuple[str, str]
     for n in names:
         visit(n)
     parts = [f"{n} AS ({CTES[n][0]})" for n in order] + [f"{n} AS ({body})" for n, body in extra]
-    return "WITH " + ",\n".join(parts) + "\n" + final
+    recursive = any(f" {n} " in body for n, body in extra)
+    return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(parts) + "\n" + final

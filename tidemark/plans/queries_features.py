@@ -7,50 +7,176 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import windows as W
 from tidemark.plans import marts
+from tidemark.plans import oracle_marts as OM
 from tidemark.plans.catalog import register
 from tidemark.plans.oracle import with_proxies
 from tidemark.sources import proxies as P
 
-# --------------------------------------------------------------------------
-# momentum_mart: W1-W7, W9, J2
-# --------------------------------------------------------------------------
-_MOMENTUM_SQL = with_proxies(
-    ["price", "idx"],
-    [
-        ("idx_ret", """
-          SELECT trading_date,
-                 CASE WHEN LAG(close) OVER (ORDER BY trading_date) > 0
-                      THEN close / LAG(close) OVER (ORDER BY trading_date) - 1 END AS r
-          FROM idx"""),
-        ("idx_1m", """
-          SELECT trading_date,
-                 AVG(r) OVER (ORDER BY trading_date ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS index_return_1m
-          FROM idx_ret"""),
-        ("s1", """
-          SELECT ticker, trading_date,
-                 CASE WHEN LAG(adjusted_close, 1) OVER w > 0 THEN adjusted_close / LAG(adjusted_close, 1) OVER w - 1 END
-                   AS daily_return,
-                 CASE WHEN LAG(adjusted_close, 30) OVER w > 0 THEN adjusted_close / LAG(adjusted_close, 30) OVER w - 1 END
-                   AS price_momentum_1m,
-                 CASE WHEN LAG(adjusted_close, 90) OVER w > 0 THEN adjusted_close / LAG(adjusted_close, 90) OVER w - 1 END
-                   AS price_momentum_3m,
-                 AVG(close_cents) OVER (w ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) / 100 AS moving_average_20d,
-                 AVG(close_cents) OVER (w ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) / 100 AS moving_average_50d,
-                 AVG(close_cents) OVER (w ROWS BETWEEN 199 PRECEDING AND CURRENT ROW) / 100 AS moving_average_200d
-          FROM price WINDOW w AS (PARTITION BY ticker ORDER BY trading_date)"""),
-        ("s2", """
-          SELECT *,
-                 STDDEV_SAMP(daily_return) OVER (w ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS volatility_30d,
-                 AVG(daily_return) OVER (w ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS avg_return_1m
-          FROM s1 WINDOW w AS (PARTITION BY ticker ORDER BY trading_date)"""),
-    ],
-    """SELECT s2.ticker, s2.trading_date, price_momentum_1m, price_momentum_3m, volatility_30d,
-              avg_return_1m - i.index_return_1m AS relative_strength_vs_vnindex,
-              moving_average_20d, moving_average_50d, moving_average_200d
-       FROM s2 LEFT JOIN idx_1m i ON s2.trading_date = i.trading_date""",
-)
 
+def _sel(name: str) -> str:
+    return f"SELECT * FROM {name}"
 
-@register("momentum_mart", _MOMENTUM_SQL)
+
+# --------------------------------------------------------------------------
+# momentum: W1-W9, J2
+# --------------------------------------------------------------------------
+@register("momentum_mart", with_proxies(["price", "idx"], OM.MOMENTUM, _sel("momentum")))
 def momentum_mart(spark: SparkSession, d: str):
     return marts.momentum_mart(P.stock_price_eod(spark, d), P.index_price_eod(spark, d))
+
+
+@register("index_returns", with_proxies(["idx"], OM.MOMENTUM[:2], """
+    SELECT 'VNINDEX' AS index_name, r.trading_date, r.r AS index_daily_return, m.index_return_1m
+    FROM m_idx_ret r JOIN m_idx_1m m ON r.trading_date = m.trading_date"""))
+def index_returns(spark: SparkSession, d: str):
+    """Index daily return and its 20-row mean, window partitioned by index name."""
+    return marts.index_return_1m(P.index_price_eod(spark, d))
+
+
+_IND_SQL = with_proxies(["price"], OM.ema_sql() + [
+    ("i_d", """
+      SELECT ticker, trading_date, close_cents,
+             close_cents - LAG(close_cents) OVER (PARTITION BY ticker ORDER BY trading_date) AS delta
+      FROM price"""),
+    ("i_f", """
+      SELECT ticker, trading_date,
+             CASE WHEN COUNT(close_cents) OVER w20 >= 20 THEN AVG(close_cents) OVER w20 / 100 END AS sma_20,
+             CASE WHEN COUNT(close_cents) OVER w50 >= 50 THEN AVG(close_cents) OVER w50 / 100 END AS sma_50,
+             COUNT(*) OVER w14 AS n14,
+             SUM(CASE WHEN delta > 0 THEN delta ELSE 0 END) OVER w14 AS g,
+             SUM(CASE WHEN delta < 0 THEN -delta ELSE 0 END) OVER w14 AS l
+      FROM i_d
+      WINDOW w20 AS (PARTITION BY ticker ORDER BY trading_date ROWS BETWEEN 19 PRECEDING AND CURRENT ROW),
+             w50 AS (PARTITION BY ticker ORDER BY trading_date ROWS BETWEEN 49 PRECEDING AND CURRENT ROW),
+             w14 AS (PARTITION BY ticker ORDER BY trading_date ROWS BETWEEN 13 PRECEDING AND CURRENT ROW)"""),
+], """
+    SELECT f.ticker, f.trading_date, f.sma_20, f.sma_50,
+           CASE WHEN n14 >= 14 AND l = 0 AND g > 0 THEN 100.0
+                WHEN n14 >= 14 AND l > 0 THEN 100 - 100 / (1 + CAST(g AS DOUBLE) / CAST(l AS DOUBLE)) END AS rsi_14,
+           e.ef - e.es AS macd
+    FROM i_f f LEFT JOIN e_rec e ON f.ticker = e.ticker AND f.trading_date = e.trading_date""")
+
+
+@register("price_indicators", _IND_SQL)
+def price_indicators(spark: SparkSession, d: str):
+    """W5 full-window SMA, W10 RSI-14, W11 EMA/MACD (applyInPandas recursion)."""
+    return marts.price_indicators(P.stock_price_eod(spark, d))
+
+
+# --------------------------------------------------------------------------
+# flows: W12-W15, J7
+# --------------------------------------------------------------------------
+@register("flows_mart", with_proxies(["foreign_flow", "prop_flow"], OM.FLOWS, _sel("flows")))
+def flows_mart(spark: SparkSession, d: str):
+    return marts.flows_mart(P.foreign_trading(spark, d), P.proprietary_trading(spark, d))
+
+
+@register("prop_foreign_corr_plain", with_proxies(["foreign_flow", "prop_flow"], OM.FLOWS[3:4], """
+    SELECT ticker, trading_date,
+           CORR(CAST(x AS DOUBLE), CAST(y AS DOUBLE)) OVER (PARTITION BY ticker ORDER BY trading_date
+                ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS corr_10d
+    FROM f_pj"""))
+def prop_foreign_corr_plain(spark: SparkSession, d: str):
+    """W15 clean variant: Pearson over complete pairs only."""
+    prop, foreign = P.proprietary_trading(spark, d), P.foreign_trading(spark, d)
+    pj = prop.select("ticker", "trading_date", F.col("net_val").alias("x")).join(
+        foreign.select("ticker", "trading_date", F.col("net_val").alias("y")), ["ticker", "trading_date"], "left")
+    w = W.series_window("ticker", "trading_date")
+    return pj.select("ticker", "trading_date", W.rolling_corr("x", "y", w, 10).alias("corr_10d"))
+
+
+# --------------------------------------------------------------------------
+# macro: AGG3, AGG6, J2, W16, W17, F9-F11 (+ J3 forward fill)
+# --------------------------------------------------------------------------
+_MACRO_PX = ["rates", "fx", "commodities", "macro"]
+
+
+def _macro_inputs(spark: SparkSession, d: str):
+    return (P.interest_rates(spark, d), P.exchange_rates(spark, d), P.macro_indicators(spark, d),
+            P.commodities_price(spark, d))
+
+
+@register("macro_mart", with_proxies(_MACRO_PX, OM.MACRO, _sel("macro_mart")))
+def macro_mart(spark: SparkSession, d: str):
+    return marts.macro_mart(*_macro_inputs(spark, d))
+
+
+@register("macro_ffill", with_proxies(_MACRO_PX, OM.MACRO_FFILL, _sel("macro_mart")))
+def macro_ffill(spark: SparkSession, d: str):
+    """D4 fixed: monthly macro values carried forward to each day by a backward as-of join."""
+    return marts.macro_mart(*_macro_inputs(spark, d), macro_fill="ffill")
+
+
+# --------------------------------------------------------------------------
+# sentiment: AGG4, AGG5, W18, SO1, J9, F12, F13
+# --------------------------------------------------------------------------
+@register("sentiment_mart", with_proxies(["news", "analyst", "corp_events"], OM.SENTIMENT, _sel("sentiment")))
+def sentiment_mart(spark: SparkSession, d: str):
+    return marts.sentiment_mart(P.news_articles(spark, d), P.analyst_reports(spark, d),
+                                P.corporate_events(spark, d))
+
+
+@register("event_counts", with_proxies(["corp_events"], OM.SENTIMENT[3:4], """
+    SELECT ticker, date, event_count, CAST(dividend_event_count AS BIGINT) AS dividend_event_count FROM s_ev"""))
+def event_counts(spark: SparkSession, d: str):
+    return marts.event_counts(P.corporate_events(spark, d))
+
+
+# --------------------------------------------------------------------------
+# fundamentals: W19, AGG2, J4, F1-F8 and the as-of variant
+# --------------------------------------------------------------------------
+def _statements(spark: SparkSession, d: str):
+    return P.income_statement(spark, d), P.balance_sheet(spark, d), P.cashflow_statement(spark, d)
+
+
+@register("fundamentals_mart", with_proxies(["price", "income", "balance", "cashflow", "profile"],
+                                            OM.FUNDAMENTALS, _sel("fundamentals")))
+def fundamentals_mart(spark: SparkSession, d: str):
+    return marts.fundamentals_mart(P.stock_price_eod(spark, d), *_statements(spark, d), P.company_profile(spark, d))
+
+
+@register("fundamentals_asof", with_proxies(["price", "income", "balance", "cashflow", "profile"],
+                                            OM.FUNDAMENTALS_ASOF, _sel("fundamentals_asof")))
+def fundamentals_asof(spark: SparkSession, d: str):
+    return marts.fundamentals_asof(P.stock_price_eod(spark, d), *_statements(spark, d), P.company_profile(spark, d))
+
+
+@register("latest_quarter", with_proxies(["income"], OM.FUNDAMENTALS[:1], """
+    SELECT ticker, revenue, net_profit_after_tax, revenue_yoy, net_profit_yoy FROM u_inc"""))
+def latest_quarter(spark: SparkSession, d: str):
+    """AGG2 + W19: newest quarter per ticker with its 4-quarter-lag values."""
+    inc = marts.with_yoy(P.income_statement(spark, d),
+                         {"revenue": "revenue_yoy", "net_profit_after_tax": "net_profit_yoy"})
+    return marts.latest_quarter(inc).select("ticker", "revenue", "net_profit_after_tax", "revenue_yoy",
+                                            "net_profit_yoy")
+
+
+# --------------------------------------------------------------------------
+# labels and the wide fact table
+# --------------------------------------------------------------------------
+@register("forward_labels", with_proxies(["price"], OM.LABELS, _sel("labels")))
+def forward_labels(spark: SparkSession, d: str):
+    return marts.forward_labels(P.stock_price_eod(spark, d), with_drawdown=True)
+
+
+def build_fact(spark: SparkSession, d: str):
+    prices = P.stock_price_eod(spark, d)
+    mom = marts.momentum_mart(prices, P.index_price_eod(spark, d))
+    fun = marts.fundamentals_mart(prices, *_statements(spark, d), P.company_profile(spark, d))
+    snt = marts.sentiment_mart(P.news_articles(spark, d), P.analyst_reports(spark, d), P.corporate_events(spark, d))
+    mac = marts.macro_mart(*_macro_inputs(spark, d))
+    flw = marts.flows_mart(P.foreign_trading(spark, d), P.proprietary_trading(spark, d))
+    return marts.fact_table(prices, mom, fun, snt, mac, flw)
+
+
+_FACT_SQL = with_proxies(
+    OM.FACT_PROXIES,
+    OM.LABELS + OM.MOMENTUM + OM.FUNDAMENTALS + OM.SENTIMENT + OM.MACRO + OM.FLOWS,
+    OM.fact_select(marts.FACT_COLUMNS),
+)
+
+
+@register("fact_table", _FACT_SQL)
+def fact_table(spark: SparkSession, d: str):
+    """J1 + F18: the wide feature/label table (flagship)."""
+    return build_fact(spark, d)

@@ -14,6 +14,7 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 import duckdb  # noqa: E402
+import numpy as np  # noqa: E402
 import pandas as pd  # noqa: E402
 
 from tidemark.sources.tables import DRIVER_TABLES  # noqa: E402
@@ -29,10 +30,14 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 def _norm(v, digits: int):
     if v is None:
         return None
+    if isinstance(v, np.generic):
+        v = v.item()
     if isinstance(v, float):
         if math.isnan(v):
             return None
         return float(f"{v:.{digits}g}")
+    if v is pd.NaT:
+        return None
     if hasattr(v, "isoformat"):
         return str(v)[:10] if len(str(v)) <= 10 or str(v).endswith("00:00:00") else str(v)
     if isinstance(v, (list, tuple)):
