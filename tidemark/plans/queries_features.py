@@ -169,11 +169,7 @@ def build_fact(spark: SparkSession, d: str):
     return marts.fact_table(prices, mom, fun, snt, mac, flw)
 
 
-_FACT_SQL = with_proxies(
-    OM.FACT_PROXIES,
-    OM.LABELS + OM.MOMENTUM + OM.FUNDAMENTALS + OM.SENTIMENT + OM.MACRO + OM.FLOWS,
-    OM.fact_select(marts.FACT_COLUMNS),
-)
+_FACT_SQL = with_proxies(OM.FACT_PROXIES, OM.fact_ctes(marts.FACT_COLUMNS), _sel("fact"))
 
 
 @register("fact_table", _FACT_SQL)
