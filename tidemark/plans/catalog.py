@@ -32,4 +32,4 @@ def register(name: str, sql: str | None = None) -> Callable[[QueryFn], QueryFn]:
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from tidemark.plans import queries_features, queries_layers, queries_ml  # noqa: F401
+    from tidemark.plans import queries_features, queries_landing, queries_layers, queries_ml  # noqa: F401
