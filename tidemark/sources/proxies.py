@@ -65,36 +65,57 @@ def _lines_by_brand(spark: SparkSession, d: str) -> DataFrame:
     return li.join(part, li.l_partkey == part.p_partkey).withColumn("cents", cents("l_extendedprice"))
 
 
-def stock_price_eod(spark: SparkSession, d: str) -> DataFrame:
-    """(ticker, trading_date) -> OHLC from line prices, volume from quantity."""
-    lines = _lines_by_brand(spark, d)
-    out = lines.groupBy(F.col("p_brand").alias("ticker"), _day("l_shipdate").alias("trading_date")).agg(
+def _sum_if(cond: Column, value: Column) -> Column:
+    return F.sum(F.when(cond, value).otherwise(F.lit(0)))
+
+
+def daily_brand_lines(spark: SparkSession, d: str) -> DataFrame:
+    """One pass over the line table: every per-(brand, day) quantity any market
+    proxy needs.  The scan happens once and the partial aggregate is shuffled
+    once; the price, flow, index and statement tables below are re-aggregations
+    of this small table (its size is brands x days, independent of line count),
+    and every consumer in one plan reuses the same exchange."""
+    x = _lines_by_brand(spark, d)
+    c, qty = F.col("cents"), F.col("l_quantity").cast("bigint")
+    is_o, is_f = F.col("l_linestatus") == "O", F.col("l_linestatus") == "F"
+    is_r, is_n, is_a = F.col("l_returnflag") == "R", F.col("l_returnflag") == "N", F.col("l_returnflag") == "A"
+    return x.groupBy(F.col("p_brand").alias("ticker"), _day("l_shipdate").alias("trading_date")).agg(
         F.min_by("cents", F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("open_cents"),
-        F.max("cents").alias("high_cents"),
-        F.min("cents").alias("low_cents"),
-        F.max("cents").alias("close_cents"),
-        F.sum(F.col("l_quantity").cast("bigint")).alias("volume"),
-        F.sum("cents").alias("value_cents"),
+        F.max(c).alias("high_cents"), F.min(c).alias("low_cents"),
+        F.sum(qty).alias("volume"), F.sum(c).alias("value_cents"),
+        F.count_if(is_o).alias("n_open"),
+        _sum_if(is_o & is_r, qty).alias("f_buy_vol"), _sum_if(is_o & ~is_r, qty).alias("f_sell_vol"),
+        _sum_if(is_o & is_r, c).alias("f_buy_val"), _sum_if(is_o & ~is_r, c).alias("f_sell_val"),
+        F.count_if(is_f).alias("n_filled"),
+        _sum_if(is_f & is_n, qty).alias("p_buy_vol"), _sum_if(is_f & ~is_n, qty).alias("p_sell_vol"),
+        _sum_if(is_f, F.when(is_n, c).otherwise(-c)).alias("p_net"),
+        _sum_if(is_f, c).alias("s_filled"), _sum_if(is_a, c).alias("s_a"), _sum_if(is_o, c).alias("s_open"),
+        _sum_if(is_n, c).alias("s_n"), _sum_if(is_r, c).alias("s_r"), _sum_if(is_r & is_o, c).alias("s_r_open"),
+        _sum_if(is_r & is_f, c).alias("s_r_filled"), _sum_if(is_n, qty * 1000).alias("s_n_qty1000"),
+        F.sum(F.col("l_linenumber").cast("bigint") * 1000).alias("s_lineno1000"),
     )
+
+
+def stock_price_eod(spark: SparkSession, d: str) -> DataFrame:
+    """(ticker, trading_date) -> OHLC from line prices, volume from quantity."""
+    out = daily_brand_lines(spark, d)
     return out.select(
         "ticker", "trading_date",
         (F.col("open_cents") / 100).alias("open"),
         (F.col("high_cents") / 100).alias("high"),
         (F.col("low_cents") / 100).alias("low"),
-        (F.col("close_cents") / 100).alias("close"),
+        (F.col("high_cents") / 100).alias("close"),
         "volume",
         (F.col("value_cents") / 100).alias("value"),
-        (F.col("close_cents") / 100).alias("adjusted_close"),
-        "close_cents",
+        (F.col("high_cents") / 100).alias("adjusted_close"),
+        F.col("high_cents").alias("close_cents"),
     )
 
 
 def index_price_eod(spark: SparkSession, d: str) -> DataFrame:
-    li = read_table(spark, d, "lineitem").select("l_extendedprice", "l_quantity", "l_shipdate")
-    out = li.groupBy(_day("l_shipdate").alias("trading_date")).agg(
-        F.sum(cents("l_extendedprice")).alias("close_cents"),
-        F.sum(F.col("l_quantity").cast("bigint")).alias("volume"),
-    )
+    """One index over all lines per day (a re-aggregation of the daily table)."""
+    out = daily_brand_lines(spark, d).groupBy("trading_date").agg(
+        F.sum("value_cents").alias("close_cents"), F.sum("volume").alias("volume"))
     return out.select(
         F.lit(INDEX_NAME).alias("index_name"), "trading_date",
         (F.col("close_cents") / 100).alias("close"), "volume", "close_cents",
@@ -103,89 +124,62 @@ def index_price_eod(spark: SparkSession, d: str) -> DataFrame:
 
 def foreign_trading(spark: SparkSession, d: str) -> DataFrame:
     """Open lines: returned ('R') = foreign buy, the rest = foreign sell."""
-    lines = _lines_by_brand(spark, d).where(F.col("l_linestatus") == "O")
-    is_buy = F.col("l_returnflag") == "R"
-    qty = F.col("l_quantity").cast("bigint")
-    out = lines.groupBy(F.col("p_brand").alias("ticker"), _day("l_shipdate").alias("trading_date")).agg(
-        F.sum(F.when(is_buy, qty).otherwise(0)).alias("buy_vol"),
-        F.sum(F.when(~is_buy, qty).otherwise(0)).alias("sell_vol"),
-        F.sum(F.when(is_buy, F.col("cents")).otherwise(0)).alias("buy_val"),
-        F.sum(F.when(~is_buy, F.col("cents")).otherwise(0)).alias("sell_val"),
+    out = daily_brand_lines(spark, d).where(F.col("n_open") > 0)
+    return out.select(
+        "ticker", "trading_date", F.col("f_buy_vol").alias("buy_vol"), F.col("f_sell_vol").alias("sell_vol"),
+        F.col("f_buy_val").alias("buy_val"), F.col("f_sell_val").alias("sell_val"),
+        (F.col("f_buy_val") - F.col("f_sell_val")).alias("net_val"),
     )
-    return out.withColumn("net_val", F.col("buy_val") - F.col("sell_val"))
 
 
 def proprietary_trading(spark: SparkSession, d: str) -> DataFrame:
     """Filled lines: 'N' = desk buy, the rest = desk sell; zero-net days dropped (NRM4)."""
-    lines = _lines_by_brand(spark, d).where(F.col("l_linestatus") == "F")
-    is_buy = F.col("l_returnflag") == "N"
-    qty = F.col("l_quantity").cast("bigint")
-    out = lines.groupBy(F.col("p_brand").alias("ticker"), _day("l_shipdate").alias("trading_date")).agg(
-        F.sum(F.when(is_buy, qty).otherwise(0)).alias("buy_vol"),
-        F.sum(F.when(~is_buy, qty).otherwise(0)).alias("sell_vol"),
-        F.sum(F.when(is_buy, F.col("cents")).otherwise(-F.col("cents"))).alias("net_val"),
-    )
-    return out.where(F.col("net_val") != 0)
+    out = daily_brand_lines(spark, d).where((F.col("n_filled") > 0) & (F.col("p_net") != 0))
+    return out.select("ticker", "trading_date", F.col("p_buy_vol").alias("buy_vol"),
+                      F.col("p_sell_vol").alias("sell_vol"), F.col("p_net").alias("net_val"))
 
 
 def _quarterly(spark: SparkSession, d: str) -> DataFrame:
-    lines = _lines_by_brand(spark, d)
-    return lines.withColumn("year", F.year("l_shipdate")).withColumn(
-        "period", F.concat(F.lit("Q"), F.quarter("l_shipdate").cast("string"))
-    )
-
-
-def _sum_if(cond: Column, value: Column) -> Column:
-    return F.sum(F.when(cond, value).otherwise(F.lit(0)))
+    """Daily parts summed per (brand, year, quarter); sums are additive, so this
+    equals summing the lines directly."""
+    day = daily_brand_lines(spark, d)
+    parts = [c for c in day.columns if c.startswith("s_")] + ["value_cents", "volume"]
+    return day.groupBy(
+        "ticker", F.concat(F.lit("Q"), F.quarter("trading_date").cast("string")).alias("period"),
+        F.year("trading_date").alias("year"),
+    ).agg(*[F.sum(c).alias(c) for c in parts])
 
 
 def income_statement(spark: SparkSession, d: str) -> DataFrame:
     q = _quarterly(spark, d)
-    c, qty = F.col("cents"), F.col("l_quantity").cast("bigint")
-    out = q.groupBy(F.col("p_brand").alias("ticker"), "period", "year").agg(
-        F.sum(c).alias("revenue"),
-        _sum_if(F.col("l_linestatus") == "F", c).alias("cogs"),
-        _sum_if(F.col("l_returnflag") == "A", c).alias("operating_expenses"),
-        F.sum(qty * 100).alias("financial_income"),
-        F.sum(F.col("l_linenumber").cast("bigint") * 1000).alias("financial_expenses"),
-    )
-    return out.select(
-        "ticker", "period", "year", "revenue", "cogs",
-        (F.col("revenue") - F.col("cogs")).alias("gross_profit"),
-        "operating_expenses",
-        (F.col("revenue") - F.col("cogs") - F.col("operating_expenses")).alias("operating_profit"),
-        "financial_income", "financial_expenses",
-        (F.col("revenue") - F.col("cogs") - F.col("operating_expenses") + F.col("financial_income")
-         - F.col("financial_expenses")).alias("net_profit_after_tax"),
+    rev, cogs, opex = F.col("value_cents"), F.col("s_filled"), F.col("s_a")
+    fin_inc, fin_exp = F.col("volume") * 100, F.col("s_lineno1000")
+    return q.select(
+        "ticker", "period", "year", rev.alias("revenue"), cogs.alias("cogs"), (rev - cogs).alias("gross_profit"),
+        opex.alias("operating_expenses"), (rev - cogs - opex).alias("operating_profit"),
+        fin_inc.alias("financial_income"), fin_exp.alias("financial_expenses"),
+        (rev - cogs - opex + fin_inc - fin_exp).alias("net_profit_after_tax"),
     )
 
 
 def balance_sheet(spark: SparkSession, d: str) -> DataFrame:
     q = _quarterly(spark, d)
-    c, qty = F.col("cents"), F.col("l_quantity").cast("bigint")
-    ret = F.col("l_returnflag") == "R"
-    out = q.groupBy(F.col("p_brand").alias("ticker"), "period", "year").agg(
-        (F.sum(c) + F.sum(qty * 100000)).alias("total_assets"),
-        _sum_if(F.col("l_linestatus") == "O", c).alias("current_assets"),
-        _sum_if(F.col("l_returnflag") == "N", c).alias("cash"),
-        F.sum(qty * 1000).alias("inventory"),
-        _sum_if(ret, c).alias("total_liabilities"),
-        _sum_if(ret & (F.col("l_linestatus") == "O"), c).alias("short_term_debt"),
-        _sum_if(ret & (F.col("l_linestatus") == "F"), c).alias("long_term_debt"),
+    total = F.col("value_cents") + F.col("volume") * 100000
+    return q.select(
+        "ticker", "period", "year", total.alias("total_assets"), F.col("s_open").alias("current_assets"),
+        F.col("s_n").alias("cash"), (F.col("volume") * 1000).alias("inventory"),
+        F.col("s_r").alias("total_liabilities"), F.col("s_r_open").alias("short_term_debt"),
+        F.col("s_r_filled").alias("long_term_debt"), (total - F.col("s_r")).alias("equity"),
     )
-    return out.withColumn("equity", F.col("total_assets") - F.col("total_liabilities"))
 
 
 def cashflow_statement(spark: SparkSession, d: str) -> DataFrame:
     q = _quarterly(spark, d)
-    c, qty = F.col("cents"), F.col("l_quantity").cast("bigint")
-    out = q.groupBy(F.col("p_brand").alias("ticker"), "period", "year").agg(
-        (_sum_if(F.col("l_linestatus") == "O", c) - _sum_if(F.col("l_returnflag") == "R", c)).alias("cfo"),
-        (-_sum_if(F.col("l_returnflag") == "A", c)).alias("cfi"),
-        _sum_if(F.col("l_returnflag") == "N", qty * 1000).alias("cff"),
-        F.sum(qty * 500).alias("capex"),
+    cfo, cfi, cff = F.col("s_open") - F.col("s_r"), -F.col("s_a"), F.col("s_n_qty1000")
+    return q.select(
+        "ticker", "period", "year", cfo.alias("cfo"), cfi.alias("cfi"), cff.alias("cff"),
+        (F.col("volume") * 500).alias("capex"), (cfo + cfi + cff).alias("net_cash_flow"),
     )
-    return out.withColumn("net_cash_flow", F.col("cfo") + F.col("cfi") + F.col("cff"))
 
 
 def company_profile(spark: SparkSession, d: str) -> DataFrame:
@@ -201,44 +195,41 @@ def company_profile(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def _orders(spark: SparkSession, d: str) -> DataFrame:
-    return read_table(spark, d, "orders").select(
-        "o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"
-    ).withColumn("cents", cents("o_totalprice"))
+def daily_orders(spark: SparkSession, d: str) -> DataFrame:
+    """One pass over orders: per (day, priority, status) counts and cent sums /
+    extremes; the rate, FX, commodity and macro proxies re-aggregate it."""
+    o = read_table(spark, d, "orders").select("o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+    c = cents("o_totalprice")
+    return o.groupBy(_day("o_orderdate").alias("date"), "o_orderpriority", "o_orderstatus").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(c).alias("s"), F.max(c).alias("mx"), F.min(c).alias("mn"))
 
 
 def interest_rates(spark: SparkSession, d: str) -> DataFrame:
-    o = _orders(spark, d).where(F.col("o_orderpriority").isin(list(RATE_TYPES)))
-    out = o.groupBy(_map_col("o_orderpriority", RATE_TYPES).alias("rate_type"), _day("o_orderdate").alias("date")).agg(
-        (F.sum("cents").cast("double") / F.count(F.lit(1)) / 100000).alias("rate_value")
-    )
-    return out
+    o = daily_orders(spark, d).where(F.col("o_orderpriority").isin(list(RATE_TYPES)))
+    return o.groupBy(_map_col("o_orderpriority", RATE_TYPES).alias("rate_type"), "date").agg(
+        (F.sum("s").cast("double") / F.sum("n") / 100000).alias("rate_value"))
 
 
 def exchange_rates(spark: SparkSession, d: str) -> DataFrame:
-    o = _orders(spark, d).where(F.col("o_orderstatus") == "F")
-    return o.groupBy(_day("o_orderdate").alias("date")).agg(
-        (F.sum("cents").cast("double") / F.count(F.lit(1)) / 10).alias("exchange_rate")
-    ).select(F.lit(FX_PAIR).alias("pair"), "date", "exchange_rate")
+    o = daily_orders(spark, d).where(F.col("o_orderstatus") == "F")
+    return o.groupBy("date").agg((F.sum("s").cast("double") / F.sum("n") / 10).alias("exchange_rate")).select(
+        F.lit(FX_PAIR).alias("pair"), "date", "exchange_rate")
 
 
 def commodities_price(spark: SparkSession, d: str) -> DataFrame:
-    o = _orders(spark, d)
-    by_priority = o.groupBy(_map_col("o_orderpriority", COMMODITY_NAMES).alias("commodity_name"),
-                            _day("o_orderdate").alias("date")).agg((F.max("cents") / 100).alias("price"))
-    tanker = o.where(F.col("o_orderstatus") == "P").groupBy(_day("o_orderdate").alias("date")).agg(
-        (F.min("cents") / 100).alias("price")
+    o = daily_orders(spark, d)
+    by_priority = o.groupBy(_map_col("o_orderpriority", COMMODITY_NAMES).alias("commodity_name"), "date").agg(
+        (F.max("mx") / 100).alias("price"))
+    tanker = o.where(F.col("o_orderstatus") == "P").groupBy("date").agg(
+        (F.min("mn") / 100).alias("price")
     ).select(F.lit(TANKER_NAME).alias("commodity_name"), "date", "price")
     return by_priority.unionByName(tanker)
 
 
 def macro_indicators(spark: SparkSession, d: str) -> DataFrame:
     """Monthly CPI and policy-rate proxies, reported on the first day of the month."""
-    o = _orders(spark, d)
-    month = F.trunc(F.col("o_orderdate").cast("date"), "month")
-    m = o.groupBy(month.alias("report_date")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("cents").alias("total_cents")
-    )
+    m = daily_orders(spark, d).groupBy(F.trunc("date", "month").alias("report_date")).agg(
+        F.sum("n").alias("n"), F.sum("s").alias("total_cents"))
     cpi = m.select(F.lit("CPI").alias("indicator_name"), "report_date",
                    (F.col("n") / 100).alias("value"), F.lit("%").alias("unit"))
     policy = m.select(F.lit("INTEREST_RATE").alias("indicator_name"), "report_date",
