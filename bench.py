@@ -69,7 +69,7 @@ def main() -> None:
          .config("spark.sql.shuffle.partitions", str(int(cpus) * 2))
          .config("spark.driver.memory", os.environ["TIDEMARK_DRIVER_MEM"])
          .config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", scratch)
-         .config("spark.eventLog.rolling.enabled", "false")
+         .config("spark.eventLog.rolling.enabled", "false").config("spark.eventLog.compress", "false")
          .config("spark.checkpoint.dir", os.path.join(scratch, "ckpt")))
     for k, v in ENGINE_CONF.items():
         b = b.config(k, v)

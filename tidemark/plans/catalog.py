@@ -10,8 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.sources.scope import reset
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, QueryFn] = {}
@@ -22,7 +26,13 @@ def register(name: str, sql: str | None = None) -> Callable[[QueryFn], QueryFn]:
     def deco(fn: QueryFn) -> QueryFn:
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
-        QUERIES[name] = fn
+
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            reset()
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn

@@ -39,26 +39,36 @@ def index_return_1m(index: DataFrame, names: Sequence[str] = ("VNINDEX",), n: in
     )
 
 
+def _moving_averages(df: DataFrame, w, price: str, cents: str | None, windows: Sequence[int],
+                     names: Sequence[str], min_periods: Sequence[int]) -> DataFrame:
+    """Trailing means; on integer cents the O(rows) running-total form is used."""
+    for n, name, mp in zip(windows, names, min_periods):
+        if cents and cents in df.columns:
+            df = W.rolling_mean_exact(df, cents, n, w, name, min_periods=mp, scale=100)
+        else:
+            df = df.withColumn(name, W.rolling_mean(price, n, w, min_periods=mp))
+    return df
+
+
 def momentum_features(prices: DataFrame, lag_1m: int = 30, lag_3m: int = 90,
                       ma_windows: Sequence[int] = (20, 50, 200), vol_n: int = 30, ret_n: int = 20,
                       price: str = "adjusted_close", cents: str | None = "close_cents") -> DataFrame:
     """Per-ticker price features on one window spec (one Exchange + Sort)."""
     w = W.series_window("ticker", "trading_date")
-    p = F.col(price)
-    exact = _price(prices, price, cents)
-    cols = [
-        "ticker", "trading_date", p.alias("_px"),
+    keep = ["ticker", "trading_date", price] + ([cents] if cents and cents in prices.columns else [])
+    base = prices.select(*keep).select(
+        "*",
         W.simple_return(price, w).alias("daily_return"),
         W.momentum(price, lag_1m, w).alias("price_momentum_1m"),
         W.momentum(price, lag_3m, w).alias("price_momentum_3m"),
-    ]
-    cols += [_scale(W.rolling_mean(exact, n, w), cents, prices).alias(f"moving_average_{n}d") for n in ma_windows]
-    step1 = prices.select(*cols)
-    return step1.select(
+    )
+    base = _moving_averages(base, w, price, cents, ma_windows, [f"moving_average_{n}d" for n in ma_windows],
+                            [1] * len(ma_windows))
+    return base.select(
         "*",
         W.rolling_std("daily_return", vol_n, w).alias("volatility_30d"),
         W.rolling_mean("daily_return", ret_n, w).alias("avg_return_1m"),
-    ).drop("_px")
+    ).drop(*[c for c in (price, cents) if c and c not in ("ticker", "trading_date")])
 
 
 def momentum_mart(prices: DataFrame, index: DataFrame, index_names: Sequence[str] = ("VNINDEX",),
@@ -463,11 +473,8 @@ def price_indicators(prices: DataFrame, price: str = "close", cents: str | None
 
     w = W.series_window("ticker", "trading_date")
     exact = _price(prices, price, cents)
-    feats = prices.select(
-        "ticker", "trading_date",
-        _scale(W.rolling_mean(exact, 20, w, min_periods=20), cents, prices).alias("sma_20"),
-        _scale(W.rolling_mean(exact, 50, w, min_periods=50), cents, prices).alias("sma_50"),
-        W.rsi(exact, w, 14).alias("rsi_14"),
-    )
+    keep = ["ticker", "trading_date", price] + ([cents] if cents and cents in prices.columns else [])
+    feats = _moving_averages(prices.select(*keep), w, price, cents, (20, 50), ("sma_20", "sma_50"), (20, 50))
+    feats = feats.select("ticker", "trading_date", "sma_20", "sma_50", W.rsi(exact, w, 14).alias("rsi_14"))
     ema = ema_features(prices, "ticker", "trading_date", price).select("ticker", "trading_date", "macd")
     return feats.join(ema, list(TICKER_DATE), "left")

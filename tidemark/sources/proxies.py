@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import small_side
+from tidemark.sources.scope import shared
 from tidemark.sources.tables import read_table
 
 # Names the reference's marts filter on.
@@ -42,7 +43,9 @@ TANKER_NAME = "Baltic Dirty Tanker Index"
 def cents(c: str | Column) -> Column:
     """Exact integer cents of a 2-decimal double price."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.round(c * 100).cast("bigint")
+    # floor(x*100 + 0.5) == round-half-up for 2-decimal positive prices, without
+    # the BigDecimal path Spark uses for round() on doubles
+    return F.floor(c * 100 + 0.5).cast("bigint")
 
 
 def _day(c: str) -> Column:
@@ -70,6 +73,10 @@ def _sum_if(cond: Column, value: Column) -> Column:
 
 
 def daily_brand_lines(spark: SparkSession, d: str) -> DataFrame:
+    return shared(("daily_brand_lines", id(spark), d), lambda: _daily_brand_lines(spark, d), materialize=True)
+
+
+def _daily_brand_lines(spark: SparkSession, d: str) -> DataFrame:
     """One pass over the line table: every per-(brand, day) quantity any market
     proxy needs.  The scan happens once and the partial aggregate is shuffled
     once; the price, flow, index and statement tables below are re-aggregations
@@ -196,6 +203,10 @@ def company_profile(spark: SparkSession, d: str) -> DataFrame:
 
 
 def daily_orders(spark: SparkSession, d: str) -> DataFrame:
+    return shared(("daily_orders", id(spark), d), lambda: _daily_orders(spark, d), materialize=True)
+
+
+def _daily_orders(spark: SparkSession, d: str) -> DataFrame:
     """One pass over orders: per (day, priority, status) counts and cent sums /
     extremes; the rate, FX, commodity and macro proxies re-aggregate it."""
     o = read_table(spark, d, "orders").select("o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")

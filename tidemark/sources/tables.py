@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.session import ensure_utc
+from tidemark.sources.scope import shared
 
 DRIVER_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -17,4 +18,5 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in DRIVER_TABLES:
         raise ValueError(f"unknown table {name!r}")
     ensure_utc(spark)
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    return shared(("table", id(spark), path), lambda: spark.read.parquet(path))
