@@ -98,7 +98,9 @@ def forecast_rows(preds: DataFrame, forecast_date, model_version: str, job: str
     """SNK13 body: forecast table rows with decimal(18,6) returns and audit columns."""
     from tidemark.operators.silver import with_audit
 
-    d = F.col(forecast_date) if isinstance(forecast_date, str) else F.lit(str(forecast_date)).cast("date")
+    from pyspark.sql import Column
+
+    d = forecast_date if isinstance(forecast_date, Column) else F.lit(str(forecast_date)).cast("date")
     rows = preds.select(
         "ticker", d.alias("trading_date"), F.col("predicted_return").cast("decimal(18,6)").alias("predicted_return"),
         F.lit(model_version).alias("model_version"))
