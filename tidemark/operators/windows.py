@@ -181,9 +181,25 @@ def rolling_corr_parity(x: str | Column, y: str | Column, w: WindowSpec, n: int
     )
 
 
-def rolling_corr(x: str | Column, y: str | Column, w: WindowSpec, n: int = 10) -> Column:
-    """Plain Pearson correlation over complete pairs of the frame."""
-    return F.corr(_c(x).cast("double"), _c(y).cast("double")).over(trailing(w, n))
+def rolling_corr(x: str | Column, y: str | Column, w: WindowSpec, n: int = 10, min_pairs: int = 2,
+                 exact_type: str = "decimal(38,0)") -> Column:
+    """Pearson correlation over the complete (x, y) pairs of the trailing frame
+    (the clean variant, D13).  NULL with fewer than ``min_pairs`` pairs or zero
+    variance.  Sums run in ``exact_type`` (exact for integer inputs; pass
+    'double' for fractional inputs), so no ANSI division error and no float
+    cancellation in the co-moments."""
+    frame = trailing(w, n)
+    pair = _c(x).isNotNull() & _c(y).isNotNull()
+    xe, ye = F.when(pair, _c(x).cast(exact_type)), F.when(pair, _c(y).cast(exact_type))
+    cnt = F.count(F.when(pair, F.lit(1))).over(frame)
+    k = cnt.cast(exact_type)
+    sx, sy = F.sum(xe).over(frame), F.sum(ye).over(frame)
+    sxx, syy, sxy = F.sum(xe * xe).over(frame), F.sum(ye * ye).over(frame), F.sum(xe * ye).over(frame)
+    vx = (k * sxx - sx * sx).cast("double")
+    vy = (k * syy - sy * sy).cast("double")
+    cov = (k * sxy - sx * sy).cast("double")
+    prod = vx * vy
+    return F.when((cnt >= min_pairs) & (prod > 0), cov / F.sqrt(prod))
 
 
 # W20-W22 ----------------------------------------------------------------------

@@ -478,3 +478,38 @@ def price_indicators(prices: DataFrame, price: str = "close", cents: str | None
     feats = feats.select("ticker", "trading_date", "sma_20", "sma_50", W.rsi(exact, w, 14).alias("rsi_14"))
     ema = ema_features(prices, "ticker", "trading_date", price).select("ticker", "trading_date", "macd")
     return feats.join(ema, list(TICKER_DATE), "left")
+
+
+# -- offline-builder variants (W9 price-ratio relative strength, D12 flows) -------
+def relative_strength_ratio(prices: DataFrame, index: DataFrame, n: int = 20, index_name: str = "VNINDEX",
+                            price: str = "close") -> DataFrame:
+    """W9 builder variant: n-row price momentum of the stock minus the index's."""
+    w = W.series_window("ticker", "trading_date")
+    wi = W.series_window("index_name", "trading_date")
+    ix = index.where(F.col("index_name") == index_name).select(
+        "trading_date", W.momentum("close", n, wi).alias("index_return_1m"))
+    st = prices.select("ticker", "trading_date", W.momentum(price, n, w).alias("price_momentum_1m"))
+    out = st.join(small_side(ix), "trading_date", "left")
+    return out.select("ticker", "trading_date", "price_momentum_1m", "index_return_1m",
+                      (F.col("price_momentum_1m") - F.col("index_return_1m")).alias("relative_strength_20d"))
+
+
+def flows_builder(prices: DataFrame, foreign: DataFrame, prop: DataFrame) -> DataFrame:
+    """D12 builder variant on price rows: buy ratio over traded value (close x
+    volume), 20-row mean of net foreign value (missing days = 0), 5-row prop sum
+    and 10-row Pearson correlation, each NULL until its window is full."""
+    keys = list(TICKER_DATE)
+    w = W.series_window("ticker", "trading_date")
+    base = (prices.select("ticker", "trading_date", (F.col("close_cents") * F.col("volume")).alias("traded"))
+            .join(foreign.select("ticker", "trading_date", "buy_val", F.col("net_val").alias("fnet")), keys, "left")
+            .join(prop.select("ticker", "trading_date", F.col("net_val").alias("pnet")), keys, "left")
+            .withColumn("fnet0", F.coalesce("fnet", F.lit(0).cast("bigint"))))
+    f10, f20, f5 = W.trailing(w, 10), W.trailing(w, 20), W.trailing(w, 5)
+    return base.select(
+        "ticker", "trading_date",
+        F.when((F.count("buy_val").over(f10) == 10) & (F.sum("traded").over(f10) != 0),
+               F.sum("buy_val").over(f10) / F.sum("traded").over(f10)).alias("foreign_buy_ratio_10d"),
+        F.when(F.count(F.lit(1)).over(f20) == 20, F.avg("fnet0").over(f20)).alias("net_foreign_flow_momentum_1m"),
+        F.when(F.count("pnet").over(f5) == 5, F.sum("pnet").over(f5)).alias("prop_trading_net_val_5d"),
+        W.rolling_corr("pnet", "fnet0", w, 10, min_pairs=10).alias("prop_vs_foreign_correlation_10d"),
+    )

@@ -63,6 +63,19 @@ def price_indicators(spark: SparkSession, d: str):
     return marts.price_indicators(P.stock_price_eod(spark, d))
 
 
+
+def _pair_corr_sql(x: str, y: str, frame: str, min_pairs: int) -> str:
+    """Exact pair-filtered Pearson (mirrors windows.rolling_corr)."""
+    xe = f"CASE WHEN {x} IS NOT NULL AND {y} IS NOT NULL THEN CAST({x} AS HUGEINT) END"
+    ye = f"CASE WHEN {x} IS NOT NULL AND {y} IS NOT NULL THEN CAST({y} AS HUGEINT) END"
+    k = f"CAST(COUNT(CASE WHEN {x} IS NOT NULL AND {y} IS NOT NULL THEN 1 END) OVER {frame} AS HUGEINT)"
+    sx, sy = f"SUM({xe}) OVER {frame}", f"SUM({ye}) OVER {frame}"
+    vx = f"CAST({k} * SUM({xe} * {xe}) OVER {frame} - {sx} * {sx} AS DOUBLE)"
+    vy = f"CAST({k} * SUM({ye} * {ye}) OVER {frame} - {sy} * {sy} AS DOUBLE)"
+    cov = f"CAST({k} * SUM({xe} * {ye}) OVER {frame} - {sx} * {sy} AS DOUBLE)"
+    return f"CASE WHEN {k} >= {min_pairs} AND {vx} * {vy} > 0 THEN {cov} / SQRT({vx} * {vy}) END"
+
+
 # --------------------------------------------------------------------------
 # flows: W12-W15, J7
 # --------------------------------------------------------------------------
@@ -72,10 +85,8 @@ def flows_mart(spark: SparkSession, d: str):
 
 
 @register("prop_foreign_corr_plain", with_proxies(["foreign_flow", "prop_flow"], OM.FLOWS[3:4], """
-    SELECT ticker, trading_date,
-           CORR(CAST(x AS DOUBLE), CAST(y AS DOUBLE)) OVER (PARTITION BY ticker ORDER BY trading_date
-                ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS corr_10d
-    FROM f_pj"""))
+    SELECT ticker, trading_date, """ + _pair_corr_sql("x", "y", "w", 2) + """ AS corr_10d
+    FROM f_pj WINDOW w AS (PARTITION BY ticker ORDER BY trading_date ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)"""))
 def prop_foreign_corr_plain(spark: SparkSession, d: str):
     """W15 clean variant: Pearson over complete pairs only."""
     prop, foreign = P.proprietary_trading(spark, d), P.foreign_trading(spark, d)
@@ -176,3 +187,55 @@ _FACT_SQL = with_proxies(OM.FACT_PROXIES, OM.fact_ctes(marts.FACT_COLUMNS), _sel
 def fact_table(spark: SparkSession, d: str):
     """J1 + F18: the wide feature/label table (flagship)."""
     return build_fact(spark, d)
+
+
+@register("relative_strength_20d", with_proxies(["price", "idx"], [], """
+    SELECT p.ticker, p.trading_date, p.pm AS price_momentum_1m, i.im AS index_return_1m,
+           p.pm - i.im AS relative_strength_20d
+    FROM (SELECT ticker, trading_date,
+                 CASE WHEN LAG(close, 20) OVER w > 0 THEN close / LAG(close, 20) OVER w - 1 END AS pm
+          FROM price WINDOW w AS (PARTITION BY ticker ORDER BY trading_date)) p
+    LEFT JOIN (SELECT trading_date,
+                      CASE WHEN LAG(close, 20) OVER (ORDER BY trading_date) > 0
+                           THEN close / LAG(close, 20) OVER (ORDER BY trading_date) - 1 END AS im
+               FROM idx) i ON p.trading_date = i.trading_date"""))
+def relative_strength_20d(spark: SparkSession, d: str):
+    """W9 builder variant: 20-row stock momentum minus 20-row index momentum."""
+    return marts.relative_strength_ratio(P.stock_price_eod(spark, d), P.index_price_eod(spark, d))
+
+
+@register("flows_builder", with_proxies(["price", "foreign_flow", "prop_flow"], [("fb", """
+    SELECT p.ticker, p.trading_date, p.close_cents * p.volume AS traded, f.buy_val, f.net_val AS fnet,
+           q.net_val AS pnet, COALESCE(f.net_val, 0) AS fnet0
+    FROM price p
+    LEFT JOIN foreign_flow f ON p.ticker = f.ticker AND p.trading_date = f.trading_date
+    LEFT JOIN prop_flow q ON p.ticker = q.ticker AND p.trading_date = q.trading_date""")], """
+    SELECT ticker, trading_date,
+           CASE WHEN COUNT(buy_val) OVER w10 = 10 AND SUM(traded) OVER w10 <> 0
+                THEN CAST(SUM(buy_val) OVER w10 AS DOUBLE) / CAST(SUM(traded) OVER w10 AS DOUBLE) END
+             AS foreign_buy_ratio_10d,
+           CASE WHEN COUNT(*) OVER w20 = 20 THEN AVG(fnet0) OVER w20 END AS net_foreign_flow_momentum_1m,
+           CASE WHEN COUNT(pnet) OVER w5 = 5 THEN CAST(SUM(pnet) OVER w5 AS BIGINT) END AS prop_trading_net_val_5d,
+           """ + _pair_corr_sql("pnet", "fnet0", "w10", 10) + """ AS prop_vs_foreign_correlation_10d
+    FROM fb
+    WINDOW w5 AS (PARTITION BY ticker ORDER BY trading_date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW),
+           w10 AS (PARTITION BY ticker ORDER BY trading_date ROWS BETWEEN 9 PRECEDING AND CURRENT ROW),
+           w20 AS (PARTITION BY ticker ORDER BY trading_date ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)"""))
+def flows_builder(spark: SparkSession, d: str):
+    """The offline builder's flow features on price rows."""
+    return marts.flows_builder(P.stock_price_eod(spark, d), P.foreign_trading(spark, d),
+                               P.proprietary_trading(spark, d))
+
+
+@register("event_props", """
+    SELECT event_type, COUNT(*) AS n_events,
+           CAST(SUM(TRY_CAST(json_extract(props, '$.k') AS INTEGER)) AS BIGINT) AS sum_k
+    FROM events GROUP BY event_type""")
+def event_props(spark: SparkSession, d: str):
+    """SRC5: JSON text kept as VARIANT and queried by path."""
+    from tidemark.functions.columns import variant_col, variant_field
+    from tidemark.sources.tables import read_table
+
+    e = read_table(spark, d, "events").select("event_type", variant_col("props").alias("v"))
+    return e.groupBy("event_type").agg(F.count(F.lit(1)).alias("n_events"),
+                                       F.sum(variant_field("v", "$.k", "int")).alias("sum_k"))
