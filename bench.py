@@ -31,8 +31,7 @@ HEADLINE = [
 def _shuffle_bytes(log_dir: str) -> dict[str, int]:
     stage_to_q: dict[int, str] = {}
     out: dict[str, int] = defaultdict(int)
-    for f in glob.glob(os.path.join(log_dir, "eventlog*"), recursive=False) + glob.glob(
-            os.path.join(log_dir, "eventlog*", "*")):
+    for f in glob.glob(os.path.join(log_dir, "*")) + glob.glob(os.path.join(log_dir, "eventlog*", "*")):
         if os.path.isdir(f) or f.endswith(".inprogress.tmp"):
             continue
         with open(f, encoding="utf-8", errors="replace") as fh:
