@@ -244,3 +244,48 @@ def date_percent_rank(df: DataFrame, date_col: str) -> DataFrame:
         date_col, "n_rows",
         F.when(n_all > 1, before / (n_all - 1)).otherwise(F.lit(0.0)).alias("pct"),
     )
+
+
+def _frame_sums(df: DataFrame, exprs: dict[str, Column], n: int, w: WindowSpec) -> DataFrame:
+    """Exact trailing n-row sums via running totals differenced with ``lag``: one
+    add per row per sum (a sliding frame would re-add n values per row).  NULL
+    inputs count as 0; an all-NULL frame gives 0 instead of NULL, which every
+    caller below maps to a NULL result through its variance / count guard."""
+    run = w.rowsBetween(Window.unboundedPreceding, 0)
+    out = df
+    for name, e in exprs.items():
+        out = out.withColumn(f"__run_{name}", F.coalesce(F.sum(e).over(run), F.lit(0)))
+    for name in exprs:
+        r = F.col(f"__run_{name}")
+        out = out.withColumn(name, r - F.coalesce(F.lag(r, n).over(w), F.lit(0)))
+    return out.drop(*[f"__run_{k}" for k in exprs])
+
+
+def with_rolling_corr(df: DataFrame, x: str, y: str, w: WindowSpec, n: int, out: str, mode: str = "pairs",
+                      min_pairs: int = 2, exact_type: str = "decimal(38,0)") -> DataFrame:
+    """Frame-level Pearson correlation over the trailing n rows, O(rows).
+
+    ``mode='parity'``: N counts every row of the frame while sums skip NULLs
+    (the reference's rule, D13); NULL when N <= 1 or the variance product <= 0.
+    ``mode='pairs'``: only complete (x, y) pairs count; NULL below ``min_pairs``
+    pairs or with zero variance.  Same values as ``rolling_corr_parity`` /
+    ``rolling_corr``; sums stay exact for integer inputs."""
+    if mode == "pairs":
+        pair = F.col(x).isNotNull() & F.col(y).isNotNull()
+        xe, ye = F.when(pair, F.col(x).cast(exact_type)), F.when(pair, F.col(y).cast(exact_type))
+        cnt_e = F.when(pair, F.lit(1)).otherwise(F.lit(0))
+    else:
+        xe, ye = F.col(x).cast(exact_type), F.col(y).cast(exact_type)
+        cnt_e = F.lit(1)
+    p = f"__c_{out}_"
+    sums = {p + "n": cnt_e.cast("bigint"), p + "sx": xe, p + "sy": ye, p + "sxx": xe * xe, p + "syy": ye * ye,
+            p + "sxy": xe * ye}
+    d = _frame_sums(df, sums, n, w)
+    k, sx, sy = F.col(p + "n"), F.col(p + "sx"), F.col(p + "sy")
+    ke = k.cast(exact_type)
+    vx = (ke * F.col(p + "sxx") - sx * sx).cast("double")
+    vy = (ke * F.col(p + "syy") - sy * sy).cast("double")
+    cov = (ke * F.col(p + "sxy") - sx * sy).cast("double")
+    prod = vx * vy
+    ok = (k > 1) if mode == "parity" else (k >= min_pairs)
+    return d.withColumn(out, F.when(ok & (prod > 0), cov / F.sqrt(prod))).drop(*sums)

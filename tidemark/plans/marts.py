@@ -101,8 +101,8 @@ def flows_mart(foreign: DataFrame, prop: DataFrame, ratio_n: int = 10, flow_n: i
     pj = prop.select("ticker", "trading_date", F.col("net_val").alias("x")).join(
         foreign.select("ticker", "trading_date", F.col("net_val").alias("y")), list(TICKER_DATE), "left"
     )
-    pc = pj.select("ticker", "trading_date",
-                   W.rolling_corr_parity("x", "y", w, corr_n).alias("prop_vs_foreign_correlation_10d"))
+    pc = W.with_rolling_corr(pj, "x", "y", w, corr_n, "prop_vs_foreign_correlation_10d", mode="parity").select(
+        "ticker", "trading_date", "prop_vs_foreign_correlation_10d")
     out = ff.join(pf, list(TICKER_DATE), "left").join(pc, list(TICKER_DATE), "left")
     return out.select(
         "ticker", "trading_date", "foreign_buy_ratio_10d", "net_foreign_flow_1m",
@@ -505,11 +505,12 @@ def flows_builder(prices: DataFrame, foreign: DataFrame, prop: DataFrame) -> Dat
             .join(prop.select("ticker", "trading_date", F.col("net_val").alias("pnet")), keys, "left")
             .withColumn("fnet0", F.coalesce("fnet", F.lit(0).cast("bigint"))))
     f10, f20, f5 = W.trailing(w, 10), W.trailing(w, 20), W.trailing(w, 5)
+    base = W.with_rolling_corr(base, "pnet", "fnet0", w, 10, "prop_vs_foreign_correlation_10d", min_pairs=10)
     return base.select(
         "ticker", "trading_date",
         F.when((F.count("buy_val").over(f10) == 10) & (F.sum("traded").over(f10) != 0),
                F.sum("buy_val").over(f10) / F.sum("traded").over(f10)).alias("foreign_buy_ratio_10d"),
         F.when(F.count(F.lit(1)).over(f20) == 20, F.avg("fnet0").over(f20)).alias("net_foreign_flow_momentum_1m"),
         F.when(F.count("pnet").over(f5) == 5, F.sum("pnet").over(f5)).alias("prop_trading_net_val_5d"),
-        W.rolling_corr("pnet", "fnet0", w, 10, min_pairs=10).alias("prop_vs_foreign_correlation_10d"),
+        "prop_vs_foreign_correlation_10d",
     )

@@ -93,7 +93,7 @@ def prop_foreign_corr_plain(spark: SparkSession, d: str):
     pj = prop.select("ticker", "trading_date", F.col("net_val").alias("x")).join(
         foreign.select("ticker", "trading_date", F.col("net_val").alias("y")), ["ticker", "trading_date"], "left")
     w = W.series_window("ticker", "trading_date")
-    return pj.select("ticker", "trading_date", W.rolling_corr("x", "y", w, 10).alias("corr_10d"))
+    return W.with_rolling_corr(pj, "x", "y", w, 10, "corr_10d").select("ticker", "trading_date", "corr_10d")
 
 
 # --------------------------------------------------------------------------

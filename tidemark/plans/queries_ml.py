@@ -14,6 +14,20 @@ from tidemark.plans import oracle_marts as OM
 from tidemark.plans.catalog import register
 from tidemark.plans.oracle import with_proxies
 from tidemark.plans.queries_features import build_fact
+from tidemark.sources import proxies as P
+
+
+def _labelled(spark: SparkSession, d: str, with_momentum: bool = False):
+    """(ticker, trading_date, labels[, momentum]) -- the fact table's rows and
+    these columns without its other joins.  The fact is the price rows left-
+    joined to marts that are unique on (ticker, date), so row set and values
+    are identical; Catalyst cannot drop unused left joins, so we do."""
+    prices = P.stock_price_eod(spark, d)
+    lab = marts.forward_labels(prices)
+    if not with_momentum:
+        return lab
+    mom = marts.momentum_mart(prices, P.index_price_eod(spark, d))
+    return lab.join(mom, ["ticker", "trading_date"], "left")
 from tidemark.sources.readers import latest_slice, lookback_slice
 
 SPEC = S.FeatureSpec()
@@ -52,8 +66,8 @@ def sample_windows(spark: SparkSession, d: str):
 
 @register("auto_cutoffs", _fact_sql(_CUTS_SQL, "SELECT * FROM k_cuts"))
 def auto_cutoffs(spark: SparkSession, d: str):
-    """AGG8/ML2: chronological 80/90 % cut dates over labelled rows."""
-    return S.auto_cutoffs(build_fact(spark, d))
+    """AGG8/ML2: chronological 80/90 % cut dates over labelled rows of the fact table."""
+    return S.auto_cutoffs(_labelled(spark, d))
 
 
 @register("time_split", _fact_sql(_CUTS_SQL + [
@@ -70,7 +84,7 @@ def auto_cutoffs(spark: SparkSession, d: str):
       FROM t_w WHERE n = 30 GROUP BY split"""))
 def time_split(spark: SparkSession, d: str):
     """ML1 + ML4 + ML5: split by the auto cut dates, windows built inside each split."""
-    fact = build_fact(spark, d)
+    fact = _labelled(spark, d)
     cuts = S.auto_cutoffs(fact).first()  # two scalars
     split = S.time_split(fact, cuts["train_end"], cuts["val_end"])
     spec = S.FeatureSpec()
@@ -130,7 +144,7 @@ _DRIFT = "price_momentum_1m / 6"
       FROM r_f GROUP BY split"""))
 def regression_metrics(spark: SparkSession, d: str):
     """AGG10/ML7: RMSE and MAE per split of a drift baseline (1-month momentum scaled to 5 days)."""
-    fact = build_fact(spark, d)
+    fact = _labelled(spark, d, with_momentum=True)
     cuts = S.auto_cutoffs(fact).first()
     split = S.time_split(fact.where(F.col(SPEC.target).isNotNull()), cuts["train_end"], cuts["val_end"])
     return M.rmse_mae(split, pred=F.col("price_momentum_1m") / 6, target=SPEC.target, by="split")
@@ -150,7 +164,7 @@ def regression_metrics(spark: SparkSession, d: str):
       FROM p_m"""))
 def promotion(spark: SparkSession, d: str):
     """ML9: champion = drift baseline, challenger = zero forecast, on the test split."""
-    fact = build_fact(spark, d)
+    fact = _labelled(spark, d, with_momentum=True)
     cuts = S.auto_cutoffs(fact).first()
     test = fact.where(F.col(SPEC.target).isNotNull() & (F.col("trading_date") > F.lit(cuts["val_end"])))
     y = F.col(SPEC.target)
@@ -168,8 +182,8 @@ def promotion(spark: SparkSession, d: str):
              AS forecast_date
     FROM fact"""))
 def next_weekday_q(spark: SparkSession, d: str):
-    """F16: forecast date = next Monday-Friday after each trading date."""
-    fact = build_fact(spark, d)
+    """F16: forecast date = next Monday-Friday after each trading date of the fact table."""
+    fact = P.stock_price_eod(spark, d)
     return fact.select("trading_date").distinct().select("trading_date", next_weekday("trading_date").alias(
         "forecast_date"))
 
