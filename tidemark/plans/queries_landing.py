@@ -217,8 +217,9 @@ def json_roundtrip(spark: SparkSession, d: str):
     fact = build_fact(spark, d)
     windows = S.latest_window(lookback_slice(fact, "trading_date", days=90))
     lines = L.payloads(windows)
-    noise = fact.select(F.lit("").alias("value")).limit(1).unionByName(
-        fact.select(F.lit("{not json").alias("value")).limit(1))
+    # every ticker's line travels with a blank and a truncated (malformed) line
+    noise = windows.select(F.lit("").alias("value")).unionByName(
+        windows.select(F.concat(F.lit('{"ticker": "'), F.col("ticker")).alias("value")))
     parsed = lines.unionByName(noise).where(F.trim("value") != "").select(
         F.from_json("value", "ticker string, sequence array<array<float>>, tabular array<float>",
                     {"mode": "PERMISSIVE"}).alias("p"))

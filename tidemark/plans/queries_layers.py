@@ -45,7 +45,7 @@ def _bronze_load(close: str, where: str, src: str, at: str) -> str:
 
 _BRONZE_PRICE = [
     ("b_price", _bronze_load("close_cents", "", "landing/stock_price_eod/1.parquet", B.LOAD1_AT)
-     + " UNION ALL " + _bronze_load("close_cents + 1", "WHERE day(trading_date) % 5 = 0",
+     + " UNION ALL " + _bronze_load("close_cents + 1", f"WHERE volume >= {B.HEAVY_VOLUME}",
                                     "landing/stock_price_eod/2.parquet", B.LOAD2_AT)),
 ]
 

@@ -2,7 +2,7 @@
 
 Two loads per feed exercise the silver step: load 1 carries every key with
 vendor null tokens injected at fixed key positions; load 2 re-delivers a
-slice of keys with corrected values and a later ``loaded_at``.  Numbers are
+the busy days (volume >= 50) with corrected values and a later ``loaded_at``.  Numbers are
 rendered from integer cents so the text is identical in any engine.
 """
 
@@ -15,6 +15,7 @@ from tidemark.sources import proxies as P
 
 LOAD1_AT = "2024-01-01 00:00:00"
 LOAD2_AT = "2024-01-02 00:00:00"
+HEAVY_VOLUME = 50
 
 
 def money_text(cents: str | Column) -> Column:
@@ -54,7 +55,8 @@ def bronze_stock_price(spark: SparkSession, d: str) -> DataFrame:
         )
 
     l1 = _lineage(load(F.col("close_cents"), p), "landing/stock_price_eod/1.parquet", LOAD1_AT, "2024-01-01")
-    l2 = _lineage(load(F.col("close_cents") + 1, p.where(dom % 5 == 0)),
+    # vendors re-deliver busy days with a corrected close
+    l2 = _lineage(load(F.col("close_cents") + 1, p.where(F.col("volume") >= HEAVY_VOLUME)),
                   "landing/stock_price_eod/2.parquet", LOAD2_AT, "2024-01-02")
     return l1.unionByName(l2)
 
