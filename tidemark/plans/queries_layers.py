@@ -168,3 +168,28 @@ def conform_columns(spark: SparkSession, d: str):
 
 
 _ = business_columns  # re-exported helper
+
+
+@register("stream_silver", with_proxies(["price"], _BRONZE_PRICE + _silver_price_sql(), "SELECT * FROM s_price"))
+def stream_silver(spark: SparkSession, d: str):
+    """STR1-STR6 end to end: the two bronze loads land as ``batch_date=``
+    partitions under the session's checkpoint folder, an ``availableNow`` file
+    stream loads them into bronze and refreshes silver with latest-load-wins +
+    upsert; the silver table must equal the batch silver build."""
+    import uuid
+
+    from tidemark.session import ensure_checkpoint_dir
+    from tidemark.streaming.landing import start_landing_stream
+
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    cols = feed("stock_price_eod").bronze_columns
+    bronze = B.bronze_stock_price(spark, d)
+    for src, day in (("landing/stock_price_eod/1.parquet", "2024-01-01"),
+                     ("landing/stock_price_eod/2.parquet", "2024-01-02")):
+        bronze.where(F.col("src_file") == src).select(*cols).write.mode("overwrite").parquet(
+            f"{root}/landing/batch_date={day}")
+    q = start_landing_stream(spark, f"{root}/landing", f"{root}/bronze", f"{root}/stream_ckpt",
+                             "stock_price_eod", silver_path=f"{root}/silver")
+    q.awaitTermination()
+    silver = spark.read.parquet(f"{root}/silver")
+    return _decimals_to_double(silver.select(*cols))
