@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import period_to_date
@@ -120,13 +120,17 @@ def norm_events(raw: DataFrame, request: str | Column = "symbol") -> DataFrame:
 
 def norm_news(raw: DataFrame, request: str = "symbol") -> DataFrame:
     """NRM7: rename the 7 vendor fields; the ticker is filled only when *every*
-    record of that symbol's batch lacks one (a per-symbol window, no collect)."""
+    record of that symbol's batch lacks one.  "Every record" is a per-symbol
+    aggregate (partial aggregation, one row per symbol) joined back, so a symbol
+    with a huge batch never sits in one task."""
     df = rename_fields(raw, NEWS_FIELDS)
     tick = _col_or_null(df, "ticker").cast("string")
-    all_null = F.max(tick).over(Window.partitionBy(F.col(request))).isNull()
-    return df.select(
+    df = df.withColumn("__tick", tick)
+    any_tick = df.groupBy(F.col(request).alias("__sym")).agg(F.max("__tick").alias("__any"))
+    j = df.join(small_side(any_tick), df[request] == F.col("__sym"), "left")
+    return j.select(
         _col_or_null(df, "article_id").cast("string").alias("article_id"),
-        F.when(all_null, F.col(request)).otherwise(tick).alias("ticker"),
+        F.when(F.col("__any").isNull(), F.col(request)).otherwise(F.col("__tick")).alias("ticker"),
         *[_col_or_null(df, c).cast("string").alias(c) for c in ("publish_time", "title", "summary", "content",
                                                                 "source", "url")],
     )

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.silver import to_silver
-from tidemark.operators.upsert import upsert
+from tidemark.operators.upsert import upsert, upsert_partitions
 from tidemark.schemas import feed
 
 log = logging.getLogger(__name__)
@@ -60,22 +60,44 @@ def load_batch_fn(bronze_path: str) -> Callable[[DataFrame, int], None]:
     return load
 
 
+def silver_partition(feed_name: str):
+    """Partition column of a silver table: month of the feed's date key (daily
+    feeds touch one or two months per batch), or None for small dimension feeds."""
+    f = feed(feed_name)
+    date_keys = [k for k in f.keys if dict(f.columns)[k] == "D"]
+    return (date_keys[0], "part_month") if date_keys else None
+
+
 def refresh_silver(spark: SparkSession, bronze_path: str, silver_path: str, feed_name: str,
                    parts: list[str], job: str = "stream") -> None:
     """STR5/STR6: rebuild silver rows for the touched bronze partitions and merge
-    them into the silver table (latest load wins, created_* preserved)."""
+    them into silver (latest load wins, created_* preserved).  Only the silver
+    months the batch touches are read, merged and rewritten (dynamic partition
+    overwrite through a staging folder, never over the files being read)."""
     f = feed(feed_name)
     bronze = spark.read.parquet(bronze_path).where(F.col("part_key").isin(parts))
     new = to_silver(bronze, feed_name, job=job)
+    part = silver_partition(feed_name)
+    if part:
+        new = new.withColumn(part[1], F.date_format(part[0], "yyyy-MM"))
     try:
         old = spark.read.parquet(silver_path)
     except Exception:  # noqa: BLE001 - first run: no silver table yet
         old = None
-    merged = new if old is None else upsert(old, new, f.keys)
-    # write to a fresh version directory and keep the previous one until it is replaced
-    staged = silver_path.rstrip("/") + ".next"
-    merged.write.mode("overwrite").parquet(staged)
-    spark.read.parquet(staged).write.mode("overwrite").parquet(silver_path)
+    if old is None:
+        merged = new
+    elif part:
+        merged = upsert_partitions(old, new, list(f.keys) + [part[1]], [part[1]])
+    else:
+        merged = upsert(old, new, f.keys)
+    staged = f"{silver_path.rstrip('/')}.staging"
+    w = merged.write.mode("overwrite")
+    (w.partitionBy(part[1]) if part else w).parquet(staged)
+    out = spark.read.parquet(staged).write.mode("overwrite")
+    if part:
+        out.option("partitionOverwriteMode", "dynamic").partitionBy(part[1]).parquet(silver_path)
+    else:
+        out.parquet(silver_path)
 
 
 def start_landing_stream(spark: SparkSession, landing_dir: str, bronze_path: str, checkpoint: str,
