@@ -31,8 +31,12 @@ def read_bronze(spark: SparkSession, path: str, fmt: str, schema: T.StructType)
     if fmt == "parquet":
         return r.parquet(path)
     if fmt == "json":
-        # field names match case-insensitively under the default spark.sql.caseSensitive=false
-        return r.option("mode", "PERMISSIVE").json(path)
+        # JSON lines; field names match case-insensitively (the JSON parser itself
+        # is case-sensitive), so each record is parsed as a lower-cased text map
+        lines = spark.read.text(path)
+        rec = F.transform_keys(F.from_json("value", "map<string,string>", {"mode": "PERMISSIVE"}),
+                               lambda k, v: F.lower(k))
+        return lines.select(*[rec[f.name.lower()].cast(f.dataType).alias(f.name) for f in schema.fields])
     return r.option("header", True).option("mode", "PERMISSIVE").csv(path)
 
 
