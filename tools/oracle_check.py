@@ -103,7 +103,8 @@ def main() -> None:
     con = duck(sf_dir)
     for name in names or list(QUERIES):
         try:
-            r = compare(spark, con, name, QUERIES[name], ORACLE.get(name), sf_dir)
+            r = compare(spark, con, name, QUERIES[name], ORACLE.get(name), sf_dir,
+                        digits=int(__import__("os").environ.get("ORACLE_DIGITS", "9")))
         except Exception as e:  # noqa: BLE001
             r = {"name": name, "error": f"{type(e).__name__}: {str(e)[:400]}"}
         print(r, flush=True)
