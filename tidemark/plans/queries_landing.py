@@ -14,7 +14,7 @@ from tidemark.plans import marts
 from tidemark.plans import oracle_marts as OM
 from tidemark.plans.catalog import register
 from tidemark.plans.oracle import with_proxies
-from tidemark.plans.queries_features import build_fact
+from tidemark.plans.queries_features import build_model_frame
 from tidemark.sources import proxies as P
 from tidemark.sources import text as X
 from tidemark.sources.readers import lookback_slice
@@ -214,7 +214,7 @@ def strip_and_drop_lines(spark: SparkSession, d: str):
 def json_roundtrip(spark: SparkSession, d: str):
     """SNK11 + SNK12: latest windows written as JSON lines and parsed back (blank
     and malformed lines in the same stream are skipped)."""
-    fact = build_fact(spark, d)
+    fact = build_model_frame(spark, d)
     windows = S.latest_window(lookback_slice(fact, "trading_date", days=90))
     lines = L.payloads(windows)
     # every ticker's line travels with a blank and a truncated (malformed) line

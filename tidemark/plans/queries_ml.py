@@ -13,7 +13,7 @@ from tidemark.plans import marts
 from tidemark.plans import oracle_marts as OM
 from tidemark.plans.catalog import register
 from tidemark.plans.oracle import with_proxies
-from tidemark.plans.queries_features import build_fact
+from tidemark.plans.queries_features import build_fact, build_model_frame
 from tidemark.sources import proxies as P
 
 
@@ -61,7 +61,7 @@ _CUTS_SQL = [
     FROM fact WHERE label_next_5d_return IS NOT NULL""")], "SELECT * FROM w_s WHERE len(sequence) = 30"))
 def sample_windows(spark: SparkSession, d: str):
     """W25/ML4: 30-row training windows (sequence 30x6, tabular 13, target)."""
-    return S.sample_windows(build_fact(spark, d), SPEC)
+    return S.sample_windows(build_model_frame(spark, d), SPEC)
 
 
 @register("auto_cutoffs", _fact_sql(_CUTS_SQL, "SELECT * FROM k_cuts"))
@@ -113,7 +113,7 @@ def time_split(spark: SparkSession, d: str):
 ], "SELECT ticker, trading_date, sequence, tabular FROM l_w WHERE rn = 1 AND len(sequence) = 30"))
 def latest_window(spark: SparkSession, d: str):
     """SRC10 + W26: 90-day look-back from the newest date, newest full window per ticker."""
-    fact = build_fact(spark, d)
+    fact = build_model_frame(spark, d)
     return S.latest_window(lookback_slice(fact, "trading_date", days=90), SPEC)
 
 
@@ -128,7 +128,7 @@ _NULL_COLS = SPEC.sequence + SPEC.tabular
     for c in _NULL_COLS)))
 def null_rates(spark: SparkSession, d: str):
     """SRC9 + AGG9: null rate of every model input on the newest trading date (DQ5 input)."""
-    return Q.null_rates(latest_slice(build_fact(spark, d), "trading_date"), list(_NULL_COLS))
+    return Q.null_rates(latest_slice(build_model_frame(spark, d), "trading_date"), list(_NULL_COLS))
 
 
 _DRIFT = "price_momentum_1m / 6"
@@ -203,11 +203,15 @@ def key_uniqueness(spark: SparkSession, d: str):
 @register("ml_scores")
 def ml_scores(spark: SparkSession, d: str):
     """ML6 + ML8 (no SQL form): Huber regression fitted on the training windows,
-    then the newest window of every ticker scored."""
-    fact = build_fact(spark, d)
+    then the newest window of every ticker scored.  The model frame and the
+    training windows are each written once to the checkpoint folder: the fit
+    makes several passes over them."""
+    from tidemark.session import cut_lineage
+
+    fact = cut_lineage(build_model_frame(spark, d))
     samples = S.sample_windows(fact, SPEC)
     cuts = S.auto_cutoffs(fact).first()
-    train = samples.where(F.col("trading_date") <= F.lit(cuts["train_end"]))
+    train = cut_lineage(samples.where(F.col("trading_date") <= F.lit(cuts["train_end"])))
     model = M.fit_regressor(train, max_iter=20)
     latest = S.latest_window(lookback_slice(fact, "trading_date", days=90), SPEC)
     return M.score(model, latest)
