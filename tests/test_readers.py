@@ -42,12 +42,10 @@ def test_csv_and_mixed_folders(spark, tmp_dir):
         fh.write("ticker,close\nZZZ,9\n")
     with open(os.path.join(folder, "notes.txt"), "w") as fh:
         fh.write("ignore me")
-    spark.createDataFrame([("CCC", 3.0, 7)], "ticker string, close double, volume int").write.parquet(
-        os.path.join(folder, "p"))
-    os.rename(os.path.join(folder, "p"), os.path.join(folder, "p_dir"))
-    for f in os.listdir(os.path.join(folder, "p_dir")):
-        if f.endswith(".parquet"):
-            os.rename(os.path.join(folder, "p_dir", f), os.path.join(folder, "b.parquet"))
+    import pyarrow as pa
+    import pyarrow.parquet as papq
+
+    papq.write_table(pa.table({"ticker": ["CCC"], "close": [3.0], "volume": [7]}), os.path.join(folder, "b.parquet"))
     out = R.read_mixed_folder(spark, folder)
     got = {r["ticker"]: r for r in out.collect()}
     assert set(got) == {"AAA", "BBB", "CCC"}

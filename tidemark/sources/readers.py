@@ -52,21 +52,28 @@ def read_csv_folder(spark: SparkSession, folder: str, schema: T.StructType | Non
         raise
 
 
+def _no_files(e: Exception) -> bool:
+    return any(k in str(e) for k in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"))
+
+
 def read_mixed_folder(spark: SparkSession, folder: str) -> DataFrame | None:
     """SRC7: CSV and Parquet files of one folder, all columns as text, malformed CSV
-    lines dropped, hidden / unsupported files ignored (glob filters)."""
+    lines dropped, hidden / unsupported files ignored (glob filters).  None when
+    the folder holds neither; any other read error is raised."""
     parts = []
     try:
         csv = (spark.read.option("header", True).option("mode", "DROPMALFORMED")
                .option("pathGlobFilter", "[!._]*.csv").csv(folder))
         parts.append(csv.select([F.col(c).cast("string") for c in csv.columns]))
-    except Exception:  # noqa: BLE001
-        pass
+    except Exception as e:  # noqa: BLE001
+        if not _no_files(e):
+            raise
     try:
         pq = spark.read.option("pathGlobFilter", "[!._]*.parquet").parquet(folder)
         parts.append(pq.select([F.col(c).cast("string") for c in pq.columns]))
-    except Exception:  # noqa: BLE001
-        pass
+    except Exception as e:  # noqa: BLE001
+        if not _no_files(e):
+            raise
     if not parts:
         return None
     out = parts[0]
