@@ -22,16 +22,22 @@ NUL = "\u0000"
 
 
 def read_lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
-    """Lines of text files, keeping ``\\r`` (only ``\\n`` splits lines), with
-    the source file and line number.  Non-UTF-8 text is decoded from the binary
-    record (CLN2)."""
-    if encoding.upper().replace("-", "") == "UTF8":
+    """Lines of text files, keeping ``\\r`` (only ``\\n`` splits lines), with the
+    source file and a line id.  Other encodings (CLN2) are decoded line by line by
+    the CSV source with a delimiter that never occurs, so large files still split
+    across tasks; 'UTF-16' is read as little-endian and its byte-order mark dropped."""
+    enc = encoding.upper().replace("_", "-")
+    if enc.replace("-", "") == "UTF8":
         df = spark.read.option("lineSep", "\n").text(path).select(
             F.col("_metadata.file_path").alias("file"), "value")
         return df.withColumn("line_no", F.monotonically_increasing_id())
-    raw = spark.read.format("binaryFile").load(path)
-    text = F.decode(F.col("content"), encoding)
-    return raw.select(F.col("path").alias("file"), F.posexplode(F.split(text, "\n")).alias("line_no", "value"))
+    java_enc = "UTF-16LE" if enc == "UTF-16" else enc
+    raw = (spark.read.option("encoding", java_enc).option("lineSep", "\n").option("sep", "\u0001")
+           .option("quote", "").option("escape", "").option("header", False)
+           .schema("value string").csv(path))
+    value = F.regexp_replace(F.coalesce(F.col("value"), F.lit("")), "^\ufeff", "")
+    return raw.select(F.col("_metadata.file_path").alias("file"), value.alias("value"),
+                      F.monotonically_increasing_id().alias("line_no"))
 
 
 def strip_nul(lines: DataFrame, col: str = "value") -> DataFrame:
