@@ -61,3 +61,14 @@ def test_append_partitioned_csv(spark, tmp_dir):
     L.append_partitioned(df, path, ["d"])
     L.append_partitioned(df.where(F.col("t") == "A"), path, ["d"])
     assert spark.read.option("header", True).csv(path).count() == 3
+
+
+def test_register_candidate_promotes_and_retires(spark):
+    reg, ok = M.register_candidate(spark, None, "v1", {"rmse": 0.10, "mae": 0.05})
+    assert ok
+    reg, ok = M.register_candidate(spark, reg, "v2", {"rmse": 0.099, "mae": 0.05})
+    assert not ok
+    reg, ok = M.register_candidate(spark, reg, "v3", {"rmse": 0.08, "mae": 0.04})
+    assert ok
+    status = {r["version"]: r["status"] for r in reg.collect()}
+    assert status == {"v1": "retired", "v2": "rejected", "v3": "active"}

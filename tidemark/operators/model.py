@@ -82,3 +82,22 @@ def registry_row(spark, version: str, metrics: Mapping[str, float], status: str
 def active_champion(registry: DataFrame) -> DataFrame:
     """ML10: the active model's row (empty when there is none yet)."""
     return registry.where(F.col("status") == "active")
+
+
+def register_candidate(spark, registry: DataFrame | None, version: str, metrics: Mapping[str, float],
+                       threshold: float = 0.05) -> tuple[DataFrame, bool]:
+    """ML10 + ML9: read the active champion (none -> promote), decide, and return
+    the registry with the candidate 'active' (champion 'retired') or 'rejected'.
+    Only the champion's metric row reaches the driver."""
+    from tidemark.operators.upsert import upsert
+
+    champ_row = None if registry is None else active_champion(registry).first()
+    champion = None if champ_row is None else {"rmse": champ_row["rmse"], "mae": champ_row["mae"]}
+    ok = promote(metrics, champion, threshold)
+    rows = registry_row(spark, version, metrics, "active" if ok else "rejected")
+    if registry is None:
+        return rows, ok
+    if ok and champ_row is not None:
+        rows = rows.unionByName(registry.where(F.col("version") == champ_row["version"])
+                                .withColumn("status", F.lit("retired")))
+    return upsert(registry, rows, ["version"], keep_from_old=()), ok
