@@ -16,6 +16,8 @@ def test_train_then_forecast(spark, tmp_dir):
     out = PL.train(fact, spec, champion={"rmse": 1e9}, export_path=os.path.join(tmp_dir, "export"))
     assert out["train_end"] <= out["val_end"]
     assert out["metrics"]["n"] > 0 and out["promote"]
+    reg = PL.train(fact, spec, version="v1")
+    assert reg["promote"] and reg["registry"].where("status = 'active'").count() == 1
     rows = PL.daily_forecast(fact, out["model"], "v1", os.path.join(tmp_dir, "forecast"), spec=spec,
                              null_threshold=1.0)
     published = spark.read.parquet(os.path.join(tmp_dir, "forecast"))

@@ -59,10 +59,11 @@ def build_feature_table(spark: SparkSession, sf_dir: str, out_path: str | None =
 
 def train(fact: DataFrame, spec: S.FeatureSpec = S.FeatureSpec(), champion: dict | None = None,
           threshold: float = 0.05, export_path: str | None = None, months: int | None = None,
-          as_of: dt.date | None = None) -> dict:
+          as_of: dt.date | None = None, registry: DataFrame | None = None, version: str | None = None) -> dict:
     """Entry C: optional export (SNK10/SRC11), cut dates (ML2), windows built
     inside each split (ML1/ML4), non-empty splits (ML5), fit (ML6), test metrics
-    (ML7), promotion decision (ML9)."""
+    (ML7), promotion decision (ML9) -- against ``champion`` metrics, or against
+    the active row of ``registry`` (ML10), which is returned updated."""
     from tidemark.sources.readers import months_back
 
     data = months_back(fact, spec.order, months, as_of)
@@ -83,10 +84,13 @@ def train(fact: DataFrame, spec: S.FeatureSpec = S.FeatureSpec(), champion: dict
     model = M.fit_regressor(samples.where(F.col("split") == "train"))
     scored = model.transform(M.feature_vector(samples.where(F.col("split") == "test")))
     metrics = M.rmse_mae(scored).first().asDict()
-    return {
-        "train_end": cuts["train_end"], "val_end": cuts["val_end"], "metrics": metrics,
-        "promote": M.promote(metrics, champion, threshold), "model": model,
-    }
+    out = {"train_end": cuts["train_end"], "val_end": cuts["val_end"], "metrics": metrics, "model": model}
+    if version is not None:
+        out["registry"], out["promote"] = M.register_candidate(fact.sparkSession, registry, version, metrics,
+                                                               threshold)
+    else:
+        out["promote"] = M.promote(metrics, champion, threshold)
+    return out
 
 
 def daily_forecast(fact: DataFrame, model: PipelineModel, model_version: str, publish_path: str | None = None,
