@@ -97,3 +97,20 @@ def test_asof_backward_includes_equal_dates_and_null_payloads(spark):
     out = asof_backward(left, right, ["t"], "d", "rd", ["rd", "v"]).orderBy("d").collect()
     assert [r["rd"] for r in out] == [None, dt.date(2026, 1, 5), dt.date(2026, 1, 5), dt.date(2026, 1, 15)]
     assert out[1]["v"] == 1.0 and out[3]["v"] is None
+
+
+def test_macro_pivots_accept_both_spellings(spark):
+    from tidemark.plans import marts
+
+    rates = spark.createDataFrame([("us_fed_funds_rate", dt.date(2026, 1, 2), 4.0), ("^TNX", dt.date(2026, 1, 2), 4.5)],
+                                  "rate_type string, date date, rate_value double")
+    r = marts.rates_pivot(rates).first()
+    assert (r["fed_rate"], r["treasury_10y"], r["treasury_5y"]) == (4.0, 4.5, None)
+    fx = spark.createDataFrame([("USD/VND", dt.date(2026, 1, d), 25000.0 + d) for d in range(1, 4)],
+                               "pair string, date date, exchange_rate double")
+    got = marts.fx_volatility(fx).orderBy("date").collect()
+    assert [g["usd_vnd_rate"] for g in got] == [25001.0, 25002.0, 25003.0]
+    assert got[0]["exchange_rate_volatility_30d"] is None and got[2]["exchange_rate_volatility_30d"] is not None
+    macro = spark.createDataFrame([("vn_cpi_inflation", dt.date(2026, 1, 1), 3.1)],
+                                  "indicator_name string, report_date date, value double")
+    assert marts.macro_pivot(macro).first()["cpi_value"] == 3.1
