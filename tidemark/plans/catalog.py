@@ -14,6 +14,7 @@ import functools
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.session import ship_package
 from tidemark.sources.scope import reset
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +31,7 @@ def register(name: str, sql: str | None = None) -> Callable[[QueryFn], QueryFn]:
         @functools.wraps(fn)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             reset()
+            ship_package(spark)
             return fn(spark, sf_dir)
 
         QUERIES[name] = run

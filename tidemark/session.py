@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,9 +40,28 @@ def get_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send the package to the executors once per application.
+
+    Functions run by Python workers are pickled by module name, so the workers
+    must be able to import the package even where only the driver has it.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_tidemark_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    archive = os.path.join(tempfile.mkdtemp(prefix="tidemark-"), "tidemark.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(archive)
+    sc._tidemark_shipped = True
+
+
 def ensure_utc(spark: SparkSession) -> None:
     """Dates are derived from timestamps; pin the zone if the caller did not."""
     if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
@@ -51,12 +72,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the setting names a shared store (HDFS / object store) and is
-    used as-is.  Only when it is unset (local tests) do we create one.
+    used as-is.  Only when it is unset and the master is local do we create
+    one: executors of a cluster do not share the driver's disk.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         path = configured
+    elif not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     else:
         path = tempfile.mkdtemp(prefix="tidemark-ckpt-", dir="/tmp")
         try:
