@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm import bpe
 from tidemark.llm.common import read, staged
 from tidemark.llm.queries import vocabulary
+from tidemark.session import ship_package
 
 ORACLE_SQL = None  # no SQL form: tokenising and model scores
 
@@ -20,6 +21,7 @@ STAGES = [("encode", encode_tokens)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")

@@ -2,20 +2,28 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, token_files
-from tidemark.llm.common import read
+from tidemark.llm import blob_ledger, bpe, license_index, token_files, toxicity, url_filter
+from tidemark.llm.common import fold, read, shared_folder
+from tidemark.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[fn.__name__] = fn
-    return fn
+    @functools.wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 def vocabulary(name: str) -> str:
@@ -24,6 +32,32 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels, fold("doc_id", 5) != 0)
+    held_out = fold("doc_id", 5) == 0
+    return (toxicity.scored(docs.select("doc_id", "text"), model)
+            .select("doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted")))
+
+
+@query
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judged(read(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+@query
+def op6_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    ledger = blob_ledger.update(docs, shared_folder(spark, "blob-ledger"))  # a new ledger: every blob is unseen
+    return blob_ledger.summary(blob_ledger.report(docs, ledger))
+
+
+@query
+def op8_license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_index.summary(license_index.scan(read(spark, sf_dir, "documents")))
+
+
 @query
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.encode_to_files(read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
