@@ -59,8 +59,11 @@ RULES = (
 )
 BASE = ("assign", "access", "hex")
 
-SCAN_SCHEMA = T.StructType.fromDDL(
-    "blob string, rules array<string>, found array<struct<start:bigint,kind_no:int,end:bigint,kind:string,rule:string>>")
+_FOUND = T.ArrayType(T.StructType([
+    T.StructField("start", T.LongType()), T.StructField("kind_no", T.IntegerType()), T.StructField("end", T.LongType()),
+    T.StructField("kind", T.StringType()), T.StructField("rule", T.StringType())]))
+SCAN_SCHEMA = T.StructType([
+    T.StructField("blob", T.StringType()), T.StructField("rules", T.ArrayType(T.StringType())), T.StructField("found", _FOUND)])
 
 
 def blob_id(text: str | Column) -> Column:
@@ -135,7 +138,7 @@ def report(docs: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES,
              .where(F.size("found") > 0)
              .groupBy("blob").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("found")))).alias("found")))
     paths = docs.select(F.col(id_col), blob_id(text_col).alias("blob"))
-    none = F.array().cast(SCAN_SCHEMA["found"].dataType)
+    none = F.array().cast(_FOUND)
     return paths.join(found, "blob", "left").select(id_col, "blob", F.coalesce("found", none).alias("found"))
 
 

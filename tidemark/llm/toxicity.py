@@ -12,8 +12,11 @@ a logistic regression turns them into a score.
 
 Lexicon and regression are fitted on a bounded sample of labelled rows
 (``sample`` rows, those with the smallest hash of the id), so the sample's ids
-may be broadcast.  A lexicon entry must occur in ``support`` of the sample's
-toxic texts, so there are at most (entries of an average toxic text) / support.
+may be broadcast.  Of near copies in the sample, told by the least hash of their
+word triples, one counts.  The lexicon comes from one half of the sample and the
+regression from the other, so that chance finds of the lexicon get no credit.  A
+lexicon entry must occur in ``support`` of the sample's toxic texts, so there are
+at most (entries of an average toxic text) / support.
 Labels, language, source and id are no inputs of a score.
 
 Null and empty texts have no features and get the regression's base score; with
@@ -24,6 +27,7 @@ Rows are scored one by one; repeated rows and null ids keep their rows.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -34,9 +38,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import staged
+
 SAMPLE = 20_000
-SUPPORT = 0.005
-LEAST_ODDS = 2.5
+SUPPORT = 0.01
+LEAST_ODDS = 3.0
 STEMS = (4, 5, 6)
 
 # Seed words of the classes that are not learned, in English, French, Spanish and German.
@@ -171,11 +177,22 @@ WIDTH = len(KINDS) + 4
 
 def sampled(docs: DataFrame, labels: DataFrame, training: Column, sample: int = SAMPLE, id_col: str = "doc_id",
             text_col: str = "text", label_col: str = "toxic") -> DataFrame:
-    """(text, label) of the labelled rows with the smallest id hashes, ``sample`` ids at most."""
+    """(text, label, half) of the labelled rows with the smallest id hashes, ``sample`` ids at most."""
     ids = (labels.where(training & F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
            .groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("label"))
            .orderBy(F.xxhash64("id"), "id").limit(sample))
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(ids), "id").select("text", "label")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(ids), "id")
+
+    @F.pandas_udf("long")
+    def twin(part: pd.Series) -> pd.Series:
+        def least(text):
+            ws = _WORD.findall((text or "").lower())
+            return min((zlib.crc32(" ".join(t).encode()) for t in zip(ws, ws[1:], ws[2:])), default=zlib.crc32(" ".join(ws).encode()))
+
+        return part.map(least, na_action=None).astype("int64")
+
+    kept = texts.where("label in (0, 1)").withColumn("twin", twin("text")).dropDuplicates(["label", "twin"])
+    return staged(kept.select("text", "label", (F.col("twin") % 2).alias("half")), "labelled")
 
 
 def learn_lexicon(rows: DataFrame, support: float = SUPPORT, least_odds: float = LEAST_ODDS) -> dict[str, float]:
@@ -196,7 +213,7 @@ def learn_lexicon(rows: DataFrame, support: float = SUPPORT, least_odds: float =
         return (rows.where(F.col("label") == label).mapInArrow(run, "unit string, label int, n long")
                 .groupBy("unit").agg(F.sum("n").alias(f"n{label}")))
 
-    totals = {r["label"]: r["count"] for r in rows.where("label in (0, 1)").groupBy("label").count().collect()}
+    totals = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     toxic, clean = totals.get(1, 0), totals.get(0, 0)
     if not toxic or not clean:
         return {}
@@ -235,7 +252,7 @@ class Model:
 
 def train(docs: DataFrame, labels: DataFrame, training: Column, sample: int = SAMPLE, **columns) -> Model:
     rows = sampled(docs, labels, training, sample, **columns)
-    lexicon = learn_lexicon(rows)
+    lexicon = learn_lexicon(rows.where("half = 0").select("text", "label"))
     if not lexicon:
         return Model({}, (0.0,) * WIDTH + (-30.0,))
 
@@ -245,7 +262,9 @@ def train(docs: DataFrame, labels: DataFrame, training: Column, sample: int = SA
             yield pd.DataFrame({"x": [g.features(t) for t in part["text"]], "label": part["label"]})
 
     # at most ``sample`` rows of WIDTH numbers
-    got = rows.where("label in (0, 1)").mapInPandas(run, "x array<double>, label int").toPandas()
+    got = rows.where("half = 1").mapInPandas(run, "x array<double>, label int").toPandas()
+    if got["label"].nunique() < 2:
+        return Model({}, (0.0,) * WIDTH + (-30.0,))
     return Model(lexicon, tuple(fit(np.array(got["x"].tolist()), got["label"].to_numpy(float)).tolist()))
 
 
