@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import blob_ledger, bpe, license_index, token_files, toxicity, url_filter
+from tidemark.llm import blob_ledger, bpe, embedding_dedup, jaccard_join, license_index, token_files, toxicity, url_filter
 from tidemark.llm.common import fold, read, shared_folder
 from tidemark.session import ship_package
 
@@ -46,6 +46,11 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judged(read(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+@query
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 @query
 def op6_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
@@ -68,3 +73,8 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     described = bpe.described_ranks(spark, vocabulary(bpe.RANKS))
     encoded = bpe.encode(read(spark, sf_dir, "documents"), described)
     return bpe.digests(bpe.decode(encoded, described, with_text=False))
+
+
+@query
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
