@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import blob_ledger, bpe, embedding_dedup, jaccard_join, license_index, token_files, toxicity, url_filter
+from tidemark.llm import blob_ledger, bpe, embedding_dedup, jaccard_join, license_index, templates, token_files, toxicity, tree_weighting, url_filter
 from tidemark.llm.common import fold, read, shared_folder
 from tidemark.session import ship_package
 
@@ -32,6 +32,12 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_tree_weighting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = tree_weighting.scored(read(spark, sf_dir, "documents"), fold("doc_id", 10) != 0)
+    return scored.select("doc_id", (~F.col("is_training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
+
+
 @query
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
@@ -46,6 +52,12 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judged(read(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+@query
+def op4_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = templates.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "n_windows", "n_hits", "coverage", "exact")
+
+
 @query
 def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(read(spark, sf_dir, "embeddings"))
