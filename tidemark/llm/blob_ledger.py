@@ -130,16 +130,20 @@ def update(docs: DataFrame, folder: str, rules: tuple[Rule, ...] = RULES, text_c
     return read_ledger(docs, folder)
 
 
+def findings(ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """(blob, found) of the blobs in which the current rules found something."""
+    keys = F.array(*[F.lit(r.key) for r in rules])
+    return (ledger.select("blob", F.filter("found", lambda f: F.array_contains(keys, f["rule"])).alias("found"))
+            .where(F.size("found") > 0)
+            .groupBy("blob").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("found")))).alias("found")))
+
+
 def report(docs: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
     """(id, blob, found): the current rules' findings for every path, an empty array where there are none."""
-    keys = F.array(*[F.lit(r.key) for r in rules])
-    found = (ledger.select("blob", F.filter("found", lambda f: F.array_contains(keys, f["rule"])).alias("found"))
-             .where(F.size("found") > 0)
-             .groupBy("blob").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("found")))).alias("found")))
     paths = docs.select(F.col(id_col), blob_id(text_col).alias("blob"))
     none = F.array().cast(_FOUND)
-    return paths.join(found, "blob", "left").select(id_col, "blob", F.coalesce("found", none).alias("found"))
+    return paths.join(findings(ledger, rules), "blob", "left").select(id_col, "blob", F.coalesce("found", none).alias("found"))
 
 
 def redact(text: Column, found: Column, mark: str = "[secret]") -> Column:

@@ -316,7 +316,7 @@ def _by_blocks(large: DataFrame, percent: int, leaf: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = WORDS, id_col: str = "doc_id", text_col: str = "text",
                     leaf: int = LEAF, n_pivots: int = PIVOTS, levels: int = LEVELS, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """(id, sha, n_shingles, component_id), one row per document."""
+    """(id, sha, n_shingles, component_id, group), one row per document; linked documents have the same group."""
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_chunks, n_buckets = partitions_for(total, chunk_bytes), partitions_for(1.5 * total, BUCKET_BYTES)
@@ -340,7 +340,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = WORDS,
     ids = rows.select("id", F.sha2("text", 256).alias("sha"))
     by_text = staged(ids.groupBy("sha").agg(F.min("id").alias("least")), "text-ids").join(texts, "sha")
     by_group = staged(by_text.groupBy("group").agg(F.min("least").alias("component_id")), "group-ids")
-    known = staged(texts.join(small_side(by_group), "group").select("sha", "n", "component_id"), "known")
+    known = staged(texts.join(small_side(by_group), "group").select("sha", "n", "component_id", "group"), "known")
     out = ids.join(small_side(known), "sha")
     return out.select(F.col("id").alias(id_col), "sha", F.col("n").alias("n_shingles"),
-                      F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+                      F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"), "group")
