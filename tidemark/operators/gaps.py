@@ -24,14 +24,20 @@ def quarter_index(year: str = "year", period: str = "period"):
     return F.col(year).cast("int") * 4 + q - 1
 
 
-def quarterly_gaps(reports: DataFrame, table: str, key: str = "ticker") -> DataFrame:
-    """SNK18: quarters missing inside each symbol's own reporting span.
+def quarterly_gaps(reports: DataFrame, table: str, key: str = "ticker", universe: DataFrame | None = None) -> DataFrame:
+    """SNK18: quarters without a report.
 
-    Each symbol's span is expanded with ``sequence`` (bounded by its number of
-    quarters) and anti-joined with what exists; no symbol x period product."""
+    Without ``universe`` a symbol is expected in its own reporting span.  With it,
+    every symbol of the universe is expected in every quarter of the whole table's
+    span, so a symbol that never reported is a gap throughout.  Spans are expanded
+    with ``sequence`` (bounded by the quarters of the table) and anti-joined."""
     idx = reports.select(key, quarter_index().alias("qi"))
-    span = idx.groupBy(key).agg(F.min("qi").alias("lo"), F.max("qi").alias("hi"))
-    expected = span.select(key, F.explode(F.sequence("lo", "hi")).alias("qi"))
+    if universe is None:
+        span = idx.groupBy(key).agg(F.min("qi").alias("lo"), F.max("qi").alias("hi"))
+    else:
+        lo, hi = idx.select(F.min("qi")).scalar(), idx.select(F.max("qi")).scalar()
+        span = universe.select(key).distinct().select(key, lo.alias("lo"), hi.alias("hi"))
+    expected = span.where("lo is not null").select(key, F.explode(F.sequence("lo", "hi")).alias("qi"))
     missing = expected.join(idx.distinct(), [key, "qi"], "left_anti")
     return missing.select(
         F.lit(table).alias("table_name"), F.col(key).alias("symbol"),

@@ -28,7 +28,16 @@ PROFILE_FIELDS = {"symbol": "ticker", "organ_name": "company_name", "sector": "i
                   "com_group_code": "exchange", "issue_share": "outstanding_share", "company_profile": "description"}
 REPORT_FIELDS = {"reportID": "report_id", "sourceName": "brokerage_firm", "date": "publish_date", "title": "title",
                  "description": "description", "fileName": "file_name"}
-DEFAULT_INDICES = ("VNINDEX", "VN30", "HNX", "UPCOM")
+# Default index list, quote codes by our name, and the default symbol universe.
+DEFAULT_INDICES = ("VNINDEX", "HNXINDEX")
+COMMODITY_CODES = {"Brent Crude": "BZ=F", "WTI": "CL=F", "Gasoline Singapore (92/95)": "RB=F",
+                   "Baltic Dirty Tanker Index": "^BDTI", "Gold": "GC=F", "Steel HRC": "HR=F"}
+CURRENCY_CODES = {"USD/VND": "USDVND=X", "EUR/VND": "EURVND=X", "GBP/VND": "GBPVND=X", "JPY/VND": "JPYVND=X",
+                  "CNY/VND": "CNYVND=X"}
+RATE_CODES = {"us_fed_funds_rate": "^IRX", "us_10y_treasury": "^TNX", "us_5y_treasury": "^FVX"}
+DEFAULT_UNIVERSE = ("ACB", "BCM", "BID", "BVH", "CTG", "FPT", "GAS", "GVR", "HDB", "HPG", "MBB", "MSN", "MWG", "PLX",
+                    "PNJ", "POW", "SAB", "SHB", "SSB", "SSI", "STB", "TCB", "TPB", "VCB", "VHM", "VIC", "VJC", "VNM",
+                    "VPB", "VRE")
 
 
 def _has(df: DataFrame, c: str) -> bool:
@@ -155,19 +164,28 @@ def _date_column(df: DataFrame) -> str:
     raise ValueError(f"no date column among {df.columns}")
 
 
-def norm_quotes(raw: DataFrame, mapping: DataFrame, name_col: str, value_col: str,
+def code_frame(spark, codes: Mapping[str, str], name_col: str, code_col: str = "code") -> DataFrame:
+    """A code mapping such as ``COMMODITY_CODES`` as a small table (code, name)."""
+    return spark.createDataFrame([(c, n) for n, c in codes.items()], f"{code_col} string, {name_col} string")
+
+
+def norm_quotes(raw: DataFrame, mapping: DataFrame | Mapping[str, str], name_col: str, value_col: str,
                 code_col: str = "code", request: str = "symbol") -> DataFrame:
     """NRM9-NRM11: market quotes (commodities, FX pairs, rates) -> (name, date, value).
 
     The date column is found by name (case-insensitive), ISO-formatted; the
     vendor code of each row is labelled through a small mapping table
-    (broadcast behind a size check); the Close price becomes the value text."""
+    (broadcast behind a size check); the Close price becomes the value text.
+    A code that the mapping lacks keeps its row under the code itself."""
+    if not isinstance(mapping, DataFrame):
+        mapping = code_frame(raw.sparkSession, mapping, name_col, code_col)
     dc = _date_column(raw)
     close = next(c for c in raw.columns if c.lower() == "close")
     q = raw.select(F.col(request).alias(code_col), F.date_format(F.col(f"`{dc}`").cast("timestamp"), "yyyy-MM-dd")
                    .alias("date"), F.col(f"`{close}`").cast("string").alias(value_col))
     m = small_side(mapping.select(F.col(code_col), F.col(name_col)))
-    return q.join(m, code_col).select(name_col, "date", value_col)
+    named = q.join(m, code_col, "left")
+    return named.select(F.coalesce(name_col, code_col).alias(name_col), "date", value_col)
 
 
 def latest_non_null_macro(raw: DataFrame, name_col: str = "indicator_name") -> DataFrame:

@@ -15,6 +15,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _c(x: str | Column) -> Column:
@@ -87,18 +88,17 @@ def rolling_mean_exact(df: DataFrame, x: str, n: int, w: WindowSpec, out: str, m
     sum over the frame = running_total(t) - running_total(t - n); with integer
     inputs both totals are exact, so the mean equals ``avg`` over the frame bit
     for bit.  (Floating inputs must use ``rolling_mean``: differencing running
-    float sums would lose precision.)  Leaves NULL-free inputs assumed."""
-    tot, prev = f"__tot_{out}", f"__prev_{out}"
-    rn = F.row_number().over(w)
-    with_tot = df.withColumn(tot, running_total(x, w))
+    float sums would lose precision.)  NULLs are skipped and not counted, as
+    ``avg`` does; a frame without values gives NULL."""
+    tot, num = f"__tot_{out}", f"__num_{out}"
+    run = w.rowsBetween(Window.unboundedPreceding, 0)
+    totals = df.withColumns({tot: F.coalesce(running_total(x, w), F.lit(0)), num: F.count(_c(x)).over(run)})
     frame_sum = F.col(tot) - F.coalesce(F.lag(tot, n).over(w), F.lit(0))
-    cnt = F.least(rn, F.lit(n))
-    mean = frame_sum.cast("double") / cnt
+    cnt = F.col(num) - F.coalesce(F.lag(num, n).over(w), F.lit(0))
+    mean = F.when(cnt >= max(1, min_periods), frame_sum.cast("double") / cnt)
     if scale:
         mean = mean / scale
-    if min_periods > 1:
-        mean = F.when(cnt >= min_periods, mean)
-    return with_tot.withColumn(out, mean).drop(tot, prev)
+    return totals.withColumn(out, mean).drop(tot, num)
 
 
 def rolling_sum(x: str | Column, n: int, w: WindowSpec, min_periods: int = 1) -> Column:
@@ -268,8 +268,21 @@ def with_rolling_corr(df: DataFrame, x: str, y: str, w: WindowSpec, n: int, out:
     ``mode='parity'``: N counts every row of the frame while sums skip NULLs
     (the reference's rule, D13); NULL when N <= 1 or the variance product <= 0.
     ``mode='pairs'``: only complete (x, y) pairs count; NULL below ``min_pairs``
-    pairs or with zero variance.  Same values as ``rolling_corr_parity`` /
-    ``rolling_corr``; sums stay exact for integer inputs."""
+    pairs or with zero variance.  Sums stay exact for integer and decimal inputs
+    (a decimal is taken as an integer of its last place: correlation does not
+    depend on scale); floating inputs are summed frame by frame."""
+    kinds = {f.name: f.dataType for f in df.schema.fields if f.name in (x, y)}
+    if any(isinstance(k, (T.DoubleType, T.FloatType)) for k in kinds.values()):
+        if mode == "pairs":
+            return df.withColumn(out, rolling_corr(x, y, w, n, min_pairs, "double"))
+        return df.withColumn(out, rolling_corr_parity(x, y, w, n, "double"))
+    lifted = {c: (F.col(c) * 10**k.scale).cast("decimal(38,0)") for c, k in kinds.items()
+              if isinstance(k, T.DecimalType) and k.scale}
+    if lifted:
+        names = {c: f"__lifted_{c}" for c in lifted}
+        wide = df.withColumns({names[c]: e for c, e in lifted.items()})
+        got = with_rolling_corr(wide, names.get(x, x), names.get(y, y), w, n, out, mode, min_pairs, exact_type)
+        return got.drop(*names.values())
     if mode == "pairs":
         pair = F.col(x).isNotNull() & F.col(y).isNotNull()
         xe, ye = F.when(pair, F.col(x).cast(exact_type)), F.when(pair, F.col(y).cast(exact_type))

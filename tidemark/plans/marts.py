@@ -1,8 +1,8 @@
 """Gold marts: momentum, flows, macro, sentiment, fundamentals, fact.
 
-Each mart is a function of silver DataFrames -> DataFrame.  The ``*_cents``
-columns, when present, carry exact integer prices; means and sums run on them
-and are scaled at the end so results do not depend on summation order.
+Each mart is a function of silver DataFrames -> DataFrame.  Decimals become double on
+entry; moving averages run on exact integer ticks so results do not depend on
+summation order; ``typed`` gives the declared types for writing.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators import windows as W
 from tidemark.session import small_side
@@ -18,12 +19,39 @@ from tidemark.session import small_side
 TICKER_DATE = ("ticker", "trading_date")
 
 
-def _price(df: DataFrame, price: str, cents: str | None) -> Column:
-    return F.col(cents) if cents and cents in df.columns else F.col(price)
+TICKS = 10_000  # prices are decimal(38,4) in silver: an exact integer of the last place
 
 
-def _scale(c: Column, cents: str | None, df: DataFrame) -> Column:
-    return c / 100 if cents and cents in df.columns else c
+def plain(df: DataFrame) -> DataFrame:
+    """Decimal inputs as double: ratios and deviations are computed in double and
+    cast to their declared type only at the end (``typed``)."""
+    return df.select(*[F.col(c).cast("double").alias(c) if t.startswith("decimal") else F.col(c) for c, t in df.dtypes])
+
+
+def ticks(price: str) -> Column:
+    return (F.col(price).cast("decimal(38,4)") * TICKS).cast("bigint")
+
+
+# Declared types of mart columns; a column that isn't listed is decimal(18,6).
+_AMOUNTS = ("moving_average_20d", "moving_average_50d", "moving_average_200d", "net_foreign_flow_1m", "prop_trading_net_val_5d",
+            "fed_rate", "treasury_10y", "treasury_5y", "real_interest_rate", "usd_vnd_rate", "cpi_value", "policy_rate",
+            "brent_crude_price", "wti_price", "gold_price", "steel_hrc_price", "gasoline_singapore_price",
+            "baltic_dirty_tanker_index", "crack_spread_proxy", "pe_ratio", "pb_ratio", "free_cash_flow",
+            "daily_news_sentiment_score", "sentiment_momentum_7d", "news_velocity", "avg_analyst_target_price")
+_KEPT = {"ticker": "string", "trading_date": "date", "date": "date", "label_is_uptrend_30d": "smallint",
+         **{c: "int" for c in ("news_count", "analyst_report_count", "analyst_buy_count", "corporate_event_count",
+                               "dividend_event_count")},
+         **{c: "decimal(38,4)" for c in _AMOUNTS}}
+
+
+def declared(columns: Sequence[str]) -> T.StructType:
+    """The declared schema of a mart with these columns."""
+    return T.StructType([T.StructField(c, T._parse_datatype_string(_KEPT.get(c, "decimal(18,6)"))) for c in columns])
+
+
+def typed(mart: DataFrame) -> DataFrame:
+    """A mart's rows in its declared types, ready to be written."""
+    return mart.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in declared(mart.columns).fields])
 
 
 # -- momentum (W1-W9, J2) ------------------------------------------------------
@@ -31,7 +59,7 @@ def index_return_1m(index: DataFrame, names: Sequence[str] = ("VNINDEX",), n: in
     """Daily return of each named index and its n-row mean.  Partitioned by
     index name (no single-partition window)."""
     w = W.series_window("index_name", "trading_date")
-    ix = index.where(F.col("index_name").isin(list(names)))
+    ix = plain(index.where(F.col("index_name").isin(list(names))))
     ret = ix.select("index_name", "trading_date", W.simple_return("close", w).alias("index_daily_return"))
     return ret.select(
         "index_name", "trading_date", "index_daily_return",
@@ -39,36 +67,33 @@ def index_return_1m(index: DataFrame, names: Sequence[str] = ("VNINDEX",), n: in
     )
 
 
-def _moving_averages(df: DataFrame, w, price: str, cents: str | None, windows: Sequence[int],
+def _moving_averages(df: DataFrame, w, price: str, windows: Sequence[int],
                      names: Sequence[str], min_periods: Sequence[int]) -> DataFrame:
-    """Trailing means; on integer cents the O(rows) running-total form is used."""
+    """Trailing means on exact integer ticks, by running totals (O(rows))."""
+    df = df.withColumn("__ticks", ticks(price))
     for n, name, mp in zip(windows, names, min_periods):
-        if cents and cents in df.columns:
-            df = W.rolling_mean_exact(df, cents, n, w, name, min_periods=mp, scale=100)
-        else:
-            df = df.withColumn(name, W.rolling_mean(price, n, w, min_periods=mp))
-    return df
+        df = W.rolling_mean_exact(df, "__ticks", n, w, name, min_periods=mp, scale=TICKS)
+    return df.drop("__ticks")
 
 
 def momentum_features(prices: DataFrame, lag_1m: int = 30, lag_3m: int = 90,
                       ma_windows: Sequence[int] = (20, 50, 200), vol_n: int = 30, ret_n: int = 20,
-                      price: str = "adjusted_close", cents: str | None = "close_cents") -> DataFrame:
+                      price: str = "adjusted_close") -> DataFrame:
     """Per-ticker price features on one window spec (one Exchange + Sort)."""
     w = W.series_window("ticker", "trading_date")
-    keep = ["ticker", "trading_date", price] + ([cents] if cents and cents in prices.columns else [])
-    base = prices.select(*keep).select(
+    base = plain(prices.select("ticker", "trading_date", price)).select(
         "*",
         W.simple_return(price, w).alias("daily_return"),
         W.momentum(price, lag_1m, w).alias("price_momentum_1m"),
         W.momentum(price, lag_3m, w).alias("price_momentum_3m"),
     )
-    base = _moving_averages(base, w, price, cents, ma_windows, [f"moving_average_{n}d" for n in ma_windows],
+    base = _moving_averages(base, w, price, ma_windows, [f"moving_average_{n}d" for n in ma_windows],
                             [1] * len(ma_windows))
     return base.select(
         "*",
         W.rolling_std("daily_return", vol_n, w).alias("volatility_30d"),
         W.rolling_mean("daily_return", ret_n, w).alias("avg_return_1m"),
-    ).drop(*[c for c in (price, cents) if c and c not in ("ticker", "trading_date")])
+    ).drop(price)
 
 
 def momentum_mart(prices: DataFrame, index: DataFrame, index_names: Sequence[str] = ("VNINDEX",),
@@ -89,13 +114,13 @@ def flows_mart(foreign: DataFrame, prop: DataFrame, ratio_n: int = 10, flow_n: i
                prop_n: int = 5, corr_n: int = 10) -> DataFrame:
     """MART flows at (ticker, trading_date); the foreign side drives the rows."""
     w = W.series_window("ticker", "trading_date")
-    ff = foreign.select(
+    ff = plain(foreign).select(
         "ticker", "trading_date", "net_val",
         W.buy_ratio("buy_val", "sell_val", w, ratio_n).alias("foreign_buy_ratio_10d"),
     )
     ff = W.flow_momentum(ff, "net_val", w, flow_n, out="net_foreign_flow_momentum_1m",
                          sum_col="net_foreign_flow_1m")
-    pf = prop.select("ticker", "trading_date",
+    pf = plain(prop).select("ticker", "trading_date",
                      W.rolling_sum("net_val", prop_n, w).alias("prop_trading_net_val_5d"))
     # correlation rows: every prop day, foreign value when that day has one
     pj = prop.select("ticker", "trading_date", F.col("net_val").alias("x")).join(
@@ -192,6 +217,7 @@ def macro_mart(rates: DataFrame, fx: DataFrame, macro: DataFrame, comm: DataFram
     with a backward as-of join (J3)."""
     from tidemark.operators.asof import asof_backward
 
+    rates, fx, macro, comm = (plain(x) for x in (rates, fx, macro, comm))
     spine = comm.select("date").distinct()
     ir = rates_pivot(rates)
     er = fx_volatility(fx)
@@ -321,8 +347,9 @@ FUNDAMENTAL_COLUMNS = (
 def fundamentals_mart(prices: DataFrame, income: DataFrame, balance: DataFrame, cash: DataFrame,
                       profile: DataFrame) -> DataFrame:
     """MART fundamentals at (ticker, trading_date): latest snapshot on every day."""
+    income, balance, cash, prices = (plain(x) for x in (income, balance, cash, prices))
     snap = fundamentals_latest(income, balance, cash).join(
-        profile.select("ticker", "outstanding_share"), "ticker", "left"
+        plain(profile.select("ticker", "outstanding_share")), "ticker", "left"
     )
     r = prices.select("ticker", "trading_date", "close").join(small_side(snap), "ticker", "left")
     c = F.col
@@ -402,6 +429,7 @@ def fundamentals_asof(prices: DataFrame, income: DataFrame, balance: DataFrame,
     published on or before it (J3), plus valuations on that report (F7, F15)."""
     from tidemark.operators.asof import asof_backward, dedupe_right
 
+    income, balance, cash, prices, profile = (plain(x) for x in (income, balance, cash, prices, profile))
     q = fundamentals_quarterly(income, balance, cash)
     q = dedupe_right(q, ["ticker"], "report_date", [F.col("year"), F.col("period")])
     px = prices.select("ticker", "trading_date", "close").join(
@@ -422,6 +450,7 @@ LABEL_COLUMNS = ("label_next_5d_return", "label_next_20d_return", "label_is_uptr
 
 
 def forward_labels(prices: DataFrame, price: str = "adjusted_close", with_drawdown: bool = False) -> DataFrame:
+    prices = plain(prices)
     w = W.series_window("ticker", "trading_date")
     cols = [
         W.forward_return(price, 5, w).alias("label_next_5d_return"),
@@ -467,16 +496,15 @@ def fact_table(prices: DataFrame, momentum: DataFrame, fundamentals: DataFrame,
 
 
 # -- offline-builder price indicators (W5, W10, W11) ------------------------------
-def price_indicators(prices: DataFrame, price: str = "close", cents: str | None = "close_cents") -> DataFrame:
+def price_indicators(prices: DataFrame, price: str = "close") -> DataFrame:
     """sma_20 / sma_50 with the full-window rule, RSI-14 and MACD(12, 26)."""
     from tidemark.operators.recursive import ema_features
 
     w = W.series_window("ticker", "trading_date")
-    exact = _price(prices, price, cents)
-    keep = ["ticker", "trading_date", price] + ([cents] if cents and cents in prices.columns else [])
-    feats = _moving_averages(prices.select(*keep), w, price, cents, (20, 50), ("sma_20", "sma_50"), (20, 50))
-    feats = feats.select("ticker", "trading_date", "sma_20", "sma_50", W.rsi(exact, w, 14).alias("rsi_14"))
-    ema = ema_features(prices, "ticker", "trading_date", price).select("ticker", "trading_date", "macd")
+    own = plain(prices.select("ticker", "trading_date", price))
+    feats = _moving_averages(own, w, price, (20, 50), ("sma_20", "sma_50"), (20, 50))
+    feats = feats.select("ticker", "trading_date", "sma_20", "sma_50", W.rsi(ticks(price), w, 14).alias("rsi_14"))
+    ema = ema_features(own, "ticker", "trading_date", price).select("ticker", "trading_date", "macd")
     return feats.join(ema, list(TICKER_DATE), "left")
 
 
@@ -494,13 +522,13 @@ def relative_strength_ratio(prices: DataFrame, index: DataFrame, n: int = 20, in
                       (F.col("price_momentum_1m") - F.col("index_return_1m")).alias("relative_strength_20d"))
 
 
-def flows_builder(prices: DataFrame, foreign: DataFrame, prop: DataFrame) -> DataFrame:
+def flows_builder(prices: DataFrame, foreign: DataFrame, prop: DataFrame, price: str = "close") -> DataFrame:
     """D12 builder variant on price rows: buy ratio over traded value (close x
     volume), 20-row mean of net foreign value (missing days = 0), 5-row prop sum
     and 10-row Pearson correlation, each NULL until its window is full."""
     keys = list(TICKER_DATE)
     w = W.series_window("ticker", "trading_date")
-    base = (prices.select("ticker", "trading_date", (F.col("close_cents") * F.col("volume")).alias("traded"))
+    base = (prices.select("ticker", "trading_date", (F.col(price) * F.col("volume")).alias("traded"))
             .join(foreign.select("ticker", "trading_date", "buy_val", F.col("net_val").alias("fnet")), keys, "left")
             .join(prop.select("ticker", "trading_date", F.col("net_val").alias("pnet")), keys, "left")
             .withColumn("fnet0", F.coalesce("fnet", F.lit(0).cast("bigint"))))

@@ -114,9 +114,9 @@ RATES = """
 """
 
 FX = """
-  SELECT 'USD/VND' AS pair, CAST(o_orderdate AS DATE) AS date,
-         CAST(SUM(cents) AS DOUBLE) / COUNT(*) / 10 AS exchange_rate
-  FROM ords WHERE o_orderstatus = 'F' GROUP BY 2
+  SELECT CASE o_orderstatus WHEN 'F' THEN 'USD/VND' WHEN 'O' THEN 'EUR/VND' WHEN 'P' THEN 'GBP/VND' END AS pair,
+         CAST(o_orderdate AS DATE) AS date, CAST(SUM(cents) AS DOUBLE) / COUNT(*) / 10 AS exchange_rate
+  FROM ords GROUP BY 1, 2
 """
 
 COMMODITIES = """

@@ -23,9 +23,9 @@ from tidemark.operators import model as M
 from tidemark.operators import quality as Q
 from tidemark.operators import samples as S
 from tidemark.operators.silver import to_silver
-from tidemark.operators.upsert import upsert
+from tidemark.operators.upsert import reject_null_keys, upsert
 from tidemark.schemas import feed
-from tidemark.session import cut_lineage
+from tidemark.session import cut_lineage, path_exists
 from tidemark.sources.readers import latest_slice, lookback_slice
 
 
@@ -37,11 +37,10 @@ def refresh_layers(spark: SparkSession, bronze: DataFrame, silver_path: str | No
     new = to_silver(bronze, feed_name, job=job, batch_date=batch_date, part_key=part_key)
     if silver_path is None:
         return new
-    try:
-        old = spark.read.parquet(silver_path)
-    except Exception:  # noqa: BLE001 - first build
+    new = reject_null_keys(new, feed(feed_name).keys)
+    if not path_exists(spark, silver_path):  # first build; a table that cannot be read raises
         return new
-    return upsert(old, new, feed(feed_name).keys)
+    return upsert(spark.read.parquet(silver_path), new, feed(feed_name).keys)
 
 
 def build_feature_table(spark: SparkSession, sf_dir: str, out_path: str | None = None) -> DataFrame:
@@ -53,7 +52,9 @@ def build_feature_table(spark: SparkSession, sf_dir: str, out_path: str | None =
     fact = build_fact(spark, sf_dir)
     if out_path is None:
         return cut_lineage(fact)
-    fact.withColumn("year", F.year("trading_date")).write.mode("overwrite").partitionBy("year").parquet(out_path)
+    # static: a rebuild replaces the whole table, also years that are gone
+    (fact.withColumn("year", F.year("trading_date")).write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy("year").parquet(out_path))
     return spark.read.parquet(out_path).drop("year")
 
 
@@ -74,11 +75,11 @@ def train(fact: DataFrame, spec: S.FeatureSpec = S.FeatureSpec(), champion: dict
     if cuts is None or cuts["train_end"] is None or cuts["val_end"] is None:
         raise RuntimeError("could not resolve cut dates")
     split = S.time_split(data, cuts["train_end"], cuts["val_end"], spec.order)
-    samples = S.sample_windows(split.withColumn("__k", F.concat_ws("|", spec.key, "split")),
+    series = F.struct(F.col(spec.key).alias("key"), "split")
+    samples = S.sample_windows(split.withColumn("__k", series),
                                S.FeatureSpec(spec.sequence, spec.tabular, spec.target, spec.window, "__k",
                                              spec.order))
-    samples = samples.withColumn("split", F.split("__k", r"\|").getItem(1)).withColumn(
-        spec.key, F.split("__k", r"\|").getItem(0)).drop("__k")
+    samples = samples.withColumn("split", F.col("__k.split")).withColumn(spec.key, F.col("__k.key")).drop("__k")
     samples = cut_lineage(samples)
     S.require_samples(S.split_counts(samples))
     model = M.fit_regressor(samples.where(F.col("split") == "train"))

@@ -36,12 +36,12 @@ def index_returns(spark: SparkSession, d: str):
 _IND_SQL = with_proxies(["price"], OM.ema_sql() + [
     ("i_d", """
       SELECT ticker, trading_date, close_cents,
-             close_cents - LAG(close_cents) OVER (PARTITION BY ticker ORDER BY trading_date) AS delta
+             close_cents * 100 - LAG(close_cents * 100) OVER (PARTITION BY ticker ORDER BY trading_date) AS delta
       FROM price"""),
     ("i_f", """
       SELECT ticker, trading_date,
-             CASE WHEN COUNT(close_cents) OVER w20 >= 20 THEN AVG(close_cents) OVER w20 / 100 END AS sma_20,
-             CASE WHEN COUNT(close_cents) OVER w50 >= 50 THEN AVG(close_cents) OVER w50 / 100 END AS sma_50,
+             CASE WHEN COUNT(close_cents) OVER w20 >= 20 THEN AVG(close_cents * 100) OVER w20 / 10000 END AS sma_20,
+             CASE WHEN COUNT(close_cents) OVER w50 >= 50 THEN AVG(close_cents * 100) OVER w50 / 10000 END AS sma_50,
              COUNT(*) OVER w14 AS n14,
              SUM(CASE WHEN delta > 0 THEN delta ELSE 0 END) OVER w14 AS g,
              SUM(CASE WHEN delta < 0 THEN -delta ELSE 0 END) OVER w14 AS l
@@ -224,7 +224,7 @@ def relative_strength_20d(spark: SparkSession, d: str):
 def flows_builder(spark: SparkSession, d: str):
     """The offline builder's flow features on price rows."""
     return marts.flows_builder(P.stock_price_eod(spark, d), P.foreign_trading(spark, d),
-                               P.proprietary_trading(spark, d))
+                               P.proprietary_trading(spark, d), price="close_cents")  # flows are in cents
 
 
 @register("event_props", """

@@ -138,47 +138,66 @@ def macro_history(spark: SparkSession, d: str):
     return N.macro_history(_macro_raw(spark, d), "1996-01-01", "1999-12-31")
 
 
-def _pending_reports(spark: SparkSession, d: str, min_price: float | None):
-    o = read_table(spark, d, "orders").select("o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate",
-                                              "o_totalprice")
-    o = o.where((F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "1-URGENT"))
-    if min_price is not None:
-        o = o.where(F.col("o_totalprice") >= min_price)
-    c = read_table(spark, d, "customer").select("c_custkey", "c_nationkey")
-    j = o.join(c, o.o_custkey == c.c_custkey)
-    return j.select(F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("ticker"),
-                    F.year("o_orderdate").alias("year"),
+def _reports(spark: SparkSession, d: str, loaded: bool):
+    """Customers' order quarters; the first run saw only the orders that were no longer pending."""
+    o = read_table(spark, d, "orders").select("o_custkey", "o_orderstatus", "o_orderdate")
+    if loaded:
+        o = o.where(F.col("o_orderstatus") != "P")
+    return o.select(F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("ticker"), F.year("o_orderdate").alias("year"),
                     F.concat(F.lit("Q"), F.quarter("o_orderdate").cast("string")).alias("period")).distinct()
 
 
+def _universe(spark: SparkSession, d: str):
+    return read_table(spark, d, "customer").select(F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("ticker"))
+
+
+_QI = "year(o_orderdate) * 4 + quarter(o_orderdate) - 1"
+
+
 def _gaps_sql(where: str, run: int) -> str:
     return f"""
-      SELECT 'pending_orders' AS table_name, symbol, CAST(floor(qi / 4) AS INTEGER) AS year,
+      SELECT 'orders' AS table_name, symbol, CAST(floor(qi / 4) AS INTEGER) AS year,
              'Q' || CAST(qi % 4 + 1 AS VARCHAR) AS period, 'no report for the quarter' AS reason, {run} AS run_id
       FROM (
-        SELECT s.symbol, g.qi FROM (
-          SELECT symbol, MIN(qi) AS lo, MAX(qi) AS hi FROM (
-            SELECT 'N' || CAST(c_nationkey AS VARCHAR) AS symbol, year(o_orderdate) * 4 + quarter(o_orderdate) - 1 AS qi
-            FROM orders JOIN customer ON o_custkey = c_custkey
-            WHERE o_orderstatus = 'P' AND o_orderpriority = '1-URGENT' {where}) GROUP BY symbol) s,
-          LATERAL (SELECT unnest(generate_series(s.lo, s.hi)) AS qi) g
+        SELECT 'C' || CAST(c_custkey AS VARCHAR) AS symbol, qi FROM customer,
+          (SELECT unnest(generate_series(MIN({_QI}), MAX({_QI}))) AS qi FROM orders {where})
         EXCEPT
-        SELECT 'N' || CAST(c_nationkey AS VARCHAR), year(o_orderdate) * 4 + quarter(o_orderdate) - 1
-        FROM orders JOIN customer ON o_custkey = c_custkey
-        WHERE o_orderstatus = 'P' AND o_orderpriority = '1-URGENT' {where})"""
+        SELECT 'C' || CAST(o_custkey AS VARCHAR), {_QI} FROM orders {where})"""
 
 
-@register("gap_report", with_proxies([], [("g1", _gaps_sql("", 1)), ("g2", _gaps_sql("AND o_totalprice >= 100000", 2))], """
+@register("gap_report", with_proxies([], [("g1", _gaps_sql("WHERE o_orderstatus <> 'P'", 1)), ("g2", _gaps_sql("", 2))], """
     SELECT * EXCLUDE (rn) FROM (
       SELECT *, ROW_NUMBER() OVER (PARTITION BY table_name, symbol, year, period ORDER BY run_id DESC) AS rn
       FROM (SELECT * FROM g1 UNION ALL SELECT * FROM g2)) WHERE rn = 1"""))
 def gap_report(spark: SparkSession, d: str):
-    """SNK16-SNK18: quarters missing inside each symbol's span (two runs), newest run kept."""
-    run1 = G.quarterly_gaps(_pending_reports(spark, d, None), "pending_orders").withColumn("run_id", F.lit(1))
-    run2 = G.quarterly_gaps(_pending_reports(spark, d, 100000.0), "pending_orders").withColumn("run_id", F.lit(2))
+    """SNK17/SNK18: quarters in which a customer has no order, customers without any order
+    included; two runs (before and after the pending orders), the newest run kept."""
+    known = _universe(spark, d)
+    run1 = G.quarterly_gaps(_reports(spark, d, True), "orders", universe=known).withColumn("run_id", F.lit(1))
+    run2 = G.quarterly_gaps(_reports(spark, d, False), "orders", universe=known).withColumn("run_id", F.lit(2))
     return G.gap_report(run1, run2)
 
 
+@register("own_span_gaps", with_proxies([], [("os_q", f"SELECT DISTINCT 'C' || CAST(o_custkey AS VARCHAR) AS symbol, {_QI} AS qi FROM orders")], """
+    SELECT 'orders' AS table_name, symbol, CAST(floor(qi / 4) AS INTEGER) AS year,
+           'Q' || CAST(qi % 4 + 1 AS VARCHAR) AS period, 'no report for the quarter' AS reason
+    FROM (SELECT symbol, unnest(generate_series(MIN(qi), MAX(qi))) AS qi FROM os_q GROUP BY symbol
+          EXCEPT SELECT symbol, qi FROM os_q)"""))
+def own_span_gaps(spark: SparkSession, d: str):
+    """SNK18: quarters missing between a customer's first and last order."""
+    return G.quarterly_gaps(_reports(spark, d, False), "orders")
+
+
+@register("pending_units", """
+    SELECT DISTINCT 'C' || CAST(o_custkey AS VARCHAR) AS ticker, year(o_orderdate) AS year FROM orders
+    EXCEPT SELECT 'C' || CAST(o_custkey AS VARCHAR), year(o_orderdate) FROM orders WHERE o_orderstatus = 'F'""")
+def pending_units(spark: SparkSession, d: str):
+    """SNK16: (symbol, year) units that no finished load covers yet."""
+    o = read_table(spark, d, "orders").select(F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("ticker"),
+                                              F.year("o_orderdate").alias("year"), "o_orderstatus")
+    return G.pending(o.select("ticker", "year").distinct(), o.where(F.col("o_orderstatus") == "F"), ["ticker", "year"])
+
+
 @register("strip_and_drop_lines", """
     SELECT doc_id, COUNT(*) AS n_lines,
            COUNT(CASE WHEN NOT contains(line, 'invalid formula') THEN 1 END) AS n_kept,

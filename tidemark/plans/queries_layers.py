@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.conform import standardise
-from tidemark.operators.silver import business_columns, to_silver
+from tidemark.operators.silver import to_silver
 from tidemark.operators.upsert import upsert
 from tidemark.plans.catalog import register
 from tidemark.plans.oracle import with_proxies
@@ -45,7 +45,7 @@ def _bronze_load(close: str, where: str, src: str, at: str) -> str:
 
 _BRONZE_PRICE = [
     ("b_price", _bronze_load("close_cents", "", "landing/stock_price_eod/1.parquet", B.LOAD1_AT)
-     + " UNION ALL " + _bronze_load("close_cents + 1", f"WHERE volume >= {B.HEAVY_VOLUME}",
+     + " UNION ALL " + _bronze_load("close_cents + 1", f"WHERE day(trading_date) % {B.CORRECTED_DAYS} = 0",
                                     "landing/stock_price_eod/2.parquet", B.LOAD2_AT)),
 ]
 
@@ -167,9 +167,6 @@ def conform_columns(spark: SparkSession, d: str):
     return standardise(landing, ["o_orderkey", "o_orderstatus", "o_orderpriority", "o_comment"], max_len=5)
 
 
-_ = business_columns  # re-exported helper
-
-
 @register("stream_silver", with_proxies(["price"], _BRONZE_PRICE + _silver_price_sql(), "SELECT * FROM s_price"))
 def stream_silver(spark: SparkSession, d: str):
     """STR1-STR6 end to end: the two bronze loads land as ``batch_date=``
@@ -193,3 +190,38 @@ def stream_silver(spark: SparkSession, d: str):
     q.awaitTermination()
     silver = spark.read.parquet(f"{root}/silver")
     return _decimals_to_double(silver.select(*cols))
+
+
+_STREAM_FILES = 40  # more than one micro-batch takes
+
+
+@register("stream_bronze", with_proxies(["price"], _BRONZE_PRICE, f"""
+    SELECT {", ".join(feed("stock_price_eod").bronze_columns)},
+           CASE WHEN src_file = 'landing/stock_price_eod/1.parquet' THEN '2024-01-01' ELSE '2024-01-02' END AS part_key
+    FROM b_price"""))
+def stream_bronze(spark: SparkSession, d: str):
+    """STR1/STR3: a landing date of more files than a micro-batch takes, a second date, and a
+    late file for the first date after it was loaded; bronze must hold every landed row once."""
+    import uuid
+
+    from tidemark.session import ensure_checkpoint_dir
+    from tidemark.streaming.landing import start_landing_stream
+
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    cols = feed("stock_price_eod").bronze_columns
+    rows = B.bronze_stock_price(spark, d)
+    one, two = (rows.where(F.col("src_file") == f"landing/stock_price_eod/{k}.parquet").select(*cols) for k in (1, 2))
+    late = F.substring("trading_date", 9, 2) == "05"
+
+    def land(df, day: str, files: int) -> None:
+        df.repartition(files, "ticker", "trading_date").write.mode("append").parquet(f"{root}/landing/batch_date={day}")
+
+    def load() -> None:
+        start_landing_stream(spark, f"{root}/landing", f"{root}/bronze", f"{root}/stream_ckpt", "stock_price_eod").awaitTermination()
+
+    land(one.where(~late), "2024-01-01", _STREAM_FILES)
+    land(two, "2024-01-02", 4)
+    load()
+    land(one.where(late), "2024-01-01", 2)
+    load()
+    return spark.read.parquet(f"{root}/bronze").select(*cols, F.col("part_key").cast("string").alias("part_key"))

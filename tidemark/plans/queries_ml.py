@@ -212,6 +212,6 @@ def ml_scores(spark: SparkSession, d: str):
     samples = S.sample_windows(fact, SPEC)
     cuts = S.auto_cutoffs(fact).first()
     train = cut_lineage(samples.where(F.col("trading_date") <= F.lit(cuts["train_end"])))
-    model = M.fit_regressor(train, max_iter=20)
+    model = M.fit_regressor(train)
     latest = S.latest_window(lookback_slice(fact, "trading_date", days=90), SPEC)
     return M.score(model, latest)

@@ -92,6 +92,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def _store(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table or file is there; a store that cannot be read raises."""
+    p, fs = _store(spark, path)
+    return fs.exists(p)
+
+
+def list_path(spark: SparkSession, path: str) -> list:
+    p, fs = _store(spark, path)
+    return list(fs.listStatus(p))
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    p, fs = _store(spark, path)
+    fs.delete(p, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -1,8 +1,9 @@
 """Bronze-shaped (all-text, lineage-stamped) feeds derived from the proxy tables.
 
 Two loads per feed exercise the silver step: load 1 carries every key with
-vendor null tokens injected at fixed key positions; load 2 re-delivers a
-the busy days (volume >= 50) with corrected values and a later ``loaded_at``.  Numbers are
+vendor null tokens injected at fixed key positions; load 2 re-delivers every key
+of a fourth of the days (a property of the key, so the share holds at any size) with
+corrected values and a later ``loaded_at``.  Numbers are
 rendered from integer cents so the text is identical in any engine.
 """
 
@@ -15,7 +16,7 @@ from tidemark.sources import proxies as P
 
 LOAD1_AT = "2024-01-01 00:00:00"
 LOAD2_AT = "2024-01-02 00:00:00"
-HEAVY_VOLUME = 50
+CORRECTED_DAYS = 4  # load 2 re-delivers days of the month divisible by this
 
 
 def money_text(cents: str | Column) -> Column:
@@ -55,8 +56,8 @@ def bronze_stock_price(spark: SparkSession, d: str) -> DataFrame:
         )
 
     l1 = _lineage(load(F.col("close_cents"), p), "landing/stock_price_eod/1.parquet", LOAD1_AT, "2024-01-01")
-    # vendors re-deliver busy days with a corrected close
-    l2 = _lineage(load(F.col("close_cents") + 1, p.where(F.col("volume") >= HEAVY_VOLUME)),
+    # vendors re-deliver some days with a corrected close
+    l2 = _lineage(load(F.col("close_cents") + 1, p.where(dom % CORRECTED_DAYS == 0)),
                   "landing/stock_price_eod/2.parquet", LOAD2_AT, "2024-01-02")
     return l1.unionByName(l2)
 

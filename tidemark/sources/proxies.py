@@ -29,7 +29,7 @@ from tidemark.sources.tables import read_table
 # Names the reference's marts filter on.
 INDEX_NAME = "VNINDEX"
 RATE_TYPES = {"1-URGENT": "^IRX", "2-HIGH": "^TNX", "3-MEDIUM": "^FVX"}
-FX_PAIR = "USD/VND"
+FX_PAIRS = {"F": "USD/VND", "O": "EUR/VND", "P": "GBP/VND"}  # by order status
 COMMODITY_NAMES = {
     "1-URGENT": "Brent Crude",
     "2-HIGH": "WTI",
@@ -222,9 +222,9 @@ def interest_rates(spark: SparkSession, d: str) -> DataFrame:
 
 
 def exchange_rates(spark: SparkSession, d: str) -> DataFrame:
-    o = daily_orders(spark, d).where(F.col("o_orderstatus") == "F")
-    return o.groupBy("date").agg((F.sum("s").cast("double") / F.sum("n") / 10).alias("exchange_rate")).select(
-        F.lit(FX_PAIR).alias("pair"), "date", "exchange_rate")
+    o = daily_orders(spark, d)
+    return o.groupBy(_map_col("o_orderstatus", FX_PAIRS).alias("pair"), "date").agg(
+        (F.sum("s").cast("double") / F.sum("n") / 10).alias("exchange_rate"))
 
 
 def commodities_price(spark: SparkSession, d: str) -> DataFrame:

@@ -7,6 +7,7 @@ file's work runs on the executors; only line-level expressions are applied.
 
 from __future__ import annotations
 
+import gzip
 import io
 import posixpath
 import tarfile
@@ -21,23 +22,30 @@ BAD_LINE = "invalid formula"
 NUL = "\u0000"
 
 
-def read_lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
-    """Lines of text files, keeping ``\\r`` (only ``\\n`` splits lines), with the
-    source file and a line id.  Other encodings (CLN2) are decoded line by line by
-    the CSV source with a delimiter that never occurs, so large files still split
-    across tasks; 'UTF-16' is read as little-endian and its byte-order mark dropped."""
+def _utf16_files(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Files by byte order, from the mark at their start (little-endian without one)."""
+    heads = spark.read.format("binaryFile").load(path).select("path", F.hex(F.substring("content", 1, 2)).alias("mark"))
+    out: dict[str, list[str]] = {}
+    for r in heads.collect():  # one row per landing file
+        out.setdefault("UTF-16BE" if r["mark"] == "FEFF" else "UTF-16LE", []).append(r["path"])
+    return out
+
+
+def read_lines(spark: SparkSession, path: str | list[str], encoding: str = "UTF-8") -> DataFrame:
+    """Lines of text files, blank ones too, keeping ``\\r`` (only ``\\n`` splits lines), with the
+    source file and a line id.  Other encodings (CLN2) are decoded file by file: landing
+    files of that kind are small exports, and Spark's line sources drop blank lines or need
+    one-byte line ends.  'UTF-16' takes the byte order from each file's mark, which is dropped."""
     enc = encoding.upper().replace("_", "-")
     if enc.replace("-", "") == "UTF8":
-        df = spark.read.option("lineSep", "\n").text(path).select(
-            F.col("_metadata.file_path").alias("file"), "value")
-        return df.withColumn("line_no", F.monotonically_increasing_id())
-    java_enc = "UTF-16LE" if enc == "UTF-16" else enc
-    raw = (spark.read.option("encoding", java_enc).option("lineSep", "\n").option("sep", "\u0001")
-           .option("quote", "").option("escape", "").option("header", False)
-           .schema("value string").csv(path))
-    value = F.regexp_replace(F.coalesce(F.col("value"), F.lit("")), "^\ufeff", "")
-    return raw.select(F.col("_metadata.file_path").alias("file"), value.alias("value"),
-                      F.monotonically_increasing_id().alias("line_no"))
+        lines = spark.read.option("lineSep", "\n").text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+        return lines.withColumn("line_no", F.monotonically_increasing_id())
+    if enc == "UTF-16":
+        parts = [read_lines(spark, files, order) for order, files in sorted(_utf16_files(spark, path).items())]
+        return parts[0] if len(parts) == 1 else parts[0].union(parts[1]).withColumn("line_no", F.monotonically_increasing_id())
+    raw = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), F.decode("content", enc).alias("body"))
+    body = F.regexp_replace(F.regexp_replace("body", "^\ufeff", ""), "\n$", "")
+    return raw.select("file", F.explode(F.split(body, "\n", -1)).alias("value")).withColumn("line_no", F.monotonically_increasing_id())
 
 
 def strip_nul(lines: DataFrame, col: str = "value") -> DataFrame:
@@ -57,30 +65,35 @@ def _safe(name: str) -> bool:
 
 def _members(path: str, content: bytes) -> Iterator[tuple[str, str, bytes]]:
     buf = io.BytesIO(content)
-    if path.endswith(".zip"):
+    name = path.lower()
+    if name.endswith(".zip"):
         with zipfile.ZipFile(buf) as zf:
             for info in zf.infolist():
                 if not info.is_dir() and _safe(info.filename):
                     yield path, info.filename, zf.read(info)
-    elif path.endswith((".tar", ".tar.gz", ".tgz")):
+    elif name.endswith((".tar", ".tar.gz", ".tgz")):
         with tarfile.open(fileobj=buf, mode="r:*") as tf:
             for m in tf.getmembers():
                 if m.isfile() and _safe(m.name):
                     f = tf.extractfile(m)
                     if f is not None:
                         yield path, m.name, f.read()
+    else:
+        yield path, posixpath.basename(path)[: -len(".gz")], gzip.decompress(content)
 
 
 def expand_archives(spark: SparkSession, path: str) -> DataFrame:
-    """CLN4: zip / tar members as (archive, member, content) rows.  Each archive
+    """CLN4: zip / tar / gz members as (archive, member, content) rows, whatever the case of the suffix.  Each archive
     is one binary record handled where it is read (``mapInPandas``); members
     whose path would escape the stage are skipped."""
-    raw = spark.read.format("binaryFile").option("pathGlobFilter", "*.{zip,tar,tgz,gz}").load(path)
+    raw = (spark.read.format("binaryFile").option("recursiveFileLookup", "false").load(path)
+           .where(F.lower("path").rlike(r"\.(zip|tar|tgz|gz)$")))
 
     def explode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [m for p, c in zip(b["path"], b["content"]) for m in _members(p, bytes(c))]
-            yield pd.DataFrame(rows, columns=["archive", "member", "content"])
+            for p, c in zip(b["path"], b["content"]):
+                for m in _members(p, bytes(c)):  # one member at a time in memory
+                    yield pd.DataFrame([m], columns=["archive", "member", "content"])
 
     return raw.select("path", "content").mapInPandas(explode, "archive string, member string, content binary")
 

@@ -1,12 +1,16 @@
 """New-file arrival -> bronze -> silver with Structured Streaming (STR1-STR7).
 
-The reference polls for new landing file sets with a cursor and loads each
-exactly once.  Here a file-source stream does the discovery (the checkpoint
-is the cursor: a file set is processed once even across restarts), and
-``foreachBatch`` runs the idempotent batch loads: each micro-batch replaces
-only the bronze partitions it carries, then refreshes silver for exactly
-those partitions with latest-load-wins + upsert.  No streaming state is kept:
-late or corrected rows are resolved by ``loaded_at`` in the silver step.
+A file-source stream discovers landing files (its checkpoint is the cursor) and
+``foreachBatch`` loads them.  The unit of a load is the *file*, never the batch
+date: bronze is append-only per ``part_key`` and a file that bronze already holds
+is not added again, so a date that arrives in several micro-batches, a late file
+and a replayed micro-batch all end with every row exactly once.
+
+Silver takes only the rows of the micro-batch (they carry the newest load time, so
+latest load wins) and merges them into the partitions they touch.  The merged
+partitions are staged under the batch's own path before any of them is replaced;
+a replay that finds them complete re-applies them instead of merging again, so a
+failure midway loses nothing.
 """
 
 from __future__ import annotations
@@ -14,19 +18,22 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.silver import to_silver
-from tidemark.operators.upsert import upsert, upsert_partitions
+from tidemark.operators.upsert import reject_null_keys, upsert_partitions
 from tidemark.schemas import feed
+from tidemark.session import delete_path, list_path, path_exists
 
 log = logging.getLogger(__name__)
 
-MAX_FILES_PER_TRIGGER = 30
+MAX_FILES_PER_TRIGGER = 30  # size of a micro-batch; what is over waits for the next one
 POLL = "60 seconds"
+KEY_BUCKETS = 32
+PART = "part"
 
 
 def stream_landing(spark: SparkSession, landing_dir: str, schema: T.StructType,
@@ -39,74 +46,82 @@ def stream_landing(spark: SparkSession, landing_dir: str, schema: T.StructType,
             .withColumn("src_file", F.col("_metadata.file_path")))
 
 
+def _incomplete() -> Column:
+    return F.col("src_file").isNull() | F.col("batch_date").isNull()
+
+
 def drop_incomplete(df: DataFrame, obs: Observation | None = None) -> DataFrame:
     """STR4: rows without a source file or batch date are skipped (counted)."""
-    bad = F.col("src_file").isNull() | F.col("batch_date").isNull()
     if obs is not None:
-        df = df.observe(obs, F.count_if(bad).alias("skipped"))
-    return df.where(~bad)
+        df = df.observe(obs, F.count_if(_incomplete()).alias("skipped"))
+    return df.where(~_incomplete())
+
+
+def with_load_columns(rows: DataFrame) -> DataFrame:
+    return rows.select("*", F.col("batch_date").cast("string").alias("part_key"),
+                       F.monotonically_increasing_id().alias("src_row"), F.current_timestamp().alias("loaded_at"))
 
 
 def load_batch_fn(bronze_path: str) -> Callable[[DataFrame, int], None]:
-    """STR3: one micro-batch -> bronze, replacing only the partitions it holds."""
+    """STR3: append the files of one micro-batch that bronze does not hold yet."""
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        rows = drop_incomplete(batch).select(
-            "*", F.col("batch_date").cast("string").alias("part_key"),
-            F.monotonically_increasing_id().alias("src_row"), F.current_timestamp().alias("loaded_at"))
-        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part_key")
-         .parquet(bronze_path))
+        obs = Observation(f"landing-{batch_id}")
+        rows = with_load_columns(drop_incomplete(batch, obs))
+        spark = rows.sparkSession
+        if path_exists(spark, bronze_path):
+            # distinct batch dates of one micro-batch: a handful of values that prune the partitions
+            dates = [r[0] for r in rows.select("part_key").distinct().collect()]
+            held = spark.read.parquet(bronze_path).withColumn("part_key", F.col("part_key").cast("string"))
+            held = held.where(F.col("part_key").isin(dates)).select("part_key", "src_file").distinct()
+            rows = rows.join(held, ["part_key", "src_file"], "left_anti")
+        rows.write.mode("append").partitionBy("part_key").parquet(bronze_path)
+        skipped = obs.get["skipped"]
+        if skipped:
+            log.warning("micro-batch %s: %s rows without source file or batch date skipped", batch_id, skipped)
 
     return load
 
 
-def silver_partition(feed_name: str):
-    """Partition column of a silver table: month of the feed's date key (daily
-    feeds touch one or two months per batch), or None for small dimension feeds."""
-    f = feed(feed_name)
-    date_keys = [k for k in f.keys if dict(f.columns)[k] == "D"]
-    return (date_keys[0], "part_month") if date_keys else None
-
-
-def refresh_silver(spark: SparkSession, bronze_path: str, silver_path: str, feed_name: str,
-                   parts: list[str], job: str = "stream") -> None:
-    """STR5/STR6: rebuild silver rows for the touched bronze partitions and merge
-    them into silver (latest load wins, created_* preserved).  Only the silver
-    months the batch touches are read, merged and rewritten (dynamic partition
-    overwrite through a staging folder, never over the files being read)."""
+def silver_partition(feed_name: str) -> Column:
+    """Partition of a silver row, a function of its key: month of a date key, year of
+    a statement, else a bucket of the key.  A batch rewrites only what it touches."""
     f = feed(feed_name)
-    bronze = spark.read.parquet(bronze_path).where(F.col("part_key").isin(parts))
-    new = to_silver(bronze, feed_name, job=job)
-    part = silver_partition(feed_name)
-    if part:
-        new = new.withColumn(part[1], F.date_format(part[0], "yyyy-MM"))
-    try:
-        old = spark.read.parquet(silver_path)
-    except Exception:  # noqa: BLE001 - first run: no silver table yet
-        old = None
-    if old is None:
-        merged = new
-    elif part:
-        merged = upsert_partitions(old, new, list(f.keys) + [part[1]], [part[1]])
-    else:
-        merged = upsert(old, new, f.keys)
-    staged = f"{silver_path.rstrip('/')}.staging"
-    w = merged.write.mode("overwrite")
-    (w.partitionBy(part[1]) if part else w).parquet(staged)
-    out = spark.read.parquet(staged).write.mode("overwrite")
-    if part:
-        out.option("partitionOverwriteMode", "dynamic").partitionBy(part[1]).parquet(silver_path)
-    else:
-        out.parquet(silver_path)
+    kinds = dict(f.columns)
+    for k in f.keys:
+        if kinds[k] == "D":
+            return F.date_format(k, "yyyy-MM")
+        if kinds[k] == "I":
+            return F.concat(F.lit("y"), F.col(k).cast("string"))
+    return F.concat(F.lit("b"), F.pmod(F.xxhash64(*f.keys), F.lit(KEY_BUCKETS)).cast("string"))
+
+
+def refresh_silver(rows: DataFrame, silver_path: str, feed_name: str, batch_id: int | str, job: str = "stream") -> None:
+    """STR5/STR6: merge bronze-shaped ``rows`` into silver (latest load wins, created_* kept)."""
+    spark = rows.sparkSession
+    staged = f"{silver_path.rstrip('/')}.staging/batch={batch_id}"
+    if not path_exists(spark, f"{staged}/_SUCCESS"):
+        f = feed(feed_name)
+        new = reject_null_keys(to_silver(rows, feed_name, job=job), f.keys).withColumn(PART, silver_partition(feed_name))
+        # a missing table is the first build; any other read error is raised
+        if path_exists(spark, silver_path):
+            old = spark.read.parquet(silver_path).withColumn(PART, F.col(PART).cast("string"))
+            new = upsert_partitions(old, new, [*f.keys, PART], [PART])
+        new.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(PART).parquet(staged)
+    # an empty batch stages no partition and replaces none
+    if any(s.isDirectory() for s in list_path(spark, staged)):
+        merged = spark.read.parquet(staged).withColumn(PART, F.col(PART).cast("string"))
+        merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(silver_path)
+    delete_path(spark, staged)
 
 
 def start_landing_stream(spark: SparkSession, landing_dir: str, bronze_path: str, checkpoint: str,
                          feed_name: str, silver_path: str | None = None, available_now: bool = True,
-                         poll: str = POLL) -> StreamingQuery:
+                         poll: str = POLL, max_files: int = MAX_FILES_PER_TRIGGER) -> StreamingQuery:
     """STR1-STR5 wired together.  ``available_now`` processes everything that
     has arrived and stops (backfill, tests); otherwise polls every ``poll``."""
     f = feed(feed_name)
-    src = stream_landing(spark, landing_dir, f.bronze_schema())
+    src = stream_landing(spark, landing_dir, f.bronze_schema(), max_files)
     loader = load_batch_fn(bronze_path)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
@@ -114,9 +129,7 @@ def start_landing_stream(spark: SparkSession, landing_dir: str, bronze_path: str
         try:
             loader(batch, batch_id)
             if silver_path:
-                parts = [r[0] for r in batch.select(F.col("batch_date").cast("string")).distinct().collect()]
-                if parts:  # distinct batch dates of one micro-batch: a handful of values
-                    refresh_silver(spark, bronze_path, silver_path, feed_name, parts)
+                refresh_silver(with_load_columns(drop_incomplete(batch)), silver_path, feed_name, batch_id)
         finally:
             batch.unpersist()
 
@@ -126,7 +139,7 @@ def start_landing_stream(spark: SparkSession, landing_dir: str, bronze_path: str
 
 
 def backfill(spark: SparkSession, landing_root: str, bronze_root: str, feeds: list[str], dates: list[str]) -> None:
-    """STR7: batch re-load of the given ``batch_date`` partitions for several feeds."""
+    """STR7: load the files of the given ``batch_date`` partitions that bronze lacks, for several feeds."""
     for name in feeds:
         schema = feed(name).bronze_schema()
         src = spark.read.schema(T.StructType(list(schema.fields) + [T.StructField("batch_date", T.DateType())])) \
