@@ -18,16 +18,17 @@ long ones form a slice of their own.
 from __future__ import annotations
 
 import base64
-import hashlib
 import json
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import slices
+from tidemark.llm.word_encoder import ChunkEncoder, load
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -70,15 +71,8 @@ def tokenizer_json(ranks: dict[bytes, int]) -> str:
 
 
 @lru_cache(2)
-def _tokenizer(described: str):
-    import os
-
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
-    from tokenizers import Tokenizer
-
-    tok = Tokenizer.from_str(described)
-    tok.encode_special_tokens = True
-    return tok
+def _encoder(described: str) -> ChunkEncoder:
+    return ChunkEncoder(load(described, from_file=False))
 
 
 @lru_cache(2)
@@ -91,6 +85,17 @@ def _id_bytes(described: str) -> list[bytes]:
     return out
 
 
+def offsets(data: bytes, widths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Character offsets of tokens that follow each other in ``data`` and are so many bytes wide.
+
+    A token that holds a part of a character spans the whole character.
+    """
+    # the number of the character that each byte belongs to
+    char = np.cumsum((np.frombuffer(data, np.uint8) & 0xC0) != 0x80) - 1
+    ends = np.cumsum(widths)
+    return char[ends - widths], char[ends - 1] + 1
+
+
 ENCODED = "ids array<int>, starts array<int>, ends array<int>"
 
 
@@ -103,54 +108,52 @@ def encode(docs: DataFrame, described, id_col: str = "doc_id", text_col: str = "
     schema = f"id {src.schema['id'].dataType.simpleString()}, {ENCODED}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = _tokenizer(described.value)
-        ints = pa.list_(pa.int32())
+        enc = _encoder(described.value)
         for batch in batches:
             for part in slices(batch, "text"):
                 texts = ["" if t is None else t for t in part.column(1).to_pylist()]
-                got = tok.encode_batch(texts, add_special_tokens=False)
-                spans = [list(zip(*e.offsets)) or [(), ()] for e in got]  # character offsets, also for split characters
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([e.ids for e in got], ints),
-                     pa.array([s[0] for s in spans], ints), pa.array([s[1] for s in spans], ints)],
-                    names=["id", "ids", "starts", "ends"])
+                ids, counts = enc.encode(texts)
+                starts, ends = offsets("".join(texts).encode(), enc.width[ids])
+                chars = np.cumsum([0, *map(len, texts)])
+                rows = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+                before = np.repeat(chars[:-1], counts)
+                lists = [pa.ListArray.from_arrays(rows, x.astype(np.int32)) for x in (ids, starts - before, ends - before)]
+                yield pa.RecordBatch.from_arrays([part.column(0), *lists], names=["id", "ids", "starts", "ends"])
 
     return src.mapInArrow(run, schema).withColumnRenamed("id", id_col)
 
 
 def decode(encoded: DataFrame, described, id_col: str = "doc_id", ids_col: str = "ids", with_text: bool = True) -> DataFrame:
-    """(id, ids, data binary[, text]): the bytes of each id sequence, and its text."""
-    src = encoded.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids"))
-    schema = f"id {src.schema['id'].dataType.simpleString()}, ids array<int>, data binary" + ", text string" * with_text
+    """(id, n_tokens, packed, data[, text]) of each id sequence.
+
+    ``packed``: the ids as little-endian unsigned 32-bit integers; ``data``: the
+    decoded bytes; ``text``: the bytes as characters.
+    """
+    src = encoded.select(F.col(id_col).alias("id"), F.coalesce(F.col(ids_col), F.array().cast("array<int>")).alias("ids"))
+    schema = f"id {src.schema['id'].dataType.simpleString()}, n_tokens long, packed binary, data binary" + ", text string" * with_text
+    names = [f.split()[0] for f in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _id_bytes(described.value)
         for batch in batches:
-            data = [b"".join(map(table.__getitem__, ids or ())) for ids in batch.column(1).to_pylist()]
-            columns = [batch.column(0), batch.column(1), pa.array(data, pa.binary())]
-            if with_text:
-                columns.append(pa.array([d.decode("utf-8", "replace") for d in data], pa.string()))
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "ids", "data", "text"][: len(columns)])
+            ends = batch.column(1).offsets.to_numpy()
+            flat = batch.column(1).values.to_numpy(zero_copy_only=False)
+            step = 64  # rows at a time: their ids become Python numbers for the table lookup
+            for a in range(0, batch.num_rows, step):
+                rows = [flat[i:j] for i, j in zip(ends[a : a + step], ends[a + 1 : a + step + 1])]
+                data = [b"".join(map(table.__getitem__, ids.tolist())) for ids in rows]
+                columns = [batch.column(0).slice(a, step), pa.array(map(len, rows), pa.int64()),
+                           pa.array([ids.astype("<u4").tobytes() for ids in rows], pa.binary()), pa.array(data, pa.binary())]
+                if with_text:
+                    columns.append(pa.array([d.decode("utf-8", "replace") for d in data], pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return src.mapInArrow(run, schema).withColumnRenamed("id", id_col)
 
 
 def digests(decoded: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """(id, n_tokens, ids_sha256, decoded_sha256) of what ``decode`` returns."""
-    src = decoded.select(F.col(id_col).alias("id"), "ids", F.sha2("data", 256).alias("decoded_sha256"))
-    schema = f"id {src.schema['id'].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(1)
-            ends = ids.offsets.to_pylist()
-            flat = ids.values.to_numpy(zero_copy_only=False).astype("<u4")
-            sums = [hashlib.sha256(flat[a:b]).hexdigest() for a, b in zip(ends, ends[1:])]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([b - a for a, b in zip(ends, ends[1:])], pa.int64()), pa.array(sums), batch.column(2)],
-                names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return src.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return decoded.select(id_col, "n_tokens", F.sha2("packed", 256).alias("ids_sha256"), F.sha2("data", 256).alias("decoded_sha256"))
 
 
 def described_ranks(spark: SparkSession, path: str):
