@@ -291,7 +291,8 @@ def with_rolling_corr(df: DataFrame, x: str, y: str, w: WindowSpec, n: int, out:
         xe, ye = F.col(x).cast(exact_type), F.col(y).cast(exact_type)
         cnt_e = F.lit(1)
     p = f"__c_{out}_"
-    sums = {p + "n": cnt_e.cast("bigint"), p + "sx": xe, p + "sy": ye, p + "sxx": xe * xe, p + "syy": ye * ye,
+    paired = F.when(F.col(x).isNotNull() & F.col(y).isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("bigint")
+    sums = {p + "np": paired, p + "n": cnt_e.cast("bigint"), p + "sx": xe, p + "sy": ye, p + "sxx": xe * xe, p + "syy": ye * ye,
             p + "sxy": xe * ye}
     d = _frame_sums(df, sums, n, w)
     k, sx, sy = F.col(p + "n"), F.col(p + "sx"), F.col(p + "sy")
@@ -300,5 +301,6 @@ def with_rolling_corr(df: DataFrame, x: str, y: str, w: WindowSpec, n: int, out:
     vy = (ke * F.col(p + "syy") - sy * sy).cast("double")
     cov = (ke * F.col(p + "sxy") - sx * sy).cast("double")
     prod = vx * vy
-    ok = (k > 1) if mode == "parity" else (k >= min_pairs)
+    # a frame without a complete pair has no sum of products
+    ok = (k > 1) & (F.col(p + "np") > 0) if mode == "parity" else (k >= min_pairs)
     return d.withColumn(out, F.when(ok & (prod > 0), cov / F.sqrt(prod))).drop(*sums)

@@ -51,6 +51,8 @@ def _id(c: str) -> dict:
     return {"spark_number": lambda: F.col(c).cast("bigint"), "sql_number": f"CAST({c} AS BIGINT)"}
 
 
+#: Averages and scaled sums: cut to four places before they become text, the same way in any engine.
+FRACTIONS = ("close", "rate_value", "exchange_rate", "price", "value")
 _STATEMENT = ("ticker", "period", "year")
 SOURCES = {
     "index_price_eod": Source(P.index_price_eod, "idx", ("index_name", "trading_date", "close"), **_day("trading_date")),
@@ -91,7 +93,8 @@ def bronze(spark: SparkSession, d: str, name: str) -> DataFrame:
                 cols.append(F.lit(None).cast("string").alias(c))
             elif c in numbers:
                 i = numbers.index(c)
-                value = F.col(c).cast("decimal(38,4)") + F.lit(correction if i == 0 else 0)
+                own = F.floor(F.col(c) * 10000).cast("decimal(18,0)") * F.lit("0.0001").cast("decimal(5,4)") if c in FRACTIONS else F.col(c)
+                value = own.cast("decimal(38,4)") + F.lit(correction if i == 0 else 0)
                 cols.append(F.when(at % (5 + i) == 0, F.lit(_DIRT[i % 4])).otherwise(value.cast("decimal(38,4)").cast("string")).alias(c))
             else:
                 cols.append(F.col(c).cast("string").alias(c))
@@ -111,8 +114,9 @@ def _text_sql(name: str, correction: int, where: str, at: str) -> str:
             cols.append(f"CAST(NULL AS VARCHAR) AS {c}")
         elif c in numbers:
             i = numbers.index(c)
+            own = f"CAST(CAST(FLOOR({c} * 10000) AS BIGINT) AS DECIMAL(18,0)) * CAST('0.0001' AS DECIMAL(5,4))" if c in FRACTIONS else c
             cols.append(f"CASE WHEN {src.sql_number} % {5 + i} = 0 THEN '{_DIRT[i % 4]}' "
-                        f"ELSE CAST(CAST({c} AS DECIMAL(38,4)) + {correction if i == 0 else 0} AS VARCHAR) END AS {c}")
+                        f"ELSE CAST(CAST({own} AS DECIMAL(38,4)) + {correction if i == 0 else 0} AS VARCHAR) END AS {c}")
         else:
             cols.append(f"CAST({c} AS VARCHAR) AS {c}")
     return f"SELECT {', '.join(cols)}, TIMESTAMP '{at}' AS loaded_at FROM {src.cte} {where}"

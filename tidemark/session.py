@@ -28,7 +28,7 @@ ENGINE_CONF = {
 
 # Upper bound for a side we hint as broadcast.  Anything larger is left to the
 # planner (sort-merge, or an AQE runtime switch once real sizes are known).
-BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
+BROADCAST_LIMIT_BYTES = 16 * 1024 * 1024
 
 
 def get_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "tidemark") -> SparkSession:
@@ -122,7 +122,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def estimated_bytes(df: DataFrame) -> int | None:
     """Optimizer's size estimate for ``df`` (None when the plan offers none)."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # noqa: BLE001 - connect sessions / exotic plans
         return None
 
