@@ -68,9 +68,10 @@ def test_op5_whole_table(spark):
     assert shown(QUERIES["op5_embedding_dedup"](spark, SF)) == vectors_by_hand(rows)
 
 
-def test_op5_cells_blocks_and_odd_rows(spark, monkeypatch):
-    monkeypatch.setattr(embedding_dedup, "CELL", 20)
-    monkeypatch.setattr(embedding_dedup, "LEAST_BLOCK", 8)
+@pytest.mark.parametrize(("cells", "block"), [(15, 8), (1, 1000), (5, 40)])
+def test_op5_cells_blocks_and_odd_rows(spark, monkeypatch, cells, block):
+    monkeypatch.setattr(embedding_dedup, "CELLS", (cells,))
+    monkeypatch.setattr(embedding_dedup, "BLOCK", block)
     r = np.random.default_rng(3)
     rows = []
     for c in r.normal(size=(12, 8)):
@@ -118,8 +119,8 @@ def test_op10_odd_rows(spark, odd_docs, no_docs):
     assert jaccard_join.near_duplicates(no_docs).count() == 0
 
 
-@pytest.mark.parametrize(("leaf", "pivots", "levels"), [(4, 2, 3), (6, 3, 1), (3, 2, 0)])
-def test_op10_recursion_and_blocks(spark, leaf, pivots, levels):
+@pytest.mark.parametrize(("leaf", "pivots", "levels", "pairs"), [(4, 2, 3, 0), (6, 3, 1, 0), (3, 2, 8, 60)])
+def test_op10_recursion_and_blocks(spark, leaf, pivots, levels, pairs):
     """Chains of edits around the threshold in one large region, with a common passage."""
     r = random.Random(leaf)
     words = [f"w{i}" for i in range(400)]
@@ -133,7 +134,7 @@ def test_op10_recursion_and_blocks(spark, leaf, pivots, levels):
             rows.append((len(rows), " ".join(base)))
     rows += [(len(rows) + k, " ".join(passage + [r.choice(words) for _ in range(6 + k % 3)])) for k in range(12)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    got = triples(jaccard_join.near_duplicates(docs, leaf=leaf, n_pivots=pivots, levels=levels, chunk_bytes=3000))
+    got = triples(jaccard_join.near_duplicates(docs, leaf=leaf, n_pivots=pivots, levels=levels, pairs=pairs, block_bytes=3000))
     assert got == documents_by_hand(rows)
 
 
@@ -144,8 +145,7 @@ def test_op10_prefixes_and_local_links(sets):
     inter = jaccard_join.intersections(arrays, step=4)
     assert inter[~np.eye(len(sets), dtype=bool)].tolist() == [len(a & b) for i, a in enumerate(sets) for j, b in enumerate(sets) if i != j]
     values, count = np.unique(np.concatenate(arrays), return_counts=True)
-    shared, often = values[count > 1], count[count > 1].astype(np.uint64)
-    firsts = [set(jaccard_join.prefix(a, shared, often).tolist()) for a in arrays]
+    firsts = [set(jaccard_join.prefix(a, count[np.searchsorted(values, a)]).tolist()) for a in arrays]
     pairs = [(i, j) for i in range(len(sets)) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])]
     assert all(firsts[i] & firsts[j] for i, j in pairs)
     links = dict(jaccard_join.local_links(np.arange(len(sets)), arrays))

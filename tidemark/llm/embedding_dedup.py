@@ -1,8 +1,9 @@
 """Embedding near-duplicates by spherical k-means cells (operator 5).
 
 Rows with equal label and vector are one class, so copies are compared once.
-Unit centroids are fitted on a bounded sample; they only deal out the work, the
-links are exact: two unit vectors with cosine >= t are at most r = sqrt(2 - 2t)
+Unit centroids are fitted on a bounded sample; their number is the one by which the
+sample's cells promise the least work.  They only deal out the work, the links are
+exact: two unit vectors with cosine >= t are at most r = sqrt(2 - 2t)
 apart, so a vector x of cell i is also sent to every cell j < i whose border is
 within r, that is x.(c_i - c_j) <= r |c_i - c_j|.  A pair across cells is then
 compared in the lower cell, once.  A cell's rows are split into blocks and every
@@ -30,9 +31,9 @@ from tidemark.session import small_side
 
 THRESHOLD = 0.98
 SAMPLE = 20_000  # vectors that centroids are fitted on
-CELL = 500  # vectors a cell, on average
-MOST_CELLS = 1024
-BLOCKS, LEAST_BLOCK, LARGEST_BLOCK = 28, 128, 2000
+CELLS = (1, 4, 16, 64, 256, 1024)  # numbers of centroids to choose from
+BLOCK = 1000  # vectors of a cell that are compared with as many others in one group
+ROW_COST, PAIR_COST = 10e-6, 20e-9  # seconds to send a vector, to compare a pair
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -63,6 +64,16 @@ def cells_of(x: np.ndarray, c: np.ndarray, threshold: float) -> tuple[np.ndarray
     return home, [np.flatnonzero(row) for row in near]
 
 
+def expected_cost(x: np.ndarray, labels: np.ndarray, c: np.ndarray, threshold: float, times: float) -> float:
+    """Seconds that comparing within the cells of centroids ``c`` would take, for ``times`` as many vectors as ``x``."""
+    home, others = cells_of(x, c, threshold)
+    cell = np.concatenate([home, *others])
+    label = np.concatenate([labels, np.repeat(labels, [len(o) for o in others])])
+    _, rows = np.unique(np.stack([cell, label]), axis=1, return_counts=True)
+    rows = rows * times
+    return float((ROW_COST * rows * np.ceil(rows / BLOCK) + PAIR_COST * rows * rows / 2).sum())
+
+
 def block_links(ids: np.ndarray, x: np.ndarray, n: np.ndarray, allowed: np.ndarray, threshold: float) -> pd.DataFrame:
     """(cid, links, root) of the vectors with a link among the allowed pairs."""
     norms = np.sqrt((x * x).sum(axis=1))
@@ -82,7 +93,7 @@ def block_links(ids: np.ndarray, x: np.ndarray, n: np.ndarray, allowed: np.ndarr
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, id_col: str = "vec_id", vector_col: str = "embedding",
                     label_col: str = "label", sample: int = SAMPLE) -> DataFrame:
     """(id, n_links, component_id, kept), one row per vector."""
-    rows = vectors.select(F.col(id_col).alias("id"), F.col(label_col).alias("label"), F.col(vector_col).cast("array<double>").alias("x"))
+    rows = vectors.select(F.col(id_col).alias("id"), F.col(label_col).alias("label"), F.col(vector_col).alias("x"))
     good = (F.col("label").isNotNull() & F.col("x").isNotNull()
             & F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists("x", lambda v: v != 0))
     classes = (rows.where(good).groupBy("label", "x").agg(F.count("*").alias("n"), F.min("id").alias("rep"))
@@ -90,17 +101,17 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, id_col: st
     classes = staged(classes, "classes")
     total = classes.count()
 
-    picked = classes.orderBy(F.xxhash64("cid"), "cid").limit(sample).select("x").toPandas()["x"]  # bounded by ``sample``
-    by_size: dict[int, list] = {}
-    for v in picked:
-        by_size.setdefault(len(v), []).append(v)
-    k = min(MOST_CELLS, max(1, total // CELL))
-    centroids = {size: fit_centroids(np.array(vs), max(1, round(k * len(vs) / len(picked)))) for size, vs in by_size.items()}
+    picked = classes.orderBy(F.xxhash64("cid"), "cid").limit(sample).select("label", "x").toPandas()  # bounded by ``sample``
+    centroids = {}
+    for size, own in picked.groupby(picked["x"].map(len)):
+        x, labels = np.array(own["x"].tolist(), float), own["label"].to_numpy()
+        options = [fit_centroids(x, k) for k in CELLS if k <= len(x) // 4] or [fit_centroids(x, 1)]
+        centroids[size] = min(options, key=lambda c: expected_cost(x, labels, c, threshold, total / len(picked)))
 
     def deal(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             for size, own in part.groupby(part["x"].map(len)):
-                x = np.array(own["x"].tolist())
+                x = np.array(own["x"].tolist(), float)
                 home, others = cells_of(x, centroids[size], threshold) if size in centroids else (np.zeros(len(x), int), [[]] * len(x))
                 at = np.repeat(np.arange(len(x)), [1 + len(o) for o in others])
                 cell = np.concatenate([[h, *o] for h, o in zip(home, others)])
@@ -109,25 +120,22 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, id_col: st
 
     kind = classes.schema["label"].dataType.simpleString()
     dealt = staged(classes.select("label", "cid", "n", "x").mapInPandas(
-        deal, f"label {kind}, size int, cell long, home long, cid long, n long, x array<double>"), "cells")
+        deal, f"label {kind}, size int, cell long, home long, cid long, n long, x " + classes.schema["x"].dataType.simpleString()), "cells")
 
     cell = ["label", "size", "cell"]
-    count = F.col("count")
-    # split for balance up to BLOCKS blocks, then so that no block grows beyond LARGEST_BLOCK rows
-    blocks = F.greatest(F.ceil(count / LARGEST_BLOCK), F.least(F.lit(BLOCKS), F.ceil(count / LEAST_BLOCK)))
-    sizes = staged(dealt.groupBy(*cell).count().select(*cell, blocks.alias("blocks")), "cell-sizes")
+    sizes = staged(dealt.groupBy(*cell).count().select(*cell, F.ceil(F.col("count") / BLOCK).alias("blocks")), "cell-sizes")
     own = F.pmod(F.xxhash64("cid"), F.col("blocks"))
     paired = (dealt.join(small_side(sizes), cell).withColumn("block", own)
               .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1)))
               .withColumns({"b1": F.least("block", "other"), "b2": F.greatest("block", "other")}))
 
-    def compare(key, part: pd.DataFrame) -> pd.DataFrame:
+    def compare(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         here, b1, b2 = key[2], key[3], key[4]
         home, block = part["home"].to_numpy(), part["block"].to_numpy()
         own = home == here
         allowed = own[:, None] | own[None]  # two guests of a cell are compared where one of them is at home
         allowed &= block[:, None] != block[None] if b1 != b2 else ~np.eye(len(part), dtype=bool)
-        return block_links(part["cid"].to_numpy(), np.array(part["x"].tolist()), part["n"].to_numpy(), allowed, threshold)
+        return block_links(part["cid"].to_numpy(), np.array(part["x"].tolist(), float), part["n"].to_numpy(), allowed, threshold)
 
     found = staged(paired.groupBy(*cell, "b1", "b2").applyInPandas(compare, "cid long, links long, root long"), "links")
     linked = components(found.select(F.col("cid").alias("a"), F.col("root").alias("b")))

@@ -11,9 +11,9 @@ metric can tell them apart.  So the first split is by what a pair within D must
 share: of each set's shingles, rarest first, one of the first |x| - ceil(0.75|x|) + 1
 is common to both (any order that is the same everywhere will do).  Texts that
 share none are done; those that do are connected into the first regions, which
-meet only inside.  Shingle frequencies are counted over all texts: chunks of text
-send each distinct shingle once to a bucket of the hash space, which returns the
-ones that several texts hold.
+meet only inside.  Shingle frequencies are counted over all texts: blocks of texts
+send each distinct shingle once to a bucket of the hash space, which answers how many
+texts hold it.
 
 Only components are asked for, so a region whose members are already connected is
 done: in a dense group of near copies one round of pivots links nearly all, and the
@@ -33,77 +33,67 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import partitions_for, staged
 from tidemark.llm.components import components
+from tidemark.llm.text_blocks import Words, blocks, expand, expand_sorted, mixed, slices_of, squeeze, squeeze_sorted, texts_of
 from tidemark.session import small_side
 
 WORDS = 5
 PERCENT = 75
-CHUNK_BYTES = 3_000_000
+BLOCK_BYTES = 4_000_000
 BUCKET_BYTES = 12_000_000
 LEAF = 256  # texts a region may have to be compared at once
 PIVOTS = 16
-LEVELS = 4  # rounds of pivots before what is left of a region is compared block by block
-REMEMBERED = 500_000  # word hashes a worker process keeps; only saves time
+PAIRS = 4_000_000  # comparisons of a region that are done block by block rather than divided further
+LEVELS = 8  # rounds of pivots at most; then blocks compare what is left, however much it is
 
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
+KEY_BITS = np.uint64(16)  # frequencies are counted by the first 48 bits of a hash: any order that is the same everywhere will do
 
 
-class _WordHash(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > REMEMBERED:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
-
-
-_word_hash = _WordHash()
-
-
-def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    return (h ^ (h >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+def _combined(h: np.ndarray, size: int) -> np.ndarray:
+    n = len(h) - size + 1
+    out = np.full(n, size, np.uint64)
+    for i in range(size):
+        out = mixed(out + h[i : i + n] * _FACTORS[i % len(_FACTORS)])
+    return out
 
 
-def shingles(text: str | None, size: int = WORDS) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of a text's word runs."""
-    ws = (text or "").encode("utf-8", "replace").lower().split()
-    if not ws:
-        return np.zeros(0, np.uint64)
-    if len(ws) < size:
-        return np.array([xxhash.xxh64_intdigest(b" ".join(ws), seed=len(ws))], np.uint64)
-    h = np.fromiter(map(_word_hash.__getitem__, ws), np.uint64, len(ws))
-    n = len(ws) - size + 1
-    out = np.zeros(n, np.uint64)
-    for i in range(size):
-        out = _mixed(out + h[i : i + n] * _FACTORS[i % len(_FACTORS)])
-    return np.unique(out)
+def shingle_sets(texts: list[bytes], size: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct 64-bit hashes of each text's word runs, all texts in a row, and the size of each set."""
+    words = Words(texts)
+    n = words.counts
+    ends = np.cumsum(n)
+    runs = _combined(words.hashes, size) if len(words.hashes) >= size else np.zeros(0, np.uint64)
+    out, sizes = [], np.zeros(len(texts), np.int64)
+    for k, (end, count) in enumerate(zip(ends.tolist(), n.tolist())):
+        if count >= size:
+            own = np.unique(runs[end - count : end - size + 1])
+        elif count:
+            own = _combined(words.hashes[end - count : end], count)
+        else:
+            continue
+        out.append(own)
+        sizes[k] = len(own)
+    return np.concatenate(out) if out else np.zeros(0, np.uint64), sizes
 
 
 def required(size: np.ndarray | int, percent: int = PERCENT):
     return -(-size * percent // 100)
 
 
-def prefix(own: np.ndarray, shared: np.ndarray, often: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """Those of a set's first shingles, rarest first, that other texts hold too.
-
-    ``shared``: sorted hashes held by several texts, ``often``: by how many.
-    """
+def prefix(own: np.ndarray, often: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """Those of a set's first shingles, rarest first, that other texts hold too; ``often``: by how many each is held."""
     length = len(own) - required(len(own), percent) + 1
-    if not len(shared):
-        return own[:0]
-    at = np.minimum(np.searchsorted(shared, own), len(shared) - 1)
-    known = shared[at] == own
-    left = length - int((~known).sum())
+    shared = often > 1
+    left = length - int((~shared).sum())
     if left <= 0:
         return own[:0]
-    mine, count = own[known], often[at[known]]
-    return mine[np.lexsort((mine, count))[:left]]
+    mine = own[shared]
+    return mine[np.lexsort((mine, often[shared]))[:left]]
 
 
 def intersections(sets: list[np.ndarray], step: int = 16_384) -> np.ndarray:
@@ -147,70 +137,62 @@ def _unpack(sets) -> list[np.ndarray]:
 
 # ------------------------------------------------------------------ chunks, buckets, prefixes
 
-def _chunks(docs: DataFrame, n_chunks: int) -> DataFrame:
-    """(chunk, sha, text): distinct texts, dealt out by their hash; each task sends a text once."""
-    src = docs.select(F.sha2("text", 256).alias("sha"), "text")
+def _block_sets(payloads, size: int) -> tuple[list[str], np.ndarray, np.ndarray]:
+    shas, texts, _ = texts_of(payloads)
+    parts = [shingle_sets(run, size) for _, run in slices_of(texts)]
+    return shas, np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[str] = set()
-        for batch in batches:
-            shas = batch.column(0).to_pylist()
-            fresh = [i for i, s in enumerate(shas) if not (s in seen or seen.add(s))]
-            yield batch.take(pa.array(fresh, pa.int64()))
 
-    dealt = src.mapInArrow(run, "sha string, text string")
-    return dealt.select(F.pmod(F.conv(F.substring("sha", 1, 12), 16, 10).cast("long"), F.lit(n_chunks)).alias("chunk"), "sha", "text")
+def _cuts(keys: np.ndarray, n_buckets: int) -> np.ndarray:
+    return np.searchsorted(keys, (np.arange(1, n_buckets, dtype=np.float64) * (2.0**48 / n_buckets)).astype(np.uint64))
 
 
-def _sets(part: pd.DataFrame, size: int) -> dict[str, np.ndarray]:
-    return {sha: shingles(text, size) for sha, text in zip(part["sha"], part["text"])}
-
-
-def candidates(docs: DataFrame, n_chunks: int, n_buckets: int, percent: int, size: int) -> DataFrame:
+def candidates(docs: DataFrame, n_blocks: int, n_buckets: int, percent: int, size: int) -> DataFrame:
     """(sha, n, prefix, members): set size of every distinct text; prefix and set of those that may have partners."""
-    chunks = _chunks(docs, n_chunks)
+    dealt = blocks(docs.select("text", F.lit(1).alias("weight")), n_blocks)
 
     def send(part: pd.DataFrame) -> pd.DataFrame:
-        sets = list(_sets(part, size).values())
-        own, count = np.unique(np.concatenate(sets), return_counts=True)
-        cuts = np.searchsorted(own, (np.arange(1, n_buckets, dtype=np.float64) * (2.0**64 / n_buckets)).astype(np.uint64))
-        rows = [(b, int(part["chunk"].iloc[0]), h.astype("<u8").tobytes(), c.astype("<u4").tobytes())
-                for b, (h, c) in enumerate(zip(np.split(own, cuts), np.split(count, cuts))) if len(h)]
-        return pd.DataFrame(rows, columns=["bucket", "chunk", "hashes", "counts"])
+        _, flat, _ = _block_sets(part["payload"], size)
+        keys, count = np.unique(flat >> KEY_BITS, return_counts=True)
+        cuts = _cuts(keys, n_buckets)
+        rows = [(b, int(part["block"].iloc[0]), squeeze_sorted(k), squeeze(c))
+                for b, (k, c) in enumerate(zip(np.split(keys, cuts), np.split(count, cuts))) if len(k)]
+        return pd.DataFrame(rows, columns=["bucket", "block", "keys", "counts"])
 
-    sent = chunks.groupBy("chunk").applyInPandas(send, "bucket long, chunk long, hashes binary, counts binary")
+    sent = dealt.groupBy("block").applyInPandas(send, "bucket long, block long, keys binary, counts binary")
 
     def share(part: pd.DataFrame) -> pd.DataFrame:
-        hashes = _unpack(part["hashes"])
-        flat = np.concatenate(hashes)
+        keys = [expand_sorted(k) for k in part["keys"]]
+        flat = np.concatenate(keys)
         order = np.argsort(flat)
-        # one entry a chunk; a hash is shared if its counts add up to two or more
         starts = np.flatnonzero(np.concatenate([[True], flat[order][1:] != flat[order][:-1]]))
-        counts = np.concatenate([np.frombuffer(c, "<u4") for c in part["counts"]])[order].astype(np.uint64)
-        total = np.add.reduceat(counts, starts)
+        counts = np.concatenate([expand(c) for c in part["counts"]])[order]
         each = np.empty(len(flat), np.uint64)
-        each[order] = np.repeat(total, np.diff(np.append(starts, len(flat))))
-        rows, at = [], 0
-        for chunk, own in zip(part["chunk"], hashes):
-            often = each[at : at + len(own)]
-            at += len(own)
-            if (often > 1).any():
-                rows.append((chunk, own[often > 1].tobytes(), often[often > 1].astype("<u8").tobytes()))
-        return pd.DataFrame(rows, columns=["chunk", "hashes", "often"])
+        each[order] = np.repeat(np.add.reduceat(counts, starts), np.diff(np.append(starts, len(flat))))
+        often = np.split(each, np.cumsum([len(k) for k in keys])[:-1])
+        return pd.DataFrame({"block": part["block"], "bucket": part["bucket"], "often": [squeeze(o) for o in often]})
 
-    returned = sent.groupBy("bucket").applyInPandas(share, "chunk long, hashes binary, often binary")
+    returned = sent.groupBy("bucket").applyInPandas(share, "block long, bucket long, often binary")
 
     def choose(part: pd.DataFrame, back: pd.DataFrame) -> pd.DataFrame:
-        back = back.assign(first=[np.frombuffer(h, "<u8", 1)[0] for h in back["hashes"]]).sort_values("first")  # buckets are ranges
-        shared = np.concatenate([np.zeros(0, np.uint64), *_unpack(back["hashes"])])
-        often = np.concatenate([np.zeros(0, np.uint64), *_unpack(back["often"])])
+        shas, flat, sizes = _block_sets(part["payload"], size)
+        # buckets are ranges of keys, and answer in the order they were asked
+        often = np.concatenate([np.zeros(0, np.uint64), *(expand(o) for o in back.sort_values("bucket")["often"])])
+        keys, inverse = np.unique(flat >> KEY_BITS, return_inverse=True)
+        each = often[inverse]
+        ends = np.cumsum(sizes)
+        alone = np.concatenate([[0], np.cumsum(each == 1)])
+        may = sizes - required(sizes, percent) + 1 > alone[ends] - alone[ends - sizes]
         rows = []
-        for sha, own in (_sets(part, size) if len(part) else {}).items():
-            first = prefix(own, shared, often, percent) if len(own) else own
-            rows.append((sha, len(own), first.astype(np.int64), own.astype("<u8").tobytes() if len(first) else None))
+        for sha, n, end, likely in zip(shas, sizes.tolist(), ends.tolist(), may.tolist()):
+            first, own = (), None
+            if n and likely:
+                first = prefix(flat[end - n : end], each[end - n : end], percent).astype(np.int64)
+                own = flat[end - n : end].astype("<u8").tobytes()
+            rows.append((sha, n, first, own))
         return pd.DataFrame(rows, columns=["sha", "n", "prefix", "members"])
 
-    return chunks.groupBy("chunk").cogroup(returned.groupBy("chunk")).applyInPandas(choose, "sha string, n long, prefix array<long>, members binary")
+    return dealt.groupBy("block").cogroup(returned.groupBy("block")).applyInPandas(choose, "sha string, n long, prefix array<long>, members binary")
 
 
 # ------------------------------------------------------------------ regions
@@ -223,15 +205,15 @@ def _leaf(part: pd.DataFrame, percent: int) -> pd.DataFrame:
 
 
 def _near_pivots(rows: DataFrame, pivots: DataFrame, percent: int) -> DataFrame:
-    """(cid, pivot, cells): each text's linked pivots, and the regions it goes to."""
+    """(region, before, cid, members, linked, cells): each text's linked pivots, and the cells it goes to."""
     window = 2 * (1 - percent / 100) + 1e-9
-    met = rows.join(pivots, "region").select("region", "cid", "members", "pivots")
+    met = rows.join(pivots, "region").select("region", "before", "cid", "members", "pivots")
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[int, tuple] = {}
         for part in parts:
             out = []
-            for region, cid, members, pivots in zip(part["region"], part["cid"], part["members"], part["pivots"]):
+            for region, before, cid, members, pivots in zip(part["region"], part["before"], part["cid"], part["members"], part["pivots"]):
                 if region not in held:
                     held.clear()  # a partition's rows come sorted by region
                     sets = _unpack([p["members"] for p in pivots])
@@ -249,78 +231,87 @@ def _near_pivots(rows: DataFrame, pivots: DataFrame, percent: int) -> DataFrame:
                 home = int(distance.argmin())
                 cells = [home, *np.flatnonzero(distance[:home] <= distance[home] + window).tolist()]
                 linked = [names[j] for j in np.flatnonzero(100 * both >= percent * union) if names[j] != cid]
-                out.append((region, cid, members, linked, cells))
-            yield pd.DataFrame(out, columns=["region", "cid", "members", "linked", "cells"])
-
-    return met.mapInPandas(run, "region long, cid long, members binary, linked array<long>, cells array<int>")
-
-
-def region_links(rows: DataFrame, percent: int = PERCENT, leaf: int = LEAF, n_pivots: int = PIVOTS, levels: int = LEVELS) -> DataFrame:
-    """Edges that connect exactly the linked texts of each region; ``rows``: (region, cid, members)."""
-    edges = None
-    spark = rows.sparkSession
-    rows = rows.withColumn("comp", F.col("cid"))
-
-    def more(found: DataFrame) -> DataFrame:
-        found = staged(found.select("a", "b"), "edges")
-        return found if edges is None else edges.union(found)
-
-    for level in range(levels + 1):
-        sizes = rows.groupBy("region").agg(F.count("*").alias("size"), F.min("comp").alias("major"))
-        if edges is not None:
-            # texts that are connected already need no comparison; a region of one component is done
-            comps = staged(components(edges), "components")
-            rows = rows.drop("comp").join(small_side(comps.select(F.col("node").alias("cid"), F.col("component").alias("comp"))), "cid", "left")
-            rows = rows.withColumn("comp", F.coalesce("comp", "cid"))
-            counted = staged(rows.groupBy("region", "comp").agg(F.count("*").alias("n")), "counted")
-            sizes = counted.groupBy("region").agg(F.sum("n").alias("size"), F.max_by("comp", "n").alias("major"), F.count("*").alias("kinds")).where("kinds > 1")
-        sizes = staged(sizes.where("size > 1"), "sizes")
-        if not sizes.head(1):
-            break
-        sized = rows.join(small_side(sizes), "region")
-        small = sized.where(F.col("size") <= leaf).groupBy("region").applyInPandas(lambda p: _leaf(p, percent), EDGE)
-        large = sized.where(F.col("size") > leaf)
-        if not sizes.where(F.col("size") > leaf).head(1):
-            edges = more(small)
-            break
-        if level == levels:
-            edges = more(small.union(_by_blocks(large, percent, leaf)))
+                out.append((region, before, cid, members, linked, cells))
+            yield pd.DataFrame(out, columns=["region", "before", "cid", "members", "linked", "cells"])
+
+    return met.mapInPandas(run, "region long, before long, cid long, members binary, linked array<long>, cells array<int>")
+
+
+def region_links(rows: DataFrame, percent: int = PERCENT, leaf: int = LEAF, n_pivots: int = PIVOTS, levels: int = LEVELS,
+                 pairs: int = PAIRS) -> DataFrame:
+    """Edges that connect exactly the linked texts of each region; ``rows``: (region, size, cid, members).
+
+    A round compares small regions at once and gives large ones pivots.  Then a region
+    whose texts are all connected is done.  What is left to compare in a region is its
+    texts outside the largest component, with all others: if that is little, or pivots
+    no longer make the region smaller, blocks are compared; else its Voronoi cells are
+    the next round's regions.
+    """
+    sized = rows.withColumns({"before": F.lit(0).cast("long"), "major": F.lit(-1).cast("long"), "n_major": F.lit(0).cast("long"), "comp": F.col("cid")})
+    edges = rows.sparkSession.createDataFrame([], EDGE)
+    level = 0
+    while sized.head(1):
+        rest = (F.col("size") - F.col("n_major")) * F.col("size")
+        stuck = (F.lit(level >= levels) | (rest <= pairs) | ((F.col("before") > 0) & (F.col("size") > 0.7 * F.col("before")))) & F.lit(level > 0)
+        sized = sized.withColumn("way", F.when(F.col("size") <= leaf, 0).when(stuck, 1).otherwise(2))
+        small = sized.where("way = 0").groupBy("region").applyInPandas(lambda p: _leaf(p, percent), EDGE)
+        edges = edges.union(staged(small.union(_by_blocks(sized.where("way = 1"), percent, leaf)), "edges"))
+        large = sized.where("way = 2")
+        if not large.head(1):
             break
-        edges_now = staged(small, "edges")
-        edges = edges_now if edges is None else edges.union(edges_now)
         rank = F.row_number().over(Window.partitionBy("region").orderBy(F.xxhash64(F.lit(level), "cid"), "cid"))
         chosen = large.withColumn("rank", rank).where(F.col("rank") <= n_pivots)
         pivots = staged(chosen.groupBy("region").agg(F.collect_list(F.struct("cid", "members")).alias("pivots")), "pivots")
-        near = staged(_near_pivots(large.select("region", "cid", "members"), pivots, percent), "regions")
-        edges = more(near.select(F.col("cid").alias("a"), F.explode("linked").alias("b")))
-        rows = near.select(F.explode("cells").alias("cell"), "region", "cid", "members").select(
-            F.xxhash64("region", "cell", F.lit(level)).alias("region"), "cid", "members", F.col("cid").alias("comp"))
-    return edges if edges is not None else spark.createDataFrame([], EDGE)
+        near = staged(_near_pivots(large.select("region", "cid", "members", F.col("size").alias("before")), pivots, percent), "cells")
+        edges = edges.union(staged(near.select(F.col("cid").alias("a"), F.explode("linked").alias("b")), "edges"))
+        comps = staged(components(edges), "components").select(F.col("node").alias("cid"), F.col("component").alias("comp"))
+        # the region itself is done, or little is left of it, or its cells go on
+        known = staged(near.select("region", "before", "cid", "members", "cells").join(small_side(comps), "cid", "left")
+                       .withColumn("comp", F.coalesce("comp", "cid")), "connected")
+        whole = _sizes(known.select("region", "comp"))
+        done = small_side(staged(whole.where((F.col("size") - F.col("n_major")) * F.col("size") <= pairs), "little-left"))
+        little = known.join(done, "region")
+        edges = edges.union(staged(_by_blocks(little, percent, leaf), "edges"))
+        cells = known.join(done.select("region"), "region", "left_anti").select(F.explode("cells").alias("cell"), "region", "before", "cid", "members", "comp")
+        rows = staged(cells.select(F.xxhash64("region", "cell", F.lit(level)).alias("region"), "before", "cid", "members", "comp"), "regions")
+        sizes = staged(_sizes(rows.select("region", "comp")).where("size > n_major"), "sizes")
+        # written, so that a large region's rows may be split in this join
+        sized = staged(rows.join(small_side(sizes), "region"), "sized")
+        level += 1
+    return edges
+
+
+def _sizes(rows: DataFrame) -> DataFrame:
+    """(region, size, major, n_major): a region's texts, its largest component and that one's size."""
+    counted = rows.groupBy("region", "comp").agg(F.count("*").alias("n"))
+    return counted.groupBy("region").agg(F.sum("n").alias("size"), F.max(F.struct("n", "comp")).alias("m")).select(
+        "region", "size", F.col("m.comp").alias("major"), F.col("m.n").alias("n_major"))
 
 
 def _by_blocks(large: DataFrame, percent: int, leaf: int) -> DataFrame:
-    """Compare what pivots could not divide, block by block.
+    """Compare what pivots need not or could not divide, block by block.
 
     Texts outside a region's largest component meet all blocks; blocks of the
     largest component need not meet each other.
     """
     half = max(1, leaf // 2)
-    major = (F.col("comp") == F.col("major")).cast("int")
-    dealt = large.withColumn("blocks", F.ceil(F.col("size") / half).cast("long")).withColumn("is_major", major)
-    dealt = dealt.withColumn("block", 2 * F.pmod(F.xxhash64("cid"), F.col("blocks")) + F.col("is_major"))
-    other = F.sequence(F.lit(0).cast("long"), 2 * F.col("blocks") - 1)
-    kept = F.filter(other, lambda b: (F.col("is_major") == 0) | (b % 2 == 0))
-    paired = dealt.withColumn("other", F.explode(kept)).withColumns({"b1": F.least("block", "other"), "b2": F.greatest("block", "other")})
+    inner = F.col("comp") == F.col("major")
+    n_inner, n_outer = F.ceil(F.col("n_major") / half), F.ceil((F.col("size") - F.col("n_major")) / half)
+    own = F.when(inner, F.pmod(F.xxhash64("cid"), n_inner)).otherwise(n_inner + F.pmod(F.xxhash64("cid"), F.greatest(n_outer, F.lit(1))))
+    lowest = F.when(inner, n_inner).otherwise(F.lit(0)).cast("long")
+    others = F.when(n_outer > 0, F.sequence(lowest, (n_inner + n_outer - 1).cast("long")))
+    paired = large.withColumn("block", own.cast("long")).withColumn("other", F.explode(others)).withColumns(
+        {"b1": F.least("block", "other"), "b2": F.greatest("block", "other")})
     return paired.select("region", "b1", "b2", "cid", "members").groupBy("region", "b1", "b2").applyInPandas(lambda p: _leaf(p, percent), EDGE)
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = WORDS, id_col: str = "doc_id", text_col: str = "text",
-                    leaf: int = LEAF, n_pivots: int = PIVOTS, levels: int = LEVELS, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+                    leaf: int = LEAF, n_pivots: int = PIVOTS, levels: int = LEVELS, pairs: int = PAIRS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(id, sha, n_shingles, component_id, group), one row per document; linked documents have the same group."""
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_chunks, n_buckets = partitions_for(total, chunk_bytes), partitions_for(1.5 * total, BUCKET_BYTES)
-    found = staged(candidates(rows, n_chunks, n_buckets, percent, size), "candidates")
+    n_blocks, n_buckets = partitions_for(total, block_bytes), partitions_for(total, BUCKET_BYTES)
+    found = staged(candidates(rows, n_blocks, n_buckets, percent, size), "candidates")
 
     # texts with the same set are one class
     likely = found.where(F.size("prefix") > 0)
@@ -330,8 +321,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = WORDS,
     least = staged(holders.groupBy("hash").agg(F.min("cid").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"), "least")
     meets = holders.join(least, "hash").select(F.col("cid").alias("a"), F.col("first").alias("b"))
     first = staged(components(meets.distinct()), "meets").select(F.col("node").alias("cid"), F.col("component").alias("region"))
-    regions = staged(classes.select("cid", "members").join(small_side(first), "cid").select("region", "cid", "members"), "first-regions")
-    linked = staged(components(region_links(regions, percent, leaf, n_pivots, levels)), "linked")
+    first = first.join(small_side(staged(first.groupBy("region").agg(F.count("*").alias("size")), "region-sizes")), "region")
+    regions = staged(classes.select("cid", "members").join(small_side(staged(first, "sized")), "cid").select("region", "size", "cid", "members"), "first-regions")
+    linked = staged(components(region_links(regions, percent, leaf, n_pivots, levels, pairs)), "linked")
 
     group = classes.select("sig", "cid").join(small_side(linked.withColumnRenamed("node", "cid")), "cid", "left").select(
         "sig", F.coalesce("component", "cid").alias("group"))
