@@ -85,18 +85,30 @@ def latest_window(df: DataFrame, spec: FeatureSpec = FeatureSpec(), fill: float
 
 
 def time_split(df: DataFrame, train_end, val_end, date_col: str = "trading_date") -> DataFrame:
-    """ML1: split column by inclusive cut dates; ``val_end`` before ``train_end`` is an error."""
+    """ML1: split column by inclusive cut dates; ``val_end`` before ``train_end`` is an error.
+
+    Cut dates are dates, or columns such as the fields of ``cut_dates``; for columns the
+    order is checked where the rows are split."""
     import datetime as dt
 
+    d = F.col(date_col)
+    if isinstance(train_end, Column):
+        te, ve = train_end, val_end
+        wrong = F.when(ve < te, F.raise_error(F.lit("val_end must not be before train_end")).cast("string"))
+        return df.withColumn("split", F.coalesce(wrong, F.when(d <= te, "train").when(d <= ve, "val").otherwise("test")))
     te, ve = (dt.date.fromisoformat(str(x)[:10]) for x in (train_end, val_end))
     if ve < te:
         raise ValueError("val_end must not be before train_end")
-    d = F.col(date_col)
     return df.withColumn(
         "split", F.when(d <= F.lit(te), "train").when(d <= F.lit(ve), "val").otherwise("test")
     )
 
 
+def cut_dates(df: DataFrame, date_col: str = "trading_date", target: str = TARGET) -> Column:
+    """``auto_cutoffs`` as a scalar subquery (struct train_end, val_end): no driver action while a query is built."""
+    return auto_cutoffs(df, date_col, target).select(F.struct("train_end", "val_end")).scalar()
+
+
 def auto_cutoffs(df: DataFrame, date_col: str = "trading_date", target: str = TARGET,
                  fracs: tuple[float, float] = (0.8, 0.9)) -> DataFrame:
     """AGG8 / ML2: one row (train_end, val_end) = newest date whose percent rank

@@ -44,4 +44,11 @@ def register(name: str, sql: str | None = None) -> Callable[[QueryFn], QueryFn]:
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from tidemark.plans import queries_features, queries_landing, queries_layers, queries_ml, queries_silver  # noqa: F401
+    from tidemark.plans import (  # noqa: F401
+        queries_features,
+        queries_io,
+        queries_landing,
+        queries_layers,
+        queries_ml,
+        queries_silver,
+    )

@@ -85,7 +85,7 @@ def auto_cutoffs(spark: SparkSession, d: str):
 def time_split(spark: SparkSession, d: str):
     """ML1 + ML4 + ML5: split by the auto cut dates, windows built inside each split."""
     fact = _labelled(spark, d)
-    cuts = S.auto_cutoffs(fact).first()  # two scalars
+    cuts = S.cut_dates(fact)
     split = S.time_split(fact, cuts["train_end"], cuts["val_end"])
     spec = S.FeatureSpec()
     labelled = split.where(F.col(spec.target).isNotNull())
@@ -145,7 +145,7 @@ _DRIFT = "price_momentum_1m / 6"
 def regression_metrics(spark: SparkSession, d: str):
     """AGG10/ML7: RMSE and MAE per split of a drift baseline (1-month momentum scaled to 5 days)."""
     fact = _labelled(spark, d, with_momentum=True)
-    cuts = S.auto_cutoffs(fact).first()
+    cuts = S.cut_dates(fact)
     split = S.time_split(fact.where(F.col(SPEC.target).isNotNull()), cuts["train_end"], cuts["val_end"])
     return M.rmse_mae(split, pred=F.col("price_momentum_1m") / 6, target=SPEC.target, by="split")
 
@@ -165,8 +165,8 @@ def regression_metrics(spark: SparkSession, d: str):
 def promotion(spark: SparkSession, d: str):
     """ML9: champion = drift baseline, challenger = zero forecast, on the test split."""
     fact = _labelled(spark, d, with_momentum=True)
-    cuts = S.auto_cutoffs(fact).first()
-    test = fact.where(F.col(SPEC.target).isNotNull() & (F.col("trading_date") > F.lit(cuts["val_end"])))
+    cuts = S.cut_dates(fact)
+    test = fact.where(F.col(SPEC.target).isNotNull() & (F.col("trading_date") > cuts["val_end"]))
     y = F.col(SPEC.target)
     m = test.agg(
         F.sqrt(F.avg(F.pow(F.col("price_momentum_1m") / 6 - y, 2))).alias("champion_rmse"),
@@ -210,8 +210,7 @@ def ml_scores(spark: SparkSession, d: str):
 
     fact = cut_lineage(build_model_frame(spark, d))
     samples = S.sample_windows(fact, SPEC)
-    cuts = S.auto_cutoffs(fact).first()
-    train = cut_lineage(samples.where(F.col("trading_date") <= F.lit(cuts["train_end"])))
+    train = cut_lineage(samples.where(F.col("trading_date") <= S.cut_dates(fact)["train_end"]))
     model = M.fit_regressor(train)
     latest = S.latest_window(lookback_slice(fact, "trading_date", days=90), SPEC)
     return M.score(model, latest)
