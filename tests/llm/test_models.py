@@ -13,6 +13,13 @@ from tidemark.llm import templates, tree_weighting as tw
 from tidemark.llm.queries import QUERIES
 
 
+END = bytes([tw.END])
+
+
+def body(text):
+    return b" ".join((text or "").encode().lower().split()) + END
+
+
 def kt(a, b):
     return math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - math.lgamma(a + b + 1) - math.log(math.pi)
 
@@ -23,7 +30,7 @@ class Direct:
     def __init__(self, bodies, depth):
         self.depth, self.n = depth, Counter()
         for b in bodies:
-            s = tw.END * depth + b
+            s = END * depth + b
             for i in range(depth, len(s)):
                 for k in range(8):
                     for d in range(depth + 1):
@@ -50,7 +57,7 @@ class Direct:
         return w * p + (1 - w) * deeper
 
     def score(self, b):
-        s, out = tw.END * self.depth + b, 0.0
+        s, out = END * self.depth + b, 0.0
         for i in range(self.depth, len(s)):
             for k in range(8):
                 p = self.one(s[i - self.depth : i], (1 << k) | (s[i] >> (8 - k)))
@@ -75,7 +82,7 @@ def test_op1_is_context_tree_weighting(spark, blocks):
     rows = [(i, t, i not in (1, 6)) for i, t in enumerate(TEXTS)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, tr boolean").withColumns({"id": F.lit(1), "score": F.lit(2), "sha": F.lit("x"), "n": F.lit(3)})
     got = {r["doc_id"]: r for r in tw.scored(docs, F.col("tr"), depth=3, block_bytes=blocks, bucket_bytes=blocks).collect()}
-    bodies = [b" ".join(tw.body(t)) + tw.END for t in TEXTS]
+    bodies = [body(t) for t in TEXTS]
     direct = Direct([b for b, r in zip(bodies, rows) if r[2]], 3)
     for (i, *_), b, want in zip(rows, bodies, base_by_hand([r[1:] for r in rows])):
         r = got[i]
@@ -84,8 +91,7 @@ def test_op1_is_context_tree_weighting(spark, blocks):
 
 
 def test_op1_bytes_are_a_distribution():
-    bodies = [b" ".join(tw.body(t)) + tw.END for t in TEXTS]
-    g, n = np.unique(tw.grams(bodies)[0], return_counts=True)
+    g, n = np.unique(tw.grams([(t or "").encode() for t in TEXTS])[0], return_counts=True)
     upper, low = tw.upper_tree(g, n)
     lower = tw.lower_tree(*low)
     for context in (b"e cat", b"\n\n\n\n\n", b"qqqqq", b"aacat"):
@@ -94,6 +100,15 @@ def test_op1_bytes_are_a_distribution():
         assert p.sum() == pytest.approx(1)
 
 
+def test_op1_grams():
+    want = []
+    for t in TEXTS:
+        s = END * 5 + body(t)
+        want += [int.from_bytes(s[i - 5 : i + 1], "big") for i in range(5, len(s))]
+    own, sizes, _ = tw.grams([(t or "").encode() for t in TEXTS])
+    assert own.tolist() == want and sizes.tolist() == [len(body(t)) for t in TEXTS]
+
+
 def test_op1_log_gamma():
     z = np.array([0.5, 1, 1.5, 7, 100.5, 1e7])
     assert tw.log_gamma(z) == pytest.approx([math.lgamma(x) for x in z], rel=1e-10, abs=1e-10)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import itertools
 import uuid
 from collections.abc import Iterator
 
@@ -50,36 +49,3 @@ def slices(batch: pa.RecordBatch, text: str, max_chars: int = 2_000_000) -> Iter
             start, size = i + 1, 0
     if start < batch.num_rows:
         yield batch.slice(start)
-
-
-def distinct_texts(texts: DataFrame, n_blocks: int, hold_bytes: int = 32_000_000) -> DataFrame:
-    """(block, sha, text, weight): equal texts merged within each task, weights added up, dealt out by text hash.
-
-    ``texts``: (text not null, weight long).  A text may come once from every task
-    (and more often from very large ones), so a group of copies never travels whole.
-    """
-    src = texts.select(F.sha2("text", 256).alias("sha"), "text", "weight")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list] = {}
-        size = 0
-        for batch in itertools.chain(batches, [None]):
-            if batch is None or size > hold_bytes:
-                if held:
-                    yield pa.RecordBatch.from_pydict({
-                        "sha": list(held), "text": pa.array([h[0] for h in held.values()], pa.string()),
-                        "weight": pa.array([h[1] for h in held.values()], pa.int64())})
-                held, size = {}, 0
-            if batch is not None:
-                weights = batch.column(2).to_pylist()
-                for i, sha in enumerate(batch.column(0).to_pylist()):
-                    if sha in held:
-                        held[sha][1] += weights[i]
-                    else:
-                        text = batch.column(1)[i].as_py()
-                        held[sha] = [text, weights[i]]
-                        size += len(text)
-
-    dealt = src.mapInArrow(run, "sha string, text string, weight long")
-    block = F.pmod(F.conv(F.substring("sha", 1, 12), 16, 10).cast("long"), F.lit(n_blocks))
-    return dealt.select(block.alias("block"), "sha", "text", "weight")

@@ -40,12 +40,16 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def _runs(n: int, step: int = 2000):
+    return (slice(i, i + step) for i in range(0, n, step))
+
+
 def fit_centroids(x: np.ndarray, k: int, rounds: int = 8, seed: int = 7) -> np.ndarray:
     """Spherical k-means: centroids are renormalised means; an empty cell keeps its centroid."""
     x = unit(x)
     c = x[np.random.default_rng(seed).choice(len(x), min(k, len(x)), replace=False)].copy()
     for _ in range(rounds):
-        home = (x @ c.T).argmax(axis=1)
+        home = np.concatenate([(x[r] @ c.T).argmax(axis=1) for r in _runs(len(x))])
         sums = np.zeros_like(c)
         np.add.at(sums, home, x)
         norm = np.linalg.norm(sums, axis=1, keepdims=True)
@@ -55,13 +59,17 @@ def fit_centroids(x: np.ndarray, k: int, rounds: int = 8, seed: int = 7) -> np.n
 
 def cells_of(x: np.ndarray, c: np.ndarray, threshold: float) -> tuple[np.ndarray, list[np.ndarray]]:
     """Home cell of each vector, and the lower cells whose border is near enough."""
-    s = unit(x) @ c.T
-    home = s.argmax(axis=1)
     reach = np.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-9
-    gap = np.linalg.norm(c[:, None] - c[None], axis=2) if len(c) <= 256 else np.sqrt(np.maximum(0, 2 - 2 * c @ c.T))
-    near = s[np.arange(len(x)), home][:, None] - s <= reach * gap[home] + 1e-9
-    near &= np.arange(len(c))[None] < home[:, None]
-    return home, [np.flatnonzero(row) for row in near]
+    gap = np.sqrt(np.maximum(0, (c * c).sum(axis=1)[:, None] + (c * c).sum(axis=1)[None] - 2 * c @ c.T)) + 1e-7
+    homes, others = [], []
+    for r in _runs(len(x)):
+        s = unit(x[r]) @ c.T
+        home = s.argmax(axis=1)
+        near = s[np.arange(len(s)), home][:, None] - s <= reach * gap[home] + 1e-9
+        near &= np.arange(len(c))[None] < home[:, None]
+        homes.append(home)
+        others += [np.flatnonzero(row) for row in near]
+    return np.concatenate(homes) if homes else np.zeros(0, int), others
 
 
 def expected_cost(x: np.ndarray, labels: np.ndarray, c: np.ndarray, threshold: float, times: float) -> float:

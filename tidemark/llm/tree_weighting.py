@@ -13,9 +13,10 @@ longest seen one takes the rest.
 Blocks of distinct texts send each distinct (DEPTH + 1)-gram once, with its training
 count, to a bucket of the last three context bytes; a bucket adds the counts up,
 weights its own subtree and returns the log probability of each gram to the block
-that asked, where texts are summed.  Contexts of up to two bytes are weighted from
+that asked, where texts are summed; staged once, the buckets are read twice.  Contexts of up to two bytes are weighted from
 the buckets' sums: at most 65,536 contexts of 255 nodes, whatever the input.  Words
-are counted and returned the same way, so no count table is ever broadcast.
+(as 64-bit hashes) are counted and returned the same way, so no count table is ever
+broadcast.
 
 Base: sum over words and the end of log10((c + 0.1) / (N + 0.1 (V + 1))).  Null and
 empty texts are the end alone.  Equal texts are scored once and count as often as
@@ -26,43 +27,42 @@ an empty table gives no rows, and with no training texts every bit costs one bit
 from __future__ import annotations
 
 import math
-from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import distinct_texts, partitions_for, staged
+from tidemark.llm.common import partitions_for, staged
+from tidemark.llm.text_blocks import Words, blocks, expand, expand_sorted, slices_of, squeeze, squeeze_sorted, texts_of
 from tidemark.session import small_side
 
 DEPTH = 5
 LOW = 2  # contexts up to this many bytes are weighted in one place
-BLOCK_BYTES = 16_000_000
-BUCKET_BYTES = 24_000_000
-SLICE_BYTES = 2_000_000
-END = b"\n"
+BLOCK_BYTES = 12_000_000
+BUCKET_BYTES = 12_000_000
+END = 0x0A
 _HALF = math.log(0.5)
 
 
-def body(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "replace").lower().split()
-
-
-def grams(bodies: list[bytes], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
-    """The gram of every byte of each body (its end included), and where each body's begin."""
-    pad = END * depth
-    data = np.frombuffer(b"".join(pad + b for b in bodies), np.uint8).astype(np.uint64)
-    n = len(data) - depth
-    out = np.zeros(max(n, 0), np.uint64)
+def grams(texts: list[bytes], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray, Words]:
+    """The gram of every byte of each text in its compact form, how many each text has, and the texts' words."""
+    words = Words(texts, END)
+    data, sizes = words.compact()
+    padded = np.concatenate([np.full(depth, END, np.uint8), data]).astype(np.uint64)
+    out = np.zeros(len(data), np.uint64)
     for i in range(depth + 1):
-        out = (out << np.uint64(8)) | data[i : i + n]
-    sizes = np.fromiter(map(len, bodies), np.int64, len(bodies))
-    starts = np.concatenate([[0], np.cumsum(sizes + depth)[:-1]]) if len(sizes) else sizes
-    # grams that end inside the padding of the next body are no positions of a text
-    real = np.repeat(starts - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(sizes.sum())
-    return out[real], np.concatenate([[0], np.cumsum(sizes)[:-1]]) if len(sizes) else sizes
+        out = (out << np.uint64(8)) | padded[i : i + len(data)]
+    # before a text's first byte stand ends, not the text before
+    starts = np.cumsum(sizes) - sizes
+    pad = int.from_bytes(bytes([END]) * depth, "big")
+    for i in range(depth):
+        at = starts[sizes > i] + i
+        low = 8 * (i + 1)
+        ends = np.uint64((pad << low) & ((1 << 8 * (depth + 1)) - 1))
+        out[at] = (out[at] & np.uint64((1 << low) - 1)) | ends
+    return out, sizes, words
 
 
 def log_gamma(z: np.ndarray) -> np.ndarray:
@@ -161,125 +161,131 @@ def log10_probabilities(g: np.ndarray, lower: Tree, upper: Tree, depth: int = DE
 
 GRAM, WORD = 0, 1
 SENT = "kind int, bucket long, block long, items binary, counts binary"
+HELD = "kind int, bucket long, items binary, counts binary, n long, distinct long, blocks array<long>, asked array<binary>"
 
 
-def _slices(texts: list[str]):
-    """Runs of whole texts of about SLICE_BYTES, as word lists."""
-    held, size = [], 0
-    for t in texts:
-        held.append(body(t))
-        size += len(t)
-        if size >= SLICE_BYTES:
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
-
+def _bucket_of(kind: int, keys: np.ndarray, n: int) -> np.ndarray:
+    """Grams go by the last three bytes of their context, words by their hash."""
+    if kind == GRAM:
+        keys = ((keys >> np.uint64(8)) & np.uint64(0xFFFFFF)) * np.uint64(0x9E3779B97F4A7C15)
+    return ((keys >> np.uint64(32)) % np.uint64(n)).astype(np.int64)
 
-def _joined(part: pd.DataFrame) -> pd.DataFrame:
-    """One row per distinct text of a block, in a fixed order; its training rows added up."""
-    return part.groupby("sha", sort=True).agg(text=("text", "first"), weight=("weight", "sum")).reset_index()
 
-
-def _bucket_of(context: np.ndarray, n: int) -> np.ndarray:
-    mixed = (context & np.uint64(0xFFFFFF)) * np.uint64(0x9E3779B97F4A7C15)
-    return ((mixed >> np.uint64(32)) % np.uint64(n)).astype(np.int64)
+def _added(keys: np.ndarray, counts: np.ndarray, own: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(own)
+    own, weights = own[order], weights[order]
+    first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])[: len(own)])
+    if not len(first):
+        return keys, counts
+    merged, inverse = np.unique(np.concatenate([keys, own[first]]), return_inverse=True)
+    return merged, np.bincount(inverse, np.concatenate([counts, np.add.reduceat(weights, first)]), len(merged)).astype(np.int64)
 
 
 def _send(part: pd.DataFrame, n_buckets: int, depth: int) -> pd.DataFrame:
     block = int(part["block"].iloc[0])
-    part = _joined(part)
-    g, n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    words: Counter = Counter()
-    weights, at = part["weight"].to_numpy(), 0
-    for run in _slices(part["text"].tolist()):
+    _, texts, weights = texts_of(part["payload"])
+    held = {kind: (np.zeros(0, np.uint64), np.zeros(0, np.int64)) for kind in (GRAM, WORD)}
+    for at, run in slices_of(texts):
         w = weights[at : at + len(run)]
-        at += len(run)
-        own, starts = grams([b" ".join(ws) + END for ws in run], depth)
-        sizes = np.diff(np.append(starts, len(own)))
-        keys, inverse = np.unique(np.concatenate([g, own]), return_inverse=True)
-        n = np.bincount(inverse, np.concatenate([n, np.repeat(w, sizes)]), len(keys)).astype(np.int64)
-        g = keys
-        for ws, k in zip(run, w.tolist()):
-            if k == 1:
-                words.update(ws)
-            else:
-                for word, c in Counter(ws).items():
-                    words[word] += c * k
+        own, sizes, words = grams(run, depth)
+        held[GRAM] = _added(*held[GRAM], own, np.repeat(w, sizes))
+        held[WORD] = _added(*held[WORD], words.hashes, np.repeat(w, words.counts))
     rows = []
-    bucket = _bucket_of(g >> np.uint64(8), n_buckets)
-    order = np.argsort(bucket, kind="stable")
-    cuts = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
-    for b, (i, j) in enumerate(zip(cuts, cuts[1:])):
-        if i < j:
-            rows.append((GRAM, b, block, g[order[i:j]].tobytes(), n[order[i:j]].astype("<i8").tobytes()))
-    held: dict[int, list[bytes]] = {}
-    for word in words:
-        held.setdefault(xxhash.xxh64_intdigest(word) % n_buckets, []).append(word)
-    for b, ws in held.items():
-        rows.append((WORD, b, block, b" ".join(ws), np.array([words[w] for w in ws], "<i8").tobytes()))
+    for kind, (keys, counts) in held.items():
+        bucket = _bucket_of(kind, keys, n_buckets)
+        order = np.argsort(bucket, kind="stable")
+        cuts = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
+        rows += [(kind, b, block, squeeze_sorted(keys[order[i:j]]), squeeze(counts[order[i:j]]))
+                 for b, (i, j) in enumerate(zip(cuts, cuts[1:])) if i < j]
     return pd.DataFrame(rows, columns=["kind", "bucket", "block", "items", "counts"])
 
 
-def _bucket_grams(part: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    asked = [np.frombuffer(i, "<u8") for i in part["items"]]
-    counts = np.concatenate([np.frombuffer(c, "<i8") for c in part["counts"]])
-    keys, total = _summed(np.concatenate(asked), counts)
-    return keys, total, asked
+def _hold(part: pd.DataFrame) -> pd.DataFrame:
+    """One row for a bucket: its keys with their counts, and what each block asked for."""
+    asked = [expand_sorted(i) for i in part["items"]]
+    keys, total = _summed(np.concatenate(asked), np.concatenate([expand(c) for c in part["counts"]]).astype(np.int64))
+    total = total.astype(np.int64)
+    return pd.DataFrame([(part["kind"].iloc[0], part["bucket"].iloc[0], squeeze_sorted(keys), squeeze(total), int(total.sum()),
+                          int((total > 0).sum()), part["block"].tolist(), part["items"].tolist())],
+                        columns=["kind", "bucket", "items", "counts", "n", "distinct", "blocks", "asked"])
 
 
-def _low_sums(part: pd.DataFrame, depth: int) -> pd.DataFrame:
-    keys, n, _ = _bucket_grams(part)
-    _, (at, a, b, below) = upper_tree(keys[n > 0], n[n > 0], depth)
-    return pd.DataFrame({"key": at.astype(np.int64), "a": a, "b": b, "below": below})
+def _upper(items: bytes, counts: bytes, depth: int):
+    keys, n = expand_sorted(items), expand(counts).astype(np.int64)
+    return keys, *upper_tree(keys[n > 0], n[n > 0], depth)
 
 
-def _values(part: pd.DataFrame, lower: tuple, depth: int) -> pd.DataFrame:
-    """For each block that asked: the items' log probabilities, or the words' counts."""
-    if part["kind"].iloc[0] == GRAM:
-        keys, n, asked = _bucket_grams(part)
-        upper, _ = upper_tree(keys[n > 0], n[n > 0], depth)
-        tree = lower_tree(*lower)
-        value = np.concatenate([log10_probabilities(k, tree, upper, depth) for k in np.array_split(keys, len(keys) // 100_000 + 1)])
-        out = [value[np.searchsorted(keys, a)].astype("<f8").tobytes() for a in asked]
-    else:
-        total: Counter = Counter()
-        lists = [i.split(b" ") for i in part["items"]]
-        for ws, c in zip(lists, part["counts"]):
-            for w, k in zip(ws, np.frombuffer(c, "<i8").tolist()):
-                total[w] += k
-        out = [np.array([total[w] for w in ws], "<i8").tobytes() for ws in lists]
-    return pd.DataFrame({"kind": part["kind"], "block": part["block"], "items": part["items"], "vals": out})
+def _low_sums(held: DataFrame, depth: int) -> DataFrame:
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            for items, counts in zip(part["items"], part["counts"]):
+                _, _, (at, a, b, below) = _upper(items, counts, depth)
+                yield pd.DataFrame({"key": at.astype(np.int64), "a": a, "b": b, "below": below})
 
+    each = held.where(F.col("kind") == GRAM).select("items", "counts").mapInPandas(run, "key long, a double, b double, below double")
+    return each.groupBy("key").agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.sum("below").alias("below"))
 
-def _score(part: pd.DataFrame, back: pd.DataFrame, n_total: int, distinct: int, ends: int, depth: int) -> pd.DataFrame:
-    part = _joined(part)
-    is_gram = (back["kind"] == GRAM).to_numpy()
-    keys = np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(i, "<u8") for i in back["items"][is_gram])])
-    value = np.concatenate([np.zeros(0), *(np.frombuffer(v, "<f8") for v in back["vals"][is_gram])])
+
+def _values(held: DataFrame, lower, depth: int) -> DataFrame:
+    """(kind, block, items, vals): the log probabilities of a block's grams, or the counts of its words."""
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            for kind, items, counts, blocks_, asked in zip(part["kind"], part["items"], part["counts"], part["blocks"], part["asked"]):
+                if kind == GRAM:
+                    keys, upper, _ = _upper(items, counts, depth)
+                    tree = lower_tree(*lower.value)
+                    value = np.concatenate([log10_probabilities(k, tree, upper, depth) for k in np.array_split(keys, len(keys) // 50_000 + 1)])
+                    packed = lambda at: value[at].astype("<f8").tobytes()  # noqa: E731, B023
+                else:
+                    keys, value = expand_sorted(items), expand(counts)
+                    packed = lambda at: squeeze(value[at])  # noqa: E731, B023
+                out = [packed(np.searchsorted(keys, expand_sorted(a))) for a in asked]
+                yield pd.DataFrame({"kind": kind, "block": blocks_, "items": list(asked), "vals": out})
+
+    return held.mapInPandas(run, "kind int, block long, items binary, vals binary")
+
+
+def _gathered(back: pd.DataFrame, kind: int) -> tuple[np.ndarray, np.ndarray]:
+    own = back[back["kind"] == kind]
+    keys = np.concatenate([np.zeros(0, np.uint64), *(expand_sorted(i) for i in own["items"])])
+    read = (lambda v: np.frombuffer(v, "<f8")) if kind == GRAM else (lambda v: expand(v).astype(np.float64))
+    value = np.concatenate([np.zeros(0), *(read(v) for v in own["vals"])])
     order = np.argsort(keys)
-    keys, value = keys[order], value[order]
-    count: dict[bytes, int] = {}
-    for i, v in zip(back["items"][~is_gram], back["vals"][~is_gram]):
-        count.update(zip(i.split(b" "), np.frombuffer(v, "<i8").tolist()))
+    return keys[order], value[order]
+
+
+def _looked_up(own: np.ndarray, keys: np.ndarray, value: np.ndarray) -> np.ndarray:
+    order = np.argsort(own)
+    ranked = own[order]
+    first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]])[: len(ranked)])
+    out = np.empty(len(own))
+    out[order] = np.repeat(value[np.searchsorted(keys, ranked[first])], np.diff(np.append(first, len(own))))
+    return out
+
+
+def _per_text(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    ends = np.cumsum(counts)
+    whole = counts > 0
+    out = np.zeros(len(counts))
+    if len(values):
+        out[whole] = np.add.reduceat(values, (ends - counts)[whole])
+    return out
+
+
+def _score(part: pd.DataFrame, back: pd.DataFrame, n_total: int, distinct: int, ends: int, depth: int) -> pd.DataFrame:
+    shas, texts, _ = texts_of(part["payload"])
+    gram, word = _gathered(back, GRAM), _gathered(back, WORD)
     below = math.log10(n_total + 0.1 * (distinct + 1))
-    rows, at = [], 0
-    shas = part["sha"].tolist()
-    for run in _slices(part["text"].tolist()):
-        own, starts = grams([b" ".join(ws) + END for ws in run], depth)
-        order = np.argsort(own)
-        ranked = own[order]
-        first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
-        each = np.empty(len(own))
-        each[order] = np.repeat(value[np.searchsorted(keys, ranked[first])], np.diff(np.append(first, len(own))))
-        score = np.add.reduceat(each, starts)
-        sizes = np.diff(np.append(starts, len(own)))
-        for k, ws in enumerate(run):
-            c = np.fromiter(map(count.__getitem__, ws), np.float64, len(ws))
-            c = np.append(c, ends)
-            rows.append((shas[at + k], len(c), int((c > 0).sum()), float((np.log10(c + 0.1) - below).sum()), float(score[k]), int(sizes[k])))
-        at += len(run)
-    return pd.DataFrame(rows, columns=["sha", "n_tokens", "n_known", "base_score", "score", "n_bytes"])
+    out = []
+    for at, run in slices_of(texts):
+        own, sizes, words = grams(run, depth)
+        c = _looked_up(words.hashes, *word)
+        base = _per_text(np.log10(c + 0.1) - below, words.counts) + math.log10(ends + 0.1) - below
+        out.append(pd.DataFrame({
+            "sha": shas[at : at + len(run)], "n_tokens": words.counts + 1, "n_known": _per_text(c > 0, words.counts).astype(np.int64) + (ends > 0),
+            "base_score": base, "score": _per_text(_looked_up(own, *gram), sizes), "n_bytes": sizes}))
+    return pd.concat(out)
 
 
 def scored(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH,
@@ -287,37 +293,23 @@ def scored(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col:
     """(id, is_training, n_tokens, n_known, train_tokens, base_score, score, n_bytes, bits_per_byte), one row per document."""
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(training, F.lit(False)).alias("is_training"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    sizes = rows.agg(F.sum(F.octet_length("text")), F.sum(F.col("is_training").cast("long"))).first()
-    total, ends = sizes[0] or 0, sizes[1] or 0
+    sums = rows.agg(F.sum(F.octet_length("text")), F.sum(F.col("is_training").cast("long"))).first()
+    total, ends = sums[0] or 0, sums[1] or 0
     n_blocks, n_buckets = partitions_for(total, block_bytes), partitions_for(total, bucket_bytes)
-    blocks = distinct_texts(rows.select("text", F.col("is_training").cast("long").alias("weight")), n_blocks)
+    dealt = blocks(rows.select("text", F.col("is_training").cast("long").alias("weight")), n_blocks)
 
-    sent = staged(blocks.groupBy("block").applyInPandas(lambda p: _send(p, n_buckets, depth), SENT), "items")
-    low = sent.where(F.col("kind") == GRAM).groupBy("bucket").applyInPandas(lambda p: _low_sums(p, depth), "key long, a double, b double, below double")
+    sent = dealt.groupBy("block").applyInPandas(lambda p: _send(p, n_buckets, depth), SENT)
+    held = staged(sent.groupBy("kind", "bucket").applyInPandas(_hold, HELD), "counted")
     # contexts of two bytes: at most 65,536 x 255 rows
-    low = low.groupBy("key").agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.sum("below").alias("below")).orderBy("key").toPandas()
-    lower = spark_broadcast(docs, (low["key"].to_numpy().astype(np.uint64), *(low[c].to_numpy(float) for c in ("a", "b", "below"))))
-    values = staged(sent.groupBy("kind", "bucket").applyInPandas(lambda p: _values(p, lower.value, depth), "kind int, block long, items binary, vals binary"), "values")
+    low = _low_sums(held, depth).orderBy("key").toPandas()
+    lower = docs.sparkSession.sparkContext.broadcast(
+        (low["key"].to_numpy().astype(np.uint64), *(low[c].to_numpy(float) for c in ("a", "b", "below"))))
+    words = held.where(F.col("kind") == WORD).agg(F.sum("n"), F.sum("distinct")).first()
+    n_total, distinct = (words[0] or 0) + ends, (words[1] or 0) + (ends > 0)
 
-    # training tokens and distinct ones, from the words' counts
-    counted = sent.where(F.col("kind") == WORD).groupBy("bucket").applyInPandas(_word_totals, "n long, v long").agg(F.sum("n"), F.sum("v")).first()
-    n_total, distinct = (counted[0] or 0) + ends, (counted[1] or 0) + (ends > 0)
-
-    known = blocks.groupBy("block").cogroup(values.groupBy("block")).applyInPandas(
+    known = dealt.groupBy("block").cogroup(_values(held, lower, depth).groupBy("block")).applyInPandas(
         lambda p, b: _score(p, b, n_total, distinct, ends, depth), "sha string, n_tokens long, n_known long, base_score double, score double, n_bytes long")
     known = staged(known, "scores")
     out = rows.select("id", "is_training", F.sha2("text", 256).alias("sha")).join(small_side(known), "sha")
     return out.select(F.col("id").alias(id_col), "is_training", "n_tokens", "n_known", F.lit(n_total).cast("long").alias("train_tokens"),
                       "base_score", "score", "n_bytes", (-F.col("score") / math.log10(2) / F.col("n_bytes")).alias("bits_per_byte"))
-
-
-def _word_totals(part: pd.DataFrame) -> pd.DataFrame:
-    total: Counter = Counter()
-    for i, c in zip(part["items"], part["counts"]):
-        for w, k in zip(i.split(b" "), np.frombuffer(c, "<i8").tolist()):
-            total[w] += k
-    return pd.DataFrame({"n": [sum(total.values())], "v": [sum(k > 0 for k in total.values())]})
-
-
-def spark_broadcast(df: DataFrame, value):
-    return df.sparkSession.sparkContext.broadcast(value)
