@@ -108,3 +108,42 @@ def test_landing_write_and_export(spark, tmp_dir):
     assert L.export_training(df, os.path.join(tmp_dir, "export")) == 1
     with pytest.raises(ValueError):
         L.export_training(df.limit(0), os.path.join(tmp_dir, "export0"))
+
+
+def test_headers_in_any_order(spark, tmp_dir):
+    folder = os.path.join(tmp_dir, "headers")
+    os.makedirs(folder)
+    for name, body in (("a.csv", "x,y\n1,2\n"), ("b.csv", "y,x,z\n4,3,5\n"), ("c.csv", "x,y\n6\n7,8,9\n")):
+        with open(os.path.join(folder, name), "w") as fh:
+            fh.write(body)
+    mixed = sorted(map(tuple, R.read_mixed_folder(spark, folder).select("x", "y", "z").collect()), key=str)
+    assert mixed == [("1", "2", None), ("3", "4", "5"), ("6", None, None)]
+    assert R.read_csv_folder(spark, folder).where("x = '3' and y = '4' and z = '5'").count() == 1
+
+
+def test_archives_of_any_suffix_and_text_of_either_byte_order(spark, tmp_dir):
+    import gzip
+    import zipfile
+
+    from tidemark.sources import text as X
+
+    folder, lines = os.path.join(tmp_dir, "arc"), os.path.join(tmp_dir, "utf16")
+    os.makedirs(folder)
+    os.makedirs(lines)
+    with gzip.open(os.path.join(folder, "x.csv.gz"), "wb") as fh:
+        fh.write(b"one")
+    for name in ("y.zip", "Z.ZIP"):
+        with zipfile.ZipFile(os.path.join(folder, name), "w") as z:
+            z.writestr(name[0] + ".csv", "two")
+    with open(os.path.join(folder, "other.txt"), "w") as fh:
+        fh.write("no archive")
+    got = {(r["member"], bytes(r["content"])) for r in X.expand_archives(spark, folder).collect()}
+    assert got == {("x.csv", b"one"), ("y.csv", b"two"), ("Z.csv", b"two")}
+    body = "a\n\n  b\r\nc\n"
+    for name, order, mark in (("le.txt", "utf-16-le", b"\xff\xfe"), ("be.txt", "utf-16-be", b"\xfe\xff")):
+        with open(os.path.join(lines, name), "wb") as fh:
+            fh.write(mark + body.encode(order))
+    rows = X.read_lines(spark, lines, "UTF-16").collect()
+    for name in ("le.txt", "be.txt"):
+        own = [r["value"] for r in sorted((r for r in rows if r["file"].endswith(name)), key=lambda r: r["line_no"])]
+        assert own == ["a", "", "  b\r", "c"]

@@ -1,6 +1,7 @@
 import datetime as dt
 import math
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -138,3 +139,37 @@ def test_ema_and_macd_match_pandas(spark):
     ref26 = s.ewm(span=26, adjust=False).mean()
     assert out["ema_12"].tolist() == pytest.approx(ref12.tolist())
     assert out["macd"].tolist() == pytest.approx((ref12 - ref26).tolist())
+
+
+def test_exact_mean_skips_nulls(spark):
+    rows = [("A", i, v) for i, v in enumerate([100, 200, None, 400, 500, None, None])]
+    df = spark.createDataFrame(rows, "ticker string, trading_date int, v long")
+    w = W.series_window("ticker", "trading_date")
+    out = W.rolling_mean_exact(df, "v", 2, w, "exact").withColumn("plain", W.rolling_mean("v", 2, w)).orderBy("trading_date").collect()
+    assert [r["exact"] for r in out] == [r["plain"] for r in out] == [100.0, 150.0, 200.0, 400.0, 450.0, 500.0, None]
+
+
+def test_correlation_of_fractions(spark):
+    rows = [("A", i, x, y) for i, (x, y) in enumerate([(0.1, 0.3), (0.2, 0.5), (0.4, 0.7), (0.3, 0.8)])]
+    df = spark.createDataFrame(rows, "ticker string, trading_date int, x double, y double")
+    dec = df.select("ticker", "trading_date", *[F.col(c).cast("decimal(38,4)").alias(c) for c in ("x", "y")])
+    w = W.series_window("ticker", "trading_date")
+    want = np.corrcoef([r[2] for r in rows], [r[3] for r in rows])[0, 1]
+    for frame in (df, dec):
+        for mode in ("pairs", "parity"):
+            got = W.with_rolling_corr(frame, "x", "y", w, 10, "c", mode=mode).orderBy("trading_date").collect()
+            assert got[-1]["c"] == pytest.approx(want) and got[0]["c"] is None
+
+
+def test_marts_have_their_declared_types(spark):
+    from tidemark.operators.quality import check_schema
+    from tidemark.plans import marts
+
+    rows = [("A", dt.date(2026, 1, 1) + dt.timedelta(days=i), 10 + i / 7) for i in range(40)]
+    prices = spark.createDataFrame(rows, "ticker string, trading_date date, p double").select(
+        "ticker", "trading_date", F.col("p").cast("decimal(38,4)").alias("adjusted_close"))
+    index = prices.select(F.lit("VNINDEX").alias("index_name"), "trading_date", F.col("adjusted_close").alias("close"))
+    mart = marts.momentum_mart(prices, index, labels=True)
+    out = marts.typed(mart)
+    assert check_schema(out, marts.declared(out.columns)) == [] and dict(out.dtypes)["volatility_30d"] == "decimal(18,6)"
+    assert 0 < mart.orderBy(F.col("trading_date").desc()).first()["volatility_30d"] < 0.01

@@ -31,8 +31,7 @@ AHEAD = 20   # longest forward label (20-row forward return)
 
 def price_features(prices: DataFrame, index: DataFrame) -> DataFrame:
     """Momentum mart + forward labels on (ticker, trading_date)."""
-    mom = marts.momentum_mart(prices, index)
-    return marts.forward_labels(prices).join(mom, KEYS, "left")
+    return marts.momentum_mart(prices, index, labels=True)
 
 
 def refresh_band(prices: DataFrame, index: DataFrame, new_keys: DataFrame, back: int = BACK,

@@ -78,11 +78,12 @@ def _moving_averages(df: DataFrame, w, price: str, windows: Sequence[int],
 
 def momentum_features(prices: DataFrame, lag_1m: int = 30, lag_3m: int = 90,
                       ma_windows: Sequence[int] = (20, 50, 200), vol_n: int = 30, ret_n: int = 20,
-                      price: str = "adjusted_close") -> DataFrame:
-    """Per-ticker price features on one window spec (one Exchange + Sort)."""
+                      price: str = "adjusted_close", labels: bool = False) -> DataFrame:
+    """Per-ticker price features, and the forward labels if asked for, on one window
+    spec (one Exchange + Sort)."""
     w = W.series_window("ticker", "trading_date")
     base = plain(prices.select("ticker", "trading_date", price)).select(
-        "*",
+        "*", *(label_columns(price, w) if labels else ()),
         W.simple_return(price, w).alias("daily_return"),
         W.momentum(price, lag_1m, w).alias("price_momentum_1m"),
         W.momentum(price, lag_3m, w).alias("price_momentum_3m"),
@@ -97,15 +98,16 @@ def momentum_features(prices: DataFrame, lag_1m: int = 30, lag_3m: int = 90,
 
 
 def momentum_mart(prices: DataFrame, index: DataFrame, index_names: Sequence[str] = ("VNINDEX",),
-                  lag_1m: int = 30, lag_3m: int = 90) -> DataFrame:
-    """MART momentum: stock features + relative strength vs the index."""
-    feats = momentum_features(prices, lag_1m=lag_1m, lag_3m=lag_3m)
+                  lag_1m: int = 30, lag_3m: int = 90, labels: bool = False) -> DataFrame:
+    """MART momentum: stock features + relative strength vs the index (J2).  ``labels``
+    adds the forward labels, which share the window: no join brings them together."""
+    feats = momentum_features(prices, lag_1m=lag_1m, lag_3m=lag_3m, labels=labels)
     ix = small_side(index_return_1m(index, index_names).select("trading_date", "index_return_1m"))
     joined = feats.join(ix, "trading_date", "left")
     return joined.select(
         "ticker", "trading_date", "price_momentum_1m", "price_momentum_3m", "volatility_30d",
         (F.col("avg_return_1m") - F.col("index_return_1m")).alias("relative_strength_vs_vnindex"),
-        "moving_average_20d", "moving_average_50d", "moving_average_200d",
+        "moving_average_20d", "moving_average_50d", "moving_average_200d", *(LABEL_COLUMNS if labels else ()),
     )
 
 
@@ -449,15 +451,19 @@ LABEL_COLUMNS = ("label_next_5d_return", "label_next_20d_return", "label_is_uptr
                  "label_max_drawdown_next_10d")
 
 
-def forward_labels(prices: DataFrame, price: str = "adjusted_close", with_drawdown: bool = False) -> DataFrame:
-    prices = plain(prices)
-    w = W.series_window("ticker", "trading_date")
-    cols = [
+def label_columns(price: str, w) -> list[Column]:
+    return [
         W.forward_return(price, 5, w).alias("label_next_5d_return"),
         W.forward_return(price, 20, w).alias("label_next_20d_return"),
         W.uptrend_flag(price, 20, w, 0.05).alias("label_is_uptrend_30d"),
         W.forward_extreme(price, 10, w, "max").alias("label_max_drawdown_next_10d"),
     ]
+
+
+def forward_labels(prices: DataFrame, price: str = "adjusted_close", with_drawdown: bool = False) -> DataFrame:
+    prices = plain(prices)
+    w = W.series_window("ticker", "trading_date")
+    cols = label_columns(price, w)
     if with_drawdown:
         cols.append(W.forward_extreme(price, 10, w, "min").alias("label_drawdown_next_10d"))
     return prices.select("ticker", "trading_date", *cols)
@@ -481,13 +487,13 @@ def fact_table(prices: DataFrame, momentum: DataFrame, fundamentals: DataFrame,
 
     The ticker-keyed marts join on (ticker, trading_date); the date-only macro
     mart (one row per calendar day, bounded) is broadcast behind a size check."""
-    base = forward_labels(prices)
     keys = list(TICKER_DATE)
+    # labels and momentum of one price table come together (momentum_mart(labels=True))
+    base = momentum if LABEL_COLUMNS[0] in momentum.columns else forward_labels(prices).join(momentum, keys, "left")
     snt = sentiment.withColumnRenamed("date", "trading_date")
     mac = small_side(macro.withColumnRenamed("date", "trading_date").select("trading_date", *FACT_MACRO_COLUMNS))
     out = (
-        base.join(momentum, keys, "left")
-        .join(fundamentals, keys, "left")
+        base.join(fundamentals, keys, "left")
         .join(snt, keys, "left")
         .join(mac, "trading_date", "left")
         .join(flows, keys, "left")

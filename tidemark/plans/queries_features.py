@@ -172,7 +172,7 @@ def forward_labels(spark: SparkSession, d: str):
 
 def build_fact(spark: SparkSession, d: str):
     prices = P.stock_price_eod(spark, d)
-    mom = marts.momentum_mart(prices, P.index_price_eod(spark, d))
+    mom = marts.momentum_mart(prices, P.index_price_eod(spark, d), labels=True)
     fun = marts.fundamentals_mart(prices, *_statements(spark, d), P.company_profile(spark, d))
     snt = marts.sentiment_mart(P.news_articles(spark, d), P.analyst_reports(spark, d), P.corporate_events(spark, d))
     mac = marts.macro_mart(*_macro_inputs(spark, d))
@@ -243,16 +243,16 @@ def event_props(spark: SparkSession, d: str):
 
 def build_model_frame(spark: SparkSession, d: str):
     """The fact table's rows with only the columns the model reads (sequence and
-    tabular features, labels): the price rows left-joined to the momentum,
-    fundamentals and flow marts.  Identical values to selecting those columns
+    tabular features, labels): the price rows with momentum and labels left-joined
+    to the fundamentals and flow marts.  Identical values to selecting those columns
     from ``build_fact`` -- every mart is unique on (ticker, date) -- without the
     sentiment and macro joins that Catalyst cannot drop on its own."""
     from tidemark.operators.samples import SEQUENCE_FEATURES, TABULAR_FEATURES
 
     prices = P.stock_price_eod(spark, d)
     keys = ["ticker", "trading_date"]
-    mom = marts.momentum_mart(prices, P.index_price_eod(spark, d))
+    mom = marts.momentum_mart(prices, P.index_price_eod(spark, d), labels=True)
     fun = marts.fundamentals_mart(prices, *_statements(spark, d), P.company_profile(spark, d))
     flw = marts.flows_mart(P.foreign_trading(spark, d), P.proprietary_trading(spark, d))
-    out = marts.forward_labels(prices).join(mom, keys, "left").join(fun, keys, "left").join(flw, keys, "left")
+    out = mom.join(fun, keys, "left").join(flw, keys, "left")
     return out.select(*keys, *SEQUENCE_FEATURES, *TABULAR_FEATURES, *marts.LABEL_COLUMNS)

@@ -23,11 +23,9 @@ def _labelled(spark: SparkSession, d: str, with_momentum: bool = False):
     joined to marts that are unique on (ticker, date), so row set and values
     are identical; Catalyst cannot drop unused left joins, so we do."""
     prices = P.stock_price_eod(spark, d)
-    lab = marts.forward_labels(prices)
     if not with_momentum:
-        return lab
-    mom = marts.momentum_mart(prices, P.index_price_eod(spark, d))
-    return lab.join(mom, ["ticker", "trading_date"], "left")
+        return marts.forward_labels(prices)
+    return marts.momentum_mart(prices, P.index_price_eod(spark, d), labels=True)
 from tidemark.sources.readers import latest_slice, lookback_slice
 
 SPEC = S.FeatureSpec()
