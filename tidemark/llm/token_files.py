@@ -11,20 +11,20 @@ Shard file (little-endian):
   block table: u32 minimum, u8 width, u16 exceptions, u64 first byte of the block
   blocks: values minus the block's minimum, the low ``width`` bits packed; then
   u16 positions and u32 high parts of the values that need more bits.
-A block's width is the bit length that ``percentile`` of its values fit in, so a
-few large ids become exceptions and don't widen the block.  The block table
-makes any id reachable without unpacking what lies before it.
+A block's width is the bit length that one of PERCENTILES of its values fit in:
+the one that makes the block smallest.  A few large ids become exceptions and
+don't widen the block.  The block table makes any id reachable without unpacking
+what lies before it.
 
 A task writes under a name of its own attempt and renames it, so a lost or
 repeated task leaves one whole shard.  Null and empty texts hold just the end
-id; repeated ids stay separate documents, ordered by id, then text hash; a null
+id; repeated ids stay separate documents, ordered by id, then place in the input; a null
 id sorts first; other columns are not read; an empty table writes no shard.
 """
 
 from __future__ import annotations
 
 import itertools
-import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -37,140 +37,87 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import shared_folder, slices
+from tidemark.llm.word_encoder import ChunkEncoder, load
 from tidemark.session import BROADCAST_LIMIT_BYTES
 
 BLOCK = 1024
-PERCENTILE = 0.9
+PERCENTILES = (0.5, 0.75, 0.9, 0.97, 1.0)
 SHARD_IDS = 4_000_000
 MAGIC = b"TDPF\x01\x00\x00\x00"
-CACHE_CHUNKS = 600_000  # remembered words a worker process keeps; the cache only saves time
-
-
-class ChunkEncoder:
-    """Encodes texts word by word, remembering words.
-
-    A byte-level pre-token never holds a non-space followed by white space, so a
-    text may be cut before every single space and its parts encoded alone.  Runs
-    of two spaces are matched together, so texts that hold one go in whole.
-    New words are encoded as one joined text; tokens are told apart by their
-    byte lengths.
-    """
-
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
-        from tokenizers import Tokenizer
-
-        self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
-        vocab = self.tok.get_vocab()
-        self.width = np.zeros(max(vocab.values()) + 1, np.int64)
-        for token, i in vocab.items():
-            self.width[i] = len(token)  # one printable character stands for one byte
-        self.clear()
-
-    def clear(self) -> None:
-        self.at: dict[str, int] = {}
-        self.ids = np.zeros(1 << 16, np.uint32)
-        self.starts, self.used = [0], 0
-
-    def _whole(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.uint32) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _keep(self, words: list[str], ids: np.ndarray, ends: np.ndarray) -> None:
-        while self.used + len(ids) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        self.ids[self.used : self.used + len(ids)] = ids
-        self.at.update(zip(words, range(len(self.starts) - 1, len(self.starts) - 1 + len(words))))
-        self.starts += (ends + self.used).tolist()
-        self.used += len(ids)
-
-    def _learn(self, words: list[str]) -> None:
-        """Words with their leading space, as they stand in one text; those that end in white space alone."""
-        alone = [w for w in words if not w or w[-1].isspace()]
-        if alone:
-            for w, ids in zip(alone, self._whole([" " + w for w in alone])):
-                self._keep([w], ids, np.array([len(ids)]))
-            words = [w for w in words if w and not w[-1].isspace()]
-        for i in range(0, len(words), 500):
-            part = words[i : i + 500]
-            ids = self._whole([" " + " ".join(part)])[0]
-            ends = np.cumsum(np.fromiter((len(w.encode()) + 1 for w in part), np.int64, len(part)))
-            self._keep(part, ids, np.searchsorted(np.cumsum(self.width[ids]), ends) + 1)
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids in a row, and the number of ids of each text."""
-        if len(self.at) > CACHE_CHUNKS:
-            self.clear()
-        # What stands before the first space has no leading space, nor have whole texts; their key
-        # is marked by a space, which no other part holds.
-        flat: list[str] = []
-        n = np.zeros(len(texts), np.int64)
-        first: dict[str, str] = {}
-        for k, t in enumerate(texts):
-            head, rest = (t, []) if "  " in t else ((p := t.split(" "))[0], p[1:])
-            if head:
-                first[" " + head] = head
-                flat.append(" " + head)
-            flat += rest
-            n[k] = len(rest) + bool(head)
-        known = self.at
-        new = [w for w in dict.fromkeys(flat) if w not in known]
-        heads = [w for w in new if w in first]
-        for w, ids in zip(heads, self._whole([first[w] for w in heads])):
-            self._keep([w], ids, np.array([len(ids)]))
-        self._learn([w for w in new if w not in first])
-        word = np.fromiter(map(known.__getitem__, flat), np.int64, len(flat))
-        starts = np.array(self.starts)
-        begin = starts[word]
-        each = starts[word + 1] - begin
-        total = np.concatenate([[0], np.cumsum(each)])
-        ids = self.ids[np.repeat(begin - total[:-1], each) + np.arange(total[-1])]
-        of_text = np.concatenate([[0], np.cumsum(n)])
-        return ids, total[of_text[1:]] - total[of_text[:-1]]
 
 
 @lru_cache(1)
 def _encoder(path: str) -> ChunkEncoder:
-    return ChunkEncoder(path)
+    return ChunkEncoder(load(path), 600_000)
 
 
-def pack(ids: np.ndarray, percentile: float = PERCENTILE) -> tuple[np.ndarray, ...]:
+_BITS = np.array([v.bit_length() for v in range(1 << 16)], np.uint8)
+
+
+def _bit_length(values: np.ndarray) -> np.ndarray:
+    high = (values >> 16).astype(np.uint16)
+    out = _BITS[values & 0xFFFF]
+    return np.where(high > 0, _BITS[high] + 16, out).astype(np.uint8) if high.any() else out
+
+
+def pack(ids: np.ndarray, percentiles: tuple[float, ...] = PERCENTILES) -> tuple[np.ndarray, ...]:
     """(minimum, width, exceptions, first byte, packed bytes) of all blocks."""
     n = -(-len(ids) // BLOCK)
     padded = np.concatenate([ids, np.repeat(ids[-1:], n * BLOCK - len(ids))]).reshape(n, BLOCK)
-    low = padded.min(axis=1)
-    rest = (padded - low[:, None]).astype(np.uint32)
-    bits = np.ceil(np.log2(rest.astype(np.float64) + 1)).astype(np.uint8)
-    width = np.sort(bits, axis=1)[:, min(BLOCK - 1, int(percentile * BLOCK))]
-    over = bits > width[:, None]
+    parts = [_pack_blocks(padded[i : i + 256], percentiles) for i in range(0, n, 256)]  # a few blocks fit the cache
+    low, width, exceptions = (np.concatenate([p[k] for p in parts]) for k in range(3))
+    bodies = [b for p in parts for b in p[3]]
+    first = np.concatenate([[0], np.cumsum([len(b) for b in bodies])[:-1]]).astype("<u8")
+    return low.astype("<u4"), width, exceptions.astype("<u2"), first, b"".join(bodies)
+
+
+def _pack_blocks(values: np.ndarray, percentiles: tuple[float, ...]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+    n = len(values)
+    low = values.min(axis=1)
+    rest = (values - low[:, None]).astype("<u4")
+    bits = _bit_length(rest)
+    # how many values of each block need more than 0, 1, .. bits
+    longer = np.stack([(bits > w).sum(axis=1) for w in range(int(bits.max()) + 1)])
+    allowed = [BLOCK - 1 - min(BLOCK - 1, int(p * BLOCK)) for p in percentiles]
+    options = np.stack([(longer <= a).argmax(axis=0) for a in allowed])
+    rows = np.arange(n)
+    best = (BLOCK * options // 8 + 6 * longer[options, rows]).argmin(axis=0)
+    width = options[best, rows].astype(np.uint8)
+    exceptions = longer[width, rows].astype(np.uint16)
     bodies: list[bytes] = [b""] * n
-    for w in np.unique(width):
-        rows = np.flatnonzero(width == w)
-        for part in np.array_split(rows, max(1, len(rows) // 256)):
-            planes = (rest[part][:, :, None] >> np.arange(w, dtype=np.uint32)) & 1
-            packed = np.packbits(planes.astype(np.uint8).reshape(len(part), -1), axis=1, bitorder="little")
-            for r, row in zip(part.tolist(), packed):
-                bodies[r] = row.tobytes()
-    exceptions = over.sum(axis=1).astype(np.uint16)
+    for w in np.unique(width).tolist():
+        own = np.flatnonzero(width == w)
+        kind, size = ("<u2", 16) if w <= 16 else ("<u4", 32)
+        narrow = rest[own].astype(kind)
+        if w != 16:
+            planes = np.unpackbits(narrow.view(np.uint8), axis=1, bitorder="little")
+            planes = planes.reshape(len(own), BLOCK, size)[:, :, :w].reshape(len(own), -1)
+            narrow = np.packbits(planes, axis=1, bitorder="little")
+        for r, row in zip(own.tolist(), narrow):
+            bodies[r] = row.tobytes()
     for r in np.flatnonzero(exceptions).tolist():
-        at = np.flatnonzero(over[r])
+        at = np.flatnonzero(bits[r] > width[r])
         bodies[r] += at.astype("<u2").tobytes() + (rest[r, at] >> width[r]).astype("<u4").tobytes()
-    first = np.concatenate([[0], np.cumsum([len(b) for b in bodies])[:-1]]).astype("<u8")
-    return low.astype("<u4"), width, exceptions.astype("<u2"), first, b"".join(bodies)
+    return low, width, exceptions, bodies
 
 
 def unpack(low, width, exceptions, first, body: bytes, n_ids: int) -> np.ndarray:
     raw = np.frombuffer(body, np.uint8)
     out = np.zeros((len(low), BLOCK), np.uint32)
     for w in np.unique(width).tolist():
-        size = BLOCK * w // 8
-        if not size:
+        used = BLOCK * w // 8
+        if not used:
             continue
         rows = np.flatnonzero(width == w)
+        kind, size = ("<u2", 16) if w <= 16 else ("<u4", 32)
         for part in np.array_split(rows, max(1, len(rows) // 256)):
-            packed = raw[first[part].astype(np.int64)[:, None] + np.arange(size)]
-            planes = np.unpackbits(packed, axis=1, bitorder="little").reshape(len(part), BLOCK, w)
-            out[part] = planes @ (np.uint32(1) << np.arange(w, dtype=np.uint32))
+            packed = raw[first[part].astype(np.int64)[:, None] + np.arange(used)]
+            if w == 16:
+                out[part] = packed.view("<u2")
+                continue
+            planes = np.zeros((len(part), BLOCK, size), np.uint8)
+            planes[:, :, :w] = np.unpackbits(packed, axis=1, bitorder="little").reshape(len(part), BLOCK, w)
+            out[part] = np.packbits(planes.reshape(len(part), -1), axis=1, bitorder="little").view(kind)
     for r in np.flatnonzero(exceptions).tolist():
         k, at = int(exceptions[r]), int(first[r]) + BLOCK * int(width[r]) // 8
         where = np.frombuffer(body, "<u2", k, at)
@@ -178,8 +125,8 @@ def unpack(low, width, exceptions, first, body: bytes, n_ids: int) -> np.ndarray
     return (out + low[:, None].astype(np.uint32)).reshape(-1)[:n_ids]
 
 
-def shard_bytes(doc_ids: list, counts: np.ndarray, ids: np.ndarray, percentile: float = PERCENTILE) -> bytes:
-    low, width, exceptions, first, body = pack(ids, percentile)
+def shard_bytes(doc_ids: list, counts: np.ndarray, ids: np.ndarray, percentiles: tuple[float, ...] = PERCENTILES) -> bytes:
+    low, width, exceptions, first, body = pack(ids, percentiles)
     null = np.array([d is None for d in doc_ids], np.uint8)
     named = np.array([0 if d is None else d for d in doc_ids], "<i8")
     head = np.array([len(doc_ids), len(ids), len(low)], "<u8").tobytes() + np.array([BLOCK], "<u4").tobytes()
@@ -214,12 +161,12 @@ def _put(folder: str, name: str, content: bytes) -> None:
 
 
 def write_ids(docs: DataFrame, tokenizer_path: str, folder: str, id_col: str = "doc_id", text_col: str = "text",
-              end_id: int = 2, percentile: float = PERCENTILE, shard_ids: int = SHARD_IDS) -> DataFrame:
+              end_id: int = 2, percentiles: tuple[float, ...] = PERCENTILES, shard_ids: int = SHARD_IDS) -> DataFrame:
     """Write all ids in ascending id order; returns the manifest (shard, documents, ids), checkpointed."""
     spark = docs.sparkSession
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    # the text hash splits a hot or null id over several range partitions
-    dealt = (src.withColumn("tie", F.xxhash64("text")).repartitionByRange("id", "tie")
+    # the row's number splits a hot or null id over several range partitions; the sample reads ids only
+    dealt = (src.withColumn("tie", F.monotonically_increasing_id()).repartitionByRange("id", "tie")
              .sortWithinPartitions("id", "tie").select("id", "text"))
     jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(jvm_path)
@@ -241,7 +188,7 @@ def write_ids(docs: DataFrame, tokenizer_path: str, folder: str, id_col: str = "
                 held += len(flat)
             if names and (piece is None or held >= shard_ids):
                 name = f"{part:08d}-{seq:08d}.pfor"
-                _put(folder, name, shard_bytes(names, np.concatenate(sizes), np.concatenate(ids), percentile))
+                _put(folder, name, shard_bytes(names, np.concatenate(sizes), np.concatenate(ids), percentiles))
                 yield pa.RecordBatch.from_pydict({"shard": [name], "docs": pa.array([len(names)], pa.int64()),
                                                   "n_ids": pa.array([held], pa.int64())})
                 names, sizes, ids, held, seq = [], [], [], 0, seq + 1

@@ -25,14 +25,20 @@ class _Numbered(dict):
         return n
 
 
+def _plain_lines(first: str, lines: list[str]) -> bool:
+    """Whether every line end stands between two characters that aren't white space."""
+    return bool(first) and not first[-1].isspace() and all(x and not (x[0].isspace() or x[-1].isspace()) for x in lines)
+
+
 class ChunkEncoder:
     """Encodes texts word by word, remembering words.
 
     A byte-level pre-token never holds a non-space followed by white space, so a
-    text may be cut before every single space and its parts encoded alone.  Runs
-    of two spaces are matched together, so texts that hold one go in whole.
-    New words are encoded as one joined text; tokens are told apart by their
-    byte lengths.
+    text may be cut before every single space or line end and its parts encoded
+    alone.  Longer runs of white space are matched together, so texts that hold one
+    go in whole.
+    New words are encoded as one joined text, tokens are told apart by their byte
+    lengths; a known word before a comma or full stop isn't encoded again.
     """
 
     def __init__(self, tokenizer, remembered: int = REMEMBERED):
@@ -42,67 +48,91 @@ class ChunkEncoder:
         self.width = np.zeros(max(vocab.values()) + 1, np.int64)
         for token, i in vocab.items():
             self.width[i] = len(token)  # one printable character stands for one byte
+        # a comma or full stop after a letter is a pre-token of its own
+        self.marks = {m: ids[0] for m, ids in zip(".,", map(np.ndarray.tolist, self._whole([".", ","]))) if len(ids) == 1}
         self.clear()
 
     def clear(self) -> None:
         self.at = _Numbered()
         self.ids = np.zeros(1 << 16, np.uint32)
-        self.starts = np.zeros(1 << 14, np.int64)
+        self.begin = np.zeros(1 << 14, np.int64)  # by number of a word: its ids' place and number
+        self.size = np.zeros(1 << 14, np.int64)
         self.known = self.used = 0
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _keep(self, ids: np.ndarray, ends: np.ndarray) -> None:
-        """Hold the ids of the next words, which end at ``ends``."""
+    def _keep(self, numbers: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
         while self.used + len(ids) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        while self.known + len(ends) >= len(self.starts):
-            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
         self.ids[self.used : self.used + len(ids)] = ids
-        self.starts[self.known + 1 : self.known + 1 + len(ends)] = ends + self.used
-        self.known += len(ends)
+        self.begin[numbers] = self.used + np.cumsum(sizes) - sizes
+        self.size[numbers] = sizes
         self.used += len(ids)
 
+    def _gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the numbered words in a row, and how many each has."""
+        each = self.size[numbers]
+        ends = np.cumsum(each)
+        at = np.repeat(self.begin[numbers] - ends + each, each) + np.arange(ends[-1] if len(ends) else 0)
+        return self.ids[at], each
+
     def _learn(self, words: list[str]) -> None:
-        """Encode new words in their order: runs of plain words as one text, the others alone."""
-        for mixed, run in itertools.groupby(words, key=lambda w: not w or w[0] == " " or w[-1].isspace()):
-            run = list(run)
-            for i in range(0, len(run), 500):
-                part = run[i : i + 500]
-                if mixed:
-                    got = self._whole([w[1:] if w[:1] == " " else " " + w for w in part])
-                    ids, ends = np.concatenate(got), np.cumsum([len(g) for g in got])
-                else:
-                    ids = self._whole([" " + " ".join(part)])[0]
-                    sizes = np.fromiter((len(w.encode()) + 1 for w in part), np.int64, len(part))
-                    ends = np.searchsorted(np.cumsum(self.width[ids]), np.cumsum(sizes)) + 1
-                self._keep(ids, ends)
+        """Encode new words: plain ones in joined texts, words before a mark by what is known, the others alone."""
+        first = self.known
+        self.known += len(words)
+        while self.known > len(self.begin):
+            self.begin, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begin, self.size))
+        plain, lines, alone, marked, stems, marks = [], [], [], [], [], []
+        for n, w in enumerate(words, first):
+            if not w or w[0] == " " or w[-1].isspace():
+                alone.append(n)
+            elif w[-1] in self.marks and w[-2:-1].isalpha() and (stem := self.at.get(w[:-1])) is not None:
+                marked.append(n)
+                stems.append(stem)
+                marks.append(self.marks[w[-1]])
+            else:
+                (lines if w[0] == "\n" else plain).append(n)
+        for space, own in ((" ", plain), ("", lines)):
+            for i in range(0, len(own), 500):
+                part = [space + words[n - first] for n in own[i : i + 500]]
+                ids = self._whole(["".join(part)])[0]
+                ends = np.cumsum(np.fromiter((len(w.encode()) for w in part), np.int64, len(part)))
+                cuts = np.searchsorted(np.cumsum(self.width[ids]), ends) + 1
+                self._keep(np.array(own[i : i + 500]), ids, np.diff(cuts, prepend=0))
+        if alone:
+            shown = {" ": lambda w: w[1:], "\n": lambda w: w}
+            got = self._whole([shown.get(w[:1], " ".__add__)(w) for w in (words[n - first] for n in alone)])
+            self._keep(np.array(alone), np.concatenate(got), np.array([len(g) for g in got]))
+        if marked:
+            ids, each = self._gather(np.array(stems))
+            self._keep(np.array(marked), np.insert(ids, np.cumsum(each), marks), each + 1)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and the number of ids of each text."""
         if len(self.at) > self.remembered:
             self.clear()
         # What stands before the first space has no leading space, nor have whole texts; their key
-        # is marked by a space, which no other part holds.
+        # is marked by a space, which no other part holds.  A line's first word keeps its line end.
         flat: list[str] = []
         n = np.zeros(len(texts), np.int64)
         for k, t in enumerate(texts):
-            if "  " in t:
-                rest = [" " + t]
+            before = len(flat)
+            first, *lines = t.split("\n")
+            if "  " in t or lines and not _plain_lines(first, lines):
+                flat.append(" " + t)
             else:
-                rest = t.split(" ")
+                rest = first.split(" ")
                 if rest[0]:
                     rest[0] = " " + rest[0]
                 else:
                     del rest[0]
-            flat += rest
-            n[k] = len(rest)
+                flat += rest
+                for line in lines:
+                    flat += ("\n" + line).split(" ")
+            n[k] = len(flat) - before
         word = np.fromiter(map(self.at.__getitem__, flat), np.int64, len(flat))
         self._learn(list(itertools.islice(self.at, self.known, None)))
-        begin = self.starts[word]
-        each = self.starts[word + 1] - begin
+        ids, each = self._gather(word)
         total = np.concatenate([[0], np.cumsum(each)])
-        ids = self.ids[np.repeat(begin - total[:-1], each) + np.arange(total[-1])]
-        of_text = np.concatenate([[0], np.cumsum(n)])
-        return ids, total[of_text[1:]] - total[of_text[:-1]]
+        return ids, np.diff(total[np.concatenate([[0], np.cumsum(n)])])
