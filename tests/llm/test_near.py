@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from conftest import SF
 from tidemark.llm import embedding_dedup, jaccard_join
 from tidemark.llm.components import components
-from tidemark.llm.queries import QUERIES
+from tidemark.llm.queries import ORACLE, QUERIES
 
 
 def group(n, pairs):
@@ -150,3 +150,17 @@ def test_op10_prefixes_and_local_links(sets):
     assert all(firsts[i] & firsts[j] for i, j in pairs)
     links = dict(jaccard_join.local_links(np.arange(len(sets)), arrays))
     assert [links.get(i, i) for i in range(len(sets))] == group(len(sets), pairs)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_queries_equal_their_sql(spark, name):
+    import duckdb
+
+    con = duckdb.connect()
+    for t in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    found = con.execute(ORACLE[name])
+    columns = [c[0] for c in found.description]
+    got = QUERIES[name](spark, SF)
+    assert set(columns) == set(got.columns)
+    assert sorted(found.fetchall()) == sorted(map(tuple, got.select(*columns).collect()))

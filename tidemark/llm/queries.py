@@ -26,6 +26,16 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return run
 
 
+def with_sql(text: str) -> Callable:
+    """The same rows in DuckDB, for results that SQL can express."""
+
+    def note(fn: Callable) -> Callable:
+        ORACLE[fn.__name__] = text
+        return fn
+
+    return note
+
+
 def vocabulary(name: str) -> str:
     import public_tokenizers
 
@@ -58,6 +68,28 @@ def op4_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "n_windows", "n_hits", "coverage", "exact")
 
 
+_REACH = """
+  reach(node, other) AS (
+    SELECT node, node FROM nodes UNION SELECT r.node, e.b FROM reach r JOIN linked e ON r.other = e.a)"""
+
+_OP5_SQL = f"""
+WITH RECURSIVE
+  given AS (SELECT vec_id, label, list_transform(embedding, lambda v: CAST(v AS DOUBLE)) AS x FROM embeddings),
+  good AS (
+    SELECT vec_id, label, x, sqrt(list_dot_product(x, x)) AS size FROM given
+    WHERE label IS NOT NULL AND len(x) > 0 AND len(list_filter(x, lambda v: v IS NULL OR NOT isfinite(v))) = 0
+      AND len(list_filter(x, lambda v: v <> 0)) > 0),
+  linked AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+    WHERE list_dot_product(a.x, b.x) / (a.size * b.size) >= 0.98),
+  nodes AS (SELECT vec_id AS node FROM embeddings),{_REACH}
+SELECT r.node AS vec_id, (SELECT COUNT(*) FROM linked WHERE a = r.node) AS n_links, MIN(r.other) AS component_id,
+       r.node = MIN(r.other) AS kept
+FROM reach r GROUP BY r.node
+"""
+
+
+@with_sql(_OP5_SQL)
 @query
 def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(read(spark, sf_dir, "embeddings"))
@@ -87,6 +119,26 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(encoded, described, with_text=False))
 
 
+_OP10_SQL = f"""
+WITH RECURSIVE
+  worded AS (
+    SELECT doc_id, list_filter(string_split_regex(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                  '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w FROM documents),
+  sets AS (
+    SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+             ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END)) AS shingle FROM worded),
+  sizes AS (SELECT doc_id, COUNT(*) AS n FROM sets GROUP BY doc_id),
+  common AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, COUNT(*) AS both FROM sets a JOIN sets b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+  linked AS (
+    SELECT c.a, c.b FROM common c JOIN sizes x ON x.doc_id = c.a JOIN sizes y ON y.doc_id = c.b WHERE 100 * both >= 75 * (x.n + y.n - both)),
+  nodes AS (SELECT doc_id AS node FROM documents),{_REACH},
+  least AS (SELECT node, MIN(other) AS component_id FROM reach GROUP BY node)
+SELECT l.node AS doc_id, COALESCE(s.n, 0) AS n_shingles, l.component_id FROM least l LEFT JOIN sizes s ON s.doc_id = l.node
+"""
+
+
+@with_sql(_OP10_SQL)
 @query
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
