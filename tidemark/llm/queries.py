@@ -129,9 +129,9 @@ WITH RECURSIVE
              ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END)) AS shingle FROM worded),
   sizes AS (SELECT doc_id, COUNT(*) AS n FROM sets GROUP BY doc_id),
   common AS (
-    SELECT a.doc_id AS a, b.doc_id AS b, COUNT(*) AS both FROM sets a JOIN sets b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+    SELECT a.doc_id AS a, b.doc_id AS b, COUNT(*) AS shared FROM sets a JOIN sets b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2),
   linked AS (
-    SELECT c.a, c.b FROM common c JOIN sizes x ON x.doc_id = c.a JOIN sizes y ON y.doc_id = c.b WHERE 100 * both >= 75 * (x.n + y.n - both)),
+    SELECT c.a, c.b FROM common c JOIN sizes x ON x.doc_id = c.a JOIN sizes y ON y.doc_id = c.b WHERE 100 * shared >= 75 * (x.n + y.n - shared)),
   nodes AS (SELECT doc_id AS node FROM documents),{_REACH},
   least AS (SELECT node, MIN(other) AS component_id FROM reach GROUP BY node)
 SELECT l.node AS doc_id, COALESCE(s.n, 0) AS n_shingles, l.component_id FROM least l LEFT JOIN sizes s ON s.doc_id = l.node
