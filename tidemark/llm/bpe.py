@@ -70,11 +70,6 @@ def tokenizer_json(ranks: dict[bytes, int]) -> str:
     return tok.to_str()
 
 
-@lru_cache(2)
-def _encoder(described: str) -> ChunkEncoder:
-    return ChunkEncoder(load(described, from_file=False))
-
-
 @lru_cache(2)
 def _id_bytes(described: str) -> list[bytes]:
     back = {c: b for b, c in enumerate(byte_table())}
@@ -108,7 +103,7 @@ def encode(docs: DataFrame, described, id_col: str = "doc_id", text_col: str = "
     schema = f"id {src.schema['id'].dataType.simpleString()}, {ENCODED}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = _encoder(described.value)
+        enc = ChunkEncoder(load(described.value, from_file=False), 150_000)  # a task's own: workers serve other stages too
         for batch in batches:
             for part in slices(batch, "text"):
                 texts = ["" if t is None else t for t in part.column(1).to_pylist()]

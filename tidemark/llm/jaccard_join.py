@@ -38,13 +38,13 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import partitions_for, staged
 from tidemark.llm.components import components
-from tidemark.llm.text_blocks import Words, blocks, expand, expand_sorted, mixed, slices_of, squeeze, squeeze_sorted, texts_of
+from tidemark.llm.text_blocks import Words, blocks, expand, expand_sorted, mixed, release, slices_of, squeeze, squeeze_sorted, texts_of
 from tidemark.session import small_side
 
 WORDS = 5
 PERCENT = 75
-BLOCK_BYTES = 4_000_000
-BUCKET_BYTES = 12_000_000
+BLOCK_BYTES = 3_000_000
+BUCKET_BYTES = 6_000_000
 LEAF = 256  # texts a region may have to be compared at once
 PIVOTS = 16
 PAIRS = 4_000_000  # comparisons of a region that are done block by block rather than divided further
@@ -190,6 +190,7 @@ def candidates(docs: DataFrame, n_blocks: int, n_buckets: int, percent: int, siz
                 first = prefix(flat[end - n : end], each[end - n : end], percent).astype(np.int64)
                 own = flat[end - n : end].astype("<u8").tobytes()
             rows.append((sha, n, first, own))
+        release()
         return pd.DataFrame(rows, columns=["sha", "n", "prefix", "members"])
 
     return dealt.groupBy("block").cogroup(returned.groupBy("block")).applyInPandas(choose, "sha string, n long, prefix array<long>, members binary")

@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOLD_BYTES = 16_000_000  # distinct text a task holds before it sends
+HOLD_BYTES = 8_000_000  # distinct text a task holds before it sends
 SLICE_BYTES = 500_000
 
 
@@ -65,6 +65,11 @@ def unpack_texts(payload: bytes) -> Iterator[tuple[bytes, bytes, int]]:
         text_at += size
 
 
+def release() -> None:
+    """Give memory that Arrow holds for later back: a worker process serves stage after stage."""
+    pa.default_memory_pool().release_unused()
+
+
 def blocks(texts: DataFrame, n_blocks: int) -> DataFrame:
     """(block, payload) of ``texts`` (text string not null, weight long): equal texts are merged, weights added up.
 
@@ -92,6 +97,8 @@ def blocks(texts: DataFrame, n_blocks: int) -> DataFrame:
                 for b, rows in parts.items():
                     yield pa.RecordBatch.from_pydict({"block": pa.array([b], pa.int64()), "payload": pa.array([pack_texts(rows)], pa.binary())})
                 held, size = {}, 0
+                del parts
+                release()
 
     return texts.select("text", F.col("weight").cast("long")).mapInArrow(run, "block long, payload binary")
 

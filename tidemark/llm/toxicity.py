@@ -143,7 +143,7 @@ class Grammar:
             return self.seen[word]
         weights = [self.lexicon[u] for u in (word, *(word[:n] + "*" for n in self.stems if len(word) > n)) if u in self.lexicon]
         got = ("I", max(weights)) if weights else self.known.get(word, ("O", 0.0))
-        if len(self.seen) < 500_000:  # only saves time
+        if len(self.seen) < 100_000:  # only saves time
             self.seen[word] = got
         return got
 
@@ -183,13 +183,13 @@ def sampled(docs: DataFrame, labels: DataFrame, training: Column, sample: int =
            .orderBy(F.xxhash64("id"), "id").limit(sample))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(ids), "id")
 
-    @F.pandas_udf("long")
-    def twin(part: pd.Series) -> pd.Series:
+    @F.arrow_udf("long")
+    def twin(part: pa.Array) -> pa.Array:
         def least(text):
             ws = _WORD.findall((text or "").lower())
             return min((zlib.crc32(" ".join(t).encode()) for t in zip(ws, ws[1:], ws[2:])), default=zlib.crc32(" ".join(ws).encode()))
 
-        return part.map(least, na_action=None).astype("int64")
+        return pa.array([least(t.as_py()) for t in part], pa.int64())
 
     kept = texts.where("label in (0, 1)").withColumn("twin", twin("text")).dropDuplicates(["label", "twin"])
     return staged(kept.select("text", "label", (F.col("twin") % 2).alias("half")), "labelled")
@@ -243,8 +243,8 @@ class Model:
     lexicon: dict[str, float]
     weights: tuple[float, ...]
 
-    def scores(self, texts) -> np.ndarray:
-        g = Grammar(self.lexicon)
+    def scores(self, texts, grammar: Grammar | None = None) -> np.ndarray:
+        g = grammar or Grammar(self.lexicon)
         x = np.array([g.features(t) for t in texts], float).reshape(-1, WIDTH)
         z = x @ np.array(self.weights[:-1]) + self.weights[-1]
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
@@ -271,9 +271,10 @@ def train(docs: DataFrame, labels: DataFrame, training: Column, sample: int = SA
 def scored(docs: DataFrame, model: Model, text_col: str = "text", name: str = "score") -> DataFrame:
     """``docs`` with the toxicity score of each whole text in a further column."""
 
-    @F.pandas_udf("double")
-    def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def score(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        grammar = Grammar(model.lexicon)
         for part in parts:
-            yield pd.Series(model.scores(part))
+            yield pa.array(model.scores((t.as_py() for t in part), grammar))  # one text at a time in Python
 
     return docs.withColumn(name, score(F.col(text_col).cast("string")))
