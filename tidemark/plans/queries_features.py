@@ -241,18 +241,32 @@ def event_props(spark: SparkSession, d: str):
                                        F.sum(variant_field("v", "$.k", "int")).alias("sum_k"))
 
 
-def build_model_frame(spark: SparkSession, d: str):
+#: Rows per ticker that the newest 90 days can depend on: 90 of their own, a 90-row lag, windows up to 50 rows.
+RECENT_ROWS = 260
+
+
+def newest_rows(df, rows: int = RECENT_ROWS):
+    """The newest rows of each ticker; a row limit per key, so each task keeps no more than these."""
+    from pyspark.sql import Window
+
+    newest = Window.partitionBy("ticker").orderBy(F.col("trading_date").desc())
+    return df.withColumn("__newest", F.row_number().over(newest)).where(F.col("__newest") <= rows).drop("__newest")
+
+
+def build_model_frame(spark: SparkSession, d: str, recent: bool = False):
     """The fact table's rows with only the columns the model reads (sequence and
     tabular features, labels): the price rows with momentum and labels left-joined
     to the fundamentals and flow marts.  Identical values to selecting those columns
     from ``build_fact`` -- every mart is unique on (ticker, date) -- without the
-    sentiment and macro joins that Catalyst cannot drop on its own."""
+    sentiment and macro joins that Catalyst cannot drop on its own.  ``recent`` cuts
+    prices and flows to the rows that the newest 90 days depend on, before any mart."""
     from tidemark.operators.samples import SEQUENCE_FEATURES, TABULAR_FEATURES
 
-    prices = P.stock_price_eod(spark, d)
+    cut = newest_rows if recent else (lambda df: df)
+    prices = cut(P.stock_price_eod(spark, d))
     keys = ["ticker", "trading_date"]
     mom = marts.momentum_mart(prices, P.index_price_eod(spark, d), labels=True)
     fun = marts.fundamentals_mart(prices, *_statements(spark, d), P.company_profile(spark, d))
-    flw = marts.flows_mart(P.foreign_trading(spark, d), P.proprietary_trading(spark, d))
+    flw = marts.flows_mart(cut(P.foreign_trading(spark, d)), cut(P.proprietary_trading(spark, d)))
     out = mom.join(fun, keys, "left").join(flw, keys, "left")
     return out.select(*keys, *SEQUENCE_FEATURES, *TABULAR_FEATURES, *marts.LABEL_COLUMNS)

@@ -233,8 +233,8 @@ def strip_and_drop_lines(spark: SparkSession, d: str):
 def json_roundtrip(spark: SparkSession, d: str):
     """SNK11 + SNK12: latest windows written as JSON lines and parsed back (blank
     and malformed lines in the same stream are skipped)."""
-    fact = build_model_frame(spark, d)
-    windows = S.latest_window(lookback_slice(fact, "trading_date", days=90))
+    fact = build_model_frame(spark, d, recent=True)
+    windows = S.latest_window(lookback_slice(fact, "trading_date", days=90, dates=P.stock_price_eod(spark, d)))
     lines = L.payloads(windows)
     # every ticker's line travels with a blank and a truncated (malformed) line
     noise = windows.select(F.lit("").alias("value")).unionByName(

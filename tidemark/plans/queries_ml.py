@@ -111,8 +111,8 @@ def time_split(spark: SparkSession, d: str):
 ], "SELECT ticker, trading_date, sequence, tabular FROM l_w WHERE rn = 1 AND len(sequence) = 30"))
 def latest_window(spark: SparkSession, d: str):
     """SRC10 + W26: 90-day look-back from the newest date, newest full window per ticker."""
-    fact = build_model_frame(spark, d)
-    return S.latest_window(lookback_slice(fact, "trading_date", days=90), SPEC)
+    fact = build_model_frame(spark, d, recent=True)
+    return S.latest_window(lookback_slice(fact, "trading_date", days=90, dates=P.stock_price_eod(spark, d)), SPEC)
 
 
 _NULL_COLS = SPEC.sequence + SPEC.tabular
@@ -126,7 +126,8 @@ _NULL_COLS = SPEC.sequence + SPEC.tabular
     for c in _NULL_COLS)))
 def null_rates(spark: SparkSession, d: str):
     """SRC9 + AGG9: null rate of every model input on the newest trading date (DQ5 input)."""
-    return Q.null_rates(latest_slice(build_model_frame(spark, d), "trading_date"), list(_NULL_COLS))
+    return Q.null_rates(latest_slice(build_model_frame(spark, d, recent=True), "trading_date", P.stock_price_eod(spark, d)),
+                        list(_NULL_COLS))
 
 
 _DRIFT = "price_momentum_1m / 6"

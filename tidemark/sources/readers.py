@@ -118,16 +118,18 @@ def read_training_set(spark: SparkSession, path: str) -> DataFrame:
     return df
 
 
-def latest_slice(df: DataFrame, date_col: str) -> DataFrame:
+def latest_slice(df: DataFrame, date_col: str, dates: DataFrame | None = None) -> DataFrame:
     """SRC9: rows of the newest date (``WHERE d = (SELECT MAX(d))``), as a scalar
-    subquery: one small aggregate, then a filter on the scan."""
-    newest = df.select(F.max(date_col)).scalar()
+    subquery: one small aggregate, then a filter on the scan.  ``dates``: a cheaper
+    frame with the same newest date, as the price rows of a wide table."""
+    newest = (df if dates is None else dates).select(F.max(date_col)).scalar()
     return df.where(F.col(date_col) == newest)
 
 
-def lookback_slice(df: DataFrame, date_col: str, anchor: dt.date | str | None = None, days: int = 90) -> DataFrame:
-    """SRC10: rows in ``(anchor - days, anchor]``; anchor defaults to the newest date."""
-    a = F.lit(str(anchor)).cast("date") if anchor is not None else df.select(F.max(date_col)).scalar()
+def lookback_slice(df: DataFrame, date_col: str, anchor: dt.date | str | None = None, days: int = 90,
+                   dates: DataFrame | None = None) -> DataFrame:
+    """SRC10: rows in ``(anchor - days, anchor]``; anchor defaults to the newest date (of ``dates``, if given)."""
+    a = F.lit(str(anchor)).cast("date") if anchor is not None else (df if dates is None else dates).select(F.max(date_col)).scalar()
     return df.where((F.col(date_col) <= a) & (F.col(date_col) > F.date_sub(a, days)))
 
 
