@@ -78,7 +78,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
     described = bpe.described_ranks(spark, vocabulary(bpe.RANKS))
-    return bpe.digests(bpe.decode(bpe.encode(docs, described), described, with_text=False))
+    return bpe.digests(bpe.round_trip(docs, described))
 
 
 STAGES = [("toxicity", drop_toxic), ("near_duplicates", keep_one_of_each_group), ("decontamination", drop_contaminated),

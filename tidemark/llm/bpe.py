@@ -91,6 +91,29 @@ def offsets(data: bytes, widths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return char[ends - widths], char[ends - 1] + 1
 
 
+def _encoded(enc: ChunkEncoder, texts: list[str]) -> list[pa.ListArray]:
+    """ids, starts and ends of each text."""
+    ids, counts = enc.encode(texts)
+    starts, ends = offsets("".join(texts).encode(), enc.width[ids])
+    chars = np.cumsum([0, *map(len, texts)])
+    rows = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+    before = np.repeat(chars[:-1], counts)
+    return [pa.ListArray.from_arrays(rows, x.astype(np.int32)) for x in (ids, starts - before, ends - before)]
+
+
+def _decoded(table: list[bytes], ids: pa.ListArray, with_text: bool) -> list[pa.Array]:
+    """n_tokens, packed ids, bytes and text of each id sequence."""
+    ends, flat = ids.offsets.to_numpy(), ids.values.to_numpy(zero_copy_only=False)
+    rows = [flat[i:j] for i, j in zip(ends, ends[1:])]
+    data = [b"".join(map(table.__getitem__, r.tolist())) for r in rows]
+    columns = [pa.array(map(len, rows), pa.int64()), pa.array([r.astype("<u4").tobytes() for r in rows], pa.binary()), pa.array(data, pa.binary())]
+    return columns + [pa.array([d.decode("utf-8", "replace") for d in data], pa.string())] * with_text
+
+
+def _encoder(described: str) -> ChunkEncoder:
+    return ChunkEncoder(load(described, from_file=False), 150_000)  # a task's own: workers serve other stages too
+
+
 ENCODED = "ids array<int>, starts array<int>, ends array<int>"
 
 
@@ -103,16 +126,10 @@ def encode(docs: DataFrame, described, id_col: str = "doc_id", text_col: str = "
     schema = f"id {src.schema['id'].dataType.simpleString()}, {ENCODED}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = ChunkEncoder(load(described.value, from_file=False), 150_000)  # a task's own: workers serve other stages too
+        enc = _encoder(described.value)
         for batch in batches:
             for part in slices(batch, "text"):
-                texts = ["" if t is None else t for t in part.column(1).to_pylist()]
-                ids, counts = enc.encode(texts)
-                starts, ends = offsets("".join(texts).encode(), enc.width[ids])
-                chars = np.cumsum([0, *map(len, texts)])
-                rows = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-                before = np.repeat(chars[:-1], counts)
-                lists = [pa.ListArray.from_arrays(rows, x.astype(np.int32)) for x in (ids, starts - before, ends - before)]
+                lists = _encoded(enc, ["" if t is None else t for t in part.column(1).to_pylist()])
                 yield pa.RecordBatch.from_arrays([part.column(0), *lists], names=["id", "ids", "starts", "ends"])
 
     return src.mapInArrow(run, schema).withColumnRenamed("id", id_col)
@@ -131,23 +148,36 @@ def decode(encoded: DataFrame, described, id_col: str = "doc_id", ids_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _id_bytes(described.value)
         for batch in batches:
-            ends = batch.column(1).offsets.to_numpy()
-            flat = batch.column(1).values.to_numpy(zero_copy_only=False)
-            step = 64  # rows at a time: their ids become Python numbers for the table lookup
-            for a in range(0, batch.num_rows, step):
-                rows = [flat[i:j] for i, j in zip(ends[a : a + step], ends[a + 1 : a + step + 1])]
-                data = [b"".join(map(table.__getitem__, ids.tolist())) for ids in rows]
-                columns = [batch.column(0).slice(a, step), pa.array(map(len, rows), pa.int64()),
-                           pa.array([ids.astype("<u4").tobytes() for ids in rows], pa.binary()), pa.array(data, pa.binary())]
-                if with_text:
-                    columns.append(pa.array([d.decode("utf-8", "replace") for d in data], pa.string()))
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+            for a in range(0, batch.num_rows, 64):  # some rows at a time: their ids become Python numbers
+                part = batch.slice(a, 64)
+                ids = pa.ListArray.from_arrays(_rebased(part.column(1)), part.column(1).flatten())
+                yield pa.RecordBatch.from_arrays([part.column(0), *_decoded(table, ids, with_text)], names=names)
+
+    return src.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+
+
+def _rebased(lists: pa.ListArray) -> pa.Array:
+    """Offsets of a sliced list array, from zero."""
+    return pa.array(lists.offsets.to_numpy() - lists.offsets[0].as_py(), pa.int32())
+
+
+def round_trip(docs: DataFrame, described, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, n_tokens, packed, data): ``decode(encode(docs))`` in one pass over the texts, ids never leave the task."""
+    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    schema = f"id {src.schema['id'].dataType.simpleString()}, n_tokens long, packed binary, data binary"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc, table = _encoder(described.value), _id_bytes(described.value)
+        for batch in batches:
+            for part in slices(batch, "text", 1_000_000):
+                ids = _encoded(enc, ["" if t is None else t for t in part.column(1).to_pylist()])[0]
+                yield pa.RecordBatch.from_arrays([part.column(0), *_decoded(table, ids, False)], names=["id", "n_tokens", "packed", "data"])
 
     return src.mapInArrow(run, schema).withColumnRenamed("id", id_col)
 
 
 def digests(decoded: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """(id, n_tokens, ids_sha256, decoded_sha256) of what ``decode`` returns."""
+    """(id, n_tokens, ids_sha256, decoded_sha256) of what ``decode`` or ``round_trip`` returns."""
     return decoded.select(id_col, "n_tokens", F.sha2("packed", 256).alias("ids_sha256"), F.sha2("data", 256).alias("decoded_sha256"))
 
 

@@ -115,8 +115,7 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     described = bpe.described_ranks(spark, vocabulary(bpe.RANKS))
-    encoded = bpe.encode(read(spark, sf_dir, "documents"), described)
-    return bpe.digests(bpe.decode(encoded, described, with_text=False))
+    return bpe.digests(bpe.round_trip(read(spark, sf_dir, "documents"), described))
 
 
 _OP10_SQL = f"""
