@@ -17,7 +17,7 @@ from tidemark.llm.word_encoder import ChunkEncoder, load
 
 JSON, RANKS = P.path("byte_bpe_50k.json"), P.path(bpe.RANKS)
 AWKWARD = ["", " ", "  ", "a ", " a", "a \n b", "x\n\n b", "　 x", "a  b  ", "\n ", "a   b", "\0a b", "a \0a", "it's we'LL don’t",
-           "<|endoftext|>", "naïve 漢字 🙂🙂", "١٢٣ ½", "﻿abc᠎ d"]
+           "a\nb", "\na", "a\n", "a.\nB c,\nd", "a  b\nc\n\nd e\nf", "x \ny", "x\n y\nz", "a\n\n\n", "w" * 90 + ", " + "w" * 90, "<|endoftext|>", "naïve 漢字 🙂🙂", "١٢٣ ½", "﻿abc᠎ d"]
 
 
 def plain():
@@ -27,14 +27,17 @@ def plain():
 
 
 def test_chunked_encoding_is_the_librarys():
-    enc, tok = ChunkEncoder(load(JSON)), plain()
-    flat, counts = enc.encode(AWKWARD)
-    parts = np.split(flat, np.cumsum(counts)[:-1])
-    assert [p.tolist() for p in parts] == [e.ids for e in tok.encode_batch(AWKWARD, add_special_tokens=False)]
+    enc, tok = ChunkEncoder(load(JSON), 8), plain()
+    for texts in (AWKWARD, AWKWARD[::-1], AWKWARD):
+        flat, counts = enc.encode(texts)
+        parts = np.split(flat, np.cumsum(counts)[:-1])
+        assert [p.tolist() for p in parts] == [e.ids for e in tok.encode_batch(texts, add_special_tokens=False)]
+    enc.encode(["one  two " * 50, "v" * 100])
+    assert all(len(w) <= 65 and "  " not in w for w in enc.at)
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.lists(st.text(alphabet="ab '\n\t 1,é漢　s", max_size=30), max_size=4))
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.text(alphabet="ab '\n\n\t  1,.é漢　s", max_size=40), max_size=4))
 def test_chunked_encoding_of_random_texts(texts):
     tok = _shared()[1]
     flat, counts = _shared()[0].encode(texts)

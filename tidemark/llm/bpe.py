@@ -110,8 +110,9 @@ def _decoded(table: list[bytes], ids: pa.ListArray, with_text: bool) -> list[pa.
     return columns + [pa.array([d.decode("utf-8", "replace") for d in data], pa.string())] * with_text
 
 
+@lru_cache(1)
 def _encoder(described: str) -> ChunkEncoder:
-    return ChunkEncoder(load(described, from_file=False), 150_000)  # a task's own: workers serve other stages too
+    return ChunkEncoder(load(described, from_file=False), 150_000)  # a worker serves other stages too
 
 
 ENCODED = "ids array<int>, starts array<int>, ends array<int>"

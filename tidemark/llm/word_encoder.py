@@ -8,6 +8,7 @@ import os
 import numpy as np
 
 REMEMBERED = 500_000  # words a worker process keeps; this only saves time
+LONGEST = 64  # letters of a word that is kept
 
 
 def load(described: str, from_file: bool = True):
@@ -18,16 +19,28 @@ def load(described: str, from_file: bool = True):
 
 
 class _Numbered(dict):
-    """Numbers each new key in the order of first use."""
+    """Numbers each new key in the order of first use; a number isn't used again."""
+
+    given = 0
 
     def __missing__(self, key: str) -> int:
-        n = self[key] = len(self)
+        n = self[key] = self.given
+        self.given += 1
         return n
 
 
-def _plain_lines(first: str, lines: list[str]) -> bool:
-    """Whether every line end stands between two characters that aren't white space."""
-    return bool(first) and not first[-1].isspace() and all(x and not (x[0].isspace() or x[-1].isspace()) for x in lines)
+def _segments(text: str) -> list[str]:
+    """The text cut before every line end that stands between two characters that aren't white space."""
+    first, *lines = text.split("\n")
+    out, own = [], first
+    for line in lines:
+        if line and own and not (line[0].isspace() or own[-1].isspace()):
+            out.append(own)
+            own = "\n" + line
+        else:
+            own += "\n" + line
+    out.append(own)
+    return out
 
 
 class ChunkEncoder:
@@ -35,8 +48,8 @@ class ChunkEncoder:
 
     A byte-level pre-token never holds a non-space followed by white space, so a
     text may be cut before every single space or line end and its parts encoded
-    alone.  Longer runs of white space are matched together, so texts that hold one
-    go in whole.
+    alone.  Longer runs of white space are matched together, so a line that holds one
+    goes in whole.  Words are remembered, whole lines and very long words aren't.
     New words are encoded as one joined text, tokens are told apart by their byte
     lengths; a known word before a comma or full stop isn't encoded again.
     """
@@ -110,29 +123,33 @@ class ChunkEncoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and the number of ids of each text."""
-        if len(self.at) > self.remembered:
+        if len(self.at) > self.remembered or self.used > 16 * self.remembered:
             self.clear()
-        # What stands before the first space has no leading space, nor have whole texts; their key
-        # is marked by a space, which no other part holds.  A line's first word keeps its line end.
+        # What stands before a text's first space has no leading space, nor have whole lines; their key
+        # is marked by a space, which no word holds.  A line's first word keeps its line end.
         flat: list[str] = []
+        passing: list[str] = []
         n = np.zeros(len(texts), np.int64)
         for k, t in enumerate(texts):
             before = len(flat)
-            first, *lines = t.split("\n")
-            if "  " in t or lines and not _plain_lines(first, lines):
-                flat.append(" " + t)
-            else:
-                rest = first.split(" ")
-                if rest[0]:
-                    rest[0] = " " + rest[0]
-                else:
-                    del rest[0]
-                flat += rest
-                for line in lines:
-                    flat += ("\n" + line).split(" ")
+            for i, line in enumerate(_segments(t)):
+                if "  " in line or line.find("\n", i > 0) >= 0:
+                    passing.append(line if i else " " + line)
+                    flat.append(passing[-1])
+                    continue
+                words = line.split(" ")
+                if not i:
+                    if words[0]:
+                        words[0] = " " + words[0]
+                    else:
+                        del words[0]
+                flat += words
             n[k] = len(flat) - before
         word = np.fromiter(map(self.at.__getitem__, flat), np.int64, len(flat))
-        self._learn(list(itertools.islice(self.at, self.known, None)))
+        new = [w for w, _ in itertools.takewhile(lambda x, known=self.known: x[1] >= known, zip(reversed(self.at), reversed(self.at.values())))][::-1]
+        self._learn(new)
+        for w in passing + [w for w in new if len(w) > LONGEST]:
+            self.at.pop(w, None)
         ids, each = self._gather(word)
         total = np.concatenate([[0], np.cumsum(each)])
         return ids, np.diff(total[np.concatenate([[0], np.cumsum(n)])])
