@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import load as L
 from tidemark.operators import normalise as N
+from tidemark.operators.silver import up_to_batch
 from tidemark.plans.catalog import register
 from tidemark.plans.oracle import with_proxies
 from tidemark.session import ensure_checkpoint_dir
@@ -225,3 +226,33 @@ def appended_csv(spark: SparkSession, d: str) -> DataFrame:
         L.append_partitioned(n.where(F.length("n_name") % 2 == half), folder, ["n_regionkey"])
     return spark.read.option("header", True).csv(folder).select("n_name", F.col("n_regionkey").cast("int").alias("n_regionkey"))
 
+
+
+# -- slices of a feed (NRM18, NRM19, PRJ9) and the vendor's wide layout (NRM15) ----------------
+@register("universe_slice", with_proxies(["price", "profile"], [], """
+    SELECT ticker, trading_date, volume FROM price
+    WHERE trading_date BETWEEN DATE '1995-01-01' AND DATE '1996-12-31'
+      AND ticker IN (SELECT ticker FROM profile WHERE length(industry) % 2 = 0)"""))
+def universe_slice(spark: SparkSession, d: str) -> DataFrame:
+    """NRM18 + NRM19: rows of a symbol universe inside a date range."""
+    symbols = P.company_profile(spark, d).where(F.length("industry") % 2 == 0)
+    return N.restrict_universe(N.in_range(P.stock_price_eod(spark, d), "trading_date", "1995-01-01", "1996-12-31"), symbols).select(
+        "ticker", "trading_date", "volume")
+
+
+@register("batch_history", with_proxies(["corp_events"], [], """
+    SELECT ticker, COUNT(*) AS n FROM corp_events WHERE batch_date <= DATE '2024-01-15' GROUP BY ticker"""))
+def batch_history(spark: SparkSession, d: str) -> DataFrame:
+    """PRJ9: history up to a batch date only."""
+    return up_to_batch(P.corporate_events(spark, d), "2024-01-15").groupBy("ticker").agg(F.count("*").alias("n"))
+
+
+@register("vendor_periods", """
+    SELECT p.o_orderpriority AS item, s.period_label, COUNT(o.o_orderkey) AS value
+    FROM (SELECT DISTINCT o_orderpriority FROM orders) p CROSS JOIN (VALUES ('F'), ('O'), ('P')) s(period_label)
+    LEFT JOIN orders o ON o.o_orderpriority = p.o_orderpriority AND o.o_orderstatus = s.period_label GROUP BY 1, 2""")
+def vendor_periods(spark: SparkSession, d: str) -> DataFrame:
+    """NRM15: a vendor's layout of one column per period becomes rows."""
+    o = read_table(spark, d, "orders")
+    wide = o.groupBy(F.col("o_orderpriority").alias("item")).pivot("o_orderstatus", ["F", "O", "P"]).agg(F.count("o_orderkey")).fillna(0)
+    return N.unpivot_periods(wide, ["item"])
