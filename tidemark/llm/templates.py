@@ -38,7 +38,7 @@ from tidemark.session import small_side
 
 WINDOW = 5
 COVERAGE = 0.75
-FILTER_HASHES = 4_000_000
+FILTER_HASHES = 2_000_000
 REMEMBERED = 400_000  # words a worker process keeps; only saves time
 
 # Words read as numbers or, after a number, as units.
@@ -177,7 +177,7 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
     hashes = item_windows.select("hash").distinct()
     wanted = None
     if hashes.count() <= filter_hashes:
-        wanted = np.sort(np.array([r[0] for r in hashes.collect()], np.int64).astype(np.uint64))
+        wanted = np.sort(hashes.toPandas()["hash"].to_numpy(np.int64).astype(np.uint64))  # eight bytes each
     doc_rows = docs.select(F.col(id_col).alias("id"), text_key(text_col).alias("key"), F.col(text_col).cast("string").alias("text"))
     found = windows(doc_rows, wanted).drop("n").join(small_side(item_windows), ["form", "hash"])
     # rows that repeat id and text give the same positions again: distinct
