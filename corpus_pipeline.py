@@ -14,9 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import blob_ledger, bpe, jaccard_join, templates, toxicity
-from tidemark.llm.common import fold, read, shared_folder, staged
+from tidemark.llm.common import fold, prepare, read, shared_folder, staged
 from tidemark.llm.queries import vocabulary
-from tidemark.session import ship_package, small_side
+from tidemark.session import small_side
 
 # No SQL form: a learned score, and byte-pair merges.
 ORACLE_SQL = None
@@ -30,14 +30,14 @@ def _without(docs: DataFrame, keys: DataFrame, key) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship_package(spark)
+    prepare(spark)
     model = toxicity.train(docs, read(spark, sf_dir, "labels"), fold("doc_id", 5) != 0)
     return toxicity.scored(docs, model, name="__toxicity").where(F.col("__toxicity") < 0.5).drop("__toxicity")
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the smallest id stays; documents without words all stay."""
-    ship_package(spark)
+    prepare(spark)
     found = staged(jaccard_join.near_duplicates(docs).where("n_shingles > 0")
                    .select("group", "doc_id", F.col("sha").alias("key")).groupBy("group", "doc_id", "key").agg(F.count("*").alias("n")), "groups")
     first = staged(found.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("first")), "first")
@@ -57,13 +57,13 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship_package(spark)
+    prepare(spark)
     return _without(docs, templates.contaminated(docs, read(spark, sf_dir, "benchmark")), templates.text_key())
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every secret that the ledger's scan found is replaced in the text, and n_chars follows."""
-    ship_package(spark)
+    prepare(spark)
     ledger = blob_ledger.update(docs, shared_folder(spark, "pipeline-ledger"))
     found = small_side(staged(blob_ledger.findings(ledger).select(F.col("blob").alias("__blob"), F.col("found").alias("__found")), "secrets"))
     marked = docs.withColumn("__own", blob_ledger.blob_id("text")).join(found, F.col("__own") == F.col("__blob"), "left")
@@ -76,7 +76,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship_package(spark)
+    prepare(spark)
     described = bpe.described_ranks(spark, vocabulary(bpe.RANKS))
     return bpe.digests(bpe.round_trip(docs, described))
 

@@ -9,13 +9,26 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import ensure_checkpoint_dir
+from tidemark.session import ensure_checkpoint_dir, ship_package
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Rows in one Arrow batch between Spark and a Python worker.  Spark's default of 10,000 holds tens of MB
+#: of long texts on both sides at once; this many keep a batch to a few MB.
+BATCH_ROWS = "1000"
+_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def prepare(spark: SparkSession) -> None:
+    """What the operators need of a session: the package on its workers, and small batches unless the user set their size."""
+    ship_package(spark)
+    if spark.conf.get(_BATCH_CONF) == "10000":
+        spark.conf.set(_BATCH_CONF, BATCH_ROWS)
+
+
 def fold(id_col: str | Column, n: int) -> Column:
     """crc32 of the id as text modulo n; a null id counts as the empty text."""
     c = F.col(id_col) if isinstance(id_col, str) else id_col

@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import blob_ledger, bpe, embedding_dedup, jaccard_join, license_index, templates, token_files, toxicity, tree_weighting, url_filter
-from tidemark.llm.common import fold, read, shared_folder
-from tidemark.session import ship_package
+from tidemark.llm.common import fold, prepare, read, shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -19,7 +18,7 @@ ORACLE: dict[str, str] = {}
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @functools.wraps(fn)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        ship_package(spark)
+        prepare(spark)
         return fn(spark, sf_dir)
 
     QUERIES[fn.__name__] = run
