@@ -42,7 +42,7 @@ from tidemark.session import BROADCAST_LIMIT_BYTES
 
 BLOCK = 1024
 PERCENTILES = (0.5, 0.75, 0.9, 0.97, 1.0)
-SHARD_IDS = 4_000_000
+SHARD_IDS = 2_000_000
 MAGIC = b"TDPF\x01\x00\x00\x00"
 
 
