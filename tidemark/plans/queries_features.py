@@ -30,7 +30,7 @@ def momentum_mart(spark: SparkSession, d: str):
     FROM m_idx_ret r JOIN m_idx_1m m ON r.trading_date = m.trading_date"""))
 def index_returns(spark: SparkSession, d: str):
     """Index daily return and its 20-row mean, window partitioned by index name."""
-    return marts.index_return_1m(P.index_price_eod(spark, d))
+    return marts.index_return_1m(P.index_price_eod(spark, d, once=True))
 
 
 _IND_SQL = with_proxies(["price"], OM.ema_sql() + [
@@ -167,7 +167,7 @@ def latest_quarter(spark: SparkSession, d: str):
 # --------------------------------------------------------------------------
 @register("forward_labels", with_proxies(["price"], OM.LABELS, _sel("labels")))
 def forward_labels(spark: SparkSession, d: str):
-    return marts.forward_labels(P.stock_price_eod(spark, d), with_drawdown=True)
+    return marts.forward_labels(P.stock_price_eod(spark, d, once=True), with_drawdown=True)
 
 
 def build_fact(spark: SparkSession, d: str):

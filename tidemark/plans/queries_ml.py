@@ -17,12 +17,12 @@ from tidemark.plans.queries_features import build_fact, build_model_frame
 from tidemark.sources import proxies as P
 
 
-def _labelled(spark: SparkSession, d: str, with_momentum: bool = False):
+def _labelled(spark: SparkSession, d: str, with_momentum: bool = False, once: bool = False):
     """(ticker, trading_date, labels[, momentum]) -- the fact table's rows and
     these columns without its other joins.  The fact is the price rows left-
     joined to marts that are unique on (ticker, date), so row set and values
     are identical; Catalyst cannot drop unused left joins, so we do."""
-    prices = P.stock_price_eod(spark, d)
+    prices = P.stock_price_eod(spark, d, once)
     if not with_momentum:
         return marts.forward_labels(prices)
     return marts.momentum_mart(prices, P.index_price_eod(spark, d), labels=True)
@@ -65,7 +65,7 @@ def sample_windows(spark: SparkSession, d: str):
 @register("auto_cutoffs", _fact_sql(_CUTS_SQL, "SELECT * FROM k_cuts"))
 def auto_cutoffs(spark: SparkSession, d: str):
     """AGG8/ML2: chronological 80/90 % cut dates over labelled rows of the fact table."""
-    return S.auto_cutoffs(_labelled(spark, d))
+    return S.auto_cutoffs(_labelled(spark, d, once=True))
 
 
 @register("time_split", _fact_sql(_CUTS_SQL + [
@@ -182,7 +182,7 @@ def promotion(spark: SparkSession, d: str):
     FROM fact"""))
 def next_weekday_q(spark: SparkSession, d: str):
     """F16: forecast date = next Monday-Friday after each trading date of the fact table."""
-    fact = P.stock_price_eod(spark, d)
+    fact = P.stock_price_eod(spark, d, once=True)
     return fact.select("trading_date").distinct().select("trading_date", next_weekday("trading_date").alias(
         "forecast_date"))
 

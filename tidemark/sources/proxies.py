@@ -72,7 +72,11 @@ def _sum_if(cond: Column, value: Column) -> Column:
     return F.sum(F.when(cond, value).otherwise(F.lit(0)))
 
 
-def daily_brand_lines(spark: SparkSession, d: str) -> DataFrame:
+def daily_brand_lines(spark: SparkSession, d: str, once: bool = False) -> DataFrame:
+    """The daily aggregate, written once for all consumers of a query; ``once``: for a
+    query that reads it a single time, left lazy so that only its columns are scanned."""
+    if once:
+        return _daily_brand_lines(spark, d)
     return shared(("daily_brand_lines", id(spark), d), lambda: _daily_brand_lines(spark, d), materialize=True)
 
 
@@ -103,9 +107,9 @@ def _daily_brand_lines(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def stock_price_eod(spark: SparkSession, d: str) -> DataFrame:
+def stock_price_eod(spark: SparkSession, d: str, once: bool = False) -> DataFrame:
     """(ticker, trading_date) -> OHLC from line prices, volume from quantity."""
-    out = daily_brand_lines(spark, d)
+    out = daily_brand_lines(spark, d, once)
     return out.select(
         "ticker", "trading_date",
         (F.col("open_cents") / 100).alias("open"),
@@ -119,9 +123,9 @@ def stock_price_eod(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def index_price_eod(spark: SparkSession, d: str) -> DataFrame:
+def index_price_eod(spark: SparkSession, d: str, once: bool = False) -> DataFrame:
     """One index over all lines per day (a re-aggregation of the daily table)."""
-    out = daily_brand_lines(spark, d).groupBy("trading_date").agg(
+    out = daily_brand_lines(spark, d, once).groupBy("trading_date").agg(
         F.sum("value_cents").alias("close_cents"), F.sum("volume").alias("volume"))
     return out.select(
         F.lit(INDEX_NAME).alias("index_name"), "trading_date",
