@@ -219,3 +219,18 @@ def test_op4_whole_table_and_empty(spark, no_docs):
     assert planted <= set(got)
     bench = spark.createDataFrame(ITEMS, "item_id long, text string")
     assert templates.matches(no_docs, bench).count() == 0 and templates.matches(bench.withColumnRenamed("item_id", "doc_id"), bench.where("false")).count() == 0
+
+
+FRIENDS = "3 friends share a box of sweets and each of the 3 friends gets some"
+PARTS = "the 4 red boxes hold 6 balls each and the 5 blue boxes hold 9 balls each so count them"
+BY_WINDOW = [(1, f"Question 12. {FRIENDS}", {1}), (2, f"{FRIENDS} 7 more lines", {1}), (3, f"Question 12. {FRIENDS.replace('3', '8')}", {1}),
+             (4, "so " + PARTS.replace("4", "7").replace("5", "7"), {2}), (5, "so " + PARTS.replace("6", "2", 1), {2}), (6, "3 friends share a box", set())]
+
+
+def test_op4_drops_only_the_windows_that_disagree(spark):
+    items = spark.createDataFrame([(1, FRIENDS), (2, PARTS)], "item_id long, text string")
+    docs = spark.createDataFrame([r[:2] for r in BY_WINDOW], "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r for r in templates.contaminated(docs, items, by_window=True).collect()}
+    assert set(got) == {(d, i) for d, _, own in BY_WINDOW for i in own}
+    assert got[1, 1]["coverage"] == 1 and got[1, 1]["exact"] and got[2, 1]["exact"] and not got[3, 1]["exact"]
+    assert (1, 1) not in {(r["doc_id"], r["item_id"]) for r in templates.contaminated(docs, items).collect()}

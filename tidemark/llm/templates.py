@@ -8,7 +8,12 @@ template tokens are joined by hash with the windows of the benchmark items; hits
 that lie on one diagonal (document position minus item position) are one passage.
 A passage counts only if its slots are consistent: every slot value of the item
 stands for one value of the document and the other way round, so "3 apples ... 3
-pears" matches "5 apples ... 5 pears" but not "5 apples ... 7 pears".  A document
+pears" matches "5 apples ... 5 pears" but not "5 apples ... 7 pears".  With
+``by_window`` (operator 4 and the pipeline) one pair that disagrees costs only its
+own windows: each slot value of the item stands for the value that most windows of
+the passage give it, windows whose slots are equal always count, and a run that
+goes on beyond the passage's edge is compared by its part inside ("Question 12. 3
+friends" holds "3 friends").  A document
 holds an item if ``coverage``, the part of the item's distinct windows found in
 consistent passages, is 0.75 or more in either form.
 
@@ -25,6 +30,7 @@ are not read; empty tables give no rows; texts are read whole.
 from __future__ import annotations
 
 import re
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -121,11 +127,46 @@ def slots(words: list[bytes], kind: np.ndarray, first: np.ndarray, at: int, size
             for i in range(at, min(at + size, len(first))) if kind[i] != LITERAL]
 
 
-_SCHEMA = "form string, hash long, pos int, slots array<string>, n int"
+LEAD, TAIL = 1, 2  # bits of ``edge``: the window's first, last token is a slot
+_SCHEMA = "form string, hash long, pos int, slots array<string>, n int, edge int"
+
+
+def _inside(a: list[str], b: list[str], left: bool, right: bool) -> tuple[list[str], list[str]]:
+    """The parts of two runs that both hold inside a passage that begins (``left``) or ends (``right``) within them."""
+    k = min(len(a), len(b))
+    if left and right:
+        short, long = (a, b) if len(a) == k else (b, a)
+        return (short, short) if any(long[i : i + k] == short for i in range(len(long) - k + 1)) else (a, b)
+    return (a[-k:], b[-k:]) if left else (a[:k], b[:k])
+
+
+def consistent(found: list[dict]) -> tuple[list[int], bool]:
+    """(item positions of the windows of one diagonal that count, whether all windows' slots are equal)."""
+    at = {w["item_pos"] for w in found}
+    votes: dict[str, Counter] = defaultdict(Counter)
+    pairs: list[list[tuple[str, set[str], bool]]] = []
+    for w in found:
+        own, last = [], len(w["slots"]) - 1
+        for j, (a, b) in enumerate(zip(w["item_slots"], w["slots"])):
+            a, b = a.lower(), b.lower()
+            left = j == 0 and w["edge"] & LEAD and w["item_pos"] - 1 not in at
+            right = j == last and w["edge"] & TAIL and w["item_pos"] + 1 not in at
+            options, equal = {b}, a == b
+            if not equal and (left or right):
+                x, y = _inside(a.split(" "), b.split(" "), bool(left), bool(right))
+                options, equal = {b, " ".join(y)}, x == y
+            votes[a].update([a] if equal else options)
+            own.append((a, options, equal))
+        pairs.append(own)
+    # of values that are as frequent, the item's own and then the smallest
+    most = {a: min(c, key=lambda b: (-c[b], b != a, b)) for a, c in votes.items()}
+    kept = [w["item_pos"] for w, own in zip(found, pairs)
+            if all(equal for _, _, equal in own) or all(most[a] in options or (equal and most[a] == a) for a, options, equal in own)]
+    return kept, all(equal for own in pairs for _, _, equal in own)
 
 
 def windows(texts: DataFrame, wanted: np.ndarray | None = None, once: bool = False) -> DataFrame:
-    """(id, key, form, hash, pos, slots, n) of all windows, or of those whose hash is in ``wanted`` (sorted).
+    """(id, key, form, hash, pos, slots, n, edge) of all windows, or of those whose hash is in ``wanted`` (sorted).
 
     ``once``: each distinct window of a text one time; n: how many distinct windows it has.
     """
@@ -150,13 +191,14 @@ def windows(texts: DataFrame, wanted: np.ndarray | None = None, once: bool = Fal
                     if once:
                         at = np.sort(np.unique(hashes, return_index=True)[1])
                     for p in at.tolist():
-                        rows.append((form, int(hashes[p].astype(np.int64)), p, slots(ws, kind, first, p), len(at)))
+                        edge = LEAD * (kind[p] != LITERAL) + TAIL * (kind[min(p + WINDOW, len(kind)) - 1] != LITERAL)
+                        rows.append((form, int(hashes[p].astype(np.int64)), p, slots(ws, kind, first, p), len(at), int(edge)))
                         of.append(i)
             if rows:
                 of_row = pa.array(of)
-                columns = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.int64(), pa.int32(), pa.list_(pa.string()), pa.int32()))]
+                columns = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.int64(), pa.int32(), pa.list_(pa.string()), pa.int32(), pa.int32()))]
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(of_row), batch.column(1).take(of_row), *columns],
-                                                 names=["id", "key", "form", "hash", "pos", "slots", "n"])
+                                                 names=["id", "key", "form", "hash", "pos", "slots", "n", "edge"])
 
     return src.mapInArrow(run, schema)
 
@@ -166,30 +208,42 @@ def text_key(text_col: str = "text"):
 
 
 def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-            item_text_col: str = "text", filter_hashes: int = FILTER_HASHES) -> DataFrame:
+            item_text_col: str = "text", filter_hashes: int = FILTER_HASHES, by_window: bool = False) -> DataFrame:
     """(id, key, item_id, n_windows, n_hits, coverage, exact): every document and item that share a consistent passage.
 
     ``exact``: all slot values are equal; the better form of the two is given.
+    ``by_window``: windows that disagree are dropped one by one, not their whole diagonal.
     """
     item_rows = items.select(F.col(item_col).alias("id"), text_key(item_text_col).alias("key"), F.col(item_text_col).cast("string").alias("text"))
     item_windows = staged(windows(item_rows, once=True), "item-windows").select(
-        F.col("id").alias("item_id"), F.col("key").alias("item_key"), "form", "hash", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"), "n")
+        F.col("id").alias("item_id"), F.col("key").alias("item_key"), "form", "hash", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"), "n", "edge")
     hashes = item_windows.select("hash").distinct()
     wanted = None
     if hashes.count() <= filter_hashes:
         wanted = np.sort(hashes.toPandas()["hash"].to_numpy(np.int64).astype(np.uint64))  # eight bytes each
     doc_rows = docs.select(F.col(id_col).alias("id"), text_key(text_col).alias("key"), F.col(text_col).cast("string").alias("text"))
-    found = windows(doc_rows, wanted).drop("n").join(small_side(item_windows), ["form", "hash"])
+    found = windows(doc_rows, wanted).drop("n", "edge").join(small_side(item_windows), ["form", "hash"])
     # rows that repeat id and text give the same positions again: distinct
-    found = found.select("id", "key", "item_id", "item_key", "form", "n", "pos", "item_pos", "slots", "item_slots").distinct()
-    diagonal = found.groupBy("id", "key", "item_id", "item_key", "form", "n", (F.col("pos") - F.col("item_pos")).alias("diagonal")).agg(
-        F.collect_set("item_pos").alias("hits"),
-        F.array_distinct(F.flatten(F.collect_list(F.arrays_zip("item_slots", "slots")))).alias("values"))
-    values = F.size("values")
-    good = (F.size(F.array_distinct(F.col("values.item_slots"))) == values) & (F.size(F.array_distinct(F.col("values.slots"))) == values)
-    by_form = diagonal.where(good).groupBy("id", "key", "item_id", "item_key", "form", "n").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("hits")))).alias("n_hits"),
-        F.min(F.forall("values", lambda v: v["item_slots"] == v["slots"])).alias("exact"))
+    found = found.select("id", "key", "item_id", "item_key", "form", "n", "edge", "pos", "item_pos", "slots", "item_slots").distinct()
+    by_diagonal = found.groupBy("id", "key", "item_id", "item_key", "form", "n", (F.col("pos") - F.col("item_pos")).alias("diagonal"))
+    if by_window:
+        @F.arrow_udf("hits array<int>, equal boolean")
+        def judged(found: pa.Array) -> pa.Array:
+            return pa.array([dict(zip(("hits", "equal"), consistent(w))) for w in found.to_pylist()],
+                            pa.struct([("hits", pa.list_(pa.int32())), ("equal", pa.bool_())]))
+
+        # a list holds at most the item's windows
+        passages = by_diagonal.agg(F.collect_list(F.struct("item_pos", "edge", "item_slots", "slots")).alias("found"))
+        passages = passages.withColumn("kept", judged("found")).select("*", "kept.hits", "kept.equal").where(F.size("hits") > 0)
+    else:
+        diagonal = by_diagonal.agg(
+            F.collect_set("item_pos").alias("hits"),
+            F.array_distinct(F.flatten(F.collect_list(F.arrays_zip("item_slots", "slots")))).alias("values"))
+        values = F.size("values")
+        good = (F.size(F.array_distinct(F.col("values.item_slots"))) == values) & (F.size(F.array_distinct(F.col("values.slots"))) == values)
+        passages = diagonal.where(good).withColumn("equal", F.forall("values", lambda v: v["item_slots"] == v["slots"]))
+    by_form = passages.groupBy("id", "key", "item_id", "item_key", "form", "n").agg(
+        F.size(F.array_distinct(F.flatten(F.collect_list("hits")))).alias("n_hits"), F.min("equal").alias("exact"))
     best = by_form.withColumn("coverage", F.col("n_hits") / F.col("n")).groupBy("id", "key", "item_id", "item_key").agg(
         F.max(F.struct("coverage", "exact", F.col("n_hits"), F.col("n").alias("n_windows"))).alias("b"))
     return best.select(F.col("id").alias(id_col), "key", F.col("item_id").alias(item_col), "b.n_windows", "b.n_hits", "b.coverage", "b.exact")
