@@ -58,7 +58,7 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return _without(docs, templates.contaminated(docs, read(spark, sf_dir, "benchmark"), by_window=True), templates.text_key())
+    return _without(docs, templates.contaminated(docs, read(spark, sf_dir, "benchmark"), by_window=True, short=True), templates.text_key())
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

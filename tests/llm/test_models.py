@@ -234,3 +234,18 @@ def test_op4_drops_only_the_windows_that_disagree(spark):
     assert set(got) == {(d, i) for d, _, own in BY_WINDOW for i in own}
     assert got[1, 1]["coverage"] == 1 and got[1, 1]["exact"] and got[2, 1]["exact"] and not got[3, 1]["exact"]
     assert (1, 1) not in {(r["doc_id"], r["item_id"]) for r in templates.contaminated(docs, items).collect()}
+
+
+SHORT = [(1, "What is 17 + 25 + 31?"), (2, "Who wrote Hamlet?"), (3, "two words"), (4, "17 + 4")]
+HOLD_SHORT = [(1, "Quiz 9. What is 17 + 25 + 31? 12 people knew it, as we were told", {1}), (2, "In a quiz: Who wrote Hamlet? He did not know at all", {2}),
+              (3, "what is 18 + 25 + 31 and who wrote Macbeth, they asked us", set()), (4, "he said Two words to me today", {3}), (5, "five words", {3}),
+              (6, "they add 3, 17 + 4 and 9 to find it out", {4}), (7, "who wrote hamlet", {2}), (8, "what is 17 + 25, they asked all of us", set())]
+
+
+@pytest.mark.parametrize("limit", [10**6, 0])
+def test_op4_finds_short_items_inside_documents(spark, limit):
+    items = spark.createDataFrame(SHORT, "item_id long, text string")
+    docs = spark.createDataFrame([r[:2] for r in HOLD_SHORT], "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["exact"] for r in templates.contaminated(docs, items, filter_hashes=limit, by_window=True, short=True).collect()}
+    assert set(got) == {(d, i) for d, _, own in HOLD_SHORT for i in own} and all(e for (d, _), e in got.items() if d != 5)
+    assert {r["doc_id"] for r in templates.contaminated(docs, items, by_window=True).collect()} <= {5, 7}

@@ -22,7 +22,9 @@ number is within ``FILTER_HASHES`` (checked); beyond it all windows are shuffled
 and joined.  Joins with item windows broadcast only below the session's size limit.
 
 Null and empty texts have no windows; a text shorter than five tokens is one window
-and matches only a text that is that template as a whole.  A document is told by
+and matches a text that is that template as a whole.  With ``short`` (operator 4 and
+the pipeline) documents also have windows of the lengths of such items, so a longer
+document holds a short item if all its slots are equal, without regard to case.  A document is told by
 its id and text hash: repeated rows are one entry, null ids are kept.  Other columns
 are not read; empty tables give no rows; texts are read whole.
 """
@@ -105,14 +107,14 @@ def template(words: list[bytes], form: str) -> tuple[np.ndarray, np.ndarray, np.
 
 
 def window_hashes(h: np.ndarray, form: str, size: int = WINDOW) -> np.ndarray:
-    """One hash a window; a template shorter than ``size`` is one window of its own kind."""
+    """One hash a window; windows of fewer than five tokens, and a template shorter than ``size``, are of a kind of their own."""
     n = len(h) - size + 1
     if not len(h):
         return np.zeros(0, np.uint64)
     if n < 1:
         size, n, salt = len(h), 1, np.uint64(len(h))
     else:
-        salt = np.uint64(0)
+        salt = np.uint64(size % WINDOW)
     out = np.full(n, salt + np.uint64(FORMS.index(form) * 8))
     for i in range(size):
         out = (out ^ (out >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9) + h[i : i + n] * _FACTORS[i % len(_FACTORS)]
@@ -127,8 +129,8 @@ def slots(words: list[bytes], kind: np.ndarray, first: np.ndarray, at: int, size
             for i in range(at, min(at + size, len(first))) if kind[i] != LITERAL]
 
 
-LEAD, TAIL = 1, 2  # bits of ``edge``: the window's first, last token is a slot
-_SCHEMA = "form string, hash long, pos int, slots array<string>, n int, edge int"
+LEAD, TAIL, WHOLE = 1, 2, 4  # bits of ``edge``: the window's first, last token is a slot; it is a whole text of fewer than five
+_SCHEMA = "form string, hash long, pos int, slots array<string>, n int, edge int, size int"
 
 
 def _inside(a: list[str], b: list[str], left: bool, right: bool) -> tuple[list[str], list[str]]:
@@ -140,11 +142,28 @@ def _inside(a: list[str], b: list[str], left: bool, right: bool) -> tuple[list[s
     return (a[-k:], b[-k:]) if left else (a[:k], b[:k])
 
 
+def _holds(edge: int, item_slots: list[str], slots: list[str]) -> bool:
+    """Whether a window's slots are those of a short item; runs at its ends may go on in the document."""
+    last = len(slots) - 1
+    for j, (a, b) in enumerate(zip(item_slots, slots)):
+        x, y = a.lower().split(" "), b.lower().split(" ")
+        left, right = j == 0 and bool(edge & LEAD), j == last and bool(edge & TAIL)
+        if (left or right) and len(x) < len(y):
+            x, y = _inside(x, y, left, right)
+        if x != y:
+            return False
+    return True
+
+
 def consistent(found: list[dict]) -> tuple[list[int], bool]:
     """(item positions of the windows of one diagonal that count, whether all windows' slots are equal)."""
     at = {w["item_pos"] for w in found}
     votes: dict[str, Counter] = defaultdict(Counter)
     pairs: list[list[tuple[str, set[str], bool]]] = []
+    if found[0]["edge"] & WHOLE:  # a short item's one window; the whole document is judged like a passage
+        equal = all(_holds(w["edge"], w["item_slots"], w["slots"]) for w in found)
+        if equal or not all(w["whole"] for w in found):
+            return ([w["item_pos"] for w in found] if equal else []), equal
     for w in found:
         own, last = [], len(w["slots"]) - 1
         for j, (a, b) in enumerate(zip(w["item_slots"], w["slots"])):
@@ -165,10 +184,11 @@ def consistent(found: list[dict]) -> tuple[list[int], bool]:
     return kept, all(equal for own in pairs for _, _, equal in own)
 
 
-def windows(texts: DataFrame, wanted: np.ndarray | None = None, once: bool = False) -> DataFrame:
-    """(id, key, form, hash, pos, slots, n, edge) of all windows, or of those whose hash is in ``wanted`` (sorted).
+def windows(texts: DataFrame, wanted: np.ndarray | None = None, once: bool = False, shorter: tuple[tuple[str, int], ...] = ()) -> DataFrame:
+    """(id, key, form, hash, pos, slots, n, edge, size) of all windows, or of those whose hash is in ``wanted`` (sorted).
 
     ``once``: each distinct window of a text one time; n: how many distinct windows it has.
+    ``shorter``: (form, tokens) of further windows of longer texts.
     """
     src = texts.select("id", "key", "text")
     schema = f"id {src.schema['id'].dataType.simpleString()}, key long, {_SCHEMA}"
@@ -181,24 +201,26 @@ def windows(texts: DataFrame, wanted: np.ndarray | None = None, once: bool = Fal
                 ws = tokens(text.as_py())
                 for form in FORMS if ws else ():
                     h, kind, first = template(ws, form)
-                    hashes = window_hashes(h, form)
-                    if wanted is None:
-                        at = np.arange(len(hashes))
-                    elif len(wanted):
-                        at = np.flatnonzero(wanted[np.minimum(np.searchsorted(wanted, hashes), len(wanted) - 1)] == hashes)
-                    else:
+                    if wanted is not None and not len(wanted):
                         break
-                    if once:
-                        at = np.sort(np.unique(hashes, return_index=True)[1])
-                    for p in at.tolist():
-                        edge = LEAD * (kind[p] != LITERAL) + TAIL * (kind[min(p + WINDOW, len(kind)) - 1] != LITERAL)
-                        rows.append((form, int(hashes[p].astype(np.int64)), p, slots(ws, kind, first, p), len(at), int(edge)))
-                        of.append(i)
+                    for size in (min(WINDOW, len(h)), *(n for f, n in shorter if f == form and n < len(h))):
+                        hashes = window_hashes(h, form, size)
+                        if wanted is None:
+                            at = np.arange(len(hashes))
+                        else:
+                            at = np.flatnonzero(wanted[np.minimum(np.searchsorted(wanted, hashes), len(wanted) - 1)] == hashes)
+                        if once:
+                            at = np.sort(np.unique(hashes, return_index=True)[1])
+                        for p in at.tolist():
+                            edge = (LEAD * (kind[p] != LITERAL) + TAIL * (kind[p + size - 1] != LITERAL)
+                                    + WHOLE * (size == len(h) < WINDOW))
+                            rows.append((form, int(hashes[p].astype(np.int64)), p, slots(ws, kind, first, p, size), len(at), int(edge), size))
+                            of.append(i)
             if rows:
                 of_row = pa.array(of)
-                columns = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.int64(), pa.int32(), pa.list_(pa.string()), pa.int32(), pa.int32()))]
+                columns = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.int64(), pa.int32(), pa.list_(pa.string()), pa.int32(), pa.int32(), pa.int32()))]
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(of_row), batch.column(1).take(of_row), *columns],
-                                                 names=["id", "key", "form", "hash", "pos", "slots", "n", "edge"])
+                                                 names=["id", "key", "form", "hash", "pos", "slots", "n", "edge", "size"])
 
     return src.mapInArrow(run, schema)
 
@@ -208,23 +230,30 @@ def text_key(text_col: str = "text"):
 
 
 def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-            item_text_col: str = "text", filter_hashes: int = FILTER_HASHES, by_window: bool = False) -> DataFrame:
+            item_text_col: str = "text", filter_hashes: int = FILTER_HASHES, by_window: bool = False,
+            short: bool = False) -> DataFrame:
     """(id, key, item_id, n_windows, n_hits, coverage, exact): every document and item that share a consistent passage.
 
     ``exact``: all slot values are equal; the better form of the two is given.
     ``by_window``: windows that disagree are dropped one by one, not their whole diagonal.
+    ``short``: items of fewer than five tokens are also looked for inside longer documents; needs ``by_window``.
     """
+    if short and not by_window:
+        raise ValueError("short needs by_window")
     item_rows = items.select(F.col(item_col).alias("id"), text_key(item_text_col).alias("key"), F.col(item_text_col).cast("string").alias("text"))
     item_windows = staged(windows(item_rows, once=True), "item-windows").select(
-        F.col("id").alias("item_id"), F.col("key").alias("item_key"), "form", "hash", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"), "n", "edge")
+        F.col("id").alias("item_id"), F.col("key").alias("item_key"), "form", "hash", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"), "n", "edge", "size")
     hashes = item_windows.select("hash").distinct()
     wanted = None
     if hashes.count() <= filter_hashes:
         wanted = np.sort(hashes.toPandas()["hash"].to_numpy(np.int64).astype(np.uint64))  # eight bytes each
     doc_rows = docs.select(F.col(id_col).alias("id"), text_key(text_col).alias("key"), F.col(text_col).cast("string").alias("text"))
-    found = windows(doc_rows, wanted).drop("n", "edge").join(small_side(item_windows), ["form", "hash"])
+    lengths = item_windows.where((F.col("size") < WINDOW) & F.lit(short)).select("form", "size").distinct()
+    shorter = tuple(sorted(map(tuple, lengths.collect())))  # at most four of each form
+    doc_windows = windows(doc_rows, wanted, shorter=shorter).drop("n").withColumn("whole", F.col("edge").bitwiseAND(F.lit(WHOLE)) > 0).drop("edge", "size")
+    found = doc_windows.join(small_side(item_windows), ["form", "hash"])
     # rows that repeat id and text give the same positions again: distinct
-    found = found.select("id", "key", "item_id", "item_key", "form", "n", "edge", "pos", "item_pos", "slots", "item_slots").distinct()
+    found = found.select("id", "key", "item_id", "item_key", "form", "n", "edge", "pos", "item_pos", "slots", "item_slots", "whole").distinct()
     by_diagonal = found.groupBy("id", "key", "item_id", "item_key", "form", "n", (F.col("pos") - F.col("item_pos")).alias("diagonal"))
     if by_window:
         @F.arrow_udf("hits array<int>, equal boolean")
@@ -233,7 +262,7 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
                             pa.struct([("hits", pa.list_(pa.int32())), ("equal", pa.bool_())]))
 
         # a list holds at most the item's windows
-        passages = by_diagonal.agg(F.collect_list(F.struct("item_pos", "edge", "item_slots", "slots")).alias("found"))
+        passages = by_diagonal.agg(F.collect_list(F.struct("item_pos", "edge", "whole", "item_slots", "slots")).alias("found"))
         passages = passages.withColumn("kept", judged("found")).select("*", "kept.hits", "kept.equal").where(F.size("hits") > 0)
     else:
         diagonal = by_diagonal.agg(
