@@ -82,6 +82,23 @@ def test_op7_odd_rows_and_small_shards(spark, odd_docs, no_docs):
     assert got[2:] == [(d, s + got[2][1], n, c) for d, s, n, c in files_by_hand([(o[1], o[2]) for o in order])]
 
 
+def test_op7_ids_are_the_unchanged_librarys(spark):
+    tok, enc = Tokenizer.from_file(JSON), ChunkEncoder(load(JSON), 8, special_as_text=False)
+    texts = [*AWKWARD, "a <|endoftext|> b", "one\ntwo <|endoftext|>three  four\nfive", "<|endoftext|><|endoftext|>", "<|endoftext", "a <|endoftext|> b"]
+    for _ in range(2):
+        flat, counts = enc.encode(texts)
+        parts = np.split(flat, np.cumsum(counts)[:-1])
+        assert [p.tolist() for p in parts] == [e.ids for e in tok.encode_batch(texts, add_special_tokens=False)]
+    assert parts[len(AWKWARD)].tolist() == [64, 220, 50256, 275]
+    want, start = [], 0
+    for d, t in enumerate(texts):
+        ids = tok.encode(t, add_special_tokens=False).ids + [2]
+        want.append((d, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(map(tuple, token_files.encode_to_files(docs, JSON).collect())) == want
+
+
 def test_op9_equals_tiktoken_and_round_trips(spark, odd_docs, no_docs):
     ranks = bpe.rank_table(RANKS)
     enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})

@@ -48,7 +48,7 @@ MAGIC = b"TDPF\x01\x00\x00\x00"
 
 @lru_cache(1)
 def _encoder(path: str) -> ChunkEncoder:
-    return ChunkEncoder(load(path), 1_000_000)
+    return ChunkEncoder(load(path), 1_000_000, special_as_text=False)
 
 
 _BITS = np.array([v.bit_length() for v in range(1 << 16)], np.uint8)

@@ -52,11 +52,15 @@ class ChunkEncoder:
     goes in whole.  Words are remembered, whole lines and very long words aren't.
     New words are encoded as one joined text, tokens are told apart by their byte
     lengths; a known word before a comma or full stop isn't encoded again.
+    ``special_as_text``: the strings of special tokens in a text are ordinary text;
+    without it they are those tokens, as the library does by itself.  A text that holds
+    an added token's string goes to the library as a whole.
     """
 
-    def __init__(self, tokenizer, remembered: int = REMEMBERED):
+    def __init__(self, tokenizer, remembered: int = REMEMBERED, special_as_text: bool = True):
         self.tok, self.remembered = tokenizer, remembered
-        self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tok.encode_special_tokens = special_as_text
+        self.added = [t.content for t in self.tok.get_added_tokens_decoder().values() if t.content and not (special_as_text and t.special)]
         vocab = self.tok.get_vocab()
         self.width = np.zeros(max(vocab.values()) + 1, np.int64)
         for token, i in vocab.items():
@@ -131,6 +135,11 @@ class ChunkEncoder:
         passing: list[str] = []
         n = np.zeros(len(texts), np.int64)
         for k, t in enumerate(texts):
+            if any(a in t for a in self.added):
+                passing.append(" " + t)
+                flat.append(passing[-1])
+                n[k] = 1
+                continue
             before = len(flat)
             for i, line in enumerate(_segments(t)):
                 if "  " in line or line.find("\n", i > 0) >= 0:
