@@ -108,6 +108,18 @@ def test_op2_transducers():
     assert f("") == f(None) == f("nothing here") == set()
 
 
+def test_op2_grammar_over_clauses():
+    g = toxicity.Grammar({"idiot": 3.0})
+    f = lambda t: {k for k, v in zip(toxicity.KINDS, g.features(t)) if v}
+    assert f("idiot, you") == {"J"} and f("an idiot of the worst sort, you") == {"I"}
+    assert f("he isn't an idiot") == f("he isn’t an idiot") == f("he isnt an idiot") == {"i"}
+    assert f("the man said: you idiot") == f("the man said:\nyou idiot") == f("the man said\nyou idiot") == {"q"}
+    assert f('he said: "fine. idiot" and left. idiot') == {"q", "I"} and f("he said “fine. idiot”") == {"q"} and f("he said: fine\nidiot") == {"I"}
+    assert f("the hearts beat, they shoot a film and burn wood") == set() and f("he beat the record") == set()
+    assert f("i'll burn you") == f("we will beat them up") == f("kill him") == {"T"} and f("ich werde dich schlagen") == {"A"}
+    assert f("i won't hurt you") == {"t"} and f("she said: we will kill you") == f("she said: kill him") == {"r"}
+
+
 def test_op2_learns_from_training_folds_only(spark, odd_docs, no_docs):
     base = "/root/testdata/sf0.01"
     scored = QUERIES["op2_toxicity"](spark, base).join(spark.read.parquet(f"{base}/labels.parquet"), "doc_id")

@@ -1,12 +1,16 @@
 """Toxicity by a weighted finite-state grammar over clauses (operator 2).
 
-Words become symbols: insult, threat, target, negation, report verb, other.  The
+Words become symbols: insult, verb of violence, target, negation, report verb, modal, speaker, other.  The
 insult lexicon is learned: whole words and word beginnings that labelled toxic
 texts hold far more often than clean ones, each with its log-odds as weight; the
 other classes are short fixed lists.  Four small transducers are composed into
-one machine that reads a clause and rewrites every insult or threat by its
-surroundings: negated ("not an idiot"), reported ("he said idiot"), aimed at a
-target before or after it ("you idiot").  A document's features are the summed
+one machine that reads a clause, makes a threat of a verb in a threat's pattern
+(:func:`threat`) and rewrites every insult or threat by its surroundings: negated
+("not an idiot"), reported ("he said idiot"), aimed at a target before it ("you
+idiot").  What follows a verb is seen by a transducer that reads the clause backwards
+first, an insult aimed at a target after it ("idiot, you") by one that does so
+last.  A report goes on after a colon, over a line end right behind its verb, and in
+quotes up to their end or the line's.  A document's features are the summed
 weights of each rewritten kind, its matched clauses and their part of all words;
 a logistic regression turns them into a score.
 
@@ -47,14 +51,19 @@ STEMS = (4, 5, 6)
 
 # Seed words of the classes that are not learned, in English, French, Spanish and German.
 SEEDS = {
-    "T": "kill hurt destroy burn beat shoot stab murder strangle tuer frapper matar golpear töten schlagen".split(),
-    "U": "you your youre yourself he she they them his her their these those tu toi vous tes usted ustedes ellos ella du dich dir ihr euch".split(),
-    "N": "not no never none without cannot isnt arent dont doesnt didnt wasnt ne pas jamais nunca jamás sin nicht kein keine nie".split(),
+    "V": "kill hurt destroy burn beat shoot stab murder strangle tuer frapper matar golpear töten schlagen".split(),
+    "U": "you your youre yourself he she they them him his her their these those tu toi vous tes usted ustedes ellos ella du dich dir ihr euch".split(),
+    "N": "not no never none without cannot isnt arent dont doesnt didnt wasnt werent wont wouldnt shouldnt couldnt cant mustnt havent hasnt hadnt aint ne pas jamais nunca jamás sin nicht kein keine nie".split(),
     "R": "said says say wrote writes claimed called calls quoted according reported told dit écrit selon dijo según sagte schrieb laut".split(),
+    "M": "will ll shall should must would could can may might gonna going want wanna let lets vais va vont voy vamos werde werden will muss".split(),
+    "G": "i we je nous yo nosotros ich wir".split(),
 }
+_REPORTS = frozenset(SEEDS["R"])
 #: Output symbols: insult or threat, plain, negated, reported, both, aimed; each is one feature.
 KINDS = ("I", "i", "q", "k", "J", "T", "t", "r", "s", "A")
-_CLAUSE = re.compile(r"[.!?;:\n]+")
+_CLAUSE = re.compile(r"([.!?;:\n]+)")
+_CONTRACTED = re.compile(r"(?<=n)['’](?=t\b)|(?<=\byou)['’](?=re\b)")
+_QUOTE = re.compile(r'["“”„«»]')
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -83,6 +92,51 @@ def compose(a: Fst, b: Fst, symbols: str) -> Fst:
     return Fst(arcs)
 
 
+def followed(reach: int = 3) -> Fst:
+    """Reads backwards: a verb with a target up to ``reach`` words after it becomes W, one that ends the clause E."""
+    arcs = {("end", "V"): (0, "E", 1.0), ("end", "U"): (reach, "U", 1.0), ("end", "*"): (0, None, 1.0)}
+    for left in range(reach + 1):
+        arcs[left, "U"] = (reach, "U", 1.0)
+        arcs[left, "*"] = (max(0, left - 1), None, 1.0)
+        if left:
+            arcs[left, "V"] = (left - 1, "W", 1.0)
+    return Fst(arcs, "end")
+
+
+def threat(reach: int = 4) -> Fst:
+    """A verb is a threat with a target after it if a modal stands before, or a speaker right before, or it opens the clause.
+
+    Without one after it: with a target between the modal and it ("ich werde dich
+    schlagen"), with a speaker's modal at the clause's end ("i will kill"), or with a
+    speaker right before and a target before that ("you we kill").
+    """
+    arcs, start = {}, (0, 0, False, 0, True)
+    todo = [start]  # words left for a modal, a target; whether the modal's target, speaker came; right behind a speaker; opening
+    seen = set(todo)
+    for state in todo:
+        modal, aim, by, spoke, opens = state
+        for s in "IVWEUNRMGO":
+            now = (max(0, modal - 1), max(0, aim - 1), by and modal > 1, 0, False)
+            out = s
+            if s == "R":
+                now = (*now[:4], opens)
+            elif s in "MN":
+                now = (reach, 0 if s == "M" else now[1], spoke == 1 or by, 0, False)
+                out = "O" if s == "M" else s
+            elif s == "G":
+                now, out = (now[0], now[1], now[2], 1, False), "O"
+            elif s == "U":
+                now = (now[0], reach, now[2], 0, False)
+            elif s in "VWE":
+                hit = (s == "W" and (modal or spoke or opens)) or (modal and aim) or (s == "E" and modal and by) or (spoke and aim)
+                out = "T" if hit else "O"
+            arcs[state, s] = (now, out, 1.0)
+            if now not in seen:
+                seen.add(now)
+                todo.append(now)
+    return Fst(arcs, start)
+
+
 def negation(reach: int = 3) -> Fst:
     """An insult or threat up to ``reach`` words after a negation is negated."""
     arcs = {}
@@ -110,14 +164,57 @@ def target(reach: int = 3) -> Fst:
     return Fst(arcs)
 
 
+def behind(reach: int = 3) -> Fst:
+    """Reads backwards: a plain insult up to ``reach`` words before a target is aimed."""
+    arcs = {}
+    for left in range(reach + 1):
+        arcs[left, "U"] = (reach, "U", 1.0)
+        arcs[left, "*"] = (max(0, left - 1), None, 1.0)
+        if left:
+            arcs[left, "I"] = (left - 1, "J", 1.5)
+    return Fst(arcs)
+
+
 def chained() -> Fst:
     """A further insult or threat in one clause weighs more."""
     own = "IiqkJTtrsA"
     return Fst({(s, x): (1, x, 1.25 if s else 1.0) for s in (0, 1) for x in own})
 
 
-ALPHABET = "ITUNRO"
-GRAMMAR = compose(compose(compose(negation(), reported(), ALPHABET), target(), ALPHABET), chained(), ALPHABET)
+ALPHABET = "IVWEUNRMGO"
+FOLLOWED, BEHIND, CHAINED = followed(), behind(), chained()
+GRAMMAR = compose(compose(compose(threat(), negation(), ALPHABET), reported(), ALPHABET), target(), ALPHABET)
+
+
+def read(machine: Fst, marks: list[tuple[str, float]]) -> list[tuple[str, float]]:
+    """The machine's outputs, each with its weight times the arc's."""
+    state, out = machine.start, []
+    for s, weight in marks:
+        state, o, factor = machine.step(state, s)
+        out.append((o, weight * factor))
+    return out
+
+
+def rewritten(marks: list[tuple[str, float]]) -> list[tuple[str, float]]:
+    """A clause's symbols through all machines."""
+    marks = read(GRAMMAR, read(FOLLOWED, marks[::-1])[::-1])
+    return read(CHAINED, read(BEHIND, marks[::-1])[::-1])
+
+
+def clauses(text: str | None) -> Iterator[tuple[list[str], bool]]:
+    """The words of each clause, and whether it goes on with a report."""
+    parts = _CLAUSE.split(_CONTRACTED.sub("", (text or "").lower()))
+    going = quoted = False
+    for clause, end in zip(parts[::2], [*parts[1::2], ""]):
+        ws = _WORD.findall(clause)
+        said = going or any(w in _REPORTS for w in ws)
+        for q in _QUOTE.findall(clause):
+            quoted = said and (q in "“„«" or (q == '"' and not quoted))
+        if ws:
+            yield ws, going
+        quoted = quoted and "\n" not in end
+        if ws or quoted:
+            going = said and (":" in end or quoted or ("\n" in end and ws[-1:] != [] and ws[-1] in _REPORTS))
 
 
 def units(word: str) -> set[str]:
@@ -126,7 +223,7 @@ def units(word: str) -> set[str]:
 
 
 def vocabulary(text: str | None) -> set[str]:
-    return set(_WORD.findall((text or "").lower()))
+    return set(_WORD.findall(_CONTRACTED.sub("", (text or "").lower())))
 
 
 class Grammar:
@@ -149,22 +246,19 @@ class Grammar:
 
     def features(self, text: str | None) -> list[float]:
         """Summed weights of each kind, matched clauses, their part of all words, the largest weight of a clause."""
-        lowered = (text or "").lower()
         n_words = matched = 0
         most = 0.0
         sums = dict.fromkeys(KINDS, 0.0)
-        for clause in _CLAUSE.split(lowered):
-            ws = _WORD.findall(clause)
+        for ws, going in clauses(text):
             n_words += len(ws)
             marks = [self.symbol(w) for w in ws]
-            if not any(m[0] in "IT" for m in marks):
+            if not any(m[0] in "IV" for m in marks):
                 continue
-            state, total = GRAMMAR.start, 0.0
-            for s, weight in marks:
-                state, out, factor = GRAMMAR.step(state, s)
+            total = 0.0
+            for out, weight in rewritten([("R", 0.0)] + marks if going else marks):
                 if out in sums:
-                    sums[out] += weight * factor
-                    total += weight * factor
+                    sums[out] += weight
+                    total += weight
             if total:
                 matched += 1
                 most = max(most, total)
