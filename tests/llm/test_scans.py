@@ -120,6 +120,27 @@ def test_op2_grammar_over_clauses():
     assert f("i won't hurt you") == {"t"} and f("she said: we will kill you") == f("she said: kill him") == {"r"}
 
 
+def test_op2_learns_words_that_clean_texts_negate_or_quote(spark):
+    rows = [(f"you are a fool number {'abcdefgh'[i % 8]}", 1) for i in range(40)] + [(f"he is no fool at all {'abcdefgh'[i % 8]}", 0) for i in range(40)]
+    rows += [("my boss said: what a fool", 0), ("what a rare dolt", 1)] * 6 + [("the weather is fine", 0)] * 60
+    frame = spark.createDataFrame(rows, "text string, label int")
+    found = toxicity.learn_lexicon(frame)
+    assert "fool" in found and found["fool"] > 3 and not {"weather", "boss"} & set(found)
+
+
+def test_op2_fits_threats_without_a_lexicon(spark):
+    threats = [f"{w} {v} go home {a}{b}" for w in ("we will", "i will") for v in ("kill you", "hurt them") for a in "abcdefgh" for b in "klmnopqr"]
+    rows = [(i, t, 1) for i, t in enumerate(threats)]
+    rows += [(1000 + i, f"home we go you them will i {a}{b} {c}", 0) for i, (a, b, c) in enumerate((a, b, c) for a in "abcdefgh" for b in "klmnopqr" for c in "stuv")]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    import unittest.mock as mock
+
+    with mock.patch.object(toxicity, "learn_lexicon", lambda rows: {}):
+        model = toxicity.train(docs, labels, F.lit(True))
+    assert (model.scores(["i will kill you", "go home"]) >= 0.5).tolist() == [True, False]
+
+
 def test_op2_learns_from_training_folds_only(spark, odd_docs, no_docs):
     base = "/root/testdata/sf0.01"
     scored = QUERIES["op2_toxicity"](spark, base).join(spark.read.parquet(f"{base}/labels.parquet"), "doc_id")

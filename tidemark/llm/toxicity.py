@@ -18,13 +18,15 @@ Lexicon and regression are fitted on a bounded sample of labelled rows
 (``sample`` rows, those with the smallest hash of the id), so the sample's ids
 may be broadcast.  Of near copies in the sample, told by the least hash of their
 word triples, one counts.  The lexicon comes from one half of the sample and the
-regression from the other, so that chance finds of the lexicon get no credit.  A
-lexicon entry must occur in ``support`` of the sample's toxic texts, so there are
-at most (entries of an average toxic text) / support.
+regression from the other, so that chance finds of the lexicon get no credit.  An
+occurrence counts for the lexicon if it is neither negated nor reported.  A lexicon
+entry must stand in SUPPORT toxic texts of the sample and be e^LEAST_ODDS times as
+frequent there, by two standard errors; the sample's texts bound the entries.
 Labels, language, source and id are no inputs of a score.
 
 Null and empty texts have no features and get the regression's base score; with
-no labelled rows of both classes the lexicon is empty and every score is 0.
+no labelled rows of both classes the lexicon is empty and every score is 0.  An empty
+lexicon otherwise leaves the threats, on which the regression is fitted all the same.
 Rows are scored one by one; repeated rows and null ids keep their rows.
 """
 
@@ -45,8 +47,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import staged
 
 SAMPLE = 20_000
-SUPPORT = 0.01
-LEAST_ODDS = 3.0
+SUPPORT = 4
+LEAST_ODDS = 0.5
 STEMS = (4, 5, 6)
 
 # Seed words of the classes that are not learned, in English, French, Spanish and German.
@@ -58,7 +60,7 @@ SEEDS = {
     "M": "will ll shall should must would could can may might gonna going want wanna let lets vais va vont voy vamos werde werden will muss".split(),
     "G": "i we je nous yo nosotros ich wir".split(),
 }
-_REPORTS = frozenset(SEEDS["R"])
+_NEGATIONS, _REPORTS = frozenset(SEEDS["N"]), frozenset(SEEDS["R"])
 #: Output symbols: insult or threat, plain, negated, reported, both, aimed; each is one feature.
 KINDS = ("I", "i", "q", "k", "J", "T", "t", "r", "s", "A")
 _CLAUSE = re.compile(r"([.!?;:\n]+)")
@@ -222,8 +224,23 @@ def units(word: str) -> set[str]:
     return {word, *(word[:n] + "*" for n in STEMS if len(word) > n)}
 
 
-def vocabulary(text: str | None) -> set[str]:
-    return set(_WORD.findall(_CONTRACTED.sub("", (text or "").lower())))
+def vocabulary(text: str | None, reach: int = 3) -> set[str]:
+    """The words that stand somewhere neither up to ``reach`` words after a negation nor after a report verb of the clause."""
+    out = set()
+    for ws, going in clauses(text):
+        if going:
+            continue
+        left = 0
+        for w in ws:
+            if w in _REPORTS:
+                break
+            if w in _NEGATIONS:
+                left = reach
+            elif left:
+                left -= 1
+            else:
+                out.add(w)
+    return out
 
 
 class Grammar:
@@ -289,8 +306,8 @@ def sampled(docs: DataFrame, labels: DataFrame, training: Column, sample: int =
     return staged(kept.select("text", "label", (F.col("twin") % 2).alias("half")), "labelled")
 
 
-def learn_lexicon(rows: DataFrame, support: float = SUPPORT, least_odds: float = LEAST_ODDS) -> dict[str, float]:
-    """Units that toxic texts hold at least e^least_odds times as often, with their log-odds."""
+def learn_lexicon(rows: DataFrame, support: int = SUPPORT, least_odds: float = LEAST_ODDS) -> dict[str, float]:
+    """Units that toxic texts hold at least e^least_odds times as often, by two standard errors, with their log-odds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = {0: Counter(), 1: Counter()}
@@ -311,10 +328,10 @@ def learn_lexicon(rows: DataFrame, support: float = SUPPORT, least_odds: float =
     toxic, clean = totals.get(1, 0), totals.get(0, 0)
     if not toxic or not clean:
         return {}
-    least = max(3, support * toxic)
-    both = of(1).where(F.col("n1") >= least).join(of(0), "unit", "left").fillna(0, ["n0"]).where("unit != ''")
+    both = of(1).where(F.col("n1") >= support).join(of(0), "unit", "left").fillna(0, ["n0"]).where("unit != ''")
     odds = F.log((F.col("n1") + 0.5) / (toxic + 1)) - F.log((F.col("n0") + 0.5) / (clean + 1))
-    kept = both.withColumn("odds", odds).where(F.col("odds") >= least_odds)
+    error = F.sqrt(1 / (F.col("n1") + 0.5) + 1 / (F.col("n0") + 0.5))
+    kept = both.withColumn("odds", odds).where(F.col("odds") - 2 * error >= least_odds)
     return {r["unit"]: float(r["odds"]) for r in kept.select("unit", "odds").collect()}  # bounded: see above
 
 
@@ -347,9 +364,6 @@ class Model:
 def train(docs: DataFrame, labels: DataFrame, training: Column, sample: int = SAMPLE, **columns) -> Model:
     rows = sampled(docs, labels, training, sample, **columns)
     lexicon = learn_lexicon(rows.where("half = 0").select("text", "label"))
-    if not lexicon:
-        return Model({}, (0.0,) * WIDTH + (-30.0,))
-
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         g = Grammar(lexicon)
         for part in parts:
