@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import blob_ledger, bpe, embedding_dedup, jaccard_join, license_index, templates, token_files, toxicity, tree_weighting, url_filter
+from tidemark.llm import blob_ledger, bpe, embedding_dedup, jaccard_join, license_index, merkle, pieces, templates, token_files, toxicity, tree_weighting, url_filter
 from tidemark.llm.common import fold, prepare, read, shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -140,3 +140,73 @@ SELECT l.node AS doc_id, COALESCE(s.n, 0) AS n_shingles, l.component_id FROM lea
 @query
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@query
+def op11_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digests(pieces.round_trip(read(spark, sf_dir, "documents"), vocabulary(pieces.MODEL)))
+
+
+_LEVELS = 12  # of the SQL below: eight to this power documents a language
+
+
+def _op13_sql() -> str:
+    tampered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    field = "CASE WHEN {0} IS NULL THEN '-' ELSE octet_length(encode(CAST({0} AS VARCHAR))) || ':' || CAST({0} AS VARCHAR) END"
+    digest = "sha256(" + " || ".join(field.format(c) for c in ("doc_id", "source", "lang", "n_chars", "{text}")) + ")"
+    sql = f"""
+WITH
+  crc_bytes AS (SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t FROM range(256) r(i)),
+  given AS MATERIALIZED (
+    SELECT doc_id, lang, {digest.format(text="text")} AS leaf,
+           CASE WHEN xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda ch: CAST(ascii(ch) AS BIGINT))),
+                                     lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)])), 4294967295) % 3 = 0
+                THEN {digest.format(text=tampered)} END AS other
+    FROM documents, crc_bytes),
+  leaves AS MATERIALIZED (SELECT *, ROW_NUMBER() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS place, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree FROM given),
+  n0 AS MATERIALIZED (SELECT tree, place AS i, leaf AS h, COUNT(*) OVER (PARTITION BY tree) AS n FROM leaves)"""
+
+    def level(name: str, below: str) -> str:
+        return f""",
+  {name} AS MATERIALIZED (
+    SELECT *, COUNT(*) OVER (PARTITION BY tree) AS n FROM (SELECT tree, i // 8 AS i, sha256(string_agg(h, '' ORDER BY i)) AS h FROM {below} WHERE n > 1 GROUP BY tree, i // 8))"""
+
+    sql += "".join(level(f"n{k}", f"n{k - 1}") for k in range(1, _LEVELS + 1))
+    each = " UNION ALL ".join(f"SELECT tree, h FROM n{k} WHERE n = 1" for k in range(_LEVELS + 1))
+    sql += f""",
+  subroots AS MATERIALIZED ({each}),
+  t0 AS MATERIALIZED (SELECT 0 AS tree, tree AS i, h, COUNT(*) OVER () AS n FROM subroots)"""
+    sql += "".join(level(f"t{k}", f"t{k - 1}") for k in range(1, 5))
+    roots = " UNION ALL ".join(f"SELECT h FROM t{k} WHERE n = 1" for k in range(5))
+    inner = " UNION ALL ".join(f"SELECT {k} AS level, tree, i, h FROM n{k} WHERE n > 1" for k in range(_LEVELS + 1))
+    top = " UNION ALL ".join(f"SELECT {100 + k} AS level, i, h FROM t{k} WHERE n > 1" for k in range(5))
+    sql += f""",
+  inner_nodes AS MATERIALIZED ({inner}),
+  top_nodes AS MATERIALIZED ({top}),
+  steps AS MATERIALIZED (
+    SELECT l.doc_id, s.level, s.i, s.h, s.i = l.place // CAST(pow(8, s.level) AS BIGINT) AS own
+    FROM leaves l JOIN inner_nodes s ON s.tree = l.tree AND s.i // 8 = l.place // CAST(pow(8, s.level + 1) AS BIGINT)
+    UNION ALL
+    SELECT l.doc_id, s.level, s.i, s.h, s.i = l.tree // CAST(pow(8, s.level - 100) AS BIGINT)
+    FROM leaves l JOIN top_nodes s ON s.i // 8 = l.tree // CAST(pow(8, s.level - 99) AS BIGINT)),
+  proven AS MATERIALIZED (SELECT doc_id, sha256(COALESCE(string_agg(h, '' ORDER BY level, i) FILTER (NOT own), '')) AS proof_sha256 FROM steps GROUP BY doc_id),
+  runs AS MATERIALIZED (
+    SELECT doc_id, level, COALESCE(string_agg(h, '' ORDER BY i) FILTER (i < own_i), '') AS l, COALESCE(string_agg(h, '' ORDER BY i) FILTER (i > own_i), '') AS r
+    FROM (SELECT *, MAX(CASE WHEN own THEN i END) OVER (PARTITION BY doc_id, level) AS own_i FROM steps) GROUP BY doc_id, level),
+  paths AS (SELECT doc_id, list([l, r] ORDER BY level) AS sides FROM runs GROUP BY doc_id)
+SELECT v.doc_id, v.leaf, s.h AS subroot, t.h AS root, COALESCE(p.proof_sha256, sha256('')) AS proof_sha256,
+       CASE WHEN v.other IS NULL THEN t.h ELSE f.h END AS folded_root, CASE WHEN v.other IS NULL THEN TRUE ELSE f.h = t.h END AS verified
+FROM leaves v JOIN subroots s ON s.tree = v.tree CROSS JOIN ({roots}) t LEFT JOIN proven p ON p.doc_id = v.doc_id
+LEFT JOIN (
+  SELECT l.doc_id, list_reduce(list_prepend([l.other], COALESCE(q.sides, [])), lambda a, s: [sha256(s[1] || a[1] || s[2])])[1] AS h
+  FROM leaves l LEFT JOIN paths q ON q.doc_id = l.doc_id) f ON f.doc_id = v.doc_id
+"""
+    return sql
+
+
+@with_sql(_op13_sql())
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    trees, top = merkle.manifest(read(spark, sf_dir, "documents"), changed=("text", lowered, fold("doc_id", 3) == 0))
+    return merkle.proofs(trees, top).withColumnRenamed("id", "doc_id")
