@@ -17,7 +17,8 @@ from tidemark.llm.word_encoder import ChunkEncoder, load
 
 JSON, RANKS = P.path("byte_bpe_50k.json"), P.path(bpe.RANKS)
 AWKWARD = ["", " ", "  ", "a ", " a", "a \n b", "x\n\n b", "　 x", "a  b  ", "\n ", "a   b", "\0a b", "a \0a", "it's we'LL don’t",
-           "a\nb", "\na", "a\n", "a.\nB c,\nd", "a  b\nc\n\nd e\nf", "x \ny", "x\n y\nz", "a\n\n\n", "w" * 90 + ", " + "w" * 90, "<|endoftext|>", "naïve 漢字 🙂🙂", "١٢٣ ½", "﻿abc᠎ d"]
+           "a\nb", "\na", "a\n", "a.\nB c,\nd", "a  b\nc\n\nd e\nf", "x \ny", "x\n y\nz", "a\n\n\n", "w" * 90 + ", " + "w" * 90, "<|endoftext|>", "naïve 漢字 🙂🙂", "١٢٣ ½", "﻿abc᠎ d",
+           "x \xa0 \xa0", "a \xa0 \xa0 b", "foo \xa0 \xa0 \xa0 bar", "a\xa0b c\xa0", "a\xa0 b", "x\u180e \u180e y", "p\x1c \x1cq\n\x85r"]
 
 
 def plain():
@@ -45,6 +46,12 @@ def test_chunked_encoding_of_random_texts(texts):
     assert counts.sum() == len(flat)
 
 
+@settings(max_examples=600, deadline=None)
+@given(st.lists(st.text(alphabet="ab, \n\t\r\xa0\x85\x1c\u2003\u3000\u180e", max_size=30), max_size=4))
+def test_chunked_encoding_of_mixed_white_space(texts):
+    test_chunked_encoding_of_random_texts.hypothesis.inner_test(texts)
+
+
 def _shared(cache=[]):  # noqa: B006
     if not cache:
         cache.extend([ChunkEncoder(load(JSON)), plain()])

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import itertools
 import os
+import re
 
 import numpy as np
 
 REMEMBERED = 500_000  # words a worker process keeps; this only saves time
 LONGEST = 64  # letters of a word that is kept
+# White space other than the space and the line end, by any reading of the pattern's \\s.
+OTHER_WHITE = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u180e\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+_mixed_run = re.compile(f" [{OTHER_WHITE}]|[{OTHER_WHITE}] ").search
 
 
 def load(described: str, from_file: bool = True):
@@ -29,12 +33,16 @@ class _Numbered(dict):
         return n
 
 
+def _white(c: str) -> bool:
+    return c.isspace() or c in OTHER_WHITE
+
+
 def _segments(text: str) -> list[str]:
     """The text cut before every line end that stands between two characters that aren't white space."""
     first, *lines = text.split("\n")
     out, own = [], first
     for line in lines:
-        if line and own and not (line[0].isspace() or own[-1].isspace()):
+        if line and own and not (_white(line[0]) or _white(own[-1])):
             out.append(own)
             own = "\n" + line
         else:
@@ -48,8 +56,8 @@ class ChunkEncoder:
 
     A byte-level pre-token never holds a non-space followed by white space, so a
     text may be cut before every single space or line end and its parts encoded
-    alone.  Longer runs of white space are matched together, so a line that holds one
-    goes in whole.  Words are remembered, whole lines and very long words aren't.
+    alone.  Longer runs of white space, of any characters, are matched together, so a
+    line that holds one next to a space goes in whole.  Words are remembered, whole lines and very long words aren't.
     New words are encoded as one joined text, tokens are told apart by their byte
     lengths; a known word before a comma or full stop isn't encoded again.
     ``special_as_text``: the strings of special tokens in a text are ordinary text;
@@ -141,8 +149,9 @@ class ChunkEncoder:
                 n[k] = 1
                 continue
             before = len(flat)
+            mixed = any(c in t for c in OTHER_WHITE)
             for i, line in enumerate(_segments(t)):
-                if "  " in line or line.find("\n", i > 0) >= 0:
+                if "  " in line or line.find("\n", i > 0) >= 0 or mixed and _mixed_run(line):
                     passing.append(line if i else " " + line)
                     flat.append(passing[-1])
                     continue
