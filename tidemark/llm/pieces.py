@@ -42,7 +42,7 @@ from tidemark.llm.word_encoder import _Numbered
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 NEVER = float("-inf")
-REMEMBERED = 250_000  # units a worker keeps; this only saves time
+REMEMBERED = 600_000  # units a worker keeps; this only saves time
 LONGEST = 64  # characters of a unit that is kept
 PAIRS = 1_000_000  # compatibility checks a worker keeps; this only saves time
 TOGETHER = 2_000  # units whose matches are searched in one pass
@@ -97,7 +97,9 @@ class Pieces:
         while bad := {m for pair in pairs for m in marks.intersection(pair) if not marks.issuperset(pair)}:
             marks -= bad
         alone = "".join(c for c in "\n\t" if c not in self.letters)
-        words, marks = re.escape(" " + alone + "".join(sorted(marks))), re.escape("".join(sorted(marks)))
+        marks = re.escape("".join(sorted(marks)))
+        words = re.escape(" " + alone) + marks
+        self.cuts, self.marks = " " + alone, marks  # a unit may always begin with these; or with marks after what is no mark
         options = [f"[{alone}]"] * bool(alone) + [f" *[{marks}]+"] * bool(marks) + [f" *[^{words}]+", " +"]
         return "|".join(options)
 
@@ -209,15 +211,18 @@ class PieceEncoder:
             self.used += len(ids)
             self.known += len(got)
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids in a row without begin and end ids, and the number of ids of each text."""
+    def encode(self, texts: list[str], lead: str = " ") -> tuple[np.ndarray, np.ndarray]:
+        """All ids in a row without begin and end ids, and the number of ids of each text.
+
+        ``lead`` is what the model sets before a text; parts of a text that begin where a unit may are encoded without.
+        """
         if len(self.at) > self.remembered or self.used > 16 * self.remembered:
             self.clear()
         flat: list[str] = []
         n = np.zeros(len(texts), np.int64)
         for k, text in enumerate(texts):
             if text:
-                own = self.pieces.units(" " + text.replace(SPACE, " "))
+                own = self.pieces.units(lead + text.replace(SPACE, " "))
                 n[k] = len(own)
                 flat += own
         numbers = np.fromiter(map(self.at.__getitem__, flat), np.int64, len(flat))

@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators: thin digests of what the operators return."""
+"""The registered queries of the operators: thin digests of what the operators return."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import blob_ledger, bpe, embedding_dedup, jaccard_join, license_index, merkle, pieces, templates, token_files, toxicity, tree_weighting, url_filter
+from tidemark.llm import alignment, blob_ledger, bpe, embedding_dedup, jaccard_join, license_index, merkle, pieces, templates, token_files, toxicity, tree_weighting, url_filter
 from tidemark.llm.common import fold, prepare, read, shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -147,6 +147,11 @@ def op11_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(pieces.round_trip(read(spark, sf_dir, "documents"), vocabulary(pieces.MODEL)))
 
 
+@query
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned(read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary(pieces.MODEL))
+
+
 _LEVELS = 12  # of the SQL below: eight to this power documents a language
 
 
