@@ -48,10 +48,13 @@ def tokens(text):
 
 def grouped(a, b):
     ends = sorted({e for *_, e in a} & {e for *_, e in b})
-    out, start = [], 0
+    out, sides = [], [list(reversed(a)), list(reversed(b))]
     for end in ends:
-        out.append("|".join(",".join(str(i) for i, s, e in side if start <= s and e <= end) for side in (a, b)))
-        start = end
+        own = [[], []]
+        for side, ids in zip(sides, own):
+            while side and side[-1][2] <= end:
+                ids.append(str(side.pop()[0]))
+        out.append("|".join(map(",".join, own)))
     return out
 
 
