@@ -1,6 +1,7 @@
 """Operators 1 and 4 against direct computations on small inputs."""
 
 import math
+import random
 import re
 from collections import Counter
 
@@ -161,28 +162,69 @@ def template_by_hand(text, form):
 
 
 def windows_by_hand(text, form):
+    """[(key, slots, first token is a slot, last one is)] of every place."""
     t = template_by_hand(text, form)
     spans = [t[i : i + 5] for i in range(len(t) - 4)] or ([t] if t else [])
-    return [((len(s),) + tuple(x[0] for x in s), [x[1] for x in s if x[2]]) for s in spans]
+    out = []
+    for s in spans:
+        key = (len(s),) + tuple(x[0] for x in s)
+        if len(s) < 5 and all(x[2] for x in s):
+            key += tuple(x[1].lower() for x in s)
+        out.append((key, [x[1].lower() for x in s if x[2]], bool(s[0][2]), bool(s[-1][2])))
+    return out
+
+
+def inside_by_hand(x, y, left, right):
+    """The parts of two runs that a passage which begins or ends in them holds."""
+    x, y = x.split(), y.split()
+    k = min(len(x), len(y))
+    if left and right:
+        if any((x if len(y) == k else y)[i:][:k] == (y if len(y) == k else x) for i in range(max(len(x), len(y)) - k + 1)):
+            return (y, y) if len(y) == k else (x, x)
+        return x, y
+    return (x[len(x) - k :], y[len(y) - k :]) if left else (x[:k], y[:k])
+
+
+def kept_by_hand(passage):
+    """The item places of a diagonal's windows that count, from {place: (item slots, slots, lead, tail)}."""
+    votes, judged = {}, []
+    for p, (own, slots, lead, tail) in sorted(passage.items()):
+        pairs = []
+        for j, (x, y) in enumerate(zip(own, slots)):
+            left, right = j == 0 and lead and p - 1 not in passage, j == len(own) - 1 and tail and p + 1 not in passage
+            same, may = x == y, {y}
+            if not same and (left or right):
+                u, v = inside_by_hand(x, y, left, right)
+                same, may = u == v, {y, " ".join(v)}
+            for value in [x] if same else may:
+                votes.setdefault(x, []).append(value)
+            pairs.append((x, same, may))
+        judged.append((p, pairs))
+    winner = {x: sorted(set(v), key=lambda y: (-v.count(y), y != x, y))[0] for x, v in votes.items()}
+    return {p for p, pairs in judged if all(s for _, s, _ in pairs) or all(winner[x] in may or (s and winner[x] == x) for x, s, may in pairs)}
 
 
 def matches_by_hand(docs, items):
     out = {}
+    described = {(form, i): windows_by_hand(item, form) for form in templates.FORMS for i, item in items}
     for d, text in docs:
-        for i, item in items:
-            for form in templates.FORMS:
+        spoken = " " + " ".join(w.lower() for w in re.findall(r"[0-9A-Za-z\x80-\U0010ffff]+", text or "")) + " "
+        for form in templates.FORMS:
+            at = {}
+            for p, (w, *rest) in enumerate(windows_by_hand(text, form)):
+                at.setdefault(w, []).append((p, rest[0]))
+            for i, item in items:
+                own = described[form, i]
+                if own and own[0][0][0] < 5 and f" {' '.join(x.lower() for x in re.findall(r'[0-9A-Za-z\x80-\U0010ffff]+', item))} " in spoken:
+                    out[d, i] = 1.0
                 iw = {}
-                for p, (w, v) in enumerate(windows_by_hand(item, form)):
-                    iw.setdefault(w, (p, v))
+                for p, (w, *rest) in enumerate(own):
+                    iw.setdefault(w, (p, *rest))
                 diagonals = {}
-                for p, (w, v) in enumerate(windows_by_hand(text, form)):
-                    if w in iw:
-                        diagonals.setdefault(p - iw[w][0], []).append((iw[w][0], list(zip(iw[w][1], v))))
-                hits = set()
-                for ds in diagonals.values():
-                    pairs = {x for _, v in ds for x in v}
-                    if len({a for a, _ in pairs}) == len(pairs) == len({b for _, b in pairs}):
-                        hits |= {p for p, _ in ds}
+                for w, (q, slots, lead, tail) in iw.items():
+                    for p, theirs in at.get(w, ()):
+                        diagonals.setdefault(p - q, {})[q] = (slots, theirs, lead, tail)
+                hits = set().union(*map(kept_by_hand, diagonals.values()))
                 if hits and len(hits) / len(iw) > out.get((d, i), 0):
                     out[d, i] = len(hits) / len(iw)
     return out
@@ -199,14 +241,16 @@ DOCS = [(1, "Note: Carla buys 5 apples and John Smith eats 5 apples while 40 kg
         (9, "so the quick brown fox jumps over the very lazy dog again and again until night falls " + "and more of it " * 3000)]
 
 
-@pytest.mark.parametrize("limit", [10**6, 0])
-def test_op4_against_direct_matching(spark, limit):
+@pytest.mark.parametrize("bits", [1 << 27, 64])
+def test_op4_against_direct_matching(spark, monkeypatch, bits):
+    monkeypatch.setattr(templates, "BITS_MOST", bits)  # a full bitmap lets everything through, the rows are the same
+    monkeypatch.setattr(templates, "BITS_LEAST", 64)
     docs = spark.createDataFrame(DOCS, "doc_id long, text string").withColumns({"id": F.lit(1), "key": F.lit(2), "n": F.lit(3), "form": F.lit("f")})
     items = spark.createDataFrame(ITEMS, "item_id long, text string").withColumn("hash", F.lit(1))
-    got = {(r["doc_id"], r["item_id"]): r["coverage"] for r in templates.matches(docs, items, filter_hashes=limit).collect()}
+    got = {(r["doc_id"], r["item_id"]): r["coverage"] for r in templates.matches(docs, items).collect()}
     assert got == pytest.approx(matches_by_hand(DOCS, ITEMS))
-    leaks = {(r["doc_id"], r["item_id"]): r["exact"] for r in templates.contaminated(docs, items, filter_hashes=limit).collect()}
-    assert leaks == {(1, 1): False, (3, 2): True, (3, 6): True, (4, 3): False, (None, 2): True, (None, 6): True}
+    leaks = {(r["doc_id"], r["item_id"]): r["exact"] for r in templates.contaminated(docs, items).collect()}
+    assert leaks == {(1, 1): False, (2, 1): False, (5, 3): True, (3, 2): True, (3, 6): True, (4, 3): False, (None, 2): True, (None, 6): True}
 
 
 def test_op4_whole_table_and_empty(spark, no_docs):
@@ -230,10 +274,10 @@ BY_WINDOW = [(1, f"Question 12. {FRIENDS}", {1}), (2, f"{FRIENDS} 7 more lines",
 def test_op4_drops_only_the_windows_that_disagree(spark):
     items = spark.createDataFrame([(1, FRIENDS), (2, PARTS)], "item_id long, text string")
     docs = spark.createDataFrame([r[:2] for r in BY_WINDOW], "doc_id long, text string")
-    got = {(r["doc_id"], r["item_id"]): r for r in templates.contaminated(docs, items, by_window=True).collect()}
+    got = {(r["doc_id"], r["item_id"]): r for r in templates.contaminated(docs, items).collect()}
+    assert {k: v['coverage'] for k, v in got.items()} == pytest.approx({k: v for k, v in matches_by_hand([r[:2] for r in BY_WINDOW], [(1, FRIENDS), (2, PARTS)]).items() if v >= 0.75})
     assert set(got) == {(d, i) for d, _, own in BY_WINDOW for i in own}
     assert got[1, 1]["coverage"] == 1 and got[1, 1]["exact"] and got[2, 1]["exact"] and not got[3, 1]["exact"]
-    assert (1, 1) not in {(r["doc_id"], r["item_id"]) for r in templates.contaminated(docs, items).collect()}
 
 
 SHORT = [(1, "What is 17 + 25 + 31?"), (2, "Who wrote Hamlet?"), (3, "two words"), (4, "17 + 4")]
@@ -242,10 +286,29 @@ HOLD_SHORT = [(1, "Quiz 9. What is 17 + 25 + 31? 12 people knew it, as we were t
               (6, "they add 3, 17 + 4 and 9 to find it out", {4}), (7, "who wrote hamlet", {2}), (8, "what is 17 + 25, they asked all of us", set())]
 
 
-@pytest.mark.parametrize("limit", [10**6, 0])
-def test_op4_finds_short_items_inside_documents(spark, limit):
+def test_op4_finds_short_items_inside_documents(spark):
     items = spark.createDataFrame(SHORT, "item_id long, text string")
     docs = spark.createDataFrame([r[:2] for r in HOLD_SHORT], "doc_id long, text string")
-    got = {(r["doc_id"], r["item_id"]): r["exact"] for r in templates.contaminated(docs, items, filter_hashes=limit, by_window=True, short=True).collect()}
+    got = {(r["doc_id"], r["item_id"]): r["exact"] for r in templates.contaminated(docs, items).collect()}
     assert set(got) == {(d, i) for d, _, own in HOLD_SHORT for i in own} and all(e for (d, _), e in got.items() if d != 5)
-    assert {r["doc_id"] for r in templates.contaminated(docs, items, by_window=True).collect()} <= {5, 7}
+    assert set(got) == {k for k, v in matches_by_hand([r[:2] for r in HOLD_SHORT], SHORT).items() if v >= 0.75}
+
+
+def test_op4_an_item_of_numbers_costs_a_document_one_row(spark):
+    """Slot values are part of what is joined: other numbers of a document don't become rows."""
+    items = spark.createDataFrame([(1, "17"), (2, "18 kg")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "3 a 4 b 17 c 5 d 6 e 7"), (2, "19"), (3, "17"), (4, "18 KG")], "doc_id long, text string")
+    rows = docs.select(F.col("doc_id").alias("id"), templates.text_key().alias("key"), "text")
+    hashes = templates.windows(items.select(F.col("item_id").alias("id"), templates.text_key().alias("key"), "text"), once=True).select("hash").distinct()
+    wanted = spark.sparkContext.broadcast(templates.bitmap(hashes))
+    assert templates.windows(rows.where("id = 1"), wanted, phrases=(1, 2)).count() == 1
+    assert {(r["doc_id"], r["item_id"]) for r in templates.contaminated(docs, items).collect()} == {(1, 1), (3, 1), (4, 2)}
+
+
+def test_op4_random_texts(spark):
+    rng = random.Random(3)
+    text = lambda: " ".join(rng.choices("a b c 1 2 3 kg Bob Eve two".split(), k=rng.randint(1, 14)))
+    items = [(i, text()) for i in range(60)]
+    docs = list(enumerate([text() for _ in range(150)] + [f"{text()} {t} {text()}" for _, t in items]))
+    got = templates.matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r["doc_id"], r["item_id"]): r["coverage"] for r in got.collect()} == pytest.approx(matches_by_hand(docs, items))

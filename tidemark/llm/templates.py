@@ -6,27 +6,28 @@ typed slots, other words are lower-cased.  Two forms are indexed: ``typed``
 was changed).  Runs of numbers, and of names, are one slot.  Windows of five
 template tokens are joined by hash with the windows of the benchmark items; hits
 that lie on one diagonal (document position minus item position) are one passage.
-A passage counts only if its slots are consistent: every slot value of the item
-stands for one value of the document and the other way round, so "3 apples ... 3
-pears" matches "5 apples ... 5 pears" but not "5 apples ... 7 pears".  With
-``by_window`` (operator 4 and the pipeline) one pair that disagrees costs only its
-own windows: each slot value of the item stands for the value that most windows of
-the passage give it, windows whose slots are equal always count, and a run that
-goes on beyond the passage's edge is compared by its part inside ("Question 12. 3
-friends" holds "3 friends").  A document
+A passage's slots must be consistent: every slot value of the item stands for the value
+that most windows of the passage give it, so "3 apples ... 3 pears" matches "5 apples
+... 5 pears" but loses the windows of "7 pears" against "5 apples ... 7 pears".  Windows
+whose slots are equal always count, and a run that goes on beyond the passage's edge is
+compared by its part inside ("Question 12. 3 friends" holds "3 friends").  A document
 holds an item if ``coverage``, the part of the item's distinct windows found in
 consistent passages, is 0.75 or more in either form.
 
-The benchmark's window hashes filter windows where documents are read if their
-number is within ``FILTER_HASHES`` (checked); beyond it all windows are shuffled
-and joined.  Joins with item windows broadcast only below the session's size limit.
+A bitmap of the benchmark's window hashes (two bits a hash; its size follows their
+number up to BITS_MOST, beyond which more windows pass, never fewer) filters windows
+where documents are read; what passes is joined by the whole hash.  Joins with item
+windows broadcast only below the session's size limit.
 
-Null and empty texts have no windows; a text shorter than five tokens is one window
-and matches a text that is that template as a whole.  With ``short`` (operator 4 and
-the pipeline) documents also have windows of the lengths of such items, so a longer
-document holds a short item if all its slots are equal, without regard to case.  A document is told by
-its id and text hash: repeated rows are one entry, null ids are kept.  Other columns
-are not read; empty tables give no rows; texts are read whole.
+Items of fewer than five template tokens are one window, which only a document that is
+that template as a whole has; without a word outside its slots, slot values are part of
+its hash.  Such items are also looked for inside longer documents, word by word and
+without regard to case (form ``words``).
+
+Null and empty texts have no windows.  A document is told by its id and text hash:
+repeated rows are one entry, null ids are kept.  Of values that are as frequent, the
+item's own wins, then the smallest.  Other columns are not read; empty tables give no
+rows; texts, very long ones too, are read whole.
 """
 
 from __future__ import annotations
@@ -41,12 +42,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import staged
+from tidemark.llm.common import prepare, slices, staged
 from tidemark.session import small_side
 
 WINDOW = 5
 COVERAGE = 0.75
-FILTER_HASHES = 2_000_000
+BITS_A_HASH, BITS_LEAST, BITS_MOST = 64, 1 << 16, 1 << 27
 REMEMBERED = 400_000  # words a worker process keeps; only saves time
 
 # Words read as numbers or, after a number, as units.
@@ -88,49 +89,106 @@ class _Words(dict):
 _words = _Words()
 
 
-def tokens(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "replace").translate(_SPACED).split()
+def tokens(text: str | bytes | None) -> list[bytes]:
+    raw = text.encode("utf-8", "replace") if isinstance(text, str) else text or b""
+    return raw.translate(_SPACED).split()
+
+
+class Template:
+    """The template tokens of some texts in a row: hash, kind, first word, text of each token; where each text begins."""
+
+    def __init__(self, coded: np.ndarray, sizes: np.ndarray, form: str):
+        kind = (coded & np.uint64(3)).astype(np.int8)
+        begins = np.zeros(len(coded) + 1, bool)
+        begins[np.cumsum(sizes) - sizes] = True
+        begins = begins[:-1]
+        after_number = np.concatenate([[False], kind[:-1] == NUMBER]) & ~begins
+        kind[(kind == UNIT) & ~after_number] = LITERAL
+        if form == "plain":
+            kind[kind == NAME] = LITERAL
+        again = np.concatenate([[False], (kind[1:] == kind[:-1]) & ((kind[1:] == NUMBER) | (kind[1:] == NAME))]) & ~begins
+        self.first = np.flatnonzero(~again)
+        self.kind = kind[self.first]
+        self.hash = np.where(self.kind == LITERAL, coded[self.first] >> np.uint64(2), _SLOT[self.kind])
+        self.ends = np.append(self.first[1:], len(coded))
+        self.text = np.repeat(np.arange(len(sizes)), sizes)[self.first]
+        self.start = np.searchsorted(self.text, np.arange(len(sizes) + 1))
+
+    def windows(self, form: str) -> tuple[np.ndarray, np.ndarray]:
+        """(hash, whether it lies in one text) of five tokens from every place."""
+        n = max(0, len(self.hash) - WINDOW + 1)
+        out = np.full(n, FORMS.index(form) * 8, np.uint64)
+        for i in range(WINDOW):
+            out = _folded(out, self.hash[i : i + n], i)
+        return _mixed(out), self.text[:n] == self.text[WINDOW - 1 :]
+
+    def whole(self, k: int, form: str, coded: np.ndarray) -> np.uint64:
+        """The hash of a text of fewer than five tokens."""
+        own = slice(self.start[k], self.start[k + 1])
+        out = np.full(1, own.stop - own.start + FORMS.index(form) * 8, np.uint64)
+        parts = list(self.hash[own, None])
+        if (self.kind[own] != LITERAL).all():
+            parts += list(coded[self.first[own.start] : self.ends[own.stop - 1], None] >> np.uint64(2))
+        for i, part in enumerate(parts):
+            out = _folded(out, part, i)
+        return _mixed(out)[0]
+
+    def slots(self, words: list[bytes], at: int, size: int) -> list[str]:
+        """The values of a window's slots, in their order."""
+        return [b" ".join(words[self.first[i] : self.ends[i]]).decode("utf-8", "replace") for i in range(at, at + size) if self.kind[i] != LITERAL]
+
+
+def _folded(h: np.ndarray, part: np.ndarray, i: int) -> np.ndarray:
+    return (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9) + part * _FACTORS[i % len(_FACTORS)]
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(32))
+
+
+def phrase_hashes(coded: np.ndarray, size: int) -> np.ndarray:
+    """One hash for ``size`` words, without regard to case, from every place."""
+    n = max(0, len(coded) - size + 1)
+    out = np.full(n, size * 32 + 31, np.uint64)
+    for i in range(size):
+        out = _folded(out, coded[i : i + n] >> np.uint64(2), i)
+    return _mixed(out)
 
 
-def template(words: list[bytes], form: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, kind, first word) of each template token."""
-    coded = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
-    kind = (coded & np.uint64(3)).astype(np.int8)
-    after_number = np.concatenate([[False], kind[:-1] == NUMBER])
-    kind[(kind == UNIT) & ~after_number] = LITERAL
-    if form == "plain":
-        kind[kind == NAME] = LITERAL
-    again = np.concatenate([[False], (kind[1:] == kind[:-1]) & ((kind[1:] == NUMBER) | (kind[1:] == NAME))])
-    first = np.flatnonzero(~again)
-    kind = kind[first]
-    return np.where(kind == LITERAL, coded[first] >> np.uint64(2), _SLOT[kind]), kind, first
-
-
-def window_hashes(h: np.ndarray, form: str, size: int = WINDOW) -> np.ndarray:
-    """One hash a window; windows of fewer than five tokens, and a template shorter than ``size``, are of a kind of their own."""
-    n = len(h) - size + 1
-    if not len(h):
-        return np.zeros(0, np.uint64)
-    if n < 1:
-        size, n, salt = len(h), 1, np.uint64(len(h))
-    else:
-        salt = np.uint64(size % WINDOW)
-    out = np.full(n, salt + np.uint64(FORMS.index(form) * 8))
-    for i in range(size):
-        out = (out ^ (out >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9) + h[i : i + n] * _FACTORS[i % len(_FACTORS)]
-    out = (out ^ (out >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
-    return out ^ (out >> np.uint64(32))
+class Bitmap:
+    """Which hashes may be wanted: two bits each, from its upper and its lower end."""
+
+    def __init__(self, packed: bytes):
+        self.bits = np.frombuffer(packed, np.uint8)
+        self.width = len(packed).bit_length() + 2  # 2^width bits
+
+    def places(self, h: np.ndarray, upper: bool) -> np.ndarray:
+        return ((h >> np.uint64(64 - self.width)) if upper else h & np.uint64((1 << self.width) - 1)).astype(np.int64)
+
+    def may_hold(self, h: np.ndarray) -> np.ndarray:
+        """The places of hashes whose two bits are set."""
+        at = np.arange(len(h))
+        for upper in (True, False):
+            p = self.places(h[at], upper)
+            at = at[(self.bits[p >> 3] >> (p & 7).astype(np.uint8) & 1).astype(bool)]
+        return at
 
 
-def slots(words: list[bytes], kind: np.ndarray, first: np.ndarray, at: int, size: int = WINDOW) -> list[str]:
-    """The values of a window's slots, in their order."""
-    ends = np.append(first[1:], len(words))
-    return [b" ".join(words[first[i] : ends[i]]).decode("utf-8", "replace")
-            for i in range(at, min(at + size, len(first))) if kind[i] != LITERAL]
+def bitmap(hashes: DataFrame) -> Bitmap:
+    """The bitmap of a column ``hash``, put together from words of 64 bits (at most BITS_MOST / 64 rows)."""
+    n = hashes.count()
+    width = min(BITS_MOST, max(BITS_LEAST, BITS_A_HASH * n)).bit_length() - 1
+    places = F.explode(F.array(F.shiftrightunsigned("hash", 64 - width), F.col("hash").bitwiseAND(F.lit((1 << width) - 1))))
+    words = (hashes.select(places.alias("p")).groupBy(F.shiftright("p", 6).alias("word"))
+             .agg(F.expr("bit_or(shiftleft(1L, cast(p & 63 as int)))").alias("bits")).toPandas())
+    out = np.zeros((1 << width) // 64, "<i8")
+    out[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+    return Bitmap(out.tobytes())
 
 
-LEAD, TAIL, WHOLE = 1, 2, 4  # bits of ``edge``: the window's first, last token is a slot; it is a whole text of fewer than five
-_SCHEMA = "form string, hash long, pos int, slots array<string>, n int, edge int, size int"
+LEAD, TAIL = 1, 2  # bits of ``edge``: the window's first, last token is a slot
+_SCHEMA = "form string, hash long, pos int, slots array<string>, n int, edge int, words int"
 
 
 def _inside(a: list[str], b: list[str], left: bool, right: bool) -> tuple[list[str], list[str]]:
@@ -142,28 +200,11 @@ def _inside(a: list[str], b: list[str], left: bool, right: bool) -> tuple[list[s
     return (a[-k:], b[-k:]) if left else (a[:k], b[:k])
 
 
-def _holds(edge: int, item_slots: list[str], slots: list[str]) -> bool:
-    """Whether a window's slots are those of a short item; runs at its ends may go on in the document."""
-    last = len(slots) - 1
-    for j, (a, b) in enumerate(zip(item_slots, slots)):
-        x, y = a.lower().split(" "), b.lower().split(" ")
-        left, right = j == 0 and bool(edge & LEAD), j == last and bool(edge & TAIL)
-        if (left or right) and len(x) < len(y):
-            x, y = _inside(x, y, left, right)
-        if x != y:
-            return False
-    return True
-
-
 def consistent(found: list[dict]) -> tuple[list[int], bool]:
     """(item positions of the windows of one diagonal that count, whether all windows' slots are equal)."""
     at = {w["item_pos"] for w in found}
     votes: dict[str, Counter] = defaultdict(Counter)
     pairs: list[list[tuple[str, set[str], bool]]] = []
-    if found[0]["edge"] & WHOLE:  # a short item's one window; the whole document is judged like a passage
-        equal = all(_holds(w["edge"], w["item_slots"], w["slots"]) for w in found)
-        if equal or not all(w["whole"] for w in found):
-            return ([w["item_pos"] for w in found] if equal else []), equal
     for w in found:
         own, last = [], len(w["slots"]) - 1
         for j, (a, b) in enumerate(zip(w["item_slots"], w["slots"])):
@@ -184,93 +225,101 @@ def consistent(found: list[dict]) -> tuple[list[int], bool]:
     return kept, all(equal for own in pairs for _, _, equal in own)
 
 
-def windows(texts: DataFrame, wanted: np.ndarray | None = None, once: bool = False, shorter: tuple[tuple[str, int], ...] = ()) -> DataFrame:
-    """(id, key, form, hash, pos, slots, n, edge, size) of all windows, or of those whose hash is in ``wanted`` (sorted).
+def windows(texts: DataFrame, wanted=None, once: bool = False, phrases: tuple[int, ...] = ()) -> DataFrame:
+    """(id, key, form, hash, pos, slots, n, edge, words) of all windows, or of those that ``wanted`` (a broadcast Bitmap) may hold.
 
-    ``once``: each distinct window of a text one time; n: how many distinct windows it has.
-    ``shorter``: (form, tokens) of further windows of longer texts.
+    ``once``: each distinct window of a text one time; n: how many distinct windows it has; a text of fewer
+    than five tokens is also a phrase of so many words.  ``phrases``: lengths of phrases to give from every place.
     """
+    prepare(texts.sparkSession)
     src = texts.select("id", "key", "text")
     schema = f"id {src.schema['id'].dataType.simpleString()}, key long, {_SCHEMA}"
+    kinds = (pa.int32(), pa.string(), pa.int64(), pa.int32(), pa.list_(pa.string()), pa.int32(), pa.int32(), pa.int32())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows: list[tuple] = []
-            of: list[int] = []
-            for i, text in enumerate(batch.column(2)):
-                ws = tokens(text.as_py())
-                for form in FORMS if ws else ():
-                    h, kind, first = template(ws, form)
-                    if wanted is not None and not len(wanted):
-                        break
-                    for size in (min(WINDOW, len(h)), *(n for f, n in shorter if f == form and n < len(h))):
-                        hashes = window_hashes(h, form, size)
-                        if wanted is None:
-                            at = np.arange(len(hashes))
-                        else:
-                            at = np.flatnonzero(wanted[np.minimum(np.searchsorted(wanted, hashes), len(wanted) - 1)] == hashes)
-                        if once:
-                            at = np.sort(np.unique(hashes, return_index=True)[1])
-                        for p in at.tolist():
-                            edge = (LEAD * (kind[p] != LITERAL) + TAIL * (kind[p + size - 1] != LITERAL)
-                                    + WHOLE * (size == len(h) < WINDOW))
-                            rows.append((form, int(hashes[p].astype(np.int64)), p, slots(ws, kind, first, p, size), len(at), int(edge), size))
-                            of.append(i)
+        held = wanted.value if wanted is not None else None
+        for part in (p for batch in batches for p in slices(batch, "text", 500_000)):
+            split = [tokens(t) for t in part.column(2).cast(pa.binary()).to_pylist()]
+            rows = list(_rows(split, held, once, phrases))
             if rows:
-                of_row = pa.array(of)
-                columns = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.int64(), pa.int32(), pa.list_(pa.string()), pa.int32(), pa.int32(), pa.int32()))]
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(of_row), batch.column(1).take(of_row), *columns],
-                                                 names=["id", "key", "form", "hash", "pos", "slots", "n", "edge", "size"])
+                of, *columns = (pa.array(c, t) for c, t in zip(zip(*rows), kinds))
+                yield pa.RecordBatch.from_arrays([part.column(0).take(of), part.column(1).take(of), *columns],
+                                                 names=["id", "key", *(f.split()[0] for f in _SCHEMA.split(", "))])
 
     return src.mapInArrow(run, schema)
 
 
+def _rows(split: list[list[bytes]], held: Bitmap | None, once: bool, phrases: tuple[int, ...]) -> Iterator[tuple]:
+    sizes = np.fromiter(map(len, split), np.int64, len(split))
+    words = [w for ws in split for w in ws]
+    coded = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
+    begin = np.cumsum(sizes) - sizes
+
+    def passing(hashes: np.ndarray) -> np.ndarray:
+        return np.arange(len(hashes)) if held is None else held.may_hold(hashes)
+
+    signed = lambda h: int(h.astype(np.int64))
+    for form in FORMS if words else ():
+        t = Template(coded, sizes, form)
+        hashes, inside = t.windows(form)
+        at = passing(hashes)
+        at = at[inside[at]]
+        if once:
+            at = at[np.unique(np.stack([t.text[at], hashes[at].view(np.int64)]), axis=1, return_index=True)[1]]
+            at.sort()
+        counts = np.bincount(t.text[at], minlength=len(split))
+        for p in at.tolist():
+            k = int(t.text[p])
+            edge = LEAD * (t.kind[p] != LITERAL) + TAIL * (t.kind[p + WINDOW - 1] != LITERAL)
+            yield k, form, signed(hashes[p]), p - int(t.start[k]), t.slots(words, p, WINDOW), int(counts[k]), int(edge), 0
+        tokens_of = np.diff(t.start)
+        for k in np.flatnonzero((tokens_of > 0) & (tokens_of < WINDOW)).tolist():
+            p, n = int(t.start[k]), int(tokens_of[k])
+            h = t.whole(k, form, coded)
+            if len(passing(np.array([h]))):
+                edge = LEAD * (t.kind[p] != LITERAL) + TAIL * (t.kind[p + n - 1] != LITERAL)
+                yield k, form, signed(h), 0, t.slots(words, p, n), 1, int(edge), 0
+            if once:
+                own = coded[begin[k] : begin[k] + sizes[k]]
+                yield k, "words", signed(phrase_hashes(own, len(own))[0]), 0, [], 1, 0, len(own)
+    for size in phrases:
+        hashes = phrase_hashes(coded, size)
+        for p in passing(hashes).tolist():
+            k = int(np.searchsorted(begin, p, "right")) - 1
+            if p + size <= begin[k] + sizes[k]:
+                yield k, "words", signed(hashes[p]), p - int(begin[k]), [], 1, 0, size
+
+
 def text_key(text_col: str = "text"):
     return F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
 
 
 def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-            item_text_col: str = "text", filter_hashes: int = FILTER_HASHES, by_window: bool = False,
-            short: bool = False) -> DataFrame:
+            item_text_col: str = "text") -> DataFrame:
     """(id, key, item_id, n_windows, n_hits, coverage, exact): every document and item that share a consistent passage.
 
-    ``exact``: all slot values are equal; the better form of the two is given.
-    ``by_window``: windows that disagree are dropped one by one, not their whole diagonal.
-    ``short``: items of fewer than five tokens are also looked for inside longer documents; needs ``by_window``.
+    ``exact``: all slot values are equal; the better form is given.
     """
-    if short and not by_window:
-        raise ValueError("short needs by_window")
     item_rows = items.select(F.col(item_col).alias("id"), text_key(item_text_col).alias("key"), F.col(item_text_col).cast("string").alias("text"))
-    item_windows = staged(windows(item_rows, once=True), "item-windows").select(
-        F.col("id").alias("item_id"), F.col("key").alias("item_key"), "form", "hash", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"), "n", "edge", "size")
-    hashes = item_windows.select("hash").distinct()
-    wanted = None
-    if hashes.count() <= filter_hashes:
-        wanted = np.sort(hashes.toPandas()["hash"].to_numpy(np.int64).astype(np.uint64))  # eight bytes each
+    item_windows = staged(windows(item_rows, once=True).distinct(), "item-windows").select(
+        F.col("id").alias("item_id"), F.col("key").alias("item_key"), "form", "hash", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"), "n", "edge", "words")
+    wanted = items.sparkSession.sparkContext.broadcast(bitmap(item_windows.select("hash").distinct()))  # BITS_MOST bits at most
+    # the lengths of items of fewer than five tokens: a number for each distinct length, not for each item
+    lengths = tuple(sorted(r[0] for r in item_windows.where("form = 'words'").select("words").distinct().collect()))
     doc_rows = docs.select(F.col(id_col).alias("id"), text_key(text_col).alias("key"), F.col(text_col).cast("string").alias("text"))
-    lengths = item_windows.where((F.col("size") < WINDOW) & F.lit(short)).select("form", "size").distinct()
-    shorter = tuple(sorted(map(tuple, lengths.collect())))  # at most four of each form
-    doc_windows = windows(doc_rows, wanted, shorter=shorter).drop("n").withColumn("whole", F.col("edge").bitwiseAND(F.lit(WHOLE)) > 0).drop("edge", "size")
-    found = doc_windows.join(small_side(item_windows), ["form", "hash"])
+    found = windows(doc_rows, wanted, phrases=lengths).drop("n", "edge", "words").join(small_side(item_windows), ["form", "hash"])
     # rows that repeat id and text give the same positions again: distinct
-    found = found.select("id", "key", "item_id", "item_key", "form", "n", "edge", "pos", "item_pos", "slots", "item_slots", "whole").distinct()
+    found = found.select("id", "key", "item_id", "item_key", "form", "n", "edge", "pos", "item_pos", "slots", "item_slots").distinct()
     by_diagonal = found.groupBy("id", "key", "item_id", "item_key", "form", "n", (F.col("pos") - F.col("item_pos")).alias("diagonal"))
-    if by_window:
-        @F.arrow_udf("hits array<int>, equal boolean")
-        def judged(found: pa.Array) -> pa.Array:
-            return pa.array([dict(zip(("hits", "equal"), consistent(w))) for w in found.to_pylist()],
-                            pa.struct([("hits", pa.list_(pa.int32())), ("equal", pa.bool_())]))
-
-        # a list holds at most the item's windows
-        passages = by_diagonal.agg(F.collect_list(F.struct("item_pos", "edge", "whole", "item_slots", "slots")).alias("found"))
-        passages = passages.withColumn("kept", judged("found")).select("*", "kept.hits", "kept.equal").where(F.size("hits") > 0)
-    else:
-        diagonal = by_diagonal.agg(
-            F.collect_set("item_pos").alias("hits"),
-            F.array_distinct(F.flatten(F.collect_list(F.arrays_zip("item_slots", "slots")))).alias("values"))
-        values = F.size("values")
-        good = (F.size(F.array_distinct(F.col("values.item_slots"))) == values) & (F.size(F.array_distinct(F.col("values.slots"))) == values)
-        passages = diagonal.where(good).withColumn("equal", F.forall("values", lambda v: v["item_slots"] == v["slots"]))
+
+    @F.arrow_udf("hits array<int>, equal boolean")
+    def judged(found: pa.Array) -> pa.Array:
+        return pa.array([dict(zip(("hits", "equal"), consistent(w))) for w in found.to_pylist()],
+                        pa.struct([("hits", pa.list_(pa.int32())), ("equal", pa.bool_())]))
+
+    # a list holds at most the item's windows
+    passages = by_diagonal.agg(F.collect_list(F.struct("item_pos", "edge", "item_slots", "slots")).alias("found"))
+    passages = passages.withColumn("kept", judged("found")).select("*", "kept.hits", "kept.equal").where(F.size("hits") > 0)
     by_form = passages.groupBy("id", "key", "item_id", "item_key", "form", "n").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("hits")))).alias("n_hits"), F.min("equal").alias("exact"))
     best = by_form.withColumn("coverage", F.col("n_hits") / F.col("n")).groupBy("id", "key", "item_id", "item_key").agg(
