@@ -24,27 +24,41 @@ def quarter_index(year: str = "year", period: str = "period"):
     return F.col(year).cast("int") * 4 + q - 1
 
 
-def quarterly_gaps(reports: DataFrame, table: str, key: str = "ticker", universe: DataFrame | None = None) -> DataFrame:
-    """SNK18: quarters without a report.
+NO_REPORT = "no report for the quarter"
+
+
+def gap_intervals(reports: DataFrame, table: str, key: str = "ticker", universe: DataFrame | None = None) -> DataFrame:
+    """SNK18: runs of quarters without a report: (table_name, symbol, first_quarter, last_quarter, length, reason).
 
-    Without ``universe`` a symbol is expected in its own reporting span.  With it,
-    every symbol of the universe is expected in every quarter of the whole table's
-    span, so a symbol that never reported is a gap throughout.  Spans are expanded
-    with ``sequence`` (bounded by the quarters of the table) and anti-joined."""
-    idx = reports.select(key, quarter_index().alias("qi"))
+    Quarters are numbers (:func:`quarter_index`).  A gap lies between a symbol's report
+    and its next one, so one window over the distinct reports finds all of them; what is
+    written grows with the gaps, not with symbols times quarters.  Without ``universe`` a
+    symbol is expected in its own reporting span.  With it, every symbol of the universe
+    is expected in every quarter of the whole table's span: a mark one quarter before the
+    span stands for each, so a symbol that never reported is one gap throughout, and
+    symbols outside the universe have no mark and no gaps.
+    """
+    seen = reports.select(key, quarter_index().alias("qi")).where("qi is not null").distinct()
+    by_key = Window.partitionBy(key)
+    after = F.lead("qi").over(by_key.orderBy("qi"))
     if universe is None:
-        span = idx.groupBy(key).agg(F.min("qi").alias("lo"), F.max("qi").alias("hi"))
+        ends = seen.withColumn("next", after)
     else:
-        lo, hi = idx.select(F.min("qi")).scalar(), idx.select(F.max("qi")).scalar()
-        span = universe.select(key).distinct().select(key, lo.alias("lo"), hi.alias("hi"))
-    expected = span.where("lo is not null").select(key, F.explode(F.sequence("lo", "hi")).alias("qi"))
-    missing = expected.join(idx.distinct(), [key, "qi"], "left_anti")
-    return missing.select(
-        F.lit(table).alias("table_name"), F.col(key).alias("symbol"),
-        (F.floor(F.col("qi") / 4)).cast("int").alias("year"),
-        F.concat(F.lit("Q"), (F.col("qi") % 4 + 1).cast("string")).alias("period"),
-        F.lit("no report for the quarter").alias("reason"),
-    )
+        lo, hi = seen.select(F.min("qi")).scalar(), seen.select(F.max("qi")).scalar()
+        marks = universe.select(key).distinct().select(key, (lo - 1).alias("qi")).where("qi is not null")
+        both = seen.withColumn("mark", F.lit(False)).unionByName(marks.withColumn("mark", F.lit(True)))
+        ends = both.withColumn("next", F.coalesce(after, hi + 1)).withColumn("expected", F.max("mark").over(by_key)).where("expected")
+    return ends.where(F.col("next") - F.col("qi") > 1).select(
+        F.lit(table).alias("table_name"), F.col(key).alias("symbol"), (F.col("qi") + 1).alias("first_quarter"),
+        (F.col("next") - 1).alias("last_quarter"), (F.col("next") - F.col("qi") - 1).alias("length"), F.lit(NO_REPORT).alias("reason"))
+
+
+def quarterly_gaps(reports: DataFrame, table: str, key: str = "ticker", universe: DataFrame | None = None) -> DataFrame:
+    """SNK18: the quarters of :func:`gap_intervals` one by one."""
+    quarters = F.explode(F.sequence("first_quarter", "last_quarter"))
+    return gap_intervals(reports, table, key, universe).select("table_name", "symbol", "reason", quarters.alias("qi")).select(
+        "table_name", "symbol", F.floor(F.col("qi") / 4).cast("int").alias("year"),
+        F.concat(F.lit("Q"), (F.col("qi") % 4 + 1).cast("string")).alias("period"), "reason")
 
 
 def gap_report(old: DataFrame, new: DataFrame, run_col: str = "run_id") -> DataFrame:

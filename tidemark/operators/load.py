@@ -11,10 +11,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.schemas import LINEAGE_COLUMNS
+from tidemark.session import delete_path, path_exists
 
 
 def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
@@ -48,14 +49,25 @@ def with_lineage(df: DataFrame, batch_date: str | dt.date | None, src_file: str
 
 def load_bronze(df: DataFrame, path: str, batch_date: str | dt.date | None, src_file: str | None = None) -> int:
     """SNK3/SNK4/SNK6: with a batch date, replace only ``part_key=<d>``; without
-    one, reload the whole table.  Returns the rows loaded."""
+    one, reload the whole table.  A batch without rows empties its partition: what an
+    earlier delivery left there goes, as in delete-then-insert.  Returns the rows loaded."""
     staged, obs = _counted(with_lineage(df, batch_date, src_file), "bronze_load")
     w = staged.write.partitionBy("part_key")
     if batch_date is None:
         w.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
     else:
         w.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
-    return int(obs.get["rows"])
+    rows = int(obs.get["rows"])
+    if batch_date is not None and not rows:
+        drop_partition(df.sparkSession, path, "part_key", batch_date)
+    return rows
+
+
+def drop_partition(spark: SparkSession, path: str, column: str, value: str | dt.date) -> None:
+    """Remove one partition of a table, if it is there; an overwrite without rows touches none."""
+    folder = f"{path.rstrip('/')}/{column}={value}"
+    if path_exists(spark, folder):
+        delete_path(spark, folder)
 
 
 def export_training(df: DataFrame, path: str) -> int:
@@ -107,13 +119,17 @@ def forecast_rows(preds: DataFrame, forecast_date, model_version: str, job: str
     return with_audit(rows, job, None).drop("batch_date").withColumn("batch_date", F.col("trading_date"))
 
 
-def publish_forecast(rows: DataFrame, path: str) -> int:
+def publish_forecast(rows: DataFrame, path: str, forecast_date: str | dt.date | None = None) -> int:
     """SNK13: replace the forecast date's partition (delete + insert in one
-    atomic partition swap); a re-run of the same date is a no-op in effect."""
+    atomic partition swap); a re-run of the same date is a no-op in effect.  With
+    ``forecast_date``, a run without rows empties that date's partition."""
     out, obs = _counted(rows, "publish")
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("trading_date")
      .parquet(path))
-    return int(obs.get["rows"])
+    n = int(obs.get["rows"])
+    if forecast_date is not None and not n:
+        drop_partition(rows.sparkSession, path, "trading_date", forecast_date)
+    return n
 
 
 def append_partitioned(df: DataFrame, path: str, keys: Sequence[str]) -> None:

@@ -435,7 +435,7 @@ def fundamentals_asof(prices: DataFrame, income: DataFrame, balance: DataFrame,
     q = fundamentals_quarterly(income, balance, cash)
     q = dedupe_right(q, ["ticker"], "report_date", [F.col("year"), F.col("period")])
     px = prices.select("ticker", "trading_date", "close").join(
-        small_side(profile.select("ticker", "outstanding_share")), "ticker", "left"
+        small_side(profile.select("ticker", "outstanding_share").distinct()), "ticker", "left"
     )
     m = asof_backward(px, q, ["ticker"], "trading_date", "report_date", list(ASOF_COLUMNS))
     mcap = F.col("close") * F.col("outstanding_share")
@@ -509,9 +509,9 @@ def price_indicators(prices: DataFrame, price: str = "close") -> DataFrame:
     w = W.series_window("ticker", "trading_date")
     own = plain(prices.select("ticker", "trading_date", price))
     feats = _moving_averages(own, w, price, (20, 50), ("sma_20", "sma_50"), (20, 50))
-    feats = feats.select("ticker", "trading_date", "sma_20", "sma_50", W.rsi(ticks(price), w, 14).alias("rsi_14"))
-    ema = ema_features(own, "ticker", "trading_date", price).select("ticker", "trading_date", "macd")
-    return feats.join(ema, list(TICKER_DATE), "left")
+    feats = feats.select("ticker", "trading_date", price, "sma_20", "sma_50", W.rsi(ticks(price), w, 14).alias("rsi_14"))
+    out = ema_features(feats, "ticker", "trading_date", price, keep=("sma_20", "sma_50", "rsi_14"))
+    return out.select("ticker", "trading_date", "sma_20", "sma_50", "rsi_14", "macd")
 
 
 # -- offline-builder variants (W9 price-ratio relative strength, D12 flows) -------

@@ -59,7 +59,7 @@ _IND_SQL = with_proxies(["price"], OM.ema_sql() + [
 
 @register("price_indicators", _IND_SQL)
 def price_indicators(spark: SparkSession, d: str):
-    """W5 full-window SMA, W10 RSI-14, W11 EMA/MACD (applyInPandas recursion)."""
+    """W5 full-window SMA, W10 RSI-14, W11 EMA/MACD (scan over blocks of days)."""
     return marts.price_indicators(P.stock_price_eod(spark, d))
 
 
@@ -84,9 +84,10 @@ def flows_mart(spark: SparkSession, d: str):
     return marts.flows_mart(P.foreign_trading(spark, d), P.proprietary_trading(spark, d))
 
 
-@register("prop_foreign_corr_plain", with_proxies(["foreign_flow", "prop_flow"], OM.FLOWS[3:4], """
+@register("prop_foreign_corr_plain", with_proxies(["foreign_flow", "prop_flow"], [("own_pairs", """
+    SELECT p.ticker, p.trading_date, CAST(p.net_val AS HUGEINT) AS x, CAST(f.net_val AS HUGEINT) AS y FROM prop_flow p LEFT JOIN foreign_flow f USING (ticker, trading_date)""")], """
     SELECT ticker, trading_date, """ + _pair_corr_sql("x", "y", "w", 2) + """ AS corr_10d
-    FROM f_pj WINDOW w AS (PARTITION BY ticker ORDER BY trading_date ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)"""))
+    FROM own_pairs WINDOW w AS (PARTITION BY ticker ORDER BY trading_date ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)"""))
 def prop_foreign_corr_plain(spark: SparkSession, d: str):
     """W15 clean variant: Pearson over complete pairs only."""
     prop, foreign = P.proprietary_trading(spark, d), P.foreign_trading(spark, d)

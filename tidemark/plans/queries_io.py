@@ -6,7 +6,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import load as L
@@ -25,24 +25,30 @@ def _folder(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def _cents(c: str) -> Column:
+    """A price text as integer cents: engines write the same number in different ways."""
+    return F.round(F.col(c).cast("double") * 100).cast("bigint").alias(f"{c}_cents")
+
+
 # -- vendor frames -> feed columns (NRM1, NRM2, NRM4-NRM11) ---------------------------------
 @register("normalise_price", with_proxies(["price"], [], """
-    SELECT ticker, CAST(trading_date AS VARCHAR) AS trading_date, CAST(volume AS VARCHAR) AS volume,
-           CAST(NULL AS VARCHAR) AS adjusted_close FROM price"""))
+    SELECT ticker, CAST(trading_date AS VARCHAR) AS trading_date, CAST(volume AS VARCHAR) AS volume, open_cents, high_cents, low_cents, close_cents,
+           CAST(NULL AS VARCHAR) AS value, CAST(NULL AS VARCHAR) AS adjusted_close FROM price"""))
 def normalise_price(spark: SparkSession, d: str) -> DataFrame:
     """NRM1: vendor time stamps cut to the day, the ticker from the request."""
     raw = P.stock_price_eod(spark, d).select(F.col("ticker").alias("symbol"), F.concat(F.col("trading_date").cast("string"), F.lit("T00:00:00")).alias("time"),
                                              "open", "high", "low", "close", "volume")
-    return N.norm_stock_price(raw).select("ticker", "trading_date", "volume", "adjusted_close")
+    return N.norm_stock_price(raw).select("ticker", "trading_date", "volume", *[_cents(c) for c in ("open", "high", "low", "close")], "value", "adjusted_close")
 
 
 @register("normalise_index", with_proxies(["idx"], [], """
-    SELECT name AS index_name, CAST(trading_date AS VARCHAR) AS trading_date FROM idx, (VALUES ('VNINDEX'), ('HNXINDEX')) v(name)"""))
+    SELECT name AS index_name, CAST(trading_date AS VARCHAR) AS trading_date, CAST(ROUND(close * 100) AS BIGINT) AS close_cents,
+           CAST(NULL AS VARCHAR) AS open FROM idx, (VALUES ('VNINDEX'), ('HNXINDEX')) v(name)"""))
 def normalise_index(spark: SparkSession, d: str) -> DataFrame:
     """NRM2: the default index list keeps two of three series."""
     names = F.explode(F.array(F.lit("VNINDEX"), F.lit("HNXINDEX"), F.lit("OTHER"))).alias("symbol")
     raw = P.index_price_eod(spark, d).select(names, F.col("trading_date").cast("string").alias("time"), "close", "volume")
-    return N.norm_index_price(raw).select("index_name", "trading_date")
+    return N.norm_index_price(raw).select("index_name", "trading_date", _cents("close"), "open")
 
 
 @register("normalise_prop", with_proxies(["prop_flow"], [], """
@@ -105,84 +111,130 @@ _QUOTES = {"Brent Crude": "BZ=F", "WTI": "CL=F", "Gold": "GC=F", "Steel HRC": "H
 
 
 @register("normalise_commodities", with_proxies(["commodities"], [], f"""
-    SELECT CASE commodity_name {_codes_sql(N.COMMODITY_CODES, _QUOTES)} END AS commodity_name, CAST(date AS VARCHAR) AS date FROM commodities"""))
+    SELECT CASE commodity_name {_codes_sql(N.COMMODITY_CODES, _QUOTES)} END AS commodity_name, CAST(date AS VARCHAR) AS date, CAST(ROUND(price * 100) AS BIGINT) AS price_cents FROM commodities"""))
 def normalise_commodities(spark: SparkSession, d: str) -> DataFrame:
     """NRM9: quote codes by the default mapping; a code it lacks is kept as it is."""
     c = P.commodities_price(spark, d)
     code = F.create_map(*[F.lit(x) for kv in _QUOTES.items() for x in kv])[F.col("commodity_name")]
     raw = c.select(code.alias("symbol"), F.col("date").cast("timestamp").alias("Date"), F.col("price").alias("Close"))
-    return N.norm_quotes(raw, N.COMMODITY_CODES, "commodity_name", "price").drop("price")
+    return N.norm_quotes(raw, N.COMMODITY_CODES, "commodity_name", "price").select("commodity_name", "date", _cents("price"))
 
 
 _PAIRS = {"USD/VND": "USDVND=X", "EUR/VND": "EURVND=X", "GBP/VND": "GBPVND=X"}
 
 
-@register("normalise_fx", with_proxies(["fx"], [], f"SELECT CASE pair {_codes_sql(N.CURRENCY_CODES, _PAIRS)} END AS pair, CAST(date AS VARCHAR) AS date FROM fx"))
+@register("normalise_fx", with_proxies(["fx"], [], f"SELECT CASE pair {_codes_sql(N.CURRENCY_CODES, _PAIRS)} END AS pair, CAST(date AS VARCHAR) AS date, CAST(ROUND(exchange_rate * 100) AS BIGINT) AS exchange_rate_cents FROM fx"))
 def normalise_fx(spark: SparkSession, d: str) -> DataFrame:
     """NRM10: FX quote codes by the default mapping."""
     code = F.create_map(*[F.lit(x) for kv in _PAIRS.items() for x in kv])[F.col("pair")]
     raw = P.exchange_rates(spark, d).select(code.alias("symbol"), F.col("date").cast("timestamp").alias("Date"), F.col("exchange_rate").alias("Close"))
-    return N.norm_quotes(raw, N.CURRENCY_CODES, "pair", "exchange_rate").drop("exchange_rate")
+    return N.norm_quotes(raw, N.CURRENCY_CODES, "pair", "exchange_rate").select("pair", "date", _cents("exchange_rate"))
 
 
 @register("normalise_rates", with_proxies(["rates"], [], """
     SELECT CASE rate_type WHEN '^IRX' THEN 'us_fed_funds_rate' WHEN '^TNX' THEN 'us_10y_treasury' WHEN '^FVX' THEN 'us_5y_treasury' END AS rate_type,
-           CAST(date AS VARCHAR) AS date FROM rates"""))
+           CAST(date AS VARCHAR) AS date, CAST(ROUND(rate_value * 100) AS BIGINT) AS rate_value_cents FROM rates"""))
 def normalise_rates(spark: SparkSession, d: str) -> DataFrame:
     """NRM11: benchmark rates by the default mapping."""
     raw = P.interest_rates(spark, d).select(F.col("rate_type").alias("symbol"), F.col("date").cast("timestamp").alias("Date"), F.col("rate_value").alias("Close"))
-    return N.norm_quotes(raw, N.RATE_CODES, "rate_type", "rate_value").drop("rate_value")
+    return N.norm_quotes(raw, N.RATE_CODES, "rate_type", "rate_value").select("rate_type", "date", _cents("rate_value"))
 
 
 # -- files out and in (SRC1-SRC7, SNK1-SNK6, SNK14, CLN1-CLN3) --------------------------------
-_CUSTOMER = ("c_custkey", "c_name", "c_mktsegment")
+_ORDER = ("o_orderkey", "o_orderpriority", "note")
+_NOTE_SQL = "o_orderstatus || ', \"' || o_orderpriority || '\"' || chr(10) || 'in two lines'"
+
+
+def _noted_orders(spark: SparkSession, d: str) -> DataFrame:
+    """Orders with a text that holds separators, quotes and a line end."""
+    note = F.concat("o_orderstatus", F.lit(', "'), "o_orderpriority", F.lit('"\nin two lines'))
+    return read_table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("o_orderkey"), "o_orderpriority", note.alias("note"))
+
+
+def _quoted_csv(df: DataFrame, folder: str) -> None:
+    df.write.mode("append").options(header=True, quoteAll=True, escape='"').csv(folder)
 
 
-@register("csv_by_header", """
-    SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CASE WHEN c_custkey % 3 <> 2 THEN c_mktsegment END AS c_mktsegment FROM customer""")
+def _raw_csv(header: str, lines: DataFrame, folder: str) -> None:
+    """Lines as they are: the header is the one column's name, and nothing separates or quotes."""
+    lines.select(lines.columns[0]).toDF(header).write.mode("append").options(header=True, sep="\u0001", quote="\u0002").csv(folder)
+
+
+@register("csv_by_header", f"""
+    SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CASE WHEN o_orderkey % 5 <> 3 THEN o_orderpriority END AS o_orderpriority,
+           CASE WHEN o_orderkey % 5 < 2 THEN {_NOTE_SQL} END AS note
+    FROM orders WHERE o_orderkey % 5 <> 4""")
 def csv_by_header(spark: SparkSession, d: str) -> DataFrame:
-    """SRC6: CSV files whose columns stand in another order, or lack one, are matched by name."""
-    c = read_table(spark, d, "customer").select(*_CUSTOMER)
+    """SRC6: files with another order of columns, without one, with quoted separators and line ends,
+    with short records (missing fields are NULL) and long ones (dropped)."""
+    o = _noted_orders(spark, d)
+    kind = F.col("o_orderkey").cast("bigint") % 5
     folder = _folder(spark, "csv")
-    for k, order in enumerate((_CUSTOMER, _CUSTOMER[::-1], _CUSTOMER[:2])):
-        c.where(F.col("c_custkey") % 3 == k).select(*order).coalesce(2).write.mode("append").option("header", True).csv(folder)
+    for k, order in enumerate((_ORDER, _ORDER[::-1], _ORDER[:2])):
+        _quoted_csv(o.where(kind == k).select(*order), folder)
+    _raw_csv("o_orderkey,o_orderpriority", o.where(kind == 3).select("o_orderkey"), folder)
+    _raw_csv("o_orderkey,o_orderpriority", o.where(kind == 4).select(F.concat_ws(",", "o_orderkey", F.lit("a"), F.lit("b"))), folder)
     return R.read_csv_folder(spark, folder)
 
 
-@register("mixed_folder", """
-    SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END AS c_mktsegment FROM customer""")
+@register("mixed_folder", f"""
+    SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN o_orderpriority END AS o_orderpriority,
+           CASE WHEN o_orderkey % 3 = 2 THEN 'a,b,c,d' ELSE {_NOTE_SQL} END AS note FROM orders""")
 def mixed_folder(spark: SparkSession, d: str) -> DataFrame:
-    """SRC7: CSV and Parquet files of one folder, columns matched by name, all text."""
-    c = read_table(spark, d, "customer").select(*_CUSTOMER)
+    """SRC7: CSV and Parquet files of one folder by name, all text; a good record with fewer fields
+    and quoted separators stays."""
+    o = _noted_orders(spark, d)
+    kind = F.col("o_orderkey").cast("bigint") % 3
     folder = _folder(spark, "mixed")
-    c.where(F.col("c_custkey") % 2 == 0).write.mode("append").parquet(folder)
-    c.where(F.col("c_custkey") % 2 == 1).select("c_name", "c_custkey").write.mode("append").option("header", True).csv(folder)
+    o.where(kind == 0).withColumn("o_orderkey", F.col("o_orderkey").cast("bigint")).write.mode("append").parquet(folder)
+    _quoted_csv(o.where(kind == 1).select("note", "o_orderkey"), folder)
+    _raw_csv("note,o_orderkey,o_orderpriority", o.where(kind == 2).select(F.concat(F.lit('"a,b,c,d",'), "o_orderkey")), folder)
     return R.read_mixed_folder(spark, folder)
 
 
 @register("landing_to_bronze", """
-    SELECT n_name, CAST(n_regionkey AS VARCHAR) AS n_regionkey, '2026-01-0' || CAST(n_regionkey % 2 + 1 AS VARCHAR) AS part_key FROM nation""")
+    SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus, '2026-01-0' || CAST(o_orderkey % 3 + 1 AS VARCHAR) AS part_key,
+           o_orderkey % 3 = 0 AS corrected, TRUE AS from_landing, 1 AS loads
+    FROM orders WHERE o_orderkey % 3 < 2""")
 def landing_to_bronze(spark: SparkSession, d: str) -> DataFrame:
-    """SNK1-SNK6 + SRC1: landing files per batch date, written twice, loaded per partition, twice."""
-    n = read_table(spark, d, "nation").select("n_name", F.col("n_regionkey").cast("string").alias("n_regionkey"))
+    """SNK1-SNK6 + SRC1: landing files per batch date, loaded twice; a correction of the first date
+    replaces its rows, an empty delivery for the third removes them; lineage names each row's file."""
+    o = read_table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("o_orderkey"), "o_orderstatus")
     root = _folder(spark, "landing")
+    days = ("2026-01-01", "2026-01-02", "2026-01-03")
+    own = {day: o.where(F.col("o_orderkey").cast("bigint") % 3 == k).withColumn("corrected", F.lit(False)) for k, day in enumerate(days)}
+    files = lambda day: R.read_bronze(spark, f"{root}/ORDERS/batch_date={day}", "parquet", own[day].schema)
     for _ in range(2):
-        for k, day in enumerate(("2026-01-01", "2026-01-02")):
-            own = n.where(F.col("n_regionkey").cast("int") % 2 == k)
-            L.write_landing(own, root, "NATIONS", day)
-            files = R.read_bronze(spark, f"{root}/NATIONS/batch_date={day}", "parquet", own.schema)
-            L.load_bronze(files, f"{root}/bronze", day)
-    return spark.read.parquet(f"{root}/bronze").select("n_name", "n_regionkey", F.col("part_key").cast("string").alias("part_key"))
-
-
-@register("json_to_bronze", "SELECT CAST(r_regionkey AS VARCHAR) AS r_regionkey, r_name FROM region")
+        for day in days:
+            L.write_landing(own[day], root, "ORDERS", day)
+            L.load_bronze(files(day), f"{root}/bronze", day)
+    L.write_landing(own[days[0]].withColumn("corrected", F.lit(True)), root, "ORDERS", days[0])
+    L.load_bronze(files(days[0]), f"{root}/bronze", days[0])
+    L.load_bronze(own[days[2]].where("false"), f"{root}/bronze", days[2], src_file="empty")
+    bronze = spark.read.parquet(f"{root}/bronze").withColumn("part_key", F.col("part_key").cast("string"))
+    rows = bronze.groupBy("o_orderkey", "o_orderstatus", "part_key", "corrected").agg(
+        F.min(F.contains("src_file", F.concat(F.lit("batch_date="), F.col("batch_date").cast("string")))).alias("from_landing"),
+        F.countDistinct("src_row").cast("int").alias("loads"))
+    return rows
+
+
+@register("bronze_full_reload", "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(NULL AS VARCHAR) AS part_key FROM orders WHERE o_orderstatus = 'F'")
+def bronze_full_reload(spark: SparkSession, d: str) -> DataFrame:
+    """SNK4: a load without a batch date replaces the whole table, whatever partitions it had."""
+    o = read_table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("o_orderkey"), "o_orderstatus")
+    path = _folder(spark, "reload")
+    L.load_bronze(o.drop("o_orderstatus"), path, "2026-01-01", src_file="first")
+    L.load_bronze(o.where("o_orderstatus = 'F'").drop("o_orderstatus"), path, None, src_file="second")
+    return spark.read.schema("o_orderkey string, part_key string").parquet(path)
+
+
+@register("json_to_bronze", "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderpriority FROM orders")
 def json_to_bronze(spark: SparkSession, d: str) -> DataFrame:
     """SRC2: JSON lines whose field names differ in case."""
-    r = read_table(spark, d, "region").select(F.col("r_regionkey").cast("string").alias("R_RegionKey"), F.col("r_name").alias("R_NAME"))
+    o = read_table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("O_OrderKey"), F.col("o_orderpriority").alias("O_ORDERPRIORITY"))
     folder = _folder(spark, "json")
-    r.write.json(folder)
-    want = read_table(spark, d, "region").select(F.col("r_regionkey").cast("string").alias("r_regionkey"), "r_name").schema
-    return R.read_bronze(spark, folder, "json", want)
+    o.write.json(folder)
+    return R.read_bronze(spark, folder, "json", o.toDF("o_orderkey", "o_orderpriority").schema)
 
 
 @register("clean_text_files", r"""
@@ -217,25 +269,24 @@ def published_forecast(spark: SparkSession, d: str) -> DataFrame:
     return out.select("ticker", F.col("predicted_return").cast("double").alias("predicted_return"), "model_version", "trading_date")
 
 
-@register("appended_csv", "SELECT n_name, n_regionkey FROM nation")
+@register("appended_csv", "SELECT o_orderkey, o_orderpriority FROM orders")
 def appended_csv(spark: SparkSession, d: str) -> DataFrame:
     """SNK14: CSV files appended per key value, read back with the key from the folder name."""
     folder = _folder(spark, "append")
-    n = read_table(spark, d, "nation").select("n_name", "n_regionkey")
+    o = read_table(spark, d, "orders").select("o_orderkey", "o_orderpriority")
     for half in (0, 1):
-        L.append_partitioned(n.where(F.length("n_name") % 2 == half), folder, ["n_regionkey"])
-    return spark.read.option("header", True).csv(folder).select("n_name", F.col("n_regionkey").cast("int").alias("n_regionkey"))
-
+        L.append_partitioned(o.where(F.col("o_orderkey") % 2 == half), folder, ["o_orderpriority"])
+    return spark.read.schema("o_orderkey bigint, o_orderpriority string").option("header", True).csv(folder)
 
 
 # -- slices of a feed (NRM18, NRM19, PRJ9) and the vendor's wide layout (NRM15) ----------------
 @register("universe_slice", with_proxies(["price", "profile"], [], """
     SELECT ticker, trading_date, volume FROM price
     WHERE trading_date BETWEEN DATE '1995-01-01' AND DATE '1996-12-31'
-      AND ticker IN (SELECT ticker FROM profile WHERE length(industry) % 2 = 0)"""))
+      AND ticker IN (SELECT ticker FROM profile WHERE CAST(right(ticker, 1) AS INTEGER) % 2 = 0)"""))
 def universe_slice(spark: SparkSession, d: str) -> DataFrame:
     """NRM18 + NRM19: rows of a symbol universe inside a date range."""
-    symbols = P.company_profile(spark, d).where(F.length("industry") % 2 == 0)
+    symbols = P.company_profile(spark, d).where(F.right("ticker", F.lit(1)).cast("int") % 2 == 0)
     return N.restrict_universe(N.in_range(P.stock_price_eod(spark, d), "trading_date", "1995-01-01", "1996-12-31"), symbols).select(
         "ticker", "trading_date", "volume")
 

@@ -178,6 +178,15 @@ def gap_report(spark: SparkSession, d: str):
     return G.gap_report(run1, run2)
 
 
+@register("gap_intervals", with_proxies([], [("gi", _gaps_sql("", 1)), ("gq", "SELECT *, year * 4 + CAST(right(period, 1) AS INTEGER) - 1 AS qi FROM gi")], """
+    SELECT table_name, symbol, CAST(MIN(qi) AS BIGINT) AS first_quarter, CAST(MAX(qi) AS BIGINT) AS last_quarter, COUNT(*) AS length, MAX(reason) AS reason
+    FROM (SELECT *, qi - ROW_NUMBER() OVER (PARTITION BY symbol ORDER BY qi) AS island FROM gq) GROUP BY table_name, symbol, island"""))
+def gap_intervals(spark: SparkSession, d: str):
+    """SNK18: the same gaps as runs of quarters, one row a run."""
+    out = G.gap_intervals(_reports(spark, d, False), "orders", universe=_universe(spark, d))
+    return out.select("table_name", "symbol", *[F.col(c).cast("bigint").alias(c) for c in ("first_quarter", "last_quarter", "length")], "reason")
+
+
 @register("own_span_gaps", with_proxies([], [("os_q", f"SELECT DISTINCT 'C' || CAST(o_custkey AS VARCHAR) AS symbol, {_QI} AS qi FROM orders")], """
     SELECT 'orders' AS table_name, symbol, CAST(floor(qi / 4) AS INTEGER) AS year,
            'Q' || CAST(qi % 4 + 1 AS VARCHAR) AS period, 'no report for the quarter' AS reason

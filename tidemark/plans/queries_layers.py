@@ -225,3 +225,32 @@ def stream_bronze(spark: SparkSession, d: str):
     land(one.where(late), "2024-01-01", 2)
     load()
     return spark.read.parquet(f"{root}/bronze").select(*cols, F.col("part_key").cast("string").alias("part_key"))
+
+
+@register("stream_dead_letters", with_proxies(["price"], _BRONZE_PRICE, """
+    SELECT ticker, trading_date, close, CASE WHEN late THEN 'no batch date' ELSE 'loaded' END AS state, CASE WHEN late THEN 1 ELSE 0 END AS batches
+    FROM (SELECT *, substr(trading_date, 9, 2) = '05' AS late FROM b_price WHERE src_file = 'landing/stock_price_eod/1.parquet')
+    UNION ALL
+    SELECT ticker, trading_date, close, 'loaded', 0 FROM b_price WHERE src_file = 'landing/stock_price_eod/1.parquet' AND substr(trading_date, 9, 2) = '05'"""))
+def stream_dead_letters(spark: SparkSession, d: str):
+    """STR4: rows without a batch date are kept aside with the reason; fed again with one, they load once."""
+    import uuid
+
+    from tidemark.session import ensure_checkpoint_dir
+    from tidemark.streaming.landing import committed, dead_letter_path, start_landing_stream
+
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/letters-{uuid.uuid4().hex}"
+    rows = B.bronze_stock_price(spark, d).where(F.col("src_file") == "landing/stock_price_eod/1.parquet").select(*feed("stock_price_eod").bronze_columns)
+    late = F.substring("trading_date", 9, 2) == "05"
+
+    def load() -> None:
+        start_landing_stream(spark, f"{root}/landing", f"{root}/bronze", f"{root}/stream_ckpt", "stock_price_eod").awaitTermination()
+
+    rows.where(~late).write.parquet(f"{root}/landing/batch_date=2024-01-01")
+    rows.where(late).write.parquet(f"{root}/landing/batch_date=__HIVE_DEFAULT_PARTITION__")
+    load()
+    rows.where(late).write.parquet(f"{root}/landing/batch_date=2024-01-05")
+    load()
+    loaded = committed(spark, f"{root}/bronze").select("ticker", "trading_date", "close", F.lit("loaded").alias("state"), F.lit(0).alias("batches"))
+    aside = spark.read.parquet(dead_letter_path(f"{root}/bronze"))
+    return loaded.unionByName(aside.select("ticker", "trading_date", "close", F.col("reason").alias("state"), F.lit(1).alias("batches")))

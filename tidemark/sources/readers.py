@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.sources.csv_files import read_csv_files
+
 FORMATS = ("parquet", "json", "csv")
 
 
@@ -51,56 +53,19 @@ def _by_name(parts: list[DataFrame]) -> DataFrame | None:
     return out
 
 
-def _csv_by_header(spark: SparkSession, folder: str, pattern: str) -> list[DataFrame]:
-    """One frame for each distinct header of a folder's CSV files, all columns as text.
-
-    Files are grouped by their first line (one row per file reaches the driver), so a
-    column is found by its name whatever its place in a file."""
-    try:
-        lines = spark.read.option("pathGlobFilter", pattern).option("wholetext", False).text(folder)
-        first = lines.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value",
-                             F.monotonically_increasing_id().alias("no")).where("at = 0")
-        heads = first.groupBy("file").agg(F.min_by("value", "no").alias("header")).collect()
-    except Exception as e:  # noqa: BLE001
-        if _no_files(e):
-            return []
-        raise
-    groups: dict[str, list[str]] = {}
-    for r in heads:
-        groups.setdefault((r["header"] or "").lstrip("\ufeff").strip(), []).append(r["file"])
-    out = []
-    for header, files in sorted(groups.items()):
-        names = [f.name for f in spark.read.option("header", True).csv(sorted(files)[:1]).schema.fields] if header else []
-        if not names:
-            continue
-        # a line with fewer fields than the header has gives NULLs; one with more is malformed
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in names] + [T.StructField("__bad", T.StringType())])
-        rows = spark.read.schema(schema).option("header", True).option("enforceSchema", True).option("mode", "PERMISSIVE").option(
-            "columnNameOfCorruptRecord", "__bad").csv(sorted(files))
-        out.append(rows)
-    return out
-
-
-def _well_formed(rows: DataFrame) -> DataFrame:
-    names = [c for c in rows.columns if c != "__bad"]
-    # too many fields: malformed; too few: the missing ones are NULL, and the row is kept if any field is there
-    extra = F.col("__bad").isNotNull() & (F.size(F.split("__bad", ",")) > len(names))
-    return rows.where(~F.coalesce(extra, F.lit(False))).select(*names)
-
-
-def read_csv_folder(spark: SparkSession, folder: str, schema: T.StructType | None = None) -> DataFrame | None:
+def read_csv_folder(spark: SparkSession, folder: str, schema: T.StructType | None = None, malformed: str = "drop") -> DataFrame | None:
     """SRC6: every ``*.csv`` of a folder as one frame, columns matched by name; None when there are none."""
-    out = _by_name([p.drop("__bad") for p in _csv_by_header(spark, folder, "*.csv")])
+    out = read_csv_files(spark, folder, malformed=malformed)
     if out is None or schema is None:
         return out
-    return out.select(*[(F.col(f.name) if f.name in out.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return out.select(*[(F.col(f"`{f.name}`") if f.name in out.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def read_mixed_folder(spark: SparkSession, folder: str) -> DataFrame | None:
     """SRC7: CSV and Parquet files of one folder, all columns as text and matched by
-    name, CSV lines with too many fields dropped, hidden / unsupported files ignored
-    (glob filters).  None when the folder holds neither; any other read error is raised."""
-    parts = [_well_formed(p) for p in _csv_by_header(spark, folder, "[!._]*.csv")]
+    name, CSV records with too many fields dropped, hidden / unsupported files ignored.
+    None when the folder holds neither; any other read error is raised."""
+    parts = [p for p in [read_csv_files(spark, folder)] if p is not None]
     try:
         pq = spark.read.option("pathGlobFilter", "[!._]*.parquet").option("mergeSchema", True).parquet(folder)
         parts.append(pq.select([F.col(c).cast("string") for c in pq.columns]))

@@ -2,9 +2,14 @@
 
 A file-source stream discovers landing files (its checkpoint is the cursor) and
 ``foreachBatch`` loads them.  The unit of a load is the *file*, never the batch
-date: bronze is append-only per ``part_key`` and a file that bronze already holds
-is not added again, so a date that arrives in several micro-batches, a late file
-and a replayed micro-batch all end with every row exactly once.
+date.  A load writes its files' rows under a folder of its own (``part_key`` and a
+``load_id`` that follows from the set of files), and only then the register: one record
+per file with its rows.  A file is held if the register says so, never because some of
+its rows are there.  A load that broke off between part files left no record: its replay
+has the same files, hence the same folder, and replaces what is there.  So a date that
+arrives in several micro-batches, a late file, a replay and a broken load all end with
+every row exactly once.  Rows that name no source file or batch date go to a dead-letter
+table in the same micro-batch, with the reason.
 
 Silver takes only the rows of the micro-batch (they carry the newest load time, so
 latest load wins) and merges them into the partitions they touch.  The merged
@@ -26,7 +31,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.operators.silver import to_silver
 from tidemark.operators.upsert import reject_null_keys, upsert_partitions
 from tidemark.schemas import feed
-from tidemark.session import delete_path, list_path, path_exists
+from tidemark.session import delete_path, list_path, path_exists, small_side
 
 log = logging.getLogger(__name__)
 
@@ -62,23 +67,62 @@ def with_load_columns(rows: DataFrame) -> DataFrame:
                        F.monotonically_increasing_id().alias("src_row"), F.current_timestamp().alias("loaded_at"))
 
 
+REGISTER = "src_file string, part_key string, rows long, load_id string, batch_id long, loaded_at timestamp"
+
+
+def register_path(bronze_path: str) -> str:
+    return f"{bronze_path.rstrip('/')}.register"
+
+
+def dead_letter_path(bronze_path: str) -> str:
+    return f"{bronze_path.rstrip('/')}.dead_letters"
+
+
+def register(spark: SparkSession, bronze_path: str) -> DataFrame | None:
+    """The committed files of a bronze table; None before the first load."""
+    path = register_path(bronze_path)
+    return spark.read.schema(REGISTER).parquet(path) if path_exists(spark, path) else None
+
+
+def committed(spark: SparkSession, bronze_path: str) -> DataFrame:
+    """Bronze rows of committed loads only, also while another one is being written."""
+    loads = register(spark, bronze_path)
+    rows = spark.read.parquet(bronze_path).withColumn("part_key", F.col("part_key").cast("string"))
+    return rows if loads is None else rows.join(small_side(loads.select("load_id").distinct()), "load_id", "left_semi")
+
+
+def dead_letters(batch: DataFrame, batch_id: int) -> DataFrame:
+    """STR4: the rows of a micro-batch that can't be loaded, with the reason."""
+    reason = F.when(F.col("src_file").isNull(), "no source file").otherwise("no batch date")
+    return batch.where(_incomplete()).withColumns({"reason": reason, "rejected_at": F.current_timestamp(), "batch_id": F.lit(batch_id).cast("long")})
+
+
 def load_batch_fn(bronze_path: str) -> Callable[[DataFrame, int], None]:
-    """STR3: append the files of one micro-batch that bronze does not hold yet."""
+    """STR3: add the files of one micro-batch that are not in the register yet, then register them."""
 
     def load(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         obs = Observation(f"landing-{batch_id}")
-        rows = with_load_columns(drop_incomplete(batch, obs))
-        spark = rows.sparkSession
-        if path_exists(spark, bronze_path):
-            # distinct batch dates of one micro-batch: a handful of values that prune the partitions
-            dates = [r[0] for r in rows.select("part_key").distinct().collect()]
-            held = spark.read.parquet(bronze_path).withColumn("part_key", F.col("part_key").cast("string"))
-            held = held.where(F.col("part_key").isin(dates)).select("part_key", "src_file").distinct()
-            rows = rows.join(held, ["part_key", "src_file"], "left_anti")
-        rows.write.mode("append").partitionBy("part_key").parquet(bronze_path)
-        skipped = obs.get["skipped"]
-        if skipped:
-            log.warning("micro-batch %s: %s rows without source file or batch date skipped", batch_id, skipped)
+        rejected = dead_letters(batch, batch_id).observe(obs, F.count(F.lit(1)).alias("rows"))
+        # a replay of the micro-batch replaces its own rows
+        rejected.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(dead_letter_path(bronze_path))
+        if obs.get["rows"]:
+            log.warning("micro-batch %s: %s rows without source file or batch date kept aside", batch_id, obs.get["rows"])
+        rows = with_load_columns(drop_incomplete(batch))
+        held = register(spark, bronze_path)
+        if held is not None:
+            rows = rows.join(held.select("part_key", "src_file"), ["part_key", "src_file"], "left_anti")
+        files = rows.groupBy("src_file", "part_key").agg(F.count(F.lit(1)).alias("rows"))
+        # the set of files names the load: one number reaches the driver
+        mark, n = files.agg(F.expr("bit_xor(xxhash64(src_file, part_key))"), F.count(F.lit(1))).head()
+        if not n:
+            return
+        load_id = f"{mark & (1 << 64) - 1:016x}"
+        # part_key is known to have few values; with load_id as a constant each load has folders of its own
+        rows.withColumn("load_id", F.lit(load_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            "part_key", "load_id").parquet(bronze_path)
+        record = files.withColumns({"load_id": F.lit(load_id), "batch_id": F.lit(batch_id).cast("long"), "loaded_at": F.current_timestamp()})
+        record.select(*[c.split()[0] for c in REGISTER.split(", ")]).coalesce(1).write.mode("append").parquet(register_path(bronze_path))
 
     return load
 
