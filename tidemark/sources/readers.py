@@ -58,7 +58,7 @@ def read_csv_folder(spark: SparkSession, folder: str, schema: T.StructType | Non
     out = read_csv_files(spark, folder, malformed=malformed)
     if out is None or schema is None:
         return out
-    return out.select(*[(F.col(f"`{f.name}`") if f.name in out.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return out.select(*[(F.col(f"`{f.name}`") if f.name in out.columns else F.lit(None).cast("string")).try_cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def read_mixed_folder(spark: SparkSession, folder: str) -> DataFrame | None:
