@@ -83,6 +83,16 @@ def test_op5_cells_blocks_and_odd_rows(spark, monkeypatch, cells, block):
     assert embedding_dedup.near_duplicates(df.where("false")).count() == 0
 
 
+def test_op5_uses_several_cells_and_more_of_them_for_more_clusters(spark):
+    rows = spark.read.parquet(f"{SF}/embeddings.parquet").where("embedding is not null").collect()
+    x, labels = np.array([r["embedding"] for r in rows], float), np.array([r["label"] or 0 for r in rows])
+    assert len(embedding_dedup.chosen_centroids(x, labels, 0.98, 1)) > 1
+    r = np.random.default_rng(1)
+    for clusters in (4, 64):
+        x = np.repeat(r.normal(size=(clusters, 32)), 2560 // clusters, axis=0) + r.normal(size=(2560, 32)) * 0.01
+        assert len(embedding_dedup.chosen_centroids(x, np.zeros(len(x)), 0.98, 1000)) >= clusters
+
+
 def set_of(text, size=5):
     ws = (text or "").encode().lower().split()
     return {tuple(ws)} if 0 < len(ws) < size else {tuple(ws[i : i + size]) for i in range(len(ws) - size + 1)}
@@ -113,6 +123,21 @@ def test_op10_whole_table(spark):
     assert triples(QUERIES["op10_jaccard_join"](spark, SF)) == documents_by_hand(rows)
 
 
+def test_op10_divides_a_region_of_some_dozen_texts_by_pivots(spark):
+    """Edits of one text, no two equal: one region, which pivots divide at the settings in use."""
+    r = random.Random(9)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(90):
+        own = list(base)
+        for k in r.sample(range(120), r.randint(1, 6)):
+            own[k] = f"x{i}.{k}"
+        rows.append((i, " ".join(own)))
+    rounds = []
+    got = jaccard_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), rounds=rounds)
+    assert triples(got) == documents_by_hand(rows) and rounds and rounds[0] == 1
+
+
 def test_op10_odd_rows(spark, odd_docs, no_docs):
     rows = [(r["doc_id"], r["text"]) for r in odd_docs.collect()]
     assert triples(jaccard_join.near_duplicates(odd_docs)) == documents_by_hand(rows)
@@ -134,7 +159,7 @@ def test_op10_recursion_and_blocks(spark, leaf, pivots, levels, pairs):
             rows.append((len(rows), " ".join(base)))
     rows += [(len(rows) + k, " ".join(passage + [r.choice(words) for _ in range(6 + k % 3)])) for k in range(12)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    got = triples(jaccard_join.near_duplicates(docs, leaf=leaf, n_pivots=pivots, levels=levels, pairs=pairs, block_bytes=3000))
+    got = triples(jaccard_join.near_duplicates(docs, leaf=leaf, n_pivots=pivots, levels=levels, pairs=pairs, block=leaf, block_bytes=3000))
     assert got == documents_by_hand(rows)
 
 

@@ -64,6 +64,24 @@ def test_op6_only_unseen_pairs_are_scanned(spark):
     assert found == {1: 1, 2: 1, 3: 0}
 
 
+def test_op6_query_scans_unseen_pairs_only(spark):
+    """Both loads of the query: what did not change is scanned again by the changed rules alone."""
+    from tidemark.llm.common import shared_folder
+    from tidemark.llm.queries import ledger_of_two_loads
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    pairs = blob_ledger.scanned_pairs(ledger_of_two_loads(docs, shared_folder(spark, "test-ledger")))
+    assert pairs.count() == pairs.distinct().count()
+    rules = {r.key for r in blob_ledger.RULES} | {r.key for r in blob_ledger.EARLIER_RULES}
+    held = {(r["blob"], r["rule"]) for r in pairs.collect()}
+    texts = {(r["text"] or "", r["lang"]) for r in docs.collect()}
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    old = {sha(t if lang == "en" else t[:-1]) for t, lang in texts}
+    new = {sha(t) for t, _ in texts}
+    assert held == {(b, k) for b in old for k in rules if b in new or not k.endswith("@1") or k.split("@")[0] not in ("google", "slack")} | {
+        (b, k) for b in new - old for k in rules if k.endswith("@1")}
+
+
 def test_op6_redact(spark):
     docs = spark.createDataFrame([(1, "🙂 token=abcdef1 and AKIA" + "A" * 16 + "."), (2, "clean")], "doc_id long, text string")
     found = blob_ledger.report(docs, blob_ledger.update(docs, shared_folder(spark, "ledger"))).withColumnRenamed("doc_id", "d")

@@ -31,7 +31,7 @@ from tidemark.session import small_side
 
 THRESHOLD = 0.98
 SAMPLE = 20_000  # vectors that centroids are fitted on
-CELLS = (1, 4, 16, 64, 256, 1024)  # numbers of centroids to choose from
+CELLS = (2, 4, 16, 64, 256, 1024, 4096)  # numbers of centroids to choose from: two at least
 BLOCK = 1000  # vectors of a cell that are compared with as many others in one group
 ROW_COST, PAIR_COST = 10e-6, 20e-9  # seconds to send a vector, to compare a pair
 
@@ -82,6 +82,13 @@ def expected_cost(x: np.ndarray, labels: np.ndarray, c: np.ndarray, threshold: f
     return float((ROW_COST * rows * np.ceil(rows / BLOCK) + PAIR_COST * rows * rows / 2).sum())
 
 
+def chosen_centroids(x: np.ndarray, labels: np.ndarray, threshold: float, times: float) -> np.ndarray:
+    """The centroids of the least expected cost; always more than one for eight vectors or more, and more of
+    them the more clusters the vectors fall into (elsewhere border copies outweigh the cells)."""
+    options = [fit_centroids(x, k) for k in CELLS if k <= len(x) // 4] or [fit_centroids(x, 1)]
+    return min(options, key=lambda c: expected_cost(x, labels, c, threshold, times))
+
+
 def block_links(ids: np.ndarray, x: np.ndarray, n: np.ndarray, allowed: np.ndarray, threshold: float) -> pd.DataFrame:
     """(cid, links, root) of the vectors with a link among the allowed pairs."""
     norms = np.sqrt((x * x).sum(axis=1))
@@ -112,9 +119,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, id_col: st
     picked = classes.orderBy(F.xxhash64("cid"), "cid").limit(sample).select("label", "x").toPandas()  # bounded by ``sample``
     centroids = {}
     for size, own in picked.groupby(picked["x"].map(len)):
-        x, labels = np.array(own["x"].tolist(), float), own["label"].to_numpy()
-        options = [fit_centroids(x, k) for k in CELLS if k <= len(x) // 4] or [fit_centroids(x, 1)]
-        centroids[size] = min(options, key=lambda c: expected_cost(x, labels, c, threshold, total / len(picked)))
+        centroids[size] = chosen_centroids(np.array(own["x"].tolist(), float), own["label"].to_numpy(), threshold, total / len(picked))
 
     def deal(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:

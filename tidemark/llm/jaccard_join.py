@@ -45,7 +45,8 @@ WORDS = 5
 PERCENT = 75
 BLOCK_BYTES = 3_000_000
 BUCKET_BYTES = 6_000_000
-LEAF = 256  # texts a region may have to be compared at once
+LEAF = 32  # texts a region may have to be compared at once; larger ones are divided by pivots
+BLOCK = 256  # texts of two blocks that are compared with each other in one group
 PIVOTS = 16
 PAIRS = 4_000_000  # comparisons of a region that are done block by block rather than divided further
 LEVELS = 8  # rounds of pivots at most; then blocks compare what is left, however much it is
@@ -239,14 +240,15 @@ def _near_pivots(rows: DataFrame, pivots: DataFrame, percent: int) -> DataFrame:
 
 
 def region_links(rows: DataFrame, percent: int = PERCENT, leaf: int = LEAF, n_pivots: int = PIVOTS, levels: int = LEVELS,
-                 pairs: int = PAIRS) -> DataFrame:
+                 pairs: int = PAIRS, block: int = BLOCK, rounds: list[int] | None = None) -> DataFrame:
     """Edges that connect exactly the linked texts of each region; ``rows``: (region, size, cid, members).
 
     A round compares small regions at once and gives large ones pivots.  Then a region
     whose texts are all connected is done.  What is left to compare in a region is its
     texts outside the largest component, with all others: if that is little, or pivots
     no longer make the region smaller, blocks are compared; else its Voronoi cells are
-    the next round's regions.
+    the next round's regions.  ``rounds`` takes the number of regions that each round
+    of pivots divides.
     """
     sized = rows.withColumns({"before": F.lit(0).cast("long"), "major": F.lit(-1).cast("long"), "n_major": F.lit(0).cast("long"), "comp": F.col("cid")})
     edges = rows.sparkSession.createDataFrame([], EDGE)
@@ -256,13 +258,15 @@ def region_links(rows: DataFrame, percent: int = PERCENT, leaf: int = LEAF, n_pi
         stuck = (F.lit(level >= levels) | (rest <= pairs) | ((F.col("before") > 0) & (F.col("size") > 0.7 * F.col("before")))) & F.lit(level > 0)
         sized = sized.withColumn("way", F.when(F.col("size") <= leaf, 0).when(stuck, 1).otherwise(2))
         small = sized.where("way = 0").groupBy("region").applyInPandas(lambda p: _leaf(p, percent), EDGE)
-        edges = edges.union(staged(small.union(_by_blocks(sized.where("way = 1"), percent, leaf)), "edges"))
+        edges = edges.union(staged(small.union(_by_blocks(sized.where("way = 1"), percent, block)), "edges"))
         large = sized.where("way = 2")
         if not large.head(1):
             break
         rank = F.row_number().over(Window.partitionBy("region").orderBy(F.xxhash64(F.lit(level), "cid"), "cid"))
         chosen = large.withColumn("rank", rank).where(F.col("rank") <= n_pivots)
         pivots = staged(chosen.groupBy("region").agg(F.collect_list(F.struct("cid", "members")).alias("pivots")), "pivots")
+        if rounds is not None:
+            rounds.append(pivots.count())
         near = staged(_near_pivots(large.select("region", "cid", "members", F.col("size").alias("before")), pivots, percent), "cells")
         edges = edges.union(staged(near.select(F.col("cid").alias("a"), F.explode("linked").alias("b")), "edges"))
         comps = staged(components(edges), "components").select(F.col("node").alias("cid"), F.col("component").alias("comp"))
@@ -272,7 +276,7 @@ def region_links(rows: DataFrame, percent: int = PERCENT, leaf: int = LEAF, n_pi
         whole = _sizes(known.select("region", "comp"))
         done = small_side(staged(whole.where((F.col("size") - F.col("n_major")) * F.col("size") <= pairs), "little-left"))
         little = known.join(done, "region")
-        edges = edges.union(staged(_by_blocks(little, percent, leaf), "edges"))
+        edges = edges.union(staged(_by_blocks(little, percent, block), "edges"))
         cells = known.join(done.select("region"), "region", "left_anti").select(F.explode("cells").alias("cell"), "region", "before", "cid", "members", "comp")
         rows = staged(cells.select(F.xxhash64("region", "cell", F.lit(level)).alias("region"), "before", "cid", "members", "comp"), "regions")
         sizes = staged(_sizes(rows.select("region", "comp")).where("size > n_major"), "sizes")
@@ -289,13 +293,13 @@ def _sizes(rows: DataFrame) -> DataFrame:
         "region", "size", F.col("m.comp").alias("major"), F.col("m.n").alias("n_major"))
 
 
-def _by_blocks(large: DataFrame, percent: int, leaf: int) -> DataFrame:
+def _by_blocks(large: DataFrame, percent: int, block: int) -> DataFrame:
     """Compare what pivots need not or could not divide, block by block.
 
     Texts outside a region's largest component meet all blocks; blocks of the
     largest component need not meet each other.
     """
-    half = max(1, leaf // 2)
+    half = max(1, block // 2)
     inner = F.col("comp") == F.col("major")
     n_inner, n_outer = F.ceil(F.col("n_major") / half), F.ceil((F.col("size") - F.col("n_major")) / half)
     own = F.when(inner, F.pmod(F.xxhash64("cid"), n_inner)).otherwise(n_inner + F.pmod(F.xxhash64("cid"), F.greatest(n_outer, F.lit(1))))
@@ -307,7 +311,8 @@ def _by_blocks(large: DataFrame, percent: int, leaf: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = WORDS, id_col: str = "doc_id", text_col: str = "text",
-                    leaf: int = LEAF, n_pivots: int = PIVOTS, levels: int = LEVELS, pairs: int = PAIRS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                    leaf: int = LEAF, n_pivots: int = PIVOTS, levels: int = LEVELS, pairs: int = PAIRS, block: int = BLOCK,
+                    block_bytes: int = BLOCK_BYTES, rounds: list[int] | None = None) -> DataFrame:
     """(id, sha, n_shingles, component_id, group), one row per document; linked documents have the same group."""
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -324,7 +329,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = WORDS,
     first = staged(components(meets.distinct()), "meets").select(F.col("node").alias("cid"), F.col("component").alias("region"))
     first = first.join(small_side(staged(first.groupBy("region").agg(F.count("*").alias("size")), "region-sizes")), "region")
     regions = staged(classes.select("cid", "members").join(small_side(staged(first, "sized")), "cid").select("region", "size", "cid", "members"), "first-regions")
-    linked = staged(components(region_links(regions, percent, leaf, n_pivots, levels, pairs)), "linked")
+    linked = staged(components(region_links(regions, percent, leaf, n_pivots, levels, pairs, block, rounds)), "linked")
 
     group = classes.select("sig", "cid").join(small_side(linked.withColumnRenamed("node", "cid")), "cid", "left").select(
         "sig", F.coalesce("component", "cid").alias("group"))
