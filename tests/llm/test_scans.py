@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import math
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -203,13 +204,48 @@ def test_op3(spark):
 
 
 def test_op3_whole_table(spark):
-    rows = {r["page_id"]: r["url"] for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
-    for r in QUERIES["op3_url_filter"](spark, SF).collect():
+    """Rules by hand, then naive Bayes by hand over the host words that the query's operator returns."""
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    rows = {r["page_id"]: r["url"] for r in pages.collect()}
+    found = url_filter.judged(pages).collect()
+    bags = {}
+    for r in found:
+        words = re.findall(r"[^\W_]+", r["path"].lower())
+        bags[r["page_id"]] = ([f"h:{w}" for w in r["host_words"]] + ["p:" + ("#" if w.isnumeric() else w) for w in words], any(w in url_filter.SEEDS for w in r["host_words"]))
+    counts = {True: Counter(), False: Counter()}
+    for bag, blocked in bags.values():
+        counts[blocked].update(bag)
+    vocabulary = len(set(counts[True]) | set(counts[False]))
+    total = {c: sum(n.values()) for c, n in counts.items()}
+    n_blocked = sum(b for _, b in bags.values())
+    likely = lambda t, c: math.log((counts[c][t] + 1) / (total[c] + vocabulary + 1))
+    assert 0 < n_blocked < len(bags)
+    seen = set()
+    for r in found:
         host, path, rule, verdict = rule_by_hand(rows[r["page_id"]])
-        assert (r["host"], r["path"], r["rule"]) == (host, path, rule) and r["verdict"] == (verdict or r["verdict"])
-
-
-@pytest.mark.parametrize("piece", ["thethere", "abxthe", "qq", "a"])
+        bag, _ = bags[r["page_id"]]
+        score = math.log((n_blocked + 1) / (len(bags) - n_blocked + 1)) + sum(likely(t, True) - likely(t, False) for t in bag)
+        assert r["score"] == pytest.approx(score)
+        assert (r["host"], r["path"], r["rule"]) == (host, path, rule) and r["verdict"] == (verdict or ("block" if score > 0 else "allow"))
+        seen.add((rule, r["verdict"]))
+    assert {(None, "block"), (None, "allow")} & seen
+    got = QUERIES["op3_url_filter"](spark, SF).select("page_id", "verdict").collect()
+    assert sorted(map(tuple, got)) == sorted((r["page_id"], r["verdict"]) for r in found)
+
+
+def test_op3_words_of_any_length_and_table_size(spark):
+    long = "donaudampfschifffahrtsgesellschaftskapitaen"
+    urls = [f"http://billig{long}.example.net/x", f"http://{'q' * 3000}{long}casino.com/{'y' * 9000}", f"http://{long[:30]}.net/"]
+    rows = [(i, u, f"<p>{long} billig {long}x</p>") for i, u in enumerate(urls)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    words = {r["page_id"]: r["host_words"] for r in url_filter.judged(pages).collect()}
+    assert words[0][:2] == ["billig", long] and words[1] == ["q" * 3000, long, "casino", "com"] and words[2] == [long[:30], "net"]
+    many = spark.range(40).crossJoin(pages).select((F.col("id") * 10 + F.col("page_id")).alias("page_id"), "url", "html")
+    again = {(r["page_id"] % 10, tuple(r["host_words"])) for r in url_filter.judged(many).collect()}
+    assert again == {(k, tuple(v)) for k, v in words.items()}
+
+
+@pytest.mark.parametrize("piece", ["thethere", "abxthe", "qq", "a", "xxthexx", "therea"])
 def test_op3_viterbi_is_optimal(piece):
     counts, total = {"the": 50, "there": 20, "re": 5, "a": 9, "b": 2}, 100
 

@@ -2,9 +2,12 @@
 
 Host names run words together.  A unigram model, counted over the words of all
 pages' visible text, splits every letter run of a host by Viterbi: a known word
-costs -log(n/N), an unknown run of k letters costs log(N) + k * log(10).  Only the
-substrings of distinct host pieces are looked up, by a join, so the model may be
-of any size.
+costs -log(n/N), an unknown run of k letters costs log(N) + k * log(10); words and runs
+may be of any length.  Only the substrings of distinct host pieces are looked up, by a
+join, so the model may be of any size: words of more than ANCHOR letters are met by
+their first ANCHOR letters and compared whole, so a piece's substrings grow with its
+length, not with the square of it.  Seeds and some common words count as a fixed share
+of all words, so that a url is split alike at any size of the table.
 
 Multinomial naive Bayes then scores host words and path words.  Its training
 labels come from the host words: a page whose host holds a word of ``seeds``
@@ -12,7 +15,8 @@ counts as blocked, any other as allowed; counts are taken over all pages.  A
 rule's verdict always comes first.
 
 Null urls and those without "://" have an empty host and path, no tokens, and get
-the prior's verdict.  A verdict depends on host and path only, so repeated rows
+the prior's verdict.  Equal splits go to the one with the longer last word, a score of
+zero is allowed.  Very long urls and hosts are read whole.  A verdict depends on host and path only, so repeated rows
 and null ids keep their rows; other columns are not read.  Empty tables give no
 rows.
 """
@@ -53,10 +57,10 @@ RULES = (UrlRule("allow", "org/"), UrlRule("block", "example.org/es/"), UrlRule(
          UrlRule("allow", "com/fr/"), UrlRule("block", "com/de/"))
 SEEDS = ("spam", "casino", "casinos", "poker", "bet", "bets", "betting", "pill", "pills", "pharmacy", "viagra", "ads", "adult",
          "porn", "xxx", "loan", "loans", "lottery", "jackpot", "replica")
-#: Seeds and common host words count this often in the unigram model, so that they can be split off.
-SEED_COUNT = 1000
+#: The share of all counted words that each seed and common host word has at least in the unigram model.
+SEED_SHARE = 0.0005
 COMMON = ("www", "blog", "example", "com", "net", "org", "free", "cheap", "win", "farm", "track", "online", "shop", "news")
-MAX_WORD = 24  # letters; a longer run is joined from unknown parts
+ANCHOR = 24  # letters by which longer words are looked up
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -89,27 +93,34 @@ def word_counts(pages: DataFrame, html_col: str = "html") -> DataFrame:
         n: Counter = Counter()
         for batch in batches:
             for html in batch.column(0):
-                n.update(w for w in _LETTERS.findall(_TAG.sub(" ", html.as_py() or "").lower()) if len(w) <= MAX_WORD)
+                n.update(w for w in _LETTERS.findall(_TAG.sub(" ", html.as_py() or "").lower()))
             if len(n) > 500_000:
                 yield pa.RecordBatch.from_pydict({"word": list(n), "n": list(n.values())})
                 n.clear()
         yield pa.RecordBatch.from_pydict({"word": pa.array(list(n), pa.string()), "n": pa.array(list(n.values()), pa.int64())})
 
     src = pages.select(F.col(html_col).cast("string"))
-    own = F.explode(F.array(*[F.lit(w) for w in SEEDS + COMMON])).alias("word")
-    added = pages.sparkSession.range(1).select(own, F.lit(SEED_COUNT).cast("long").alias("n"))
-    return src.mapInArrow(run, "word string, n long").unionByName(added).groupBy("word").agg(F.sum("n").alias("n"))
+    counted = staged(src.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")), "visible-words")
+    share = counted.agg(F.greatest(F.lit(1), F.ceil(F.coalesce(F.sum("n"), F.lit(0)) * SEED_SHARE)).alias("n"))
+    added = share.select(F.explode(F.array(*[F.lit(w) for w in SEEDS + COMMON])).alias("word"), "n")
+    return counted.unionByName(added).groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def viterbi(piece: str, counts: dict[str, int], total: int) -> list[str]:
     """The split of ``piece`` with the least cost; ties go to the longer last word."""
+    sizes = sorted({len(w) for w in counts}, reverse=True)
+    letter, unknown = math.log(10), math.log(total + 1)
     best, last = [0.0], [0]
+    # an unknown run from ``start`` costs best[start] - start * letter, plus what only its end says
+    run_cost, run_start = math.inf, 0
     for end in range(1, len(piece) + 1):
-        options = []
-        for start in range(max(0, end - MAX_WORD), end):
-            n = counts.get(piece[start:end], 0)
-            cost = math.log(total / n) if n else math.log(total + 1) + (end - start) * math.log(10)
-            options.append((best[start] + cost, start))
+        here = best[end - 1] - (end - 1) * letter
+        if here < run_cost - 1e-9:
+            run_cost, run_start = here, end - 1
+        options = [(run_cost + unknown + end * letter, run_start)]
+        for size in sizes:
+            if size <= end and (n := counts.get(piece[end - size : end])):
+                options.append((best[end - size] + math.log(total / n), end - size))
         cost, start = min(options)
         best.append(cost)
         last.append(start)
@@ -123,9 +134,14 @@ def viterbi(piece: str, counts: dict[str, int], total: int) -> list[str]:
 def segments(pieces: DataFrame, counts: DataFrame, total: int) -> DataFrame:
     """(piece, words) for distinct letter runs; only their substrings are looked up."""
     spots = pieces.select("piece", F.explode(F.sequence(F.lit(1), F.length("piece"))).alias("at"))
-    subs = spots.select("piece", F.explode(F.sequence(F.lit(1), F.least(F.lit(MAX_WORD), F.length("piece") - F.col("at") + 1))).alias("size"), "at")
+    subs = spots.select("piece", F.explode(F.sequence(F.lit(1), F.least(F.lit(ANCHOR), F.length("piece") - F.col("at") + 1))).alias("size"), "at")
     subs = subs.select("piece", F.col("piece").substr(F.col("at"), F.col("size")).alias("word")).distinct()
-    known = subs.join(counts, "word").groupBy("piece").agg(F.collect_list("word").alias("words"), F.collect_list("n").alias("ns"))
+    found = subs.join(counts.where(F.length("word") <= ANCHOR), "word").select("piece", "word", "n")
+    longer = counts.where(F.length("word") > ANCHOR).select(F.left("word", F.lit(ANCHOR)).alias("anchor"), "word", "n")
+    anchors = spots.where(F.length("piece") - F.col("at") >= ANCHOR).withColumn("anchor", F.col("piece").substr(F.col("at"), F.lit(ANCHOR)))
+    held = anchors.join(longer, "anchor").where(F.col("piece").substr(F.col("at"), F.length("word")) == F.col("word"))
+    known = found.unionByName(held.select("piece", "word", "n").distinct()).groupBy("piece").agg(
+        F.collect_list("word").alias("words"), F.collect_list("n").alias("ns"))
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
