@@ -14,6 +14,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.numbering import number_rows
+from tidemark.operators.sample_blocks import BLOCK, block_windows, sample_blocks
+from tidemark.operators.samples import FeatureSpec
 from tidemark.schemas import LINEAGE_COLUMNS
 from tidemark.session import delete_path, path_exists
 
@@ -35,16 +38,17 @@ def write_landing(df: DataFrame, root: str, table: str, batch_date: str | dt.dat
 
 
 def with_lineage(df: DataFrame, batch_date: str | dt.date | None, src_file: str | None = None) -> DataFrame:
-    """SNK5: batch date, source file (from the scan's metadata when not given),
-    a row id unique within the load (no shuffle, unlike a global row_number),
-    the partition key and the load time."""
-    src = F.lit(src_file) if src_file else F.col("_metadata.file_path")
+    """SNK5: batch date, source file, row, the partition key and the load time.  Rows straight from a
+    file source get the scan's file and their number in it (``number_rows``); rows from elsewhere get
+    ``src_file`` and an id unique within the load."""
     bd = F.lit(str(batch_date)).cast("date") if batch_date else F.lit(None).cast("date")
     pk = F.lit(str(batch_date)) if batch_date else F.lit(None).cast("string")
-    return df.select(
-        "*", bd.alias("batch_date"), src.alias("src_file"), F.monotonically_increasing_id().alias("src_row"),
-        pk.alias("part_key"), F.current_timestamp().alias("loaded_at"),
-    )
+    if src_file:
+        rows = df.select("*", F.lit(src_file).alias("src_file"), F.monotonically_increasing_id().alias("src_row"))
+    else:
+        rows = number_rows(df)
+    own = [F.col(f"`{c}`") for c in df.columns]
+    return rows.select(*own, bd.alias("batch_date"), "src_file", "src_row", pk.alias("part_key"), F.current_timestamp().alias("loaded_at"))
 
 
 def load_bronze(df: DataFrame, path: str, batch_date: str | dt.date | None, src_file: str | None = None) -> int:
@@ -137,9 +141,19 @@ def append_partitioned(df: DataFrame, path: str, keys: Sequence[str]) -> None:
     df.write.mode("append").option("header", True).partitionBy(*keys).csv(path)
 
 
-def write_samples(samples: DataFrame, path: str) -> None:
-    """SNK15: samples with their (ticker, date) metadata as Parquet array columns."""
-    samples.write.mode("overwrite").parquet(path)
+def write_samples(df: DataFrame, path: str, spec: FeatureSpec = FeatureSpec(), fill: float | None = 0.0, length: int = BLOCK) -> int:
+    """SNK15: the samples of a feature table, each row once but for the overlap of blocks
+    (``sample_blocks``).  Returns the samples written."""
+    blocks = sample_blocks(df, spec, fill, length)
+    obs = Observation("samples")
+    full = F.size("target") - F.greatest(F.lit(spec.window - 1) - F.col("lead"), F.lit(0))
+    blocks.observe(obs, F.sum(F.greatest(full, F.lit(0))).alias("rows")).write.mode("overwrite").parquet(path)
+    return int(obs.get["rows"] or 0)
+
+
+def read_samples(spark: SparkSession, path: str, spec: FeatureSpec = FeatureSpec()) -> DataFrame:
+    """The samples that ``write_samples`` wrote, as ``sample_windows`` gives them."""
+    return block_windows(spark.read.parquet(path), spec)
 
 
 __all__ = ["LINEAGE_COLUMNS"]

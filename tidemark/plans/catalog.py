@@ -49,6 +49,7 @@ def load_all() -> None:
         queries_io,
         queries_landing,
         queries_layers,
+        queries_loads,
         queries_ml,
         queries_silver,
     )

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import next_weekday
+from tidemark.operators import load as L
 from tidemark.operators import model as M
 from tidemark.operators import quality as Q
 from tidemark.operators import samples as S
@@ -14,6 +17,7 @@ from tidemark.plans import oracle_marts as OM
 from tidemark.plans.catalog import register
 from tidemark.plans.oracle import with_proxies
 from tidemark.plans.queries_features import build_fact, build_model_frame
+from tidemark.session import ensure_checkpoint_dir
 from tidemark.sources import proxies as P
 
 
@@ -50,18 +54,29 @@ _CUTS_SQL = [
 ]
 
 
-@register("sample_windows", _fact_sql([("w_s", f"""
+_WINDOWS_SQL = _fact_sql([("w_s", f"""
     SELECT ticker, trading_date,
            list({_vec_sql(SPEC.sequence)}) OVER (PARTITION BY ticker ORDER BY trading_date
                 ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS sequence,
            {_vec_sql(SPEC.tabular)} AS tabular,
            CAST(label_next_5d_return AS FLOAT) AS target
-    FROM fact WHERE label_next_5d_return IS NOT NULL""")], "SELECT * FROM w_s WHERE len(sequence) = 30"))
+    FROM fact WHERE label_next_5d_return IS NOT NULL""")], "SELECT * FROM w_s WHERE len(sequence) = 30")
+
+
+@register("sample_windows", _WINDOWS_SQL)
 def sample_windows(spark: SparkSession, d: str):
     """W25/ML4: 30-row training windows (sequence 30x6, tabular 13, target)."""
     return S.sample_windows(build_model_frame(spark, d), SPEC)
 
 
+@register("sample_blocks", _WINDOWS_SQL)
+def sample_blocks(spark: SparkSession, d: str):
+    """W25/ML4/SNK15: the same windows written as overlapping blocks, each row about once, and read back."""
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/samples-{uuid.uuid4().hex}"
+    L.write_samples(build_model_frame(spark, d), folder, SPEC)
+    return L.read_samples(spark, folder, SPEC)
+
+
 @register("auto_cutoffs", _fact_sql(_CUTS_SQL, "SELECT * FROM k_cuts"))
 def auto_cutoffs(spark: SparkSession, d: str):
     """AGG8/ML2: chronological 80/90 % cut dates over labelled rows of the fact table."""

@@ -1,51 +1,30 @@
 """Landing-file pre-processing (CLN1-CLN6): NUL stripping, bad-line removal,
 archive expansion, dispatch and stage-key extraction.
 
-Files are read as lines or binary records by Spark's own sources, so each
-file's work runs on the executors; only line-level expressions are applied.
+Files are read as lines by Spark's own source, or as streams by the sources of
+``archives.py``, so each file's work runs on the executors.
 """
 
 from __future__ import annotations
 
-import gzip
-import io
-import posixpath
-import tarfile
-import zipfile
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources.archives import CHUNK, archive_chunks, encoded_lines
+
 BAD_LINE = "invalid formula"
 NUL = "\u0000"
 
 
-def _utf16_files(spark: SparkSession, path: str) -> dict[str, list[str]]:
-    """Files by byte order, from the mark at their start (little-endian without one)."""
-    heads = spark.read.format("binaryFile").load(path).select("path", F.hex(F.substring("content", 1, 2)).alias("mark"))
-    out: dict[str, list[str]] = {}
-    for r in heads.collect():  # one row per landing file
-        out.setdefault("UTF-16BE" if r["mark"] == "FEFF" else "UTF-16LE", []).append(r["path"])
-    return out
-
-
 def read_lines(spark: SparkSession, path: str | list[str], encoding: str = "UTF-8") -> DataFrame:
     """Lines of text files, blank ones too, keeping ``\\r`` (only ``\\n`` splits lines), with the
-    source file and a line id.  Other encodings (CLN2) are decoded file by file: landing
-    files of that kind are small exports, and Spark's line sources drop blank lines or need
-    one-byte line ends.  'UTF-16' takes the byte order from each file's mark, which is dropped."""
-    enc = encoding.upper().replace("_", "-")
-    if enc.replace("-", "") == "UTF8":
-        lines = spark.read.option("lineSep", "\n").text(path).select(F.col("_metadata.file_path").alias("file"), "value")
-        return lines.withColumn("line_no", F.monotonically_increasing_id())
-    if enc == "UTF-16":
-        parts = [read_lines(spark, files, order) for order, files in sorted(_utf16_files(spark, path).items())]
-        return parts[0] if len(parts) == 1 else parts[0].union(parts[1]).withColumn("line_no", F.monotonically_increasing_id())
-    raw = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), F.decode("content", enc).alias("body"))
-    body = F.regexp_replace(F.regexp_replace("body", "^\ufeff", ""), "\n$", "")
-    return raw.select("file", F.explode(F.split(body, "\n", -1)).alias("value")).withColumn("line_no", F.monotonically_increasing_id())
+    source file and a line id that ascends in each file.  Other encodings (CLN2) are decoded as
+    streams in the tasks that open the files; 'UTF-16' takes the byte order from each file's
+    mark (little-endian without one)."""
+    if encoding.upper().replace("_", "").replace("-", "") != "UTF8":
+        return encoded_lines(spark, path, encoding)
+    lines = spark.read.option("lineSep", "\n").text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+    return lines.withColumn("line_no", F.monotonically_increasing_id())
 
 
 def strip_nul(lines: DataFrame, col: str = "value") -> DataFrame:
@@ -58,44 +37,17 @@ def drop_lines(lines: DataFrame, needle: str = BAD_LINE, col: str = "value") ->
     return lines.where(~F.col(col).contains(needle))
 
 
-def _safe(name: str) -> bool:
-    norm = posixpath.normpath(name)
-    return not (norm.startswith("/") or norm.startswith("..") or "/../" in f"/{norm}/")
-
-
-def _members(path: str, content: bytes) -> Iterator[tuple[str, str, bytes]]:
-    buf = io.BytesIO(content)
-    name = path.lower()
-    if name.endswith(".zip"):
-        with zipfile.ZipFile(buf) as zf:
-            for info in zf.infolist():
-                if not info.is_dir() and _safe(info.filename):
-                    yield path, info.filename, zf.read(info)
-    elif name.endswith((".tar", ".tar.gz", ".tgz")):
-        with tarfile.open(fileobj=buf, mode="r:*") as tf:
-            for m in tf.getmembers():
-                if m.isfile() and _safe(m.name):
-                    f = tf.extractfile(m)
-                    if f is not None:
-                        yield path, m.name, f.read()
-    else:
-        yield path, posixpath.basename(path)[: -len(".gz")], gzip.decompress(content)
-
-
-def expand_archives(spark: SparkSession, path: str) -> DataFrame:
-    """CLN4: zip / tar / gz members as (archive, member, content) rows, whatever the case of the suffix.  Each archive
-    is one binary record handled where it is read (``mapInPandas``); members
-    whose path would escape the stage are skipped."""
-    raw = (spark.read.format("binaryFile").option("recursiveFileLookup", "false").load(path)
-           .where(F.lower("path").rlike(r"\.(zip|tar|tgz|gz)$")))
-
-    def explode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for p, c in zip(b["path"], b["content"]):
-                for m in _members(p, bytes(c)):  # one member at a time in memory
-                    yield pd.DataFrame([m], columns=["archive", "member", "content"])
-
-    return raw.select("path", "content").mapInPandas(explode, "archive string, member string, content binary")
+def expand_archives(spark: SparkSession, path: str | list[str], chunk: int = CHUNK) -> DataFrame:
+    """CLN4: members of zip / tar / gz files, whatever the case of the suffix, as (archive, member, place, chunk,
+    content) rows of at most ``chunk`` bytes, read as streams; members whose path would escape the stage are skipped."""
+    return archive_chunks(spark, path, chunk)
+
+
+def whole_members(chunks: DataFrame) -> DataFrame:
+    """Chunks put together again, one row a member: only for members known to fit a row."""
+    parts = F.array_sort(F.collect_list(F.struct("chunk", "content")))
+    body = F.aggregate(parts, F.lit(b""), lambda done, part: F.concat(done, part["content"]))
+    return chunks.groupBy("archive", "member", "place").agg(body.alias("content"))
 
 
 PREPROCESSORS = ("none", "strip_nul", "strip_nul_utf16", "drop_invalid_formula", "unarchive")
