@@ -8,6 +8,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import next_weekday
+from tidemark.operators import huber as H
 from tidemark.operators import load as L
 from tidemark.operators import model as M
 from tidemark.operators import quality as Q
@@ -17,7 +18,7 @@ from tidemark.plans import oracle_marts as OM
 from tidemark.plans.catalog import register
 from tidemark.plans.oracle import with_proxies
 from tidemark.plans.queries_features import build_fact, build_model_frame
-from tidemark.session import ensure_checkpoint_dir
+from tidemark.session import cut_lineage, ensure_checkpoint_dir
 from tidemark.sources import proxies as P
 
 
@@ -220,11 +221,64 @@ def ml_scores(spark: SparkSession, d: str):
     then the newest window of every ticker scored.  The model frame and the
     training windows are each written once to the checkpoint folder: the fit
     makes several passes over them."""
-    from tidemark.session import cut_lineage
-
     fact = cut_lineage(build_model_frame(spark, d))
     samples = S.sample_windows(fact, SPEC)
     train = cut_lineage(samples.where(F.col("trading_date") <= S.cut_dates(fact)["train_end"]))
     model = M.fit_regressor(train)
     latest = S.latest_window(lookback_slice(fact, "trading_date", days=90), SPEC)
     return M.score(model, latest)
+
+
+_ROUNDS, _WIDTH = 4, len(_NULL_COLS) + 1
+_Z = ("list_prepend(CAST(1 AS DOUBLE), [CASE WHEN s.spread[j] > 0 THEN (x[j] - s.mean[j]) / s.spread[j] ELSE 0 END "
+      f"for j in range(1, {_WIDTH})])")
+
+
+def _huber_sql() -> str:
+    """The rounds of the fit as common tables: weights, sums of products, elimination, coefficients."""
+    p = _WIDTH
+    values = "[" + ", ".join(f"CAST(CAST(COALESCE({c}, 0) AS FLOAT) AS DOUBLE)" for c in _NULL_COLS) + "]"
+    parts = [
+        ("h_rows", f"SELECT ticker, trading_date, {values} AS x, CAST(CAST({SPEC.target} AS FLOAT) AS DOUBLE) AS y FROM fact"),
+        ("h_train", "SELECT x, y FROM h_rows, k_cuts c WHERE y IS NOT NULL AND trading_date <= c.train_end"),
+        ("h_scale", """SELECT list(mean ORDER BY j) AS mean, list(spread ORDER BY j) AS spread FROM (
+            SELECT j, AVG(v) AS mean, STDDEV_POP(v) AS spread
+            FROM (SELECT unnest(x) AS v, generate_subscripts(x, 1) AS j FROM h_train) GROUP BY j)"""),
+        ("h_z", f"SELECT {_Z} AS z, y FROM h_train, h_scale s"),
+        ("h_b0", f"SELECT [CAST(0 AS DOUBLE) for j in range(0, {p})] AS b, CAST('Infinity' AS DOUBLE) AS bend"),
+    ]
+    for t in range(1, _ROUNDS + 2):
+        parts += [
+            (f"h_w{t}", f"""SELECT list_append(z, y) AS a, r, bend, CASE WHEN r <= bend THEN 1 ELSE bend / r END AS w
+                FROM (SELECT z, y, abs(y - list_dot_product(z, b)) AS r, bend FROM h_z, h_b{t - 1})"""),
+            (f"h_n{t}", f"""SELECT COUNT(*) AS n, {H.BEND} * sqrt(SUM(LEAST(r, bend) * LEAST(r, bend)) / COUNT(*) / {1 if t == 1 else H.cut_square(H.BEND)})
+                AS bend FROM h_w{t}"""),
+            (f"h_m{t}", f"""SELECT list(cells ORDER BY i) AS m FROM (
+                SELECT i, list(s ORDER BY j) AS cells FROM (
+                  SELECT i, j, SUM(w * a[i] * a[j]) + CASE WHEN i = j THEN {H.RIDGE} * COUNT(*) ELSE 0 END AS s
+                  FROM h_w{t}, range(1, {p + 1}) u(i), range(1, {p + 2}) v(j) GROUP BY i, j) GROUP BY i)"""),
+            (f"h_s{t}", f"""SELECT 1 AS k, m FROM h_m{t} UNION ALL
+                SELECT k + 1, [CASE WHEN i = k THEN [v / m[k][k] for v in m[k]]
+                               ELSE [m[i][j] - m[i][k] * m[k][j] / m[k][k] for j in range(1, {p + 2})] END for i in range(1, {p + 1})]
+                FROM h_s{t} WHERE k <= {p}"""),
+            (f"h_b{t}", f"SELECT [m[i][{p + 1}] for i in range(1, {p + 1})] AS b, bend FROM h_s{t}, h_n{t} WHERE k = {p + 1}"),
+        ]
+    return _fact_sql(_CUTS_SQL + parts, f"""
+        SELECT ticker, trading_date, ROUND(list_dot_product({_Z}, b), 6) AS predicted_return, c.n AS n_train
+        FROM (SELECT * FROM h_rows QUALIFY ROW_NUMBER() OVER (PARTITION BY ticker ORDER BY trading_date DESC) = 1), h_scale s,
+             h_b{_ROUNDS + 1}, h_n{_ROUNDS + 1} c""")
+
+
+@register("huber_scores", _huber_sql())
+def huber_scores(spark: SparkSession, d: str):
+    """ML6 + ML8: Huber regression on the model inputs of each training row by four reweighted rounds, then the newest
+    row of every ticker scored.  The model frame is written once to the checkpoint folder, as every round reads it."""
+    fact = build_model_frame(spark, d)
+    inputs = F.array(*[F.coalesce(F.col(c).cast("float"), F.lit(0).cast("float")) for c in _NULL_COLS])
+    rows = cut_lineage(fact.select("ticker", "trading_date", inputs.alias("x"), F.col(SPEC.target)))
+    cuts = S.cut_dates(rows)
+    train = rows.where(F.col("trading_date") <= cuts["train_end"]).withColumn("y", F.col(SPEC.target).cast("float"))
+    model = H.fit_huber(train, "x", "y", rounds=_ROUNDS)
+    newest = rows.groupBy("ticker").agg(F.max_by(F.struct("trading_date", "x"), "trading_date").alias("row"))
+    return newest.select("ticker", "row.trading_date", F.round(model.predict(F.col("row.x")), 6).alias("predicted_return"),
+                         F.lit(model.rows).cast("bigint").alias("n_train"))
