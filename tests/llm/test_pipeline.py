@@ -14,8 +14,8 @@ from conftest import SF
 from test_models import matches_by_hand
 from test_near import group, set_of
 from test_scans import base_spans
-from tidemark.llm import bpe, toxicity
-from tidemark.llm.common import fold, shared_folder
+from tidemark.llm import blob_ledger, bpe, templates, toxicity
+from tidemark.llm.common import fold, no_rows, shared_folder
 
 STAGE = dict(corpus_pipeline.STAGES)
 
@@ -101,3 +101,22 @@ def test_run_on_empty_tables(spark):
     for t in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{SF}/{t}.parquet").where("false").write.parquet(f"{folder}/{t}.parquet")
     assert corpus_pipeline.run(spark, folder).count() == 0
+
+
+def test_a_task_has_one_python_worker(spark, odd_docs):
+    """A second Python step in one stage would double the workers that an executor keeps through all later stages."""
+    found = templates.contaminated(odd_docs, spark.read.parquet(f"{SF}/benchmark.parquet"))
+    assert found._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
+def test_empty_tables_start_no_python(spark, odd_docs, monkeypatch):
+    empty = no_rows(spark, blob_ledger.SCAN_SCHEMA)
+    assert empty.dtypes == spark.createDataFrame([], blob_ledger.SCAN_SCHEMA).dtypes and empty.collect() == []
+    assert no_rows(spark, "a long, b string").dtypes == [("a", "bigint"), ("b", "string")]
+
+    def refuse(*args, **kwargs):
+        raise AssertionError("createDataFrame of Python rows runs in a Python daemon of its own")
+
+    monkeypatch.setattr(type(spark), "createDataFrame", refuse)
+    assert STAGE["near_duplicates"](spark, odd_docs, SF).count() == 7
+    assert STAGE["secrets"](spark, odd_docs, SF).count() == odd_docs.count()

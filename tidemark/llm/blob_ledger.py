@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from tidemark.llm.common import no_rows
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -83,7 +85,7 @@ def read_ledger(docs: DataFrame, folder: str) -> DataFrame:
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], SCAN_SCHEMA)
+        return no_rows(spark, SCAN_SCHEMA)
 
 
 def _matches(rule: Rule, number: int, pending: Column) -> Column:

@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.session import ensure_checkpoint_dir, ship_package
 
@@ -47,6 +48,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def no_rows(spark: SparkSession, schema: str | T.StructType) -> DataFrame:
+    """An empty table by the JVM alone; ``createDataFrame([])`` starts a second Python daemon with workers of its own on every executor."""
+    fields = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
+
+
 def partitions_for(df_bytes: float, target_bytes: float, least: int = 1) -> int:
     return max(least, int(df_bytes // target_bytes) + 1)
 

@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import partitions_for, staged
+from tidemark.llm.common import no_rows, partitions_for, staged
 from tidemark.llm.components import components
 from tidemark.llm.text_blocks import Words, blocks, expand, expand_sorted, mixed, release, slices_of, squeeze, squeeze_sorted, texts_of
 from tidemark.session import small_side
@@ -251,7 +251,7 @@ def region_links(rows: DataFrame, percent: int = PERCENT, leaf: int = LEAF, n_pi
     of pivots divides.
     """
     sized = rows.withColumns({"before": F.lit(0).cast("long"), "major": F.lit(-1).cast("long"), "n_major": F.lit(0).cast("long"), "comp": F.col("cid")})
-    edges = rows.sparkSession.createDataFrame([], EDGE)
+    edges = no_rows(rows.sparkSession, EDGE)
     level = 0
     while sized.head(1):
         rest = (F.col("size") - F.col("n_major")) * F.col("size")
