@@ -93,6 +93,45 @@ def test_op5_uses_several_cells_and_more_of_them_for_more_clusters(spark):
         assert len(embedding_dedup.chosen_centroids(x, np.zeros(len(x)), 0.98, 1000)) >= clusters
 
 
+def test_op5_disk_does_not_grow_with_the_blocks_of_a_cell(spark, monkeypatch):
+    """Vectors are written once for a cell however many blocks it has, and nothing is shuffled to compare them."""
+    r = np.random.default_rng(4)
+    rows = [(i, 0, v) for i, v in enumerate((np.repeat(r.normal(size=(60, 16)), 10, axis=0) + r.normal(size=(600, 16)) * 0.05).tolist())]
+    df, written, plans = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>"), [], {}
+
+    def staged(df, name, write=embedding_dedup.staged):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        out = write(df, name)
+        if name == "cells":
+            written.append(out.agg(F.sum(F.length("payload") / (17 + 16 * 8))).first()[0])
+        return out
+
+    monkeypatch.setattr(embedding_dedup, "staged", staged)
+    for block in (4, 1000):
+        monkeypatch.setattr(embedding_dedup, "BLOCK", block)
+        assert shown(embedding_dedup.near_duplicates(df)) == vectors_by_hand(rows)
+        assert "Exchange" not in plans["links"]
+    assert written[0] == written[1] <= embedding_dedup.COPIES * len(rows)
+
+
+def test_op5_pairs_at_the_threshold_are_told_in_double():
+    """Cosines a few units in the last place of single precision above and below: as when all is double."""
+    r = np.random.default_rng(6)
+    x = r.normal(size=(40, 24))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    side = r.normal(size=x.shape)
+    side -= (side * x).sum(axis=1)[:, None] * x
+    side /= np.linalg.norm(side, axis=1)[:, None]
+    cos = 0.98 + r.integers(-8, 9, 40) * 1e-8
+    y = x * cos[:, None] + side * np.sqrt(1 - cos**2)[:, None]
+    near = (x * y).sum(axis=1) / np.sqrt((x * x).sum(axis=1)) / np.sqrt((y * y).sum(axis=1)) >= 0.98
+    assert 0 < near.sum() < 40
+    one, ids = np.ones(40), np.arange(40)
+    a, b = (embedding_dedup.Block(embedding_dedup.pack_block(i, one, one, v), 24, "<f8") for i, v in ((ids, x), (ids + 100, y)))
+    (names, links, root), = embedding_dedup._added([embedding_dedup.block_links(a, b, 0.98)])
+    assert sorted(names) == sorted([*ids[near], *ids[near] + 100]) and set(links) == {1} and (root == names % 100).all()
+
+
 def set_of(text, size=5):
     ws = (text or "").encode().lower().split()
     return {tuple(ws)} if 0 < len(ws) < size else {tuple(ws[i : i + size]) for i in range(len(ws) - size + 1)}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 from collections.abc import Iterator
 
@@ -30,6 +31,17 @@ def prepare(spark: SparkSession) -> None:
         spark.conf.set(_BATCH_CONF, BATCH_ROWS)
 
 
+@contextlib.contextmanager
+def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """For what runs inside, at most so many rows in one Arrow batch: rows that are blocks are large."""
+    before = spark.conf.get(_BATCH_CONF)
+    spark.conf.set(_BATCH_CONF, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH_CONF, before)
+
+
 def fold(id_col: str | Column, n: int) -> Column:
     """crc32 of the id as text modulo n; a null id counts as the empty text."""
     c = F.col(id_col) if isinstance(id_col, str) else id_col
