@@ -202,6 +202,52 @@ def test_op10_recursion_and_blocks(spark, leaf, pivots, levels, pairs):
     assert got == documents_by_hand(rows)
 
 
+def edits(r, n, words, most):
+    """Copies of one text with up to ``most`` words changed, no two changes the same."""
+    rows = []
+    for i in range(n):
+        own = [f"w{k}" for k in range(words)]
+        for k in r.sample(range(words), r.randint(1, most)):
+            own[k] = f"x{i}.{k}"
+        rows.append((i, " ".join(own)))
+    return rows
+
+
+def test_op10_disk_does_not_grow_with_the_square_of_a_group(spark, monkeypatch):
+    """A wide region of which pivots connect a part only: its sets are written a few times, however many blocks they make."""
+    rows, plans, written = edits(random.Random(5), 160, 60, 6), [], []
+
+    def staged(df, name, write=jaccard_join.staged):
+        out = write(df, name)
+        if name in ("regions", "blocks", "edges"):
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        if "members" in out.columns and name in ("regions", "sized", "cells", "connected"):
+            written.append(out.count())
+        if name == "blocks":
+            written.append(sum(len(jaccard_join.unpack_sets(bytes(p["payload"]))[0]) for p in out.collect()))
+        return out
+
+    monkeypatch.setattr(jaccard_join, "staged", staged)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = jaccard_join.near_duplicates(docs, leaf=4, n_pivots=2, pairs=0, block=4, wide=8)
+    assert triples(got) == documents_by_hand(rows)
+    assert any("CartesianProduct" in p for p in plans) and sum(written) <= 4 * len(rows)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.sets(st.integers(0, 30), min_size=1, max_size=25), min_size=2, max_size=8), st.integers(1, 7))
+def test_op10_links_between_blocks(sets, cut):
+    """Two blocks that meet, and each with itself, connect what one block of all does."""
+    ids, arrays = np.arange(len(sets)), [np.array(sorted(s), np.uint64) for s in sets]
+    parts = [jaccard_join.unpack_sets(jaccard_join.pack_sets(ids[i], [a.astype("<u8").tobytes() for a in arrays[i]])) for i in (slice(0, cut), slice(cut, None))]
+    pairs = [(int(a), int(b)) for p in parts if len(p[0]) for a, b in jaccard_join.local_links(*p)]
+    if all(len(p[0]) for p in parts):
+        assert jaccard_join.intersections_between(parts[0][1], parts[1][1], step=4).tolist() == [[len(a & b) for b in sets[cut:]] for a in sets[:cut]]
+        pairs += [(int(a), int(b)) for c in jaccard_join.links_between(*parts) for a, b in zip(*c)]
+    links = dict(jaccard_join.local_links(ids, arrays))
+    assert group(len(sets), pairs) == [links.get(i, i) for i in range(len(sets))]
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.sets(st.integers(0, 30), min_size=1, max_size=25), min_size=2, max_size=8))
 def test_op10_prefixes_and_local_links(sets):

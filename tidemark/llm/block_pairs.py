@@ -51,6 +51,17 @@ class BlockCache:
         return self.blocks[key]
 
 
+def spread_roots(near: np.ndarray, root: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The least root that each row and each column of ``near`` can reach; every one of them is near another."""
+    none = np.iinfo(np.int64).max
+    while True:
+        up = np.minimum(root, np.where(near, other[None], none).min(axis=1))
+        down = np.minimum(other, np.where(near, up[:, None], none).min(axis=0))
+        if (up == root).all() and (down == other).all():
+            return root, other
+        root, other = up, down
+
+
 def least_roots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The nodes of edges a-b in order, and the least node that each can reach."""
     names, at = np.unique(np.concatenate([a, b]), return_inverse=True)

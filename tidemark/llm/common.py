@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import contextlib
+import gc
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -60,6 +62,13 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_shuffles(spark: SparkSession) -> None:
+    """Shuffle files that no plan needs any more go when the driver collects its garbage: now rather than some time later."""
+    gc.collect()
+    time.sleep(1.5)  # py4j lets go of Java objects up to a second after Python did; a collection before that would only age them
+    spark.sparkContext._jvm.System.gc()
+
+
 def no_rows(spark: SparkSession, schema: str | T.StructType) -> DataFrame:
     """An empty table by the JVM alone; ``createDataFrame([])`` starts a second Python daemon with workers of its own on every executor."""
     fields = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.block_pairs import BlockCache, block_pairs, least_roots
+from tidemark.llm.block_pairs import BlockCache, block_pairs, least_roots, spread_roots
 from tidemark.llm.common import batch_rows, staged
 from tidemark.llm.components import components
 from tidemark.session import small_side
@@ -160,12 +160,7 @@ def block_links(a: Block, b: Block, threshold: float) -> tuple[np.ndarray, np.nd
         links, root, other = near @ n_b[used], a.cid[r][mine], root_b[used]
         if not same:
             links_b[used] += a.n[r][mine].astype(float) @ near
-        while True:
-            up = np.minimum(root, np.where(near, other[None], np.iinfo(np.int64).max).min(axis=1))
-            down = np.minimum(other, np.where(near, up[:, None], np.iinfo(np.int64).max).min(axis=0))
-            if (up == root).all() and (down == other).all():
-                break
-            root, other = up, down
+        root, other = spread_roots(near, root, other)
         # where an earlier chunk had given a class of b another root, the two are one component
         before = root_b[used]
         rows += [(a.cid[r][mine], links, root), (before, np.zeros(len(before)), other)]

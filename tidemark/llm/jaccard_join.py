@@ -17,8 +17,9 @@ texts hold it.
 
 Only components are asked for, so a region whose members are already connected is
 done: in a dense group of near copies one round of pivots links nearly all, and the
-rest is compared with blocks of the group.  No pair list is ever formed, and every
-link between different texts counts.
+rest is compared with blocks of the group.  Blocks of a wide region are written once and
+meet in a nested loop over their files, so disk doesn't grow with a group's square.  No
+pair list is ever formed, and every link between different texts counts.
 
 Sets: A-Z lower-cased, words [^\\x20\\x09-\\x0D]+, distinct runs of five words (with
 fewer words the whole sequence), as 64-bit hashes.  Null, empty and blank texts have
@@ -33,10 +34,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import no_rows, partitions_for, staged
+from tidemark.llm.block_pairs import BlockCache, block_pairs, least_roots, spread_roots
+from tidemark.llm.common import batch_rows, drop_shuffles, no_rows, partitions_for, staged
 from tidemark.llm.components import components
 from tidemark.llm.text_blocks import Words, blocks, expand, expand_sorted, mixed, release, slices_of, squeeze, squeeze_sorted, texts_of
 from tidemark.session import small_side
@@ -47,6 +51,9 @@ BLOCK_BYTES = 3_000_000
 BUCKET_BYTES = 6_000_000
 LEAF = 32  # texts a region may have to be compared at once; larger ones are divided by pivots
 BLOCK = 256  # texts of two blocks that are compared with each other in one group
+WIDE = 512  # texts of a region up to which blocks are copied to each other, a few times at most
+PACK_BYTES = 2_000_000  # sets of one packed block
+FOUND = 200_000  # linked texts that a task holds before it hands them on
 PIVOTS = 16
 PAIRS = 4_000_000  # comparisons of a region that are done block by block rather than divided further
 LEVELS = 8  # rounds of pivots at most; then blocks compare what is left, however much it is
@@ -132,6 +139,55 @@ def local_links(ids: np.ndarray, sets: list[np.ndarray], percent: int = PERCENT)
         root = new
 
 
+def intersections_between(a: list[np.ndarray], b: list[np.ndarray], step: int = 16_384) -> np.ndarray:
+    """Sizes of the intersections of all sets of ``a`` with all of ``b``."""
+    out = np.zeros((len(a), len(b)), np.int64)
+    flat = [np.concatenate(x) for x in (a, b)]
+    both = np.intersect1d(*(np.unique(x) for x in flat), assume_unique=True)
+    if not len(both):
+        return out
+    sides = []
+    for x, sets in zip(flat, (a, b)):
+        column = np.minimum(np.searchsorted(both, x), len(both) - 1)
+        keep = both[column] == x
+        owner, column = np.repeat(np.arange(len(sets)), [len(s) for s in sets])[keep], column[keep]
+        order = np.argsort(column, kind="stable")
+        sides.append((owner[order], column[order], len(sets)))
+    for start in range(0, len(both), step):
+        tables = []
+        for owner, column, m in sides:
+            i, j = np.searchsorted(column, (start, start + step))
+            table = np.zeros((m, step), np.float32)
+            table[owner[i:j], column[i:j] - start] = 1
+            tables.append(table)
+        out += np.rint(tables[0] @ tables[1].T).astype(np.int64)
+    return out
+
+
+def links_between(a: tuple, b: tuple, percent: int = PERCENT) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Edges that connect the linked sets of two blocks (ids, sets), by exact comparison."""
+    (ids, sets), (other_ids, others) = a, b
+    both = intersections_between(sets, others)
+    sizes = np.array([len(s) for s in sets])[:, None] + np.array([len(s) for s in others])[None]
+    near = 100 * both >= percent * (sizes - both)
+    rows, columns = np.flatnonzero(near.any(axis=1)), np.flatnonzero(near.any(axis=0))
+    if not len(rows):
+        return []
+    root, other = spread_roots(near[np.ix_(rows, columns)], ids[rows], other_ids[columns])
+    return [(ids[rows], root), (other_ids[columns], other)]
+
+
+def pack_sets(ids: np.ndarray, sets: list[bytes]) -> bytes:
+    head = np.array([len(ids), *ids, *(len(s) // 8 for s in sets)], "<i8").tobytes()
+    return zstandard.compress(head + b"".join(sets), 1)
+
+
+def unpack_sets(payload: bytes) -> tuple[np.ndarray, list[np.ndarray]]:
+    data = np.frombuffer(zstandard.decompress(payload), "<i8")
+    m = int(data[0])
+    return data[1 : 1 + m], np.split(data[1 + 2 * m :].view("<u8"), np.cumsum(data[1 + m : 2 * m]))
+
+
 def _unpack(sets) -> list[np.ndarray]:
     return [np.frombuffer(s, "<u8") for s in sets]
 
@@ -207,15 +263,15 @@ def _leaf(part: pd.DataFrame, percent: int) -> pd.DataFrame:
 
 
 def _near_pivots(rows: DataFrame, pivots: DataFrame, percent: int) -> DataFrame:
-    """(region, before, cid, members, linked, cells): each text's linked pivots, and the cells it goes to."""
+    """(region, cid, linked, cells): each text's linked pivots, and the cells it goes to."""
     window = 2 * (1 - percent / 100) + 1e-9
-    met = rows.join(pivots, "region").select("region", "before", "cid", "members", "pivots")
+    met = rows.join(pivots, "region").select("region", "cid", "members", "pivots")
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[int, tuple] = {}
         for part in parts:
             out = []
-            for region, before, cid, members, pivots in zip(part["region"], part["before"], part["cid"], part["members"], part["pivots"]):
+            for region, cid, members, pivots in zip(part["region"], part["cid"], part["members"], part["pivots"]):
                 if region not in held:
                     held.clear()  # a partition's rows come sorted by region
                     sets = _unpack([p["members"] for p in pivots])
@@ -233,20 +289,20 @@ def _near_pivots(rows: DataFrame, pivots: DataFrame, percent: int) -> DataFrame:
                 home = int(distance.argmin())
                 cells = [home, *np.flatnonzero(distance[:home] <= distance[home] + window).tolist()]
                 linked = [names[j] for j in np.flatnonzero(100 * both >= percent * union) if names[j] != cid]
-                out.append((region, before, cid, members, linked, cells))
-            yield pd.DataFrame(out, columns=["region", "before", "cid", "members", "linked", "cells"])
+                out.append((region, cid, linked, cells))
+            yield pd.DataFrame(out, columns=["region", "cid", "linked", "cells"])
 
-    return met.mapInPandas(run, "region long, before long, cid long, members binary, linked array<long>, cells array<int>")
+    return met.mapInPandas(run, "region long, cid long, linked array<long>, cells array<int>")
 
 
 def region_links(rows: DataFrame, percent: int = PERCENT, leaf: int = LEAF, n_pivots: int = PIVOTS, levels: int = LEVELS,
-                 pairs: int = PAIRS, block: int = BLOCK, rounds: list[int] | None = None) -> DataFrame:
+                 pairs: int = PAIRS, block: int = BLOCK, rounds: list[int] | None = None, wide: int = WIDE) -> DataFrame:
     """Edges that connect exactly the linked texts of each region; ``rows``: (region, size, cid, members).
 
     A round compares small regions at once and gives large ones pivots.  Then a region
     whose texts are all connected is done.  What is left to compare in a region is its
-    texts outside the largest component, with all others: if that is little, or pivots
-    no longer make the region smaller, blocks are compared; else its Voronoi cells are
+    texts outside the largest component, with all others: if that is little, or the
+    Voronoi cells together wouldn't leave less, blocks are compared; else the cells are
     the next round's regions.  ``rounds`` takes the number of regions that each round
     of pivots divides.
     """
@@ -258,7 +314,7 @@ def region_links(rows: DataFrame, percent: int = PERCENT, leaf: int = LEAF, n_pi
         stuck = (F.lit(level >= levels) | (rest <= pairs) | ((F.col("before") > 0) & (F.col("size") > 0.7 * F.col("before")))) & F.lit(level > 0)
         sized = sized.withColumn("way", F.when(F.col("size") <= leaf, 0).when(stuck, 1).otherwise(2))
         small = sized.where("way = 0").groupBy("region").applyInPandas(lambda p: _leaf(p, percent), EDGE)
-        edges = edges.union(staged(small.union(_by_blocks(sized.where("way = 1"), percent, block)), "edges"))
+        edges = edges.union(staged(small.union(_by_blocks(sized.where("way = 1"), percent, block, wide)), "edges"))
         large = sized.where("way = 2")
         if not large.head(1):
             break
@@ -267,17 +323,20 @@ def region_links(rows: DataFrame, percent: int = PERCENT, leaf: int = LEAF, n_pi
         pivots = staged(chosen.groupBy("region").agg(F.collect_list(F.struct("cid", "members")).alias("pivots")), "pivots")
         if rounds is not None:
             rounds.append(pivots.count())
-        near = staged(_near_pivots(large.select("region", "cid", "members", F.col("size").alias("before")), pivots, percent), "cells")
+        near = staged(_near_pivots(large.select("region", "cid", "members"), pivots, percent), "cells")
         edges = edges.union(staged(near.select(F.col("cid").alias("a"), F.explode("linked").alias("b")), "edges"))
         comps = staged(components(edges), "components").select(F.col("node").alias("cid"), F.col("component").alias("comp"))
-        # the region itself is done, or little is left of it, or its cells go on
-        known = staged(near.select("region", "before", "cid", "members", "cells").join(small_side(comps), "cid", "left")
-                       .withColumn("comp", F.coalesce("comp", "cid")), "connected")
-        whole = _sizes(known.select("region", "comp"))
-        done = small_side(staged(whole.where((F.col("size") - F.col("n_major")) * F.col("size") <= pairs), "little-left"))
-        little = known.join(done, "region")
-        edges = edges.union(staged(_by_blocks(little, percent, block), "edges"))
-        cells = known.join(done.select("region"), "region", "left_anti").select(F.explode("cells").alias("cell"), "region", "before", "cid", "members", "comp")
+        known = staged(near.select("region", "cid", "cells").join(small_side(comps), "cid", "left").withColumn("comp", F.coalesce("comp", "cid")), "connected")
+        # the region itself is done, or little is left of it, or as much in its cells: each of them may hold most of the region
+        left = (F.col("size") - F.col("n_major")) * F.col("size")
+        later = _sizes(known.select("region", F.explode("cells").alias("cell"), "comp"), "region", "cell").groupBy("region").agg(F.sum(left).alias("later"))
+        whole = _sizes(known.select("region", "comp")).join(later, "region").where((left <= pairs) | (F.col("later") > 0.7 * left)).drop("later")
+        done = small_side(staged(whole, "little-left"))
+        texts = large.select("region", "cid", "members", F.col("size").alias("before"))
+        little = texts.join(small_side(staged(known.select("region", "cid", "comp").join(done, "region"), "little")), ["region", "cid"])
+        edges = edges.union(staged(_by_blocks(little, percent, block, wide), "edges"))
+        further = staged(known.join(done.select("region"), "region", "left_anti"), "further")
+        cells = texts.join(small_side(further), ["region", "cid"]).select(F.explode("cells").alias("cell"), "region", "before", "cid", "members", "comp")
         rows = staged(cells.select(F.xxhash64("region", "cell", F.lit(level)).alias("region"), "before", "cid", "members", "comp"), "regions")
         sizes = staged(_sizes(rows.select("region", "comp")).where("size > n_major"), "sizes")
         # written, so that a large region's rows may be split in this join
@@ -286,18 +345,21 @@ def region_links(rows: DataFrame, percent: int = PERCENT, leaf: int = LEAF, n_pi
     return edges
 
 
-def _sizes(rows: DataFrame) -> DataFrame:
-    """(region, size, major, n_major): a region's texts, its largest component and that one's size."""
-    counted = rows.groupBy("region", "comp").agg(F.count("*").alias("n"))
-    return counted.groupBy("region").agg(F.sum("n").alias("size"), F.max(F.struct("n", "comp")).alias("m")).select(
-        "region", "size", F.col("m.comp").alias("major"), F.col("m.n").alias("n_major"))
+def _sizes(rows: DataFrame, *keys: str) -> DataFrame:
+    """(region, size, major, n_major): a region's texts, its largest component and that one's size; ``keys`` instead of the region."""
+    keys = keys or ("region",)
+    counted = rows.groupBy(*keys, "comp").agg(F.count("*").alias("n"))
+    return counted.groupBy(*keys).agg(F.sum("n").alias("size"), F.max(F.struct("n", "comp")).alias("m")).select(
+        *keys, "size", F.col("m.comp").alias("major"), F.col("m.n").alias("n_major"))
 
 
-def _by_blocks(large: DataFrame, percent: int, block: int) -> DataFrame:
+def _by_blocks(large: DataFrame, percent: int, block: int, wide: int = WIDE) -> DataFrame:
     """Compare what pivots need not or could not divide, block by block.
 
     Texts outside a region's largest component meet all blocks; blocks of the
-    largest component need not meet each other.
+    largest component need not meet each other.  In small regions every block is
+    copied to those that it meets; blocks of wide ones are packed, and meet over
+    the files they are written to.
     """
     half = max(1, block // 2)
     inner = F.col("comp") == F.col("major")
@@ -305,19 +367,66 @@ def _by_blocks(large: DataFrame, percent: int, block: int) -> DataFrame:
     own = F.when(inner, F.pmod(F.xxhash64("cid"), n_inner)).otherwise(n_inner + F.pmod(F.xxhash64("cid"), F.greatest(n_outer, F.lit(1))))
     lowest = F.when(inner, n_inner).otherwise(F.lit(0)).cast("long")
     others = F.when(n_outer > 0, F.sequence(lowest, (n_inner + n_outer - 1).cast("long")))
-    paired = large.withColumn("block", own.cast("long")).withColumn("other", F.explode(others)).withColumns(
-        {"b1": F.least("block", "other"), "b2": F.greatest("block", "other")})
-    return paired.select("region", "b1", "b2", "cid", "members").groupBy("region", "b1", "b2").applyInPandas(lambda p: _leaf(p, percent), EDGE)
+    dealt = large.withColumn("block", own.cast("long"))
+    paired = dealt.where(F.col("size") <= wide).withColumn("other", F.explode(others)).withColumns({"b1": F.least("block", "other"), "b2": F.greatest("block", "other")})
+    copied = paired.select("region", "b1", "b2", "cid", "members").groupBy("region", "b1", "b2").applyInPandas(lambda p: _leaf(p, percent), EDGE)
+
+    def pack(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("cid")
+        ids, sets = part["cid"].to_numpy(), part["members"].tolist()
+        cuts = np.flatnonzero(np.diff(np.cumsum([len(s) for s in sets]) // PACK_BYTES)) + 1
+        runs = zip([0, *cuts], [*cuts, len(ids)])
+        return pd.DataFrame([(key[0], key[1] * 1_000_000 + k, key[2], pack_sets(ids[i:j], sets[i:j])) for k, (i, j) in enumerate(runs)],
+                            columns=["region", "block", "inner", "payload"])
+
+    packed = staged(dealt.where((F.col("size") > wide) & (n_outer > 0)).withColumn("inner", inner).select("region", "block", "inner", "cid", "members")
+                    .groupBy("region", "block", "inner").applyInPandas(pack, "region long, block long, inner boolean, payload binary"), "blocks")
+    if not packed.head(1):
+        return copied
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache, found, many = BlockCache(), [], 0
+
+        def added() -> tuple[np.ndarray, np.ndarray]:
+            return least_roots(*(np.concatenate(c) for c in zip(*found)))
+
+        def out(names: np.ndarray, roots: np.ndarray) -> pa.RecordBatch:
+            linked = names != roots
+            return pa.RecordBatch.from_arrays([pa.array(names[linked]), pa.array(roots[linked])], names=["a", "b"])
+
+        for batch in batches:
+            for row in range(batch.num_rows):
+                a, b = cache.two(batch, row, unpack_sets, ("region",))
+                if a is b:
+                    links = local_links(*a, percent)
+                    new = [tuple(np.array(c, np.int64) for c in zip(*links))] if links else []
+                else:
+                    new = links_between(a, b, percent)
+                found += new
+                many += sum(len(c[0]) for c in new)
+            if many > FOUND:
+                names, roots = added()
+                found, many = [(names, roots)], 0
+                if len(names) > FOUND:
+                    yield out(names, roots)
+                    found = []
+        if found:
+            yield out(*added())
+
+    met = block_pairs(packed, ["region"], ~(F.col("a_inner") & F.col("b_inner"))).drop("a_inner", "b_inner")
+    with batch_rows(large.sparkSession, 4):
+        return copied.union(staged(met.mapInArrow(compare, EDGE), "edges"))
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = WORDS, id_col: str = "doc_id", text_col: str = "text",
                     leaf: int = LEAF, n_pivots: int = PIVOTS, levels: int = LEVELS, pairs: int = PAIRS, block: int = BLOCK,
-                    block_bytes: int = BLOCK_BYTES, rounds: list[int] | None = None) -> DataFrame:
+                    block_bytes: int = BLOCK_BYTES, rounds: list[int] | None = None, wide: int = WIDE) -> DataFrame:
     """(id, sha, n_shingles, component_id, group), one row per document; linked documents have the same group."""
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks, n_buckets = partitions_for(total, block_bytes), partitions_for(total, BUCKET_BYTES)
     found = staged(candidates(rows, n_blocks, n_buckets, percent, size), "candidates")
+    drop_shuffles(docs.sparkSession)  # twice the input
 
     # texts with the same set are one class
     likely = found.where(F.size("prefix") > 0)
@@ -329,7 +438,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = WORDS,
     first = staged(components(meets.distinct()), "meets").select(F.col("node").alias("cid"), F.col("component").alias("region"))
     first = first.join(small_side(staged(first.groupBy("region").agg(F.count("*").alias("size")), "region-sizes")), "region")
     regions = staged(classes.select("cid", "members").join(small_side(staged(first, "sized")), "cid").select("region", "size", "cid", "members"), "first-regions")
-    linked = staged(components(region_links(regions, percent, leaf, n_pivots, levels, pairs, block, rounds)), "linked")
+    linked = staged(components(region_links(regions, percent, leaf, n_pivots, levels, pairs, block, rounds, wide)), "linked")
 
     group = classes.select("sig", "cid").join(small_side(linked.withColumnRenamed("node", "cid")), "cid", "left").select(
         "sig", F.coalesce("component", "cid").alias("group"))
