@@ -24,8 +24,12 @@ ORACLE_SQL = None
 
 def _without(docs: DataFrame, keys: DataFrame, key) -> DataFrame:
     """``docs`` without the rows whose id and key are among ``keys`` (doc_id, key)."""
-    gone = small_side(staged(keys.select(F.col("doc_id").alias("__id"), F.col("key").alias("__key")).distinct(), "rejected"))
-    marked = docs.withColumn("__own", key)
+    def short(c):
+        # 16 bytes, so that the keys stay small enough for a broadcast longer: else every text is shuffled
+        return F.unhex(F.md5(c.cast("string")))
+
+    gone = small_side(staged(keys.select(F.col("doc_id").alias("__id"), short(F.col("key")).alias("__key")).distinct(), "rejected"))
+    marked = docs.withColumn("__own", short(key))
     return marked.join(gone, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__key")), "left_anti").drop("__own")
 
 

@@ -120,3 +120,21 @@ def test_empty_tables_start_no_python(spark, odd_docs, monkeypatch):
     monkeypatch.setattr(type(spark), "createDataFrame", refuse)
     assert STAGE["near_duplicates"](spark, odd_docs, SF).count() == 7
     assert STAGE["secrets"](spark, odd_docs, SF).count() == odd_docs.count()
+
+
+def test_rejected_documents_are_told_by_short_keys(spark, monkeypatch):
+    """16 bytes stand for a text, so that the rejected ones can be broadcast and no text is shuffled for them."""
+    seen = []
+
+    def staged(df, name, write=corpus_pipeline.staged):
+        out = write(df, name)
+        if name == "rejected":
+            seen.extend(len(r["__key"]) for r in out.collect())
+        return out
+
+    monkeypatch.setattr(corpus_pipeline, "staged", staged)
+    docs = spark.createDataFrame([(1, "a"), (1, "b"), (None, "a"), (2, None), (None, None)], "doc_id long, text string")
+    key = F.sha2(F.coalesce("text", F.lit("")), 256)
+    gone = docs.where("doc_id IS NULL OR text = 'b'").select("doc_id", key.alias("key"))
+    left = corpus_pipeline._without(docs, gone, key).collect()
+    assert sorted(map(tuple, left), key=str) == [(1, "a"), (2, None)] and seen == [16, 16, 16]
